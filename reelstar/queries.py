@@ -391,16 +391,9 @@ def daily_load(spark, sf):
     """A whole day: bronze files, silver, gate, publish; then what was published."""
     base = scratch_dir(spark, "daily")
     roots = daily.Roots(*(f"{base}/{x}" for x in ("landing", "bronze", "silver", "warehouse")))
-    resources = {
-        "media_metadata": (samples.media_metadata(spark, sf), "hashed_id"),
-        "media_stats": (samples.media_stats(spark, sf), "media_id"),
-        "visitors": (samples.visitors(spark, sf).withColumn("p", F.lit("all")), "p"),
-        "events": (
-            samples.events(spark, sf).withColumn("p", F.coalesce("media_id", F.lit("none"))), "p",
-        ),
-    }
-    for endpoint, (df, path_column) in resources.items():
-        bronze.write_bronze(df, roots.bronze, endpoint, DAY, path_column)
+    for endpoint in star.FIELDS:
+        documents = getattr(samples, endpoint)(spark, sf)
+        bronze.write_bronze(documents, roots.bronze, endpoint, DAY)
     daily.run(spark, roots, DAY)
     star_now = daily.published(spark, roots.warehouse)
     return star_now[FACT].select(

@@ -27,9 +27,9 @@ RAW = {
         "status string, project project, section string",
         project=columns("name string"),
     ),
-    # the documents carry no media id; the bronze scan adds it from the path
+    # an API document carries no media id, the bronze scan takes it from the path
     "media_stats": columns(
-        "play_count string, load_count string, play_rate string, hours_watched string, "
+        "media_id string, play_count string, load_count string, play_rate string, hours_watched string, "
         "visitors string, engagement string"
     ),
     "visitors": columns(

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SQL_SETTINGS = {
     # received_at is an instant; dates are derived in UTC
@@ -52,3 +54,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="reelstar-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """Zero rows of a schema, known to be empty when the query is planned.
+
+    Spark then drops joins with it from the plan, which it cannot do for an empty RDD.
+    """
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*nulls).limit(0)

@@ -1,9 +1,10 @@
 """Bronze: raw JSON per endpoint and day.
 
-Layout: ``{root}/{endpoint}/year=YYYY/month=MM/day=DD/media_id=ID/``. Two kinds of file live
+Layout: ``{root}/{endpoint}/year=YYYY/month=MM/day=DD/[media_id=ID/]``. Two kinds of file live
 there: ``*.json`` documents as an API client stores them (one object, or one array per page,
 possibly over several lines) and ``*.txt.gz`` with one object per line, as ``write_bronze``
-stores them.
+stores them. A folder per video suits a client that stores page after page; rows written by
+Spark carry the id themselves, so many videos can share a file.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from reelstar.functions import columns as C
 from reelstar.schemas import RAW
+from reelstar.session import empty_frame
 
 DOCUMENTS = "*.json"
 LINES = "*.txt.gz"
@@ -34,8 +36,7 @@ def document_key(endpoint: str, media_id: str, run_date: str, page: int | None =
 
 def empty(spark: SparkSession, endpoint: str) -> DataFrame:
     """No documents: the endpoint's schema with zero rows."""
-    df = spark.createDataFrame([], RAW[endpoint])
-    return df.withColumn("media_id", F.lit(None).cast("string")) if endpoint == "media_stats" else df
+    return empty_frame(spark, RAW[endpoint])
 
 
 def _existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
@@ -64,37 +65,39 @@ def read_bronze(
     reader = spark.read.schema(RAW[endpoint]).option("recursiveFileLookup", True)
     documents = reader.option("multiLine", True).option("pathGlobFilter", DOCUMENTS).json(paths)
     lines = reader.option("multiLine", False).option("pathGlobFilter", LINES).json(paths)
-    if endpoint != "media_stats":
-        return documents.unionByName(lines)
-    with_id = [
-        df.withColumn("media_id", C.media_id_from_path(F.col("_metadata.file_path")))
-        for df in (documents, lines)
-    ]
-    return with_id[0].unionByName(with_id[1])
+    if endpoint == "media_stats":
+        from_path = F.nullif(C.media_id_from_path(F.col("_metadata.file_path")), F.lit(""))
+        documents, lines = (
+            df.withColumn("media_id", F.coalesce("media_id", from_path)) for df in (documents, lines)
+        )
+    return documents.unionByName(lines)
 
 
 def write_bronze(
-    df: DataFrame, root: str, endpoint: str, run_date: str, media_id: str, replace: bool = False
+    df: DataFrame,
+    root: str,
+    endpoint: str,
+    run_date: str,
+    media_id: str | None = None,
+    replace: bool = False,
 ) -> None:
-    """Store rows of an endpoint as JSON lines under their day and video.
+    """Store rows of an endpoint as JSON lines under their day.
 
-    ``media_id`` names the column that fills the path; it stays in the document as well if it is
-    one of the endpoint's fields. Rows are appended under new file names, so a second run of a
-    day adds its newer rows and loses none; ``replace`` overwrites the videos at hand for the
-    endpoints that are pulled whole. The rebalance gathers a video's rows into few files and
-    splits the files of a hot one.
+    Rows are appended under new file names, so a second run of a day adds its newer rows and
+    loses none; ``replace`` is for the endpoints that are pulled whole. ``media_id`` names a
+    column to lay the day out by, one folder per video: only for few videos, as each costs a
+    file. The rebalance then gathers a video's rows and splits the files of a hot one.
     """
     year, month, day = run_date.split("-")
-    lines = df.select(
-        F.to_json(F.struct(*RAW[endpoint].names)).alias("value"),
-        F.lit(year).alias("year"),
-        F.lit(month).alias("month"),
-        F.lit(day).alias("day"),
-        F.col(media_id).alias("media_id"),
-    )
+    parts = {"year": F.lit(year), "month": F.lit(month), "day": F.lit(day)}
+    if media_id is not None:
+        parts["media_id"] = F.col(media_id)
+    line = F.to_json(F.struct(*RAW[endpoint].names)).alias("value")
+    lines = df.select(line, *[c.alias(name) for name, c in parts.items()])
+    if media_id is not None:
+        lines = lines.hint("rebalance", "media_id")
     (
-        lines.hint("rebalance", "media_id")
-        .write.partitionBy("year", "month", "day", "media_id")
+        lines.write.partitionBy(*parts)
         .mode("overwrite" if replace else "append")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reelstar.operators.upsert import delete_matching, keyed, matching
+from reelstar.session import empty_frame
 
 _COMMIT = "table string, part string, folder string, note string"
 # how Spark names the folder of a NULL partition value
@@ -85,7 +86,7 @@ class Warehouse:
         folders: dict[str | None, str],
     ) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         base = f"{self.root}/{table}"
         if partition_by is None:
             paths = [f"{base}/v={folder}" for folder in folders.values()]
