@@ -13,11 +13,11 @@ _WHOLE_NUMBERS = ("int", "bigint")
 def safe_cast(c: Column, dtype: str) -> Column:
     """Cast that yields NULL for a value the type cannot hold.
 
-    Whole numbers go through a decimal, so ``"12.0"`` and ``"12.7"`` become 12 as they do when
-    a JSON number is cast, and 19-digit values stay exact.
+    Text that is no whole number takes the slower way through a decimal, so ``"12.0"`` and
+    ``"12.7"`` become 12 as they do when a JSON number is cast.
     """
     if dtype in _WHOLE_NUMBERS:
-        c = c.try_cast("decimal(38,18)")
+        return F.coalesce(c.try_cast(dtype), c.try_cast("decimal(38,18)").try_cast(dtype))
     return c.try_cast(dtype)
 
 

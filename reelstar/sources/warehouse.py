@@ -27,7 +27,10 @@ _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 @dataclass(frozen=True)
 class Load:
-    """Rows to upsert into a table, and how the table is laid out."""
+    """Rows to upsert into a table, and how the table is laid out.
+
+    ``staging`` is read several times: pass a frame that was written before, not a long plan.
+    """
 
     staging: DataFrame
     keys: Sequence[str]
@@ -144,11 +147,11 @@ class Warehouse:
         # Partitions to rewrite: those of the new rows, and those that hold an older version
         # of one of them, as a replay may move a row to another partition. The second read
         # takes only the keys and the partition column.
-        touched = self._values(staging, part)
-        rows = staging
+        rows, touched = staging, set()
         if folders:
             target = self._read(table, schema, part, folders)
-            touched |= self._values(matching(target, staging, load.keys), part)
+            replaced = matching(target, staging, load.keys)
+            touched = self._values(staging.select(part).unionByName(replaced.select(part)), part)
             old = {p: f for p, f in folders.items() if p in touched}
             if old:
                 kept = self._read(table, schema, part, old)
