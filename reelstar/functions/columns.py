@@ -10,19 +10,21 @@ from reelstar.schemas import NO_HIGH_WATER
 _WHOLE_NUMBERS = ("int", "bigint")
 
 
-def safe_cast(c: Column, dtype: str) -> Column:
-    """Cast that yields NULL for a value the type cannot hold.
+def safe_cast(field: str, dtype: str) -> str:
+    """SQL text of a cast that yields NULL for a value the type cannot hold.
 
     Text that is no whole number takes the slower way through a decimal, so ``"12.0"`` and
-    ``"12.7"`` become 12 as they do when a JSON number is cast.
+    ``"12.7"`` become 12 as they do when a JSON number is cast. Text, because wide projections
+    are generated from field lists and one parsed select costs less than a Column per cast.
     """
     if dtype in _WHOLE_NUMBERS:
-        return F.coalesce(c.try_cast(dtype), c.try_cast("decimal(38,18)").try_cast(dtype))
-    return c.try_cast(dtype)
+        by_decimal = f"try_cast(try_cast({field} AS decimal(38,18)) AS {dtype})"
+        return f"coalesce(try_cast({field} AS {dtype}), {by_decimal})"
+    return field if dtype == "string" else f"try_cast({field} AS {dtype})"
 
 
-def cast_failed(c: Column, dtype: str) -> Column:
-    return c.isNotNull() & safe_cast(c, dtype).isNull()
+def cast_failed(field: str, dtype: str) -> str:
+    return f"{field} IS NOT NULL AND {safe_cast(field, dtype)} IS NULL"
 
 
 def derive_channel(name: Column) -> Column:
@@ -66,9 +68,12 @@ def split_list(text: str) -> list[str]:
     return [item.strip() for item in text.split(",") if item.strip()]
 
 
+# ISO text with microseconds; Spark's JSON default keeps milliseconds only.
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
 def iso_timestamp(ts: Column) -> Column:
-    """ISO text with microseconds; Spark's JSON default keeps milliseconds only."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.date_format(ts, ISO_FORMAT)
 
 
 def comparable(ts: Column, compare: str = "parsed") -> Column:

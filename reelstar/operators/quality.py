@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstar.schemas import KEYS, LOAD_ORDER, MAX_LENGTH, RULES, not_null_columns
@@ -23,21 +23,24 @@ class QualityGateError(RuntimeError):
         super().__init__("quality gate failed: " + "; ".join(lines))
 
 
-def _line(
-    table: str, check: str, column: str | None, value: Column, threshold: float | None, ok: Column
-) -> Column:
-    return F.struct(
-        F.lit(table).alias("table"),
-        F.lit(check).alias("check"),
-        F.lit(column).cast("string").alias("column"),
-        value.cast("double").alias("value"),
-        F.lit(threshold).cast("double").alias("threshold"),
-        F.when(ok, "ok").otherwise("fail").alias("status"),
+def _line(table: str, check: str, column: str | None, value: str, limit, ok: str) -> str:
+    """SQL text of one report row; ``value`` and ``ok`` are expressions."""
+    named = f"'{column}'" if column else "CAST(NULL AS string)"
+    limit = "NULL" if limit is None else limit
+    return (
+        f"('{table}', '{check}', {named}, CAST({value} AS double), CAST({limit} AS double), "
+        f"IF({ok}, 'ok', 'fail'))"
     )
 
 
-def _explode(one_row: DataFrame, lines: Sequence[Column]) -> DataFrame:
-    return one_row.select(F.explode(F.array(*lines)).alias("r")).select("r.*")
+def _rows(one_row: DataFrame, lines: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The row's aggregates laid out as one output row per line.
+
+    A line casts every aggregate it shows: a bare column would give its struct a field name of
+    its own, and the lines would differ in type.
+    """
+    columns = ", ".join(f"`{n}`" for n in names)
+    return one_row.selectExpr(f"inline(array({', '.join(lines)})) AS ({columns})")
 
 
 def null_key_report(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
@@ -53,20 +56,14 @@ def null_key_report(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame
 def null_profile(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Null count and percentage of every column, all from one aggregate."""
     columns = list(columns or df.columns)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+    counts = df.selectExpr(
+        "count(*) AS n", *[f"count_if(`{c}` IS NULL) AS `null_{c}`" for c in columns]
     )
     lines = [
-        F.struct(
-            F.lit(table).alias("table"),
-            F.lit(c).alias("column"),
-            F.col("n").alias("row_count"),
-            F.col(c).alias("null_count"),
-            F.round(F.try_divide(F.col(c), F.col("n")) * 100, 2).alias("null_pct"),
-        )
+        f"('{table}', '{c}', n, CAST(`null_{c}` AS bigint), round(try_divide(`null_{c}`, n) * 100, 2))"
         for c in columns
     ]
-    return _explode(counts, lines)
+    return _rows(counts, lines, ("table", "column", "row_count", "null_count", "null_pct"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -97,24 +94,18 @@ def orphan_count(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
 
 def constraint_violations(df: DataFrame, table: str) -> DataFrame:
     """Rows that break a declared NOT NULL or VARCHAR length, per constraint, in one pass."""
-    rules = [("not_null", c, None, F.col(c).isNull()) for c in not_null_columns(table)]
+    rules = [("not_null", c, "NULL", f"{c} IS NULL") for c in not_null_columns(table)]
     rules += [
-        ("max_length", c, n, F.length(c) > n)
+        ("max_length", c, str(n), f"length({c}) > {n}")
         for c, n in MAX_LENGTH[table].items()
         if c in df.columns
     ]
-    counts = df.agg(*[F.count_if(bad).alias(f"{rule}_{c}") for rule, c, _, bad in rules])
+    counts = df.selectExpr(*[f"count_if({bad}) AS {rule}_{c}" for rule, c, _, bad in rules])
     lines = [
-        F.struct(
-            F.lit(table).alias("table"),
-            F.lit(rule).alias("constraint"),
-            F.lit(c).alias("column"),
-            F.lit(limit).cast("int").alias("limit"),
-            F.col(f"{rule}_{c}").alias("violations"),
-        )
+        f"('{table}', '{rule}', '{c}', CAST({limit} AS int), CAST({rule}_{c} AS bigint))"
         for rule, c, limit, _ in rules
     ]
-    return _explode(counts, lines)
+    return _rows(counts, lines, ("table", "constraint", "column", "limit", "violations"))
 
 
 def table_report(df: DataFrame, table: str) -> DataFrame:
@@ -124,50 +115,45 @@ def table_report(df: DataFrame, table: str) -> DataFrame:
     of rows dropped for a missing key is reported next to them.
     """
     key, rules = KEYS[table], RULES[table]
-    has_key = F.col(key).isNotNull() if key in df.columns else F.lit(True)
-    present = [c for c in rules["max_null_pct"] if c in df.columns]
+    has_key = f"{key} IS NOT NULL" if key in df.columns else "true"
+    limits = {c: pct for c, pct in rules["max_null_pct"].items() if c in df.columns}
     lengths = {c: n for c, n in MAX_LENGTH[table].items() if c in df.columns}
-    counts = df.agg(
-        F.count_if(has_key).alias("n"),
-        F.count_if(~has_key).alias("dropped"),
-        *[F.count_if(has_key & F.col(c).isNull()).alias(f"null_{c}") for c in present],
-        *[F.count_if(has_key & (F.length(c) > n)).alias(f"long_{c}") for c, n in lengths.items()],
+    counts = df.selectExpr(
+        f"count_if({has_key}) AS n",
+        f"count_if(NOT ({has_key})) AS dropped",
+        *[f"count_if({has_key} AND {c} IS NULL) AS null_{c}" for c in limits],
+        *[f"count_if({has_key} AND length({c}) > {n}) AS long_{c}" for c, n in lengths.items()],
     )
-    n = F.col("n")
     lines = [
-        _line(table, "dropped_null_key", key, F.col("dropped"), None, F.lit(True)),
-        _line(table, "min_rows", None, n, rules["min_rows"], n >= rules["min_rows"]),
+        _line(table, "dropped_null_key", key, "dropped", None, "true"),
+        _line(table, "min_rows", None, "n", rules["min_rows"], f"n >= {rules['min_rows']}"),
     ]
     for c in rules["required"]:
         has = int(c in df.columns)
-        lines.append(_line(table, "required_column", c, F.lit(has), 1, F.lit(has == 1)))
-    for c in present:
-        limit = rules["max_null_pct"][c]
-        share = F.try_divide(F.col(f"null_{c}"), n) * 100
-        passed = F.coalesce(share <= limit, F.lit(True))
-        lines.append(_line(table, "null_pct", c, F.round(share, 2), limit, passed))
+        lines.append(_line(table, "required_column", c, str(has), 1, f"{has} = 1"))
+    for c, pct in limits.items():
+        share = f"try_divide(null_{c}, n) * 100"
+        passed = f"coalesce({share} <= {pct}, true)"
+        lines.append(_line(table, "null_pct", c, f"round({share}, 2)", pct, passed))
     for c in lengths:
-        bad = F.col(f"long_{c}")
-        lines.append(_line(table, "max_length", c, bad, 0, bad == 0))
-    return _explode(counts, lines)
+        lines.append(_line(table, "max_length", c, f"long_{c}", 0, f"long_{c} = 0"))
+    return _rows(counts, lines, REPORT)
 
 
 def uniqueness_report(df: DataFrame, table: str) -> DataFrame:
     """Surplus rows of repeated keys: an upsert inserts all of them, so there must be none."""
-    surplus = duplicate_keys(df, [KEYS[table]]).agg(
-        F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("surplus")
+    surplus = duplicate_keys(df, [KEYS[table]]).selectExpr(
+        "coalesce(sum(n_rows - 1), 0) AS surplus"
     )
-    line = _line(table, "unique_key", KEYS[table], F.col("surplus"), 0, F.col("surplus") == 0)
-    return _explode(surplus, [line])
+    line = _line(table, "unique_key", KEYS[table], "surplus", 0, "surplus = 0")
+    return _rows(surplus, [line], REPORT)
 
 
 def integrity_report(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
-    count = orphan_count(fact, dim_media)
     line = _line(
-        "fact_media_engagement", "orphan_media", "media_id", F.col("orphans"), 0,
-        F.col("orphans") == 0,
+        "fact_media_engagement", "orphan_media", "media_id", "orphans", 0, "orphans = 0"
     )
-    return _explode(count, [line])
+    return _rows(orphan_count(fact, dim_media), [line], REPORT)
 
 
 def quality_report(

@@ -65,6 +65,7 @@ EVENT_FIELDS = (
     ("platform", "user_agent_details.platform", "string"),
     ("is_mobile", "user_agent_details.mobile", "boolean"),
 )
+_EVENT_DAY = ("event_date", "event_date", "date")
 FIELDS = {
     "media_metadata": MEDIA_FIELDS,
     "media_stats": STATS_FIELDS,
@@ -75,9 +76,13 @@ FIELDS = {
 TieBreak = Sequence[str | Column] | None
 
 
+def _casts(fields: Sequence[tuple[str, str, str]]) -> list[str]:
+    return [f"{C.safe_cast(src, dtype)} AS {dst}" for dst, src, dtype in fields]
+
+
 def project(raw: DataFrame, fields: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Rename, flatten and cast in one select."""
-    return raw.select(*[C.safe_cast(F.col(src), dtype).alias(dst) for dst, src, dtype in fields])
+    return raw.selectExpr(*_casts(fields))
 
 
 def in_star_order(df: DataFrame, table: str) -> DataFrame:
@@ -157,10 +162,8 @@ def clean_events(
     events: DataFrame, date_rule: str = "source_local", tie_break: TieBreak = None
 ) -> DataFrame:
     """Typed events with both keys present, the newest delivery of each."""
-    typed = events.select(
-        *[C.safe_cast(F.col(src), dtype).alias(dst) for dst, src, dtype in EVENT_FIELDS],
-        C.event_date(F.col("received_at"), date_rule).alias("event_date"),
-    )
+    day = C.event_date(F.col("received_at"), date_rule)
+    typed = project(events.withColumn("event_date", day), (*EVENT_FIELDS, _EVENT_DAY))
     keyed = typed.filter(F.col("event_key").isNotNull() & F.col("media_id").isNotNull())
     return latest_by(keyed, ["event_key"], ["received_at"], tie_break)
 
@@ -194,21 +197,11 @@ def build_fact(
 
 def cast_failures(raw: DataFrame, resource: str) -> DataFrame:
     """Values per field that were present but did not fit the target type, in one pass."""
-    typed = [(dst, src, dtype) for dst, src, dtype in FIELDS[resource] if dtype != "string"]
-    counts = raw.agg(
-        *[F.count_if(C.cast_failed(F.col(src), dtype)).alias(dst) for dst, src, dtype in typed]
+    typed = [field for field in FIELDS[resource] if field[2] != "string"]
+    counts = raw.selectExpr(
+        *[f"count_if({C.cast_failed(src, dtype)}) AS {dst}" for dst, src, dtype in typed]
     )
-    rows = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(resource).alias("resource"),
-                    F.lit(dst).alias("column"),
-                    F.lit(dtype).alias("type"),
-                    F.col(dst).alias("failed"),
-                )
-                for dst, _, dtype in typed
-            ]
-        )
+    lines = ", ".join(
+        f"('{resource}', '{dst}', '{dtype}', CAST({dst} AS bigint))" for dst, _, dtype in typed
     )
-    return counts.select(rows.alias("r")).select("r.*")
+    return counts.selectExpr(f"inline(array({lines})) AS (resource, column, type, failed)")

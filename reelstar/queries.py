@@ -32,17 +32,14 @@ FACT = "fact_media_engagement"
 
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, dates and timestamps as text."""
-    out = []
-    for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, DecimalType):
-            c = c.cast("double")
-        elif isinstance(field.dataType, DateType):
-            c = c.cast("string")
-        elif isinstance(field.dataType, (TimestampType, TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        out.append(c.alias(field.name))
-    return df.select(*out)
+    forms = {
+        DecimalType: "CAST(`{0}` AS double)",
+        DateType: "CAST(`{0}` AS string)",
+        TimestampType: "date_format(`{0}`, 'yyyy-MM-dd HH:mm:ss.SSSSSS')",
+        TimestampNTZType: "date_format(`{0}`, 'yyyy-MM-dd HH:mm:ss.SSSSSS')",
+    }
+    shown = [forms.get(type(f.dataType), "`{0}`") + " AS `{0}`" for f in df.schema.fields]
+    return df.selectExpr(*[text.format(name) for text, name in zip(shown, df.columns)])
 
 
 # -- the star over the test tables -----------------------------------------------------------
@@ -370,7 +367,7 @@ def silver_roundtrip(spark, sf):
 def landed_documents(spark, sf):
     """Landed documents with a row array, a purchase's two deliveries in one, exploded by the scan."""
     first = samples.first_deliveries(spark, sf)
-    again = C.iso_timestamp(F.timestamp_add("HOUR", F.lit(1), F.col("_received")))
+    again = C.iso_timestamp(F.expr("_received + INTERVAL '1' HOUR"))
     delivery = F.struct("event_key", "media_id", "received_at")
     replay = F.struct("event_key", "media_id", again.alias("received_at"))
     pages = first.select(

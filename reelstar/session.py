@@ -26,11 +26,16 @@ SQL_SETTINGS = {
 }
 
 
+# Read when the context starts. Recording the Python call site of every column costs more than
+# planning a wide query; switch it on to trace an error.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def build_session(app: str = "reelstar", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SQL_SETTINGS, **conf}.items():
+    for key, value in {**STATIC_SETTINGS, **SQL_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar.functions.columns import iso_timestamp
+from reelstar.functions.columns import ISO_FORMAT
 from reelstar.schemas import columns
 
 RUN_DATE = "2024-02-01"
@@ -49,24 +49,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _iso(ts: str) -> str:
+    return f'date_format({ts}, "{ISO_FORMAT}")'
+
+
 def media_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("p_type")
-    suffix = (
-        F.when(kind.isin("ECONOMY", "PROMO"), " YouTube Paid Ads")
-        .when(kind.isin("MEDIUM", "LARGE"), " FACEBOOK paid ads")
-        .otherwise("")
-    )
-    created = F.timestamp_add("DAY", F.col("p_size"), F.lit("2020-01-01").cast("timestamp"))
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("hashed_id"),
-        F.concat("p_name", suffix).alias("name"),
-        F.col("p_retailprice").cast("string").alias("duration"),
-        iso_timestamp(created).alias("created"),
-        F.when(kind != "SMALL", iso_timestamp(F.timestamp_add("DAY", F.col("p_size"), created)))
-        .alias("updated"),
-        F.when(kind == "STANDARD", "archived").otherwise("ready").alias("status"),
-        F.struct(F.col("p_brand").alias("name")).alias("project"),
-        kind.alias("section"),
+    created = "timestamp_ntz'2020-01-01' + make_dt_interval(p_size)"
+    updated = "timestamp_ntz'2020-01-01' + make_dt_interval(2 * p_size)"
+    return table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS string) AS hashed_id",
+        """p_name || CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN ' YouTube Paid Ads'
+                          WHEN p_type IN ('MEDIUM', 'LARGE') THEN ' FACEBOOK paid ads'
+                          ELSE '' END AS name""",
+        "CAST(p_retailprice AS string) AS duration",
+        f"{_iso(created)} AS created",
+        f"IF(p_type <> 'SMALL', {_iso(updated)}, NULL) AS updated",
+        "IF(p_type = 'STANDARD', 'archived', 'ready') AS status",
+        "struct(p_brand AS name) AS project",
+        "p_type AS section",
     )
 
 
@@ -81,35 +81,32 @@ def media_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .filter(F.col("n") >= 25)
     )
-    return per_part.select(
-        F.col("l_partkey").cast("string").alias("media_id"),
-        F.col("n").cast("string").alias("play_count"),
-        F.col("quantity").cast("string").alias("load_count"),
-        (F.col("n") / 100).cast("string").alias("play_rate"),
-        (F.col("n") / 1000).cast("string").alias("hours_watched"),
-        F.col("suppliers").cast("string").alias("visitors"),
-        (F.col("suppliers") / 1000).cast("string").alias("engagement"),
+    return per_part.selectExpr(
+        "CAST(l_partkey AS string) AS media_id",
+        "CAST(n AS string) AS play_count",
+        "CAST(quantity AS string) AS load_count",
+        "CAST(n / 100 AS string) AS play_rate",
+        "CAST(n / 1000 AS string) AS hours_watched",
+        "CAST(suppliers AS string) AS visitors",
+        "CAST(suppliers / 1000 AS string) AS engagement",
     )
 
 
 def visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the order key as microseconds keeps two snapshots of one day apart
-    active = F.timestamp_add(
-        "MICROSECOND", F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
-    )
-    no_key = (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") < 5000)
-    return table(spark, sf_dir, "orders").select(
-        F.when(~no_key, F.col("o_custkey").cast("string")).alias("visitor_key"),
-        iso_timestamp(F.timestamp_add("DAY", F.lit(-30), active)).alias("created_at"),
-        iso_timestamp(active).alias("last_active_at"),
-        F.floor(F.col("o_totalprice") / 1000).cast("string").alias("load_count"),
-        F.floor(F.col("o_totalprice") / 5000).cast("string").alias("play_count"),
-        F.struct(
-            F.when(F.col("o_totalprice") < 400000, F.col("o_orderpriority")).alias("browser"),
-            F.substring("o_orderpriority", 1, 1).alias("browser_version"),
-            F.col("o_orderstatus").alias("platform"),
-            F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("string").alias("mobile"),
-        ).alias("user_agent_details"),
+    active = "o_orderdate + make_dt_interval(0, 0, 0, o_orderkey / 1000000bd)"
+    return table(spark, sf_dir, "orders").selectExpr(
+        """IF(o_orderstatus = 'F' AND o_totalprice < 5000, NULL, CAST(o_custkey AS string))
+           AS visitor_key""",
+        f"{_iso(f'{active} - make_dt_interval(30)')} AS created_at",
+        f"{_iso(active)} AS last_active_at",
+        "CAST(floor(o_totalprice / 1000) AS string) AS load_count",
+        "CAST(floor(o_totalprice / 5000) AS string) AS play_count",
+        """struct(IF(o_totalprice < 400000, o_orderpriority, NULL) AS browser,
+                  substring(o_orderpriority, 1, 1) AS browser_version,
+                  o_orderstatus AS platform,
+                  CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS string) AS mobile)
+           AS user_agent_details""",
     )
 
 
@@ -121,76 +118,72 @@ def first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("c_custkey", "c_acctbal", "c_mktsegment", "n_name", "n_nationkey", "r_name")
     )
-    kind, value = F.col("event_type"), F.col("value")
-    video = F.get_json_object("props", "$.k")
     events = table(spark, sf_dir, "events").join(places, F.col("user_id") == F.col("c_custkey"))
-    return events.select(
-        F.when(~((kind == "error") & (value < 1)), F.col("event_id").cast("string"))
-        .alias("event_key"),
-        F.when(~((kind == "signup") & (value < 1)), video).alias("media_id"),
-        F.when(~((kind == "view") & (value < 5)), F.col("user_id").cast("string"))
-        .alias("visitor_key"),
-        iso_timestamp(F.col("ts")).alias("received_at"),
-        F.concat(F.lit("10.0.0."), "n_nationkey").alias("ip"),
-        F.nullif(F.col("n_name"), F.lit("NATION_0")).alias("country"),
-        F.col("r_name").alias("region"),
-        F.col("c_mktsegment").alias("city"),
-        F.when(kind == "error", "n/a").otherwise(F.col("c_acctbal").cast("string")).alias("lat"),
-        value.cast("string").alias("lon"),
-        (F.least(value, F.lit(100.0)) / 100).cast("string").alias("percent_viewed"),
-        F.concat(F.lit("https://video.example.com/"), video).alias("embed_url"),
-        F.concat(F.lit("Video "), video).alias("media_name"),
-        F.struct(
-            F.col("c_mktsegment").alias("browser"),
-            F.lit(None).cast("string").alias("browser_version"),
-            kind.alias("platform"),
-            (kind == "click").cast("string").alias("mobile"),
-        ).alias("user_agent_details"),
-        kind.alias("_kind"),
-        F.col("ts").cast("timestamp").alias("_received"),
+    video = "get_json_object(props, '$.k')"
+    return events.selectExpr(
+        "IF(event_type = 'error' AND value < 1, NULL, CAST(event_id AS string)) AS event_key",
+        f"IF(event_type = 'signup' AND value < 1, NULL, {video}) AS media_id",
+        "IF(event_type = 'view' AND value < 5, NULL, CAST(user_id AS string)) AS visitor_key",
+        f"{_iso('ts')} AS received_at",
+        "'10.0.0.' || n_nationkey AS ip",
+        "nullif(n_name, 'NATION_0') AS country",
+        "r_name AS region",
+        "c_mktsegment AS city",
+        "IF(event_type = 'error', 'n/a', CAST(c_acctbal AS string)) AS lat",
+        "CAST(value AS string) AS lon",
+        "CAST(least(value, 100.0D) / 100 AS string) AS percent_viewed",
+        f"'https://video.example.com/' || {video} AS embed_url",
+        f"'Video ' || {video} AS media_name",
+        """struct(c_mktsegment AS browser, CAST(NULL AS string) AS browser_version,
+                  event_type AS platform, CAST(event_type = 'click' AS string) AS mobile)
+           AS user_agent_details""",
+        "event_type AS _kind",
+        "ts AS _received",
     )
 
 
+_AN_HOUR_LATER = _iso("_received + INTERVAL '1' HOUR")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First deliveries and, an hour later, the replays; both from one scan."""
-    replayed = F.col("_kind") == "purchase"
-    delay = F.explode(F.when(replayed, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    replay_too = f"array(received_at, {_AN_HOUR_LATER})"
     first = first_deliveries(spark, sf_dir)
-    delivered = first.withColumn("_delay", delay)
-    received = iso_timestamp(F.timestamp_add("HOUR", F.col("_delay"), F.col("_received")))
-    return delivered.withColumn("received_at", received).drop("_kind", "_received", "_delay")
+    delivered = first.withColumn(
+        "received_at",
+        F.expr(f"explode(IF(_kind = 'purchase', {replay_too}, array(received_at)))"),
+    )
+    return delivered.drop("_kind", "_received")
 
 
 def replays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    again = first_deliveries(spark, sf_dir).filter(F.col("_kind") == "purchase")
-    received = iso_timestamp(F.timestamp_add("HOUR", F.lit(1), F.col("_received")))
-    return again.withColumn("received_at", received).drop("_kind", "_received")
+    again = first_deliveries(spark, sf_dir).filter("_kind = 'purchase'")
+    return again.withColumn("received_at", F.expr(_AN_HOUR_LATER)).drop("_kind", "_received")
+
+
+_VIDEO = "concat_ws('/', event_type, get_json_object(props, '$.k')) AS media_id"
 
 
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of a newest-first pull: one page per video, kind and day, the last day is page 1."""
-    kind, video = F.col("event_type"), F.get_json_object("props", "$.k")
-    day = F.col("ts").cast("date")
-    return table(spark, sf_dir, "events").select(
-        F.concat_ws("/", kind, video).alias("media_id"),
-        (F.datediff(F.lit("2024-01-30").cast("date"), day) + 1).alias("page"),
-        F.col("event_id").cast("string").alias("event_key"),
-        iso_timestamp(F.col("ts")).alias("received_at"),
+    return table(spark, sf_dir, "events").selectExpr(
+        _VIDEO,
+        "datediff(date'2024-01-30', ts) + 1 AS page",
+        "CAST(event_id AS string) AS event_key",
+        f"{_iso('ts')} AS received_at",
     )
 
 
 def high_water_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marks per video: 20 January for most kinds, the sentinel or nothing for the others."""
-    kind, video = F.col("event_type"), F.get_json_object("props", "$.k")
     return (
         table(spark, sf_dir, "events")
-        .filter(kind != "signup")
-        .select(
-            F.lit("events").alias("endpoint"),
-            F.concat_ws("/", kind, video).alias("media_id"),
-            F.when(kind == "error", "1970-01-01T00:00:00Z")
-            .otherwise("2024-01-20T00:00:00.000000Z")
-            .alias("high_water"),
+        .filter("event_type <> 'signup'")
+        .selectExpr(
+            "'events' AS endpoint",
+            _VIDEO,
+            """IF(event_type = 'error', '1970-01-01T00:00:00Z', '2024-01-20T00:00:00.000000Z')
+               AS high_water""",
         )
         .distinct()
     )
