@@ -21,6 +21,8 @@ from reelstar.operators.upsert import delete_matching, keyed, matching
 from reelstar.session import empty_frame
 
 _COMMIT = "table string, part string, folder string, note string"
+# folder level above the partitions; a discovered column, so no table may use the name
+_FOLDER = "_load"
 # how Spark names the folder of a NULL partition value
 _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
@@ -30,6 +32,7 @@ class Load:
     """Rows to upsert into a table, and how the table is laid out.
 
     ``staging`` is read several times: pass a frame that was written before, not a long plan.
+    ``partition_by`` is a date or a number, whose text is the same in a folder name.
     """
 
     staging: DataFrame
@@ -92,10 +95,10 @@ class Warehouse:
             return empty_frame(self.spark, schema)
         base = f"{self.root}/{table}"
         if partition_by is None:
-            paths = [f"{base}/v={folder}" for folder in folders.values()]
+            paths = [f"{base}/{_FOLDER}={folder}" for folder in folders.values()]
         else:
             paths = [
-                f"{base}/v={folder}/{partition_by}={_NULL_PART if part is None else part}"
+                f"{base}/{_FOLDER}={folder}/{partition_by}={_NULL_PART if part is None else part}"
                 for part, folder in folders.items()
             ]
         df = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
@@ -141,7 +144,7 @@ class Warehouse:
                 rows = delete_matching(target, staging, load.keys).unionByName(staging)
             if load.sort_by:
                 rows = rows.sortWithinPartitions(*load.sort_by)
-            rows.write.parquet(f"{self.root}/{table}/v={folder}")
+            rows.write.parquet(f"{self.root}/{table}/{_FOLDER}={folder}")
             return {None: folder}
 
         # Partitions to rewrite: those of the new rows, and those that hold an older version
@@ -157,12 +160,20 @@ class Warehouse:
                 kept = self._read(table, schema, part, old)
                 rows = delete_matching(kept, staging, load.keys).unionByName(staging)
         rows = rows.hint("rebalance", part).sortWithinPartitions(part, *load.sort_by)
-        path = f"{self.root}/{table}/v={folder}"
+        path = f"{self.root}/{table}/{_FOLDER}={folder}"
         rows.write.partitionBy(part).parquet(path)
-        written = self._values(self.spark.read.schema(schema).parquet(path), part)
+        written = self._partitions(path, part)
         current = {p: f for p, f in folders.items() if p not in touched}
         return {**current, **{p: folder for p in written}}
 
+    def _partitions(self, path: str, part: str) -> set[str | None]:
+        """Partition values with rows in a written folder, from its directory names."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        values = {n.split("=", 1)[1] for n in names if n.startswith(f"{part}=")}
+        return {None if v == _NULL_PART else v for v in values}
+
     @staticmethod
     def _values(df: DataFrame, part: str) -> set[str | None]:
         """Distinct partition values, as they are written in folder names."""
