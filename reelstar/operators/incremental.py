@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelstar.functions import columns as C
+from reelstar.operators.joins import lookup_join
 from reelstar.schemas import MAX_PAGES, PAGE_SIZE
 
 
@@ -28,7 +29,7 @@ def with_marks(
     rows: DataFrame, marks: DataFrame, endpoint: str, ts: str, compare: str = "parsed"
 ) -> DataFrame:
     """Rows plus ``_ts`` (comparable time), ``_mark`` and ``_is_new``."""
-    joined = rows.join(marks_of(marks, endpoint, compare), "media_id", "left")
+    joined = lookup_join(rows, marks_of(marks, endpoint, compare), "media_id", spread_by=ts)
     return joined.withColumn("_ts", C.comparable(F.col(ts), compare)).withColumn(
         "_is_new", C.is_new(F.col("_ts"), F.col("_mark"))
     )

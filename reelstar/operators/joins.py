@@ -6,14 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def left_lookup(df: DataFrame, lookup: DataFrame, key: str, spread_by: str) -> DataFrame:
-    """Left outer join with a lookup that is unique on ``key``.
+def lookup_join(
+    df: DataFrame, lookup: DataFrame, key: str, how: str = "left", spread_by: str | None = None
+) -> DataFrame:
+    """Equi-join of a large frame with a lookup that is unique on ``key``.
 
-    Rows whose key is NULL match nothing, yet a plain join hashes all of them to one task.
-    A second join column sends them by the hash of ``spread_by`` instead; for every other row
-    both sides hash the key itself, so the matches are unchanged. A hot non-null key is split
-    by the adaptive skew join.
+    Besides the key, both sides are joined by a hash of it. The matches are the same, but
+
+    * with ``spread_by``, a row whose key is NULL hashes that column instead. Such rows match
+      nothing, yet a plain join sends all of them to one task.
+    * neither side can reuse an earlier partitioning by the key alone, so each gets a shuffle
+      directly below the join. Only then can adaptive execution split a hot key, and nothing
+      after the join groups that key's rows in one task to save a shuffle.
+
+    Below the broadcast threshold there is no shuffle at all, and the hash costs next to nothing.
     """
-    left = df.withColumn("_spread", F.xxhash64(F.coalesce(F.col(key), F.col(spread_by))))
+    hashed = F.col(key) if spread_by is None else F.coalesce(F.col(key), F.col(spread_by))
+    left = df.withColumn("_spread", F.xxhash64(hashed))
     right = lookup.filter(F.col(key).isNotNull()).withColumn("_spread", F.xxhash64(key))
-    return left.join(right, [key, "_spread"], "left").drop("_spread")
+    return left.join(right, [key, "_spread"], how).drop("_spread")

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelstar.operators.joins import lookup_join
 from reelstar.schemas import KEYS, LOAD_ORDER, MAX_LENGTH, RULES, not_null_columns
 
 # columns of every report, in order
@@ -77,7 +78,7 @@ def orphan_facts(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
     """Facts whose video is unknown; facts without a video are not orphans."""
     keyed = fact.filter(F.col("event_key").isNotNull() & F.col("media_id").isNotNull())
     known = dim_media.select("media_id").filter(F.col("media_id").isNotNull())
-    return keyed.join(known, "media_id", "left_anti").select(*fact.columns)
+    return lookup_join(keyed, known, "media_id", "left_anti").select(*fact.columns)
 
 
 def orphan_count(fact: DataFrame, dim_media: DataFrame) -> DataFrame:

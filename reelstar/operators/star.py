@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelstar.functions import columns as C
-from reelstar.operators.joins import left_lookup
+from reelstar.operators.joins import lookup_join
 from reelstar.operators.latest import latest_by, mode_by
 from reelstar.schemas import STAR
 
@@ -189,7 +189,7 @@ def build_fact(
     ``dim_visitor``, or the accumulated one.
     """
     facts = clean_events(events, date_rule, tie_break)
-    facts = left_lookup(facts, visitor_counts(people), "visitor_key", spread_by="event_key")
+    facts = lookup_join(facts, visitor_counts(people), "visitor_key", spread_by="event_key")
     return in_star_order(
         facts.withColumn("load_date", _load_date(run_date)), "fact_media_engagement"
     )

@@ -2,7 +2,8 @@
 
 ``fact`` and ``dim_media`` are frames with at least the columns each report names. The dimension
 is unique on media_id, so a report that groups by video aggregates first and joins the few
-result rows afterwards.
+result rows afterwards; one that counts visitors per channel joins the facts themselves, by a
+join that can split a hot video.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstar.functions import columns as C
+from reelstar.operators.joins import lookup_join
 
 
 def engagement_daily(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
@@ -33,7 +35,7 @@ def top_countries(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
     """Events and visitors per channel and country. Order it where it is shown."""
     placed = fact.filter(F.col("country").isNotNull()).select("media_id", "country", "visitor_key")
     return (
-        placed.join(dim_media.select("media_id", "channel"), "media_id")
+        lookup_join(placed, dim_media.select("media_id", "channel"), "media_id", "inner")
         .groupBy("channel", "country")
         .agg(
             F.count(F.lit(1)).alias("events"),
@@ -61,7 +63,7 @@ def kpi_fact(fact: DataFrame) -> DataFrame:
 def channel_comparison(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
     viewed = fact.select("media_id", "visitor_key", "percent_viewed")
     return (
-        viewed.join(dim_media.select("media_id", "channel"), "media_id")
+        lookup_join(viewed, dim_media.select("media_id", "channel"), "media_id", "inner")
         .groupBy("channel")
         .agg(
             F.count(F.lit(1)).alias("events"),

@@ -18,11 +18,14 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     # a visitor or a video may own a third of the rows: split its join partition at run time
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # also where an aggregation could have reused the join's partitioning: a hot key must not
+    # be aggregated in one task to save a shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # no join in this package is hinted: a side is broadcast only when Spark finds it below
     # this size, and every other join shuffles
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
 
 
@@ -46,6 +49,9 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
@@ -56,8 +62,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="reelstar-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.get(app) or tempfile.mkdtemp(prefix="reelstar-")
+        _LOCAL_ROOTS[app] = root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

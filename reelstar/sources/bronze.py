@@ -101,6 +101,8 @@ def write_bronze(
         .mode("overwrite" if replace else "append")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")
+        # a gzip file is read by one task
+        .option("maxRecordsPerFile", 1_000_000)
         .text(f"{root.rstrip('/')}/{endpoint}")
     )
 

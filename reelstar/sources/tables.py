@@ -48,8 +48,13 @@ def fill_staging(names: dict[str, str], table: str, df: DataFrame) -> None:
 
 
 def insert_from_staging(spark: SparkSession, names: dict[str, str], table: str) -> None:
-    """Insert the keyed staging rows; by name, as a partitioned table keeps its date last."""
+    """Insert the keyed staging rows; by name, as a partitioned table keeps its date last.
+
+    The rebalance brings a date's rows together and splits a date that is too large for a task.
+    """
+    part = PARTITION_BY.get(table)
+    hint = f"/*+ REBALANCE({part}) */" if part else ""
     spark.sql(
-        f"INSERT INTO {names[table]} BY NAME SELECT * FROM {names[f'stg_{table}']} "
+        f"INSERT INTO {names[table]} BY NAME SELECT {hint} * FROM {names[f'stg_{table}']} "
         f"WHERE {KEYS[table]} IS NOT NULL"
     )

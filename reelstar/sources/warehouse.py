@@ -142,6 +142,8 @@ class Warehouse:
             if folders:
                 target = self._read(table, schema, None, folders)
                 rows = delete_matching(target, staging, load.keys).unionByName(staging)
+            # the table is rewritten whole; the rebalance keeps its files at a useful size
+            rows = rows.hint("rebalance")
             if load.sort_by:
                 rows = rows.sortWithinPartitions(*load.sort_by)
             rows.write.parquet(f"{self.root}/{table}/{_FOLDER}={folder}")

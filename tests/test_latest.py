@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from reelstar.operators.joins import left_lookup
+from reelstar.operators.joins import lookup_join
 from reelstar.operators.latest import latest_by, mode_by
 
 
@@ -47,7 +47,7 @@ def test_lookup_keeps_rows_without_a_key(spark):
         [("e1", "v1"), ("e2", None), ("e3", "gone"), ("v1", None)], "e string, v string"
     )
     right = spark.createDataFrame([("v1", 5), ("v2", 6), (None, 7)], "v string, n int")
-    got = left_lookup(left, right, "v", "e").select("e", "v", "n").collect()
+    got = lookup_join(left, right, "v", spread_by="e").select("e", "v", "n").collect()
     assert sorted(map(tuple, got), key=str) == sorted(
         [("e1", "v1", 5), ("e2", None, None), ("e3", "gone", None), ("v1", None, None)], key=str
     )
