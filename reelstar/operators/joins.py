@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelstar.functions.columns import split_list
+
 
 def lookup_join(
     df: DataFrame, lookup: DataFrame, key: str, how: str = "left", spread_by: str | None = None
@@ -25,3 +27,10 @@ def lookup_join(
     left = df.withColumn("_spread", F.xxhash64(hashed))
     right = lookup.filter(F.col(key).isNotNull()).withColumn("_spread", F.xxhash64(key))
     return left.join(right, [key, "_spread"], how).drop("_spread")
+
+
+def tracked_only(df: DataFrame, tracked: str | DataFrame, key: str = "media_id") -> DataFrame:
+    """Rows of the tracked videos: a comma-separated setting, or a frame of ids of any size."""
+    if isinstance(tracked, str):
+        return df.filter(F.col(key).isin(split_list(tracked)))
+    return lookup_join(df, tracked.select(key), key, "left_semi").select(*df.columns)

@@ -195,6 +195,15 @@ def build_fact(
     )
 
 
+def cast_counters(resource: str) -> dict[str, Column]:
+    """Per typed column: how many present values do not fit, as aggregates over the raw frame."""
+    return {
+        dst: F.expr(f"count_if({C.cast_failed(src, dtype)})").alias(dst)
+        for dst, src, dtype in FIELDS[resource]
+        if dtype != "string"
+    }
+
+
 def cast_failures(raw: DataFrame, resource: str) -> DataFrame:
     """Values per field that were present but did not fit the target type, in one pass."""
     typed = [field for field in FIELDS[resource] if field[2] != "string"]

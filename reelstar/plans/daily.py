@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from reelstar.operators import incremental as inc
 from reelstar.operators import quality, star
+from reelstar.operators.joins import tracked_only
 from reelstar.schemas import KEYS, LOAD_ORDER, MARKS, PAGED, PARTITION_BY, RULES, SORT_BY, STAR
 from reelstar.session import scratch_dir
 from reelstar.sources import bronze, silver
@@ -28,6 +29,14 @@ class Roots:
     quarantine: str | None = None
 
 
+@dataclass
+class Day:
+    """What a run built: silver tables with data, and values per field that did not fit a type."""
+
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+    failed_casts: dict[tuple[str, str], int] = field(default_factory=dict)
+
+
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write a frame that feeds several actions to the shared scratch folder and read it back."""
     path = scratch_dir(spark, label)
@@ -36,10 +45,17 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def pull_pages(
-    spark: SparkSession, roots: Roots, endpoint: str, run_date: str, compare: str = "parsed"
+    spark: SparkSession,
+    roots: Roots,
+    endpoint: str,
+    run_date: str,
+    compare: str = "parsed",
+    tracked: str | DataFrame | None = None,
 ) -> DataFrame:
     """Move the new rows of landed pages to bronze; returns the endpoint's next marks.
 
+    ``tracked`` limits the pull to some videos, as a comma-separated setting or a frame.
+
     The marks are not stored here: they are published together with the tables, so rows whose
     load fails are pulled again.
     """
@@ -48,6 +64,8 @@ def pull_pages(
     if "media_id" in landed.columns:  # events repeat the id in the row
         landed = landed.withColumnRenamed("media_id", "row_media_id")
     rows = landed.withColumnRenamed("request_media_id", "media_id")
+    if tracked is not None:
+        rows = tracked_only(rows, tracked)
     marks = Warehouse(spark, roots.warehouse).read(MARKS_TABLE, MARKS)
 
     plan = stored(
@@ -73,39 +91,46 @@ def build_day(
     geo: str = "latest",
     date_rule: str = "source_local",
     accumulated_visitors: DataFrame | None = None,
-) -> dict[str, DataFrame]:
-    """Build and write the silver tables of a run; returns those that have data.
+) -> Day:
+    """Build and write the silver tables of a run.
 
     ``days`` lists the bronze days to take in, the run date alone by default; name earlier ones
     to catch up after a failed run. The events are parsed once and kept as Parquet, because the
     visitor dimension and the fact both read them; the fact takes the visitor counters from the
-    dimension just written.
+    dimension just written. Failed casts are counted by the jobs that write the tables.
     """
     days = list(days or [run_date])
     raw = {name: bronze.read_bronze(spark, roots.bronze, name, days) for name in star.FIELDS}
 
-    def write_and_read(table: str, df: DataFrame) -> DataFrame:
+    day, counting = Day(), {}
+
+    def counted(resource: str, df: DataFrame) -> DataFrame:
+        counting[resource] = Observation()
+        return df.observe(counting[resource], *star.cast_counters(resource).values())
+
+    def write(table: str, df: DataFrame) -> None:
         silver.check_columns(df, table, RULES[table]["required"])
         silver.write_silver(df, roots.silver, table)
-        return silver.read_silver(spark, roots.silver, table, run_date)
+        day.tables[table] = silver.read_silver(spark, roots.silver, table, run_date)
 
-    built: dict[str, DataFrame] = {}
     if not raw["media_metadata"].isEmpty():
-        df = star.build_dim_media(raw["media_metadata"], raw["media_stats"], run_date)
-        built["dim_media"] = write_and_read("dim_media", df)
+        metadata = counted("media_metadata", raw["media_metadata"])
+        write("dim_media", star.build_dim_media(metadata, raw["media_stats"], run_date))
 
     has_events = not raw["events"].isEmpty()
     events = stored(spark, raw["events"], "events") if has_events else raw["events"]
     day_visitors = star.latest_visitors(raw["visitors"])
     if not raw["visitors"].isEmpty():
-        df = star.build_dim_visitor(raw["visitors"], events, run_date, geo)
-        built["dim_visitor"] = write_and_read("dim_visitor", df)
-        day_visitors = built["dim_visitor"]
+        visitors = counted("visitors", raw["visitors"])
+        write("dim_visitor", star.build_dim_visitor(visitors, events, run_date, geo))
+        day_visitors = day.tables["dim_visitor"]
     if has_events:
         counts_from = day_visitors if accumulated_visitors is None else accumulated_visitors
-        df = star.build_fact(events, counts_from, run_date, date_rule)
-        built["fact_media_engagement"] = write_and_read("fact_media_engagement", df)
-    return built
+        df = star.build_fact(counted("events", events), counts_from, run_date, date_rule)
+        write("fact_media_engagement", df)
+    for resource, counts in counting.items():
+        day.failed_casts |= {(resource, c): n for c, n in counts.get.items()}
+    return day
 
 
 def load(table: str, staging: DataFrame) -> Load:
@@ -120,15 +145,16 @@ def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def check_and_publish(
     spark: SparkSession,
     roots: Roots,
-    tables: dict[str, DataFrame],
+    day: Day,
     marks: DataFrame | None = None,
 ) -> list:
     """Run every check on every table, then publish all of them in one commit.
 
     The fact may point at a video of an earlier day, so it is checked against the published
-    dimension and the day's together. Returns the quality report; a failed check raises before
-    anything is published.
+    dimension and the day's together. Returns the quality report with the failed casts next to
+    it; a failed check raises before anything is published.
     """
+    tables = day.tables
     known = published(spark, roots.warehouse)["dim_media"].select("media_id")
     if "dim_media" in tables:
         known = known.unionByName(tables["dim_media"].select("media_id"))
@@ -140,7 +166,8 @@ def check_and_publish(
         loads[MARKS_TABLE] = Load(marks, ["endpoint", "media_id"])
     if loads:
         Warehouse(spark, roots.warehouse).publish(loads)
-    return report
+    casts = [(name, "failed_casts", c, float(n), None, "ok") for (name, c), n in day.failed_casts.items()]
+    return report + [Row(*quality.REPORT)(*line) for line in casts]
 
 
 def run(
@@ -149,13 +176,14 @@ def run(
     run_date: str,
     days: Sequence[str] | None = None,
     pull: bool = False,
+    tracked: str | DataFrame | None = None,
     **options,
 ) -> list:
     """One daily run. ``pull`` first takes the landed pages of the paged endpoints."""
     marks = None
     if pull:
         for endpoint in PAGED:
-            after = pull_pages(spark, roots, endpoint, run_date)
+            after = pull_pages(spark, roots, endpoint, run_date, tracked=tracked)
             marks = after if marks is None else marks.unionByName(after)
-    tables = build_day(spark, roots, run_date, days, **options)
-    return check_and_publish(spark, roots, tables, marks)
+    day = build_day(spark, roots, run_date, days, **options)
+    return check_and_publish(spark, roots, day, marks)

@@ -18,6 +18,7 @@ from reelstar.functions import columns as C
 from reelstar.operators import incremental as inc
 from reelstar.operators import quality, star
 from reelstar.operators import upsert as ups
+from reelstar.operators.joins import tracked_only
 from reelstar.operators.latest import latest_by
 from reelstar.plans import daily, reports
 
@@ -260,7 +261,7 @@ def publish_replays(spark, sf):
         side.withColumn("event_date", F.col("received_at").cast("date"))
         for side in upsert_sides(spark, sf)
     )
-    for rows in (target, staging):
+    for rows in (target, daily.stored(spark, staging, "staging")):
         warehouse.publish({"facts": Load(rows, ["event_key"], "event_date", ("event_key",))})
     return warehouse.read("facts", target.schema, "event_date")
 
@@ -347,7 +348,7 @@ def media_allow_list(spark, sf):
         .select(F.col("hashed_id").alias("media_id"))
     )
     kept = facts(spark, sf).select("event_key", "media_id")
-    return kept.join(tracked, "media_id", "left_semi").select("event_key", "media_id")
+    return tracked_only(kept, tracked)
 
 
 def json_bronze_roundtrip(spark, sf):

@@ -50,9 +50,11 @@ def published(spark, roots, table=FACT):
 def test_two_days_with_a_replay(spark, roots, bronze_root):
     media(bronze_root, "2026-04-20", "m1")
     put(bronze_root, "visitors", "m1", [visitor("v1")], page=1)
-    put(bronze_root, "events", "m1", [event("e1"), event("e2"), {}], page=1)
+    put(bronze_root, "events", "m1", [event("e1"), {**event("e2"), "lat": "north"}, {}], page=1)
     report = daily.run(spark, roots, "2026-04-20")
     assert all(r["status"] == "ok" for r in report)
+    failed = [r for r in report if r["check"] == "failed_casts" and r["value"] > 0]
+    assert [(r["table"], r["column"], r["value"]) for r in failed] == [("events", "lat", 1.0)]
     assert published(spark, roots).count() == 2
 
     # next day: m1 is not pulled again, e2 is replayed on another date, a visitor is unknown
@@ -106,8 +108,9 @@ def land(roots, endpoint, media_id, page, rows, run):
 def test_pull_moves_marks_with_the_publish(spark, roots, bronze_root, tmp_path):
     media(bronze_root, "2026-04-20", "m1")
     land(roots, "visitors", "m1", 1, [visitor("v1")], "a")
+    land(roots, "visitors", "m2", 1, [visitor("v2")], "a")  # not tracked
     land(roots, "events", "m1", 1, [event("e1"), event("e2", at="2026-04-20T11:00:00Z")], "a")
-    daily.run(spark, roots, "2026-04-20", pull=True)
+    daily.run(spark, roots, "2026-04-20", pull=True, tracked=" m1, m7 ")
     marks = Warehouse(spark, roots.warehouse).read(daily.MARKS_TABLE, MARKS)
     assert {(r["endpoint"], r["high_water"]) for r in marks.collect()} == {
         ("events", "2026-04-20T11:00:00.000000Z"), ("visitors", "2026-04-01T00:00:00.000000Z"),
