@@ -34,6 +34,24 @@ def matching(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> Data
     )
 
 
+def not_older(
+    staging: DataFrame, held: DataFrame, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """Staging rows at least as new as the held row of their key; NULLs rank last.
+
+    ``held`` is unique on the keys and no larger than staging, see ``matching``.
+    """
+    old = held.select(*keys, *[F.col(c).alias(f"_held_{c}") for c in order], F.lit(1).alias("_held"))
+    ahead, equal = F.col("_held").isNull(), F.lit(True)
+    for c in order:
+        new, before = F.col(c), F.col(f"_held_{c}")
+        higher = (new > before) | (new.isNotNull() & before.isNull())
+        ahead = ahead | (equal & F.coalesce(higher, F.lit(False)))
+        equal = equal & new.eqNullSafe(before)
+    joined = staging.join(old, list(keys), "left")
+    return joined.filter(ahead | equal).select(*staging.columns)
+
+
 def upsert(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the target after the load: untouched rows and every keyed staging row."""
     return delete_matching(target, staging, keys).unionByName(keyed(staging, keys))

@@ -11,7 +11,7 @@ from reelstar.operators import incremental as inc
 from reelstar.operators import quality, star
 from reelstar.operators.joins import tracked_only
 from reelstar.schemas import KEYS, LOAD_ORDER, MARKS, PAGED, PARTITION_BY, RULES, SORT_BY, STAR
-from reelstar.session import scratch_dir
+from reelstar.session import stored
 from reelstar.sources import bronze, silver
 from reelstar.sources.warehouse import Load, Warehouse
 
@@ -37,13 +37,6 @@ class Day:
     failed_casts: dict[tuple[str, str], int] = field(default_factory=dict)
 
 
-def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Write a frame that feeds several actions to the shared scratch folder and read it back."""
-    path = scratch_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def pull_pages(
     spark: SparkSession,
     roots: Roots,

@@ -22,7 +22,7 @@ from reelstar.operators.joins import tracked_only
 from reelstar.operators.latest import latest_by
 from reelstar.plans import daily, reports
 
-from reelstar.session import apply_settings, scratch_dir
+from reelstar.session import apply_settings, scratch_dir, stored
 from reelstar.sources import bronze, samples, silver, tables
 from reelstar.sources.warehouse import Load, Warehouse
 from reelstar.streaming import loads
@@ -261,7 +261,7 @@ def publish_replays(spark, sf):
         side.withColumn("event_date", F.col("received_at").cast("date"))
         for side in upsert_sides(spark, sf)
     )
-    for rows in (target, daily.stored(spark, staging, "staging")):
+    for rows in (target, stored(spark, staging, "staging")):
         warehouse.publish({"facts": Load(rows, ["event_key"], "event_date", ("event_key",))})
     return warehouse.read("facts", target.schema, "event_date")
 

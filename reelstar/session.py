@@ -75,3 +75,14 @@ def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
     """
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
     return spark.range(1).select(*nulls).limit(0)
+
+
+def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Write a frame that feeds several jobs to the shared scratch folder and read it back.
+
+    Unlike a cache it survives lost executors, and it is read in the given session: a stream's
+    own session plans without adaptive execution.
+    """
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

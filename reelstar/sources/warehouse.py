@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelstar.operators.upsert import delete_matching, keyed, matching
-from reelstar.session import empty_frame
+from reelstar.operators.upsert import delete_matching, keyed, matching, not_older
+from reelstar.session import empty_frame, stored
 
 _COMMIT = "table string, part string, folder string, note string"
 # folder level above the partitions; a discovered column, so no table may use the name
@@ -32,13 +32,15 @@ class Load:
     """Rows to upsert into a table, and how the table is laid out.
 
     ``staging`` is read several times: pass a frame that was written before, not a long plan.
-    ``partition_by`` is a date or a number, whose text is the same in a folder name.
+    ``partition_by`` is a date or a number, whose text is the same in a folder name. With
+    ``newest_by``, a row older by these columns than the published row of its key is left out.
     """
 
     staging: DataFrame
     keys: Sequence[str]
     partition_by: str | None = None
     sort_by: Sequence[str] = ()
+    newest_by: Sequence[str] = ()
 
 
 class Warehouse:
@@ -137,6 +139,20 @@ class Warehouse:
         staging = keyed(load.staging, load.keys)
         folder = uuid.uuid4().hex
         part = load.partition_by
+        path = f"{self.root}/{table}/{_FOLDER}={folder}"
+
+        replaced = None
+        if folders and (part or load.newest_by):
+            # The published versions of the staged keys. The whole table is read for them, but
+            # only keys, order and partition, and none of it moves while staging is small.
+            columns = dict.fromkeys((*load.keys, *load.newest_by, *([part] if part else [])))
+            target = self._read(table, schema, part, folders).select(*columns)
+            replaced = matching(target, staging, load.keys)
+            if load.newest_by:
+                replaced = stored(self.spark, replaced, f"{table}-replaced")
+                newer = not_older(staging, replaced, load.keys, load.newest_by)
+                staging = stored(self.spark, newer, f"{table}-newer")
+
         if part is None:
             rows = staging
             if folders:
@@ -146,23 +162,20 @@ class Warehouse:
             rows = rows.hint("rebalance")
             if load.sort_by:
                 rows = rows.sortWithinPartitions(*load.sort_by)
-            rows.write.parquet(f"{self.root}/{table}/{_FOLDER}={folder}")
+            rows.write.parquet(path)
             return {None: folder}
 
         # Partitions to rewrite: those of the new rows, and those that hold an older version
-        # of one of them, as a replay may move a row to another partition. The second read
-        # takes only the keys and the partition column.
+        # of one of them, as a replay may move a row to another partition.
         rows, touched = staging, set()
-        if folders:
-            target = self._read(table, schema, part, folders)
-            replaced = matching(target, staging, load.keys)
-            touched = self._values(staging.select(part).unionByName(replaced.select(part)), part)
+        if replaced is not None:
+            left = matching(replaced, staging, load.keys) if load.newest_by else replaced
+            touched = self._values(staging.select(part).unionByName(left.select(part)), part)
             old = {p: f for p, f in folders.items() if p in touched}
             if old:
                 kept = self._read(table, schema, part, old)
                 rows = delete_matching(kept, staging, load.keys).unionByName(staging)
         rows = rows.hint("rebalance", part).sortWithinPartitions(part, *load.sort_by)
-        path = f"{self.root}/{table}/{_FOLDER}={folder}"
         rows.write.partitionBy(part).parquet(path)
         written = self._partitions(path, part)
         current = {p: f for p, f in folders.items() if p not in touched}

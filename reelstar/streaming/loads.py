@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from reelstar.operators.latest import latest_by
 from reelstar.schemas import RAW, columns
-from reelstar.session import scratch_dir
+from reelstar.session import stored
 from reelstar.sources.warehouse import Load, Warehouse
 
 
@@ -53,16 +53,6 @@ def _run(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], No
     query.awaitTermination()
 
 
-def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Write a batch to the shared scratch folder and read it in the caller's session.
-
-    The batch feeds several jobs, and a stream's own session plans without adaptive execution.
-    """
-    path = scratch_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def upsert_stream(
     stream: DataFrame,
     warehouse: Warehouse,
@@ -82,25 +72,10 @@ def upsert_stream(
     into the commit: a batch that is run again after a failure is not applied twice.
     """
 
-    spark = warehouse.spark
-
     def step(batch: DataFrame, number: int) -> None:
         rows = prepare(batch) if prepare else batch
-        newest = _stored(spark, latest_by(rows, keys, order), f"{table}-batch")
-        schema = newest.schema
-        current = warehouse.read(table, schema, partition_by)
-        held = current.select(*keys, *[F.col(c).alias(f"_held_{c}") for c in order])
-        compared = newest.join(held, list(keys), "left")
-        ahead = F.lit(False)
-        equal = F.lit(True)
-        for c in order:
-            new, old = F.col(c), F.col(f"_held_{c}")
-            # NULLs rank last, as in latest_by
-            higher = (new > old) | (new.isNotNull() & old.isNull())
-            ahead = ahead | (equal & F.coalesce(higher, F.lit(False)))
-            equal = equal & new.eqNullSafe(old)
-        staged = compared.filter(ahead | equal).select(*schema.names)
-        load = Load(_stored(spark, staged, f"{table}-staging"), keys, partition_by, sort_by)
+        newest = stored(warehouse.spark, latest_by(rows, keys, order), f"{table}-batch")
+        load = Load(newest, keys, partition_by, sort_by, newest_by=order)
         warehouse.publish({table: load}, note=f"{table}#{number}")
 
     _run(stream, checkpoint, step, "append")
@@ -127,7 +102,7 @@ def daily_trend_stream(
     )
 
     def step(batch: DataFrame, number: int) -> None:
-        staged = _stored(warehouse.spark, batch.filter(F.col("media_id").isNotNull()), table)
+        staged = stored(warehouse.spark, batch.filter(F.col("media_id").isNotNull()), table)
         load = Load(staged, ["event_date", "media_id"], "event_date")
         warehouse.publish({table: load}, note=f"{table}#{number}")
 

@@ -123,6 +123,17 @@ def test_a_frame_read_before_a_publish_still_reads(spark, warehouse):
     assert rows(old) == [("a", 1, 1)]
 
 
+def test_older_versions_are_left_out_on_request(spark, warehouse):
+    def publish(data):
+        rows = frame(spark, data)
+        warehouse.publish({"t": Load(rows, ["k"], "day", ("k",), newest_by=("v",))})
+        return {(k, v) for k, _, v in globals()["rows"](warehouse.read("t", SCHEMA, "day"))}
+
+    assert publish([("a", 1, 5), ("b", 1, None), ("c", 2, 3)]) == {("a", 5), ("b", None), ("c", 3)}
+    assert publish([("a", 2, 4), ("b", 2, 1), ("c", 3, 3)]) == {("a", 5), ("b", 1), ("c", 3)}
+    assert publish([("b", 1, None), ("d", 1, None)]) == {("a", 5), ("b", 1), ("c", 3), ("d", None)}
+
+
 def test_noted_work_is_applied_once(spark, warehouse):
     assert warehouse.publish({"t": load(spark, [("a", 1, 1)])}, note="s#0") == 1
     assert warehouse.publish({"t": load(spark, [("a", 1, 7)])}, note="s#0") == 1
