@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reelstar.schemas import NO_HIGH_WATER
+from reelstar.schemas import CHANNEL_WORDS, MEDIA_ID_IN_PATH, NO_CHANNEL, NO_HIGH_WATER
 
 _WHOLE_NUMBERS = ("int", "bigint")
 
@@ -27,18 +27,15 @@ def cast_failed(field: str, dtype: str) -> str:
     return f"{field} IS NOT NULL AND {safe_cast(field, dtype)} IS NULL"
 
 
-def derive_channel(name: Column) -> Column:
-    """Advertising channel named in a video title; YouTube wins when both appear."""
+def channel_of(name: Column) -> Column:
+    """Advertising channel named in a video title, case-blind; the first listed word found wins."""
     title = F.lower(name)
-    return (
-        F.when(title.contains("youtube"), "YouTube")
-        .when(title.contains("facebook"), "Facebook")
-        .otherwise("Unknown")
-    )
+    hits = [F.when(F.contains(title, F.lit(word)), label) for word, label in CHANNEL_WORDS]
+    return F.coalesce(*hits, F.lit(NO_CHANNEL))
 
 
 def media_id_from_path(path: Column) -> Column:
-    return F.regexp_extract(path, r"media_id=([^/]+)/", 1)
+    return F.regexp_extract(path, MEDIA_ID_IN_PATH, 1)
 
 
 def event_date(received_at: Column, rule: str = "source_local") -> Column:

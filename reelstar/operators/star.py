@@ -113,7 +113,7 @@ def build_dim_media(
     """
     media = project(metadata, MEDIA_FIELDS).filter(F.col("media_id").isNotNull())
     media = latest_by(media, ["media_id"], ["updated_at"], tie_break)
-    media = media.withColumn("channel", C.derive_channel(F.col("name")))
+    media = media.withColumn("channel", C.channel_of(F.col("name")))
     # a rerun may land a second statistics document; counters only grow, keep the highest
     counters = project(stats, STATS_FIELDS).filter(F.col("media_id").isNotNull())
     counters = latest_by(counters, ["media_id"], ["total_plays", "total_loads"], tie_break)

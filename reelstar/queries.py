@@ -79,7 +79,7 @@ def staged_events(spark: SparkSession, sf: str, raw: DataFrame | None = None) ->
 
 def channel_derivation(spark, sf):
     named = samples.media_metadata(spark, sf).select("hashed_id", "name")
-    return named.withColumn("channel", C.derive_channel(F.col("name")))
+    return named.withColumn("channel", C.channel_of(F.col("name")))
 
 
 def media_without_stats(spark, sf):

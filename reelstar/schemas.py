@@ -127,6 +127,11 @@ RULES = {
     },
 }
 
+# Channels by the word in a video's title, first match first; the id in a path.
+CHANNEL_WORDS = (("youtube", "YouTube"), ("facebook", "Facebook"))
+NO_CHANNEL = "Unknown"
+MEDIA_ID_IN_PATH = r"media_id=([^/]+)/"
+
 # Paging and the high-water sentinel.
 PAGE_SIZE = 100
 MAX_PAGES = 50_000

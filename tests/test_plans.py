@@ -121,6 +121,37 @@ def test_trend_counts_before_it_joins(spark, published):
     assert "HashAggregate(keys=[event_date" in text[join:]
 
 
+def test_top_countries_are_a_bounded_sort(spark, published):
+    assert "TakeOrderedAndProject" in plan(reports.geo_top(published[q.FACT]))
+
+
+def test_sql_on_the_views_gives_the_reports(spark, published):
+    fact, media = published[q.FACT], published["dim_media"]
+    reports.register_views(published)
+    joined = "FROM fact_media_engagement f JOIN dim_media m USING (media_id)"
+    share = "ROUND(AVG(percent_viewed) * 100, {}) AS avg_view_pct"
+    visitors = "COUNT(DISTINCT visitor_key) AS unique_visitors"
+    texts = {
+        "SELECT SUM(total_plays) AS total_plays, SUM(total_loads) AS total_loads, "
+        "ROUND(SUM(hours_watched), 1) AS total_hours FROM dim_media": reports.kpi_media(media),
+        f"SELECT COUNT(*) AS event_count, {visitors}, {share.format(1)} "
+        "FROM fact_media_engagement": reports.kpi_fact(fact),
+        f"SELECT m.channel, COUNT(*) AS events, {visitors}, {share.format(2)} {joined} "
+        "GROUP BY m.channel": reports.channel_comparison(fact, media),
+        f"SELECT event_date, m.channel, COUNT(*) AS events {joined} "
+        "GROUP BY 1, 2": reports.daily_trend(fact, media),
+        f"SELECT m.channel, (FLOOR(percent_viewed * 10) * 10)::int AS bucket_pct, "
+        f"COUNT(*) AS events {joined} GROUP BY m.channel, bucket_pct":
+            reports.depth_histogram(fact, media),
+        "SELECT * FROM v_engagement_daily": reports.engagement_daily(fact, media),
+        "SELECT * FROM v_top_countries ORDER BY events DESC": reports.top_countries(fact, media),
+    }
+    for text, report in texts.items():
+        from_sql = spark.sql(text)
+        assert from_sql.columns == report.columns
+        assert sorted(map(str, from_sql.collect())) == sorted(map(str, report.collect())), text
+
+
 def test_distinct_visitors_are_spread_by_visitor(spark, published):
     """A hot country or channel is never counted in one task: the first shuffle adds the visitor."""
     for df in (
