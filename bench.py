@@ -63,10 +63,11 @@ def main() -> None:
         "dim_visitor": q.dim_visitor(spark, SF_DIR),
         q.FACT: q.fact(spark, SF_DIR),
     }
-    start = time.perf_counter()
-    for name, df in built.items():
-        silver.write_silver(df, silver_root, name)
-    write_silver = round(time.perf_counter() - start, 3)
+    for _ in range(2):  # the first round warms up
+        start = time.perf_counter()
+        for name, df in built.items():
+            silver.write_silver(df, silver_root, name)
+        write_silver = round(time.perf_counter() - start, 3)
     staged = {name: silver.read_silver(spark, silver_root, name) for name in built}
     start = time.perf_counter()
     published.publish({name: daily.load(name, df) for name, df in staged.items()})

@@ -88,5 +88,5 @@ def high_water(mark: Column, compare: str = "parsed") -> Column:
 
 
 def is_new(ts: Column, mark: Column) -> Column:
-    """Strictly above the mark; without a mark every row is new, with one a row without time is not."""
+    """Strictly above the mark. Without a mark every row is new; with one, not a row without time."""
     return mark.isNull() | F.coalesce(ts > mark, F.lit(False))

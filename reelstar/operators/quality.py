@@ -61,7 +61,8 @@ def null_profile(df: DataFrame, table: str, columns: Sequence[str] | None = None
         "count(*) AS n", *[f"count_if(`{c}` IS NULL) AS `null_{c}`" for c in columns]
     )
     lines = [
-        f"('{table}', '{c}', n, CAST(`null_{c}` AS bigint), round(try_divide(`null_{c}`, n) * 100, 2))"
+        f"('{table}', '{c}', n, CAST(`null_{c}` AS bigint), "
+        f"round(try_divide(`null_{c}`, n) * 100, 2))"
         for c in columns
     ]
     return _rows(counts, lines, ("table", "column", "row_count", "null_count", "null_pct"))

@@ -41,7 +41,8 @@ def not_older(
 
     ``held`` is unique on the keys and no larger than staging, see ``matching``.
     """
-    old = held.select(*keys, *[F.col(c).alias(f"_held_{c}") for c in order], F.lit(1).alias("_held"))
+    versions = [F.col(c).alias(f"_held_{c}") for c in order]
+    old = held.select(*keys, *versions, F.lit(1).alias("_held"))
     ahead, equal = F.col("_held").isNull(), F.lit(True)
     for c in order:
         new, before = F.col(c), F.col(f"_held_{c}")

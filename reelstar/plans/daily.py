@@ -159,7 +159,10 @@ def check_and_publish(
         loads[MARKS_TABLE] = Load(marks, ["endpoint", "media_id"])
     if loads:
         Warehouse(spark, roots.warehouse).publish(loads)
-    casts = [(name, "failed_casts", c, float(n), None, "ok") for (name, c), n in day.failed_casts.items()]
+    casts = [
+        (resource, "failed_casts", column, float(n), None, "ok")
+        for (resource, column), n in day.failed_casts.items()
+    ]
     return report + [Row(*quality.REPORT)(*line) for line in casts]
 
 

@@ -372,7 +372,7 @@ def silver_roundtrip(spark, sf):
 
 
 def landed_documents(spark, sf):
-    """Landed documents with a row array, a purchase's two deliveries in one, exploded by the scan."""
+    """Landed documents with a row array (a purchase's two deliveries in one), exploded."""
     first = samples.first_deliveries(spark, sf)
     again = C.iso_timestamp(F.expr("_received + INTERVAL '1' HOUR"))
     delivery = F.struct("event_key", "media_id", "received_at")

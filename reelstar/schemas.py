@@ -29,8 +29,8 @@ RAW = {
     ),
     # an API document carries no media id, the bronze scan takes it from the path
     "media_stats": columns(
-        "media_id string, play_count string, load_count string, play_rate string, hours_watched string, "
-        "visitors string, engagement string"
+        "media_id string, play_count string, load_count string, play_rate string, "
+        "hours_watched string, visitors string, engagement string"
     ),
     "visitors": columns(
         "visitor_key string, created_at string, last_active_at string, load_count string, "

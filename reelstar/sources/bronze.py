@@ -67,9 +67,9 @@ def read_bronze(
     lines = reader.option("multiLine", False).option("pathGlobFilter", LINES).json(paths)
     if endpoint == "media_stats":
         from_path = F.nullif(C.media_id_from_path(F.col("_metadata.file_path")), F.lit(""))
-        documents, lines = (
-            df.withColumn("media_id", F.coalesce("media_id", from_path)) for df in (documents, lines)
-        )
+        media_id = F.coalesce("media_id", from_path)
+        documents = documents.withColumn("media_id", media_id)
+        lines = lines.withColumn("media_id", media_id)
     return documents.unionByName(lines)
 
 

@@ -50,40 +50,46 @@ class Warehouse:
 
     # -- commits ---------------------------------------------------------------------------
 
-    def _commit_versions(self) -> list[int]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits")
-        fs = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(hadoop):
+    def _folder_names(self, path: str) -> list[str]:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(folder):
             return []
-        versions = []
-        for status in fs.listStatus(hadoop):
-            done = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if status.getPath().getName().startswith("version=") and fs.exists(done):
-                versions.append(int(status.getPath().getName().split("=")[1]))
-        return sorted(versions)
-
-    def _current(self) -> tuple[int, list[tuple[str, str | None, str, str | None]]]:
-        """Newest version and its lines: one per partition, so bounded by tables x days."""
-        versions = self._commit_versions()
-        if not versions:
-            return 0, []
-        path = f"{self.root}/_commits/version={versions[-1]:010d}"
-        lines = self.spark.read.schema(_COMMIT).parquet(path).collect()
-        return versions[-1], [(r["table"], r["part"], r["folder"], r["note"]) for r in lines]
+        return [status.getPath().getName() for status in fs.listStatus(folder)]
+
+    def _commit_path(self, version: int) -> str:
+        return f"{self.root}/_commits/version={version:010d}"
+
+    def _numbers(self) -> list[int]:
+        """Commit numbers in use, newest first, finished or not."""
+        names = self._folder_names(f"{self.root}/_commits")
+        return sorted((int(n.split("=")[1]) for n in names if n.startswith("version=")), reverse=True)
 
     def version(self) -> int:
-        return (self._commit_versions() or [0])[-1]
+        """The newest finished commit; one that died midway has no success marker."""
+        for number in self._numbers():
+            if "_SUCCESS" in self._folder_names(self._commit_path(number)):
+                return number
+        return 0
+
+    def _current(self) -> list[tuple[str, str | None, str, str | None]]:
+        """Lines of the newest commit: one per partition, so bounded by tables x days."""
+        version = self.version()
+        if version == 0:
+            return []
+        lines = self.spark.read.schema(_COMMIT).parquet(self._commit_path(version)).collect()
+        return [(r["table"], r["part"], r["folder"], r["note"]) for r in lines]
 
     def notes(self) -> set[str]:
-        return {note for table, _, _, note in self._current()[1] if table == "" and note}
+        return {note for table, _, _, note in self._current() if table == "" and note}
 
     # -- reads -----------------------------------------------------------------------------
 
     def exists(self, table: str) -> bool:
-        return any(name == table for name, _, _, _ in self._current()[1])
+        return any(name == table for name, _, _, _ in self._current())
 
     def read(self, table: str, schema: StructType, partition_by: str | None = None) -> DataFrame:
-        folders = {p: f for name, p, f, _ in self._current()[1] if name == table}
+        folders = {p: f for name, p, f, _ in self._current() if name == table}
         return self._read(table, schema, partition_by, folders)
 
     def _read(
@@ -114,9 +120,9 @@ class Warehouse:
         ``note`` marks work that must not be applied twice, such as a stream's batch: a note
         already in the log makes the call a no-op.
         """
-        version, lines = self._current()
+        lines = self._current()
         if note is not None and any(t == "" and n == note for t, _, _, n in lines):
-            return version
+            return self.version()
         for table, load in loads.items():
             others = [line for line in lines if line[0] != table]
             folders = {p: f for name, p, f, _ in lines if name == table}
@@ -127,10 +133,9 @@ class Warehouse:
             lines = [x for x in lines if not (x[0] == "" and (x[3] or "").startswith(stream))]
             lines.append(("", None, "", note))
         commit = self.spark.createDataFrame(lines, _COMMIT).coalesce(1)
-        commit.write.mode("errorifexists").parquet(
-            f"{self.root}/_commits/version={version + 1:010d}"
-        )
-        return version + 1
+        number = max(self._numbers(), default=0) + 1
+        commit.write.mode("errorifexists").parquet(self._commit_path(number))
+        return number
 
     def _upsert(
         self, table: str, load: Load, folders: dict[str | None, str]
@@ -183,9 +188,7 @@ class Warehouse:
 
     def _partitions(self, path: str, part: str) -> set[str | None]:
         """Partition values with rows in a written folder, from its directory names."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        names = self._folder_names(path)
         values = {n.split("=", 1)[1] for n in names if n.startswith(f"{part}=")}
         return {None if v == _NULL_PART else v for v in values}
 

@@ -59,9 +59,9 @@ def test_moved_row_leaves_no_twin_even_if_its_partition_empties(spark, warehouse
 
 def test_only_touched_partitions_are_rewritten(spark, warehouse):
     warehouse.publish({"t": load(spark, [("a", 1, 1), ("b", 2, 1)])})
-    before = {p: f for _, p, f, _ in warehouse._current()[1]}
+    before = {p: f for _, p, f, _ in warehouse._current()}
     warehouse.publish({"t": load(spark, [("a", 1, 2)])})
-    after = {p: f for _, p, f, _ in warehouse._current()[1]}
+    after = {p: f for _, p, f, _ in warehouse._current()}
     assert before["2024-01-02"] == after["2024-01-02"]
     assert before["2024-01-01"] != after["2024-01-01"]
 
@@ -116,6 +116,15 @@ def test_tables_of_a_failed_publish_stay_as_they_were(spark, warehouse):
     assert rows(warehouse.read("t", SCHEMA, "day")) == [("a", 1, 1)]
 
 
+def test_commit_that_died_midway_is_passed_over(spark, warehouse, tmp_path):
+    warehouse.publish({"t": load(spark, [("a", 1, 1)])})
+    (tmp_path / "w/_commits/version=0000000002/_temporary").mkdir(parents=True)
+    assert warehouse.version() == 1
+    assert rows(warehouse.read("t", SCHEMA, "day")) == [("a", 1, 1)]
+    assert warehouse.publish({"t": load(spark, [("a", 1, 2)])}) == 3
+    assert rows(warehouse.read("t", SCHEMA, "day")) == [("a", 1, 2)]
+
+
 def test_a_frame_read_before_a_publish_still_reads(spark, warehouse):
     warehouse.publish({"t": load(spark, [("a", 1, 1)])})
     old = warehouse.read("t", SCHEMA, "day")
