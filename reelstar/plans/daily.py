@@ -45,7 +45,7 @@ def pull_pages(
     compare: str = "parsed",
     tracked: str | DataFrame | None = None,
 ) -> DataFrame:
-    """Move the new rows of landed pages to bronze; returns the endpoint's next marks.
+    """Move the new rows of the day's landed pages to bronze; returns the endpoint's next marks.
 
     ``tracked`` limits the pull to some videos, as a comma-separated setting or a frame.
 
@@ -53,7 +53,7 @@ def pull_pages(
     load fails are pulled again.
     """
     ts = PAGED[endpoint]
-    landed = bronze.read_landing(spark, roots.landing, endpoint)
+    landed = bronze.read_landing(spark, roots.landing, endpoint, run_date)
     if "media_id" in landed.columns:  # events repeat the id in the row
         landed = landed.withColumnRenamed("media_id", "row_media_id")
     rows = landed.withColumnRenamed("request_media_id", "media_id")

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from reelstar.functions import columns as C
 from reelstar.schemas import RAW
@@ -108,18 +109,27 @@ def write_bronze(
 
 
 def read_landing(
-    spark: SparkSession, root: str, endpoint: str, multiline: bool = True
+    spark: SparkSession,
+    root: str,
+    endpoint: str,
+    run_date: str | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """Fetched pages of a paged endpoint, one output row per element.
 
     A landed page is ``{"media_id": .., "page": n, "rows": [..]}``: one per file, or with
-    ``multiline=False`` one per line. Output: media_id of the request as ``request_media_id``,
-    ``page``, ``pos`` in the page, and the endpoint's fields.
+    ``multiline=False`` one per line. With ``run_date`` only that day's folder is read, laid out
+    like bronze. Output: media_id of the request as ``request_media_id``, ``page``, ``pos`` in
+    the page, and the endpoint's fields.
     """
-    schema = f"media_id string, page int, rows array<{RAW[endpoint].simpleString()}>"
-    pages = spark.read.schema(schema).option("recursiveFileLookup", True)
-    pages = pages.option("multiLine", multiline).json(f"{root.rstrip('/')}/{endpoint}")
-    rows = pages.select(
-        F.col("media_id").alias("request_media_id"), "page", F.posexplode("rows").alias("pos", "row")
-    )
+    path = day_path(root, endpoint, run_date) if run_date else f"{root.rstrip('/')}/{endpoint}"
+    schema = StructType().add("media_id", "string").add("page", "integer")
+    schema = schema.add("rows", ArrayType(RAW[endpoint]))
+    if _existing(spark, [path]):
+        reader = spark.read.schema(schema).option("recursiveFileLookup", True)
+        pages = reader.option("multiLine", multiline).json(path)
+    else:
+        pages = empty_frame(spark, schema)
+    element = F.posexplode("rows").alias("pos", "row")
+    rows = pages.select(F.col("media_id").alias("request_media_id"), "page", element)
     return rows.select("request_media_id", "page", "pos", "row.*")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from test_bronze import put
@@ -10,6 +11,7 @@ from test_bronze import put
 from reelstar.operators.quality import QualityGateError
 from reelstar.plans import daily
 from reelstar.schemas import MARKS
+from reelstar.sources.bronze import day_path
 from reelstar.sources.warehouse import Warehouse
 
 FACT = "fact_media_engagement"
@@ -96,33 +98,29 @@ def test_quiet_day(spark, roots):
     assert Warehouse(spark, roots.warehouse).version() == 0
 
 
-def land(roots, endpoint, media_id, page, rows, run):
-    from pathlib import Path
-
-    folder = Path(roots.landing) / endpoint
+def land(roots, endpoint, media_id, page, rows, day="2026-04-20"):
+    folder = Path(day_path(roots.landing, endpoint, day))
     folder.mkdir(parents=True, exist_ok=True)
     document = {"media_id": media_id, "page": page, "rows": rows}
-    (folder / f"{media_id}-{page}-{run}.json").write_text(json.dumps(document, indent=1))
+    (folder / f"{media_id}-{page}.json").write_text(json.dumps(document, indent=1))
 
 
-def test_pull_moves_marks_with_the_publish(spark, roots, bronze_root, tmp_path):
+def test_pull_moves_marks_with_the_publish(spark, roots, bronze_root):
     media(bronze_root, "2026-04-20", "m1")
-    land(roots, "visitors", "m1", 1, [visitor("v1")], "a")
-    land(roots, "visitors", "m2", 1, [visitor("v2")], "a")  # not tracked
-    land(roots, "events", "m1", 1, [event("e1"), event("e2", at="2026-04-20T11:00:00Z")], "a")
+    land(roots, "visitors", "m1", 1, [visitor("v1")])
+    land(roots, "visitors", "m2", 1, [visitor("v2")])  # not tracked
+    land(roots, "events", "m1", 1, [event("e1"), event("e2", at="2026-04-20T11:00:00Z")])
     daily.run(spark, roots, "2026-04-20", pull=True, tracked=" m1, m7 ")
     marks = Warehouse(spark, roots.warehouse).read(daily.MARKS_TABLE, MARKS)
     assert {(r["endpoint"], r["high_water"]) for r in marks.collect()} == {
         ("events", "2026-04-20T11:00:00.000000Z"), ("visitors", "2026-04-01T00:00:00.000000Z"),
     }
     # the next pull lands e2 again with a newer row: only the newer one passes
-    later = daily.Roots(str(tmp_path / "landing2"), *list(vars(roots).values())[1:])
-    land(later, "visitors", "m1", 1, [visitor("v1", 5)], "b")
-    land(later, "events", "m1", 1, [
+    land(roots, "events", "m1", 1, [
         event("e3", at="2026-04-21T10:00:00Z"), event("e2", at="2026-04-20T11:00:00Z", share=0.1),
-    ], "b")
-    daily.run(spark, later, "2026-04-21", pull=True)
-    got = {r["event_key"]: float(r["percent_viewed"]) for r in published(spark, later).collect()}
+    ], day="2026-04-21")
+    daily.run(spark, roots, "2026-04-21", pull=True)
+    got = {r["event_key"]: float(r["percent_viewed"]) for r in published(spark, roots).collect()}
     assert got == {"e1": 0.5, "e2": 0.5, "e3": 0.5}
     late = spark.read.parquet(f"{roots.quarantine}/events").collect()
     assert [r["event_key"] for r in late] == ["e2"]
