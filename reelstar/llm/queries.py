@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar.llm import langid, mixing, sharding, simhash
+from reelstar.llm import decontaminate, langid, mixing, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item of which it holds a passage, in its nearest form."""
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op2_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes."""
     placed = sharding.kd_shards(table(spark, sf_dir, "documents"), shards=40)
@@ -54,6 +61,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_kd_sharding": op2_kd_sharding,
         "op3_language": op3_language,
         "op5_mixing": op5_mixing,
