@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar.llm import decontaminate, langid, mixing, sharding, simhash
+from reelstar.llm import (
+    decontaminate,
+    importance,
+    langid,
+    licences,
+    linededup,
+    mixing,
+    neighbours,
+    sharding,
+    simhash,
+    warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,12 +57,46 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(rows, model).drop("text")
 
 
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical digest of every document, and the licence it is."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan(docs).select("doc_id", "digest", "licence")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all documents takes of each."""
     mix = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that repeat a window of an earlier one, and what is left."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = linededup.dedup_lines(docs)
+    return left.select("doc_id", "n_lines", "lines_removed", F.md5("text").alias("text_md5"))
+
+
+def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance of every document, towards those labelled good and not toxic."""
+    labels = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0")
+    return importance.resample(table(spark, sf_dir, "documents"), labels)
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every fiftieth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page, with digests in place of their blocks."""
+    records = warc.derivatives(warc.responses_of(table(spark, sf_dir, "pages")))
+    return records.select(
+        "record_id", "record_type", "refers_to", "target_uri", "date", "content_type",
+        "content_length", "block_digest", "source_payload_digest", F.md5("headers").alias("headers_md5"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -64,7 +110,12 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontamination": op1_decontamination,
         "op2_kd_sharding": op2_kd_sharding,
         "op3_language": op3_language,
+        "op4_licence_scan": op4_licence_scan,
         "op5_mixing": op5_mixing,
+        "op6_line_dedup": op6_line_dedup,
+        "op7_importance": op7_importance,
+        "op8_neighbours": op8_neighbours,
+        "op9_warc_derivatives": op9_warc_derivatives,
         "op10_simhash": op10_simhash,
     }
 
@@ -114,5 +165,54 @@ FROM running
 """
 
 
+def _op4_sql() -> str:
+    """The canonical form as nested replacements, over documents and the known texts alike."""
+    form = "chr(10) || translate(text, '{}', '{}') || chr(10)".format(
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    )
+    for pattern, new in licences.RULES:
+        new = re.sub(r"\$\{(\d)\}", r"\\\1", new)
+        new = "chr(10)" if new == "\n" else f"'{new}'"
+        pattern = pattern.replace("'", "''")
+        form = f"regexp_replace({form}, '{pattern}', {new}, 'g')"
+    texts = ", ".join(
+        "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licences.TEXTS.items()
+    )
+    return f"""
+WITH known AS (
+  SELECT md5(trim({form})) AS digest, min(licence) AS licence
+  FROM (VALUES {texts}) AS t(licence, text) GROUP BY 1),
+docs AS (SELECT doc_id, md5(trim({form})) AS digest FROM documents)
+SELECT doc_id, digest, licence FROM docs LEFT JOIN known USING (digest)
+"""
+
+
+OP6_SQL = """
+WITH docs AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+places AS (
+  SELECT doc_id, lines, unnest(range(len(lines) - 2)) AS pos FROM docs WHERE len(lines) >= 3),
+windows AS (
+  SELECT doc_id, pos, md5(lines[pos + 1]) || md5(lines[pos + 2]) || md5(lines[pos + 3]) AS h
+  FROM places),
+numbered AS (
+  SELECT doc_id, pos, first_value(doc_id) OVER w AS first_doc, first_value(pos) OVER w AS first_pos
+  FROM windows WINDOW w AS (PARTITION BY h ORDER BY doc_id NULLS LAST, pos)),
+later AS (
+  SELECT doc_id, pos,
+         CASE WHEN doc_id = first_doc THEN greatest(pos, first_pos + 3) ELSE pos END AS clear
+  FROM numbered WHERE doc_id <> first_doc OR pos <> first_pos),
+covered AS (
+  SELECT doc_id, list(DISTINCT line) AS gone
+  FROM (SELECT doc_id, unnest(range(clear, pos + 3)) AS line FROM later) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(lines), 0)::int AS n_lines, coalesce(len(gone), 0)::int AS lines_removed,
+       CASE WHEN gone IS NULL THEN md5(text)
+            ELSE md5(array_to_string(
+              [lines[i + 1] FOR i IN range(len(lines)) IF NOT list_contains(gone, i)],
+              chr(10))) END AS text_md5
+FROM docs d LEFT JOIN covered c ON d.doc_id = c.doc_id
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op5_mixing": OP5_SQL}
+    return {"op4_licence_scan": _op4_sql(), "op5_mixing": OP5_SQL, "op6_line_dedup": OP6_SQL}

@@ -8,8 +8,11 @@ import numpy as np
 _IS_WORD = np.array(
     [c >= 128 or chr(c).isalnum() for c in range(256)], np.bool_
 )
-_CODE = np.random.default_rng(17).integers(1, 1 << 64, 256, np.uint64)
-_CODE[65:91] = _CODE[97:123]
+# anything but ASCII white space
+_IS_WHOLE = np.array([c != 32 and not 9 <= c <= 13 for c in range(256)], np.bool_)
+_EXACT = np.random.default_rng(17).integers(1, 1 << 64, 256, np.uint64)
+_FOLDED = _EXACT.copy()
+_FOLDED[65:91] = _FOLDED[97:123]
 _BASE = 0x9E3779B97F4A7C15
 _SEGMENT = 1 << 20
 
@@ -31,22 +34,28 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 class WordHasher:
-    """Hashes words; keeps the tables for it, so make one for many texts."""
+    """Hashes words; keeps the tables for it, so make one for many texts.
 
-    def __init__(self) -> None:
+    Words are runs of letters and digits in any ASCII case, or with ``whole`` runs of anything
+    but white space, as they are written.
+    """
+
+    def __init__(self, whole: bool = False) -> None:
         self.powers = _powers(2 * _SEGMENT)
+        self.is_word = _IS_WHOLE if whole else _IS_WORD
+        self.code = _EXACT if whole else _FOLDED
 
     def _segment(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes and first bytes of the words of a piece that begins and ends between words."""
         flags = np.zeros(len(data) + 2, np.int8)
-        flags[1:-1] = _IS_WORD[data]
+        flags[1:-1] = self.is_word[data]
         edges = np.flatnonzero(flags[1:] != flags[:-1])
         starts, ends = edges[::2], edges[1::2]
         power, inverse = self.powers
         if len(power) < len(data):
             power, inverse = _powers(len(data))
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_CODE[data] * power[: len(data)], out=sums[1:])
+        np.cumsum(self.code[data] * power[: len(data)], out=sums[1:])
         return mixed((sums[ends] - sums[starts]) * inverse[starts]), starts
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,11 +69,11 @@ class WordHasher:
         while at < len(data):
             end = min(at + _SEGMENT, len(data))
             if end < len(data):
-                gaps = np.flatnonzero(~_IS_WORD[data[at:end]])
+                gaps = np.flatnonzero(~self.is_word[data[at:end]])
                 if len(gaps):
                     end = at + int(gaps[-1]) + 1
                 else:
-                    end += int(np.argmin(_IS_WORD[data[end:]])) + 1
+                    end += int(np.argmin(self.is_word[data[end:]])) + 1
             found, starts = self._segment(data[at:end])
             hashes.append(found)
             places.append(starts + at)
