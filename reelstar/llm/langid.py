@@ -27,8 +27,10 @@ _FOLD = bytes(
 # A long text is cut into blocks, each compressed alone: within a whole long text its own earlier
 # words would matter more than the dictionary.
 _BLOCK = 4096
-# Below this many bytes a text has few matches, so the slow, exhaustive match search is used.
-_SHORT = 512
+# Every block goes behind the first bytes of the language's own sample, which cost nearly nothing:
+# zstandard stores a short text as it is where compression gains a few bytes only, and then all
+# languages would tie.
+_LEAD = 256
 
 
 @dataclass(frozen=True)
@@ -39,33 +41,27 @@ class LanguageModel:
     samples: tuple[bytes, ...]
 
 
-def _coders(samples: tuple[bytes, ...]) -> list[tuple]:
-    """A coder for blocks and one for short texts, for each language."""
-    settings = [
-        zstandard.ZstdCompressionParameters(
-            strategy=zstandard.STRATEGY_LAZY, window_log=18, hash_log=14, chain_log=15,
-            search_log=3, min_match=4, write_content_size=0,
-        ),
-        zstandard.ZstdCompressionParameters(
-            strategy=zstandard.STRATEGY_BTULTRA2, window_log=18, hash_log=16, chain_log=17,
-            search_log=6, min_match=3, target_length=64, write_content_size=0,
-        ),
-    ]
+def _coders(samples: tuple[bytes, ...]) -> list[tuple[zstandard.ZstdCompressor, bytes, int]]:
+    """For each language its coder, its lead, and the size of the lead alone."""
+    params = zstandard.ZstdCompressionParameters(
+        strategy=zstandard.STRATEGY_LAZY, window_log=18, hash_log=14, chain_log=15,
+        search_log=3, min_match=4, write_content_size=0,
+    )
     made = []
     for sample in samples:
-        pair = []
-        for params in settings:
-            words = zstandard.ZstdCompressionDict(
-                sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT
-            )
-            words.precompute_compress(compression_params=params)
-            pair.append(
-                zstandard.ZstdCompressor(compression_params=params, dict_data=words)
-            )
-        made.append(tuple(pair))
+        words = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        words.precompute_compress(compression_params=params)
+        coder = zstandard.ZstdCompressor(compression_params=params, dict_data=words)
+        lead = sample[:_LEAD] + b" "
+        made.append((coder, lead, len(coder.compress(lead))))
     return made
 
 
+def _size(data: bytes, coder: zstandard.ZstdCompressor, lead: bytes, alone: int) -> int:
+    blocks = [data[i : i + _BLOCK] for i in range(0, len(data), _BLOCK)]
+    return max(1, sum(len(coder.compress(lead + block)) - alone for block in blocks))
+
+
 def fit(
     labelled: DataFrame,
     text: str = "text",
@@ -142,12 +138,7 @@ def identify(
                 found.append(None)
                 continue
             data = data.encode().translate(_FOLD)
-            step, which = (_SHORT, 1) if len(data) < _SHORT else (_BLOCK, 0)
-            blocks = [data[i : i + step] for i in range(0, len(data), step)]
-            sizes = sorted(
-                (sum(len(pair[which].compress(b)) for b in blocks), k)
-                for k, pair in enumerate(coders)
-            )
+            sizes = sorted((_size(data, *coder), k) for k, coder in enumerate(coders))
             score = 1.0 if len(sizes) == 1 else 1.0 - sizes[0][0] / sizes[1][0]
             found.append({"pred": langs[sizes[0][1]], "score": score})
         return pa.array(found, kind)
