@@ -31,6 +31,23 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in taken])
 
 
+def packed(df: DataFrame, **named: str) -> DataFrame:
+    """The rows as a struct ``_row`` next to the columns an operator works with, under its names.
+
+    So no column of the input can be taken for one of the operator's own. ``unpacked`` names
+    the columns to hand back.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(row.alias("_row"), *[F.col(c).alias(k) for k, c in named.items()])
+
+
+def unpacked(df: DataFrame, *names: str) -> list[Column]:
+    """Columns of the packed rows, less those an operator is about to add."""
+    taken = {name.lower() for name in names}
+    own = df.schema["_row"].dataType.names
+    return [F.col(f"_row.`{c}`") for c in own if c.lower() not in taken]
+
+
 def ranked(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Rows numbered from 0 in a global order, without sorting all of them in one task.
 

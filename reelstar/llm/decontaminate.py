@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstar.llm.common import bounded_batches, without
+from reelstar.llm.common import bounded_batches, packed
 from reelstar.llm.words import WordHasher, mixed
 from reelstar.session import stored
 
@@ -392,9 +392,8 @@ def _search(held):
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The documents without a leak, with their own columns; rows without an id are matched by
     their text."""
-    mark = F.xxhash64(F.col(doc_id), F.col(options.get("text", "text")))
-    marked = without(docs, "_mark").withColumn("_mark", mark)
-    found = contaminated(marked, benchmark, doc_id="_mark", **options)
-    leaky = found.select(F.col("doc_id").alias("_mark")).distinct()
-    kept = marked.join(leaky, "_mark", "left_anti")
-    return kept.select(*[c for c in docs.columns if c != "_mark"])
+    rows = packed(docs, id=doc_id, text=options.pop("text", "text"))
+    marked = rows.withColumn("mark", F.xxhash64("id", "text"))
+    found = contaminated(marked, benchmark, doc_id="mark", **options)
+    leaky = found.select(F.col("doc_id").alias("mark")).distinct()
+    return marked.join(leaky, "mark", "left_anti").select("_row.*")

@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstar.llm.common import bounded_batches, without
+from reelstar.llm.common import bounded_batches, packed, unpacked
 
 UNDETERMINED = "und"
 RESULT = ("lang_pred", "score", "lang_rejected")
@@ -143,20 +143,13 @@ def identify(
             found.append({"pred": langs[sizes[0][1]], "score": score})
         return pa.array(found, kind)
 
-    base = without(docs, *RESULT)
-    if not langs:
-        return base.withColumns(
-            {
-                "lang_pred": F.lit(UNDETERMINED),
-                "score": F.lit(0.0),
-                "lang_rejected": F.lit(True),
-            }
-        )
-    letters = F.when(F.col(text).rlike(r"\p{L}"), F.col(text))
-    marked = base.withColumn("_identified", sized(letters))
-    pred, score = F.col("_identified.pred"), F.col("_identified.score")
+    rows = packed(docs, text=text)
+    letters = F.when(F.col("text").rlike(r"\p{L}"), F.col("text"))
+    nothing = F.lit(None).cast("struct<pred:string,score:double>")
+    marked = rows.withColumn("found", sized(letters) if langs else nothing)
+    pred, score = F.col("found.pred"), F.col("found.score")
     return marked.select(
-        *base.columns,
+        *unpacked(marked, *RESULT),
         F.coalesce(pred, F.lit(UNDETERMINED)).alias("lang_pred"),
         F.coalesce(score, F.lit(0.0)).alias("score"),
         F.coalesce(score < min_margin, F.lit(True)).alias("lang_rejected"),
@@ -172,5 +165,5 @@ def _coders_of(broadcast):
 
 def accepted(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The documents whose language is clear, with their own columns only."""
-    marked = identify(docs, model, text).filter(~F.col("lang_rejected"))
-    return marked.select(*[c for c in docs.columns if c in marked.columns])
+    marked = identify(packed(docs, text=text), model).filter(~F.col("lang_rejected"))
+    return marked.select("_row.*")

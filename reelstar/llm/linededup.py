@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstar.llm.common import without
+from reelstar.llm.common import packed
 from reelstar.session import stored
 
 WINDOW = 3
@@ -69,20 +69,20 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     empty. Rows equal in id and text are one document and come out alike. Columns of the two
     names are replaced.
     """
-    gone = repeated_lines(docs, doc_id, text)
-    kept = without(docs, "n_lines", "lines_removed")
-    joined = kept.withColumns({"_h": F.xxhash64(text), "_d": F.col(doc_id)}).join(
-        gone, F.expr("_d <=> _id AND _h = _hash"), "left"
+    rows = packed(docs, id=doc_id, text=text)
+    gone = repeated_lines(rows, "id", "text")
+    joined = rows.withColumn("h", F.xxhash64("text")).join(
+        gone, F.expr("id <=> _id AND h = _hash"), "left"
     )
-    lines = F.split(text, "\n")
+    lines = F.split("text", "\n")
     positions = F.sequence(F.lit(0), F.size(lines) - 1)
     left = F.array_except(positions, F.col("_covered"))
     rebuilt = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-    changed = F.col("_covered").isNotNull() & F.col(text).isNotNull()
-    out = {c: F.col(c) for c in kept.columns}
-    out[text] = F.when(changed, rebuilt).otherwise(F.col(text))
+    changed = F.col("_covered").isNotNull() & F.col("text").isNotNull()
+    left_text = F.when(changed, rebuilt).otherwise(F.col("text")).alias(text)
+    names = [c for c in docs.columns if c.lower() not in ("n_lines", "lines_removed")]
     return joined.select(
-        *[column.alias(name) for name, column in out.items()],
-        F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
+        *[left_text if c == text else F.col(f"_row.`{c}`") for c in names],
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
         F.coalesce(F.size(F.col("_covered")), F.lit(0)).alias("lines_removed"),
     )

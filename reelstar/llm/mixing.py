@@ -13,9 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstar.llm.common import ranked, without, word_count
+from reelstar.llm.common import packed, ranked, unpacked, word_count
 from reelstar.session import stored
 
+# Up to so many sources, their targets are sent to every task instead of moving documents.
+_FEW_SOURCES = 100_000
 # Sums per source are kept for so many slices of the seeded order, so only one slice of a source
 # has to be looked at row by row. Three hexadecimal digits.
 _SLICES = 16**3
@@ -65,34 +67,29 @@ def mix(
     text; rows without an id count as having an empty one. A source without words has target 0
     and its documents are used 0 times. Columns of the five names are replaced.
     """
-    names = ("size", "source_size", "target", "copies", "taken")
-    rows = without(docs, *names).withColumn("size", word_count(F.col(text)))
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
-    rows = rows.withColumns({"_order": order, "_tie": F.xxhash64(text)})
+    rows = packed(docs, doc_id=doc_id, text=text, _source=source)
+    rows = rows.withColumn("size", word_count(F.col("text")))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    rows = rows.withColumns({"_order": order, "_tie": F.xxhash64("text")})
     # what the sums need, without the texts
-    light = stored(
-        docs.sparkSession,
-        rows.select(F.col(source).alias("_source"), "size", "_order", "_tie"),
-        "mix-sizes",
-    )
+    light = rows.select("_source", "size", "_order", "_tie")
+    light = stored(docs.sparkSession, light, "mix-sizes")
     targets = source_targets(light, weights, share, epochs)
-    extra = _extra_until(light, targets)
-    joined = rows.withColumn("_source", F.col(source)).join(
-        extra, F.col("_source").eqNullSafe(F.col("_s")), "left"
-    )
+    extra = stored(docs.sparkSession, _extra_until(light, targets), "mix-ends")
+    if extra.count() <= _FEW_SOURCES:
+        extra = F.broadcast(extra)
+    joined = rows.join(extra, F.col("_source").eqNullSafe(F.col("_s")), "left")
     position = (F.col("_order"), F.col("size"), F.col("_tie"))
     last = (F.col("_last_order"), F.col("_last_size"), F.col("_last_tie"))
     once_more = F.coalesce(F.struct(*position) <= F.struct(*last), F.lit(False))
-    return (
-        joined.withColumn("copies", F.col("_whole") + F.when(once_more, 1).otherwise(0))
-        .withColumn("taken", F.col("copies") * F.col("size"))
-        .select(
-            *[c for c in rows.columns if c not in ("_order", "_tie")],
-            "source_size",
-            "target",
-            "copies",
-            "taken",
-        )
+    copies = F.col("_whole") + F.when(once_more, 1).otherwise(0)
+    return joined.select(
+        *unpacked(rows, "size", "source_size", "target", "copies", "taken"),
+        "size",
+        "source_size",
+        "target",
+        copies.alias("copies"),
+        (copies * F.col("size")).alias("taken"),
     )
 
 
@@ -172,8 +169,6 @@ def _extra_until(light: DataFrame, targets: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as many times as it is used, with its own columns only."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     named = {k: options.pop(k, k) for k in ("doc_id", "text", "source")}
-    held = docs.select(own.alias("_row"), *[F.col(c).alias(k) for k, c in named.items()])
-    found = mix(held, **options).filter("copies > 0")
+    found = mix(packed(docs, **named), **options).filter("copies > 0")
     return found.select("_row", F.explode(F.array_repeat(F.lit(0), "copies"))).select("_row.*")

@@ -80,7 +80,7 @@ def measured(
         groups = rows.groupBy(*same).agg(*least)
         rows = rows.join(groups.hint("merge"), same)
     unit = [F.shiftrightunsigned(f"_m{k}", 11) / float(1 << 53) for k in range(len(dims))]
-    spans = [F.log2(F.col("size")) / 63.0, *unit]
+    spans = [*unit, F.log2(F.col("size")) / 63.0]
     kept = ["doc_id", "size", "text_crc32", "_text", "_doc", *extra]
     return stored(
         docs.sparkSession,

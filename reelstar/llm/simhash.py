@@ -18,10 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstar.llm.common import bounded_batches, without
+from reelstar.llm.common import bounded_batches, packed, without
 from reelstar.llm.components import connected_components
 from reelstar.session import stored
 
@@ -296,10 +296,12 @@ def near_duplicates(
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents whose id names their group, with all their columns.
 
-    Of repeated rows with that id one stays. Rows without an id stay as they are: nothing tells
+    Of rows that repeat that id one stays, by a hash of the text. Rows without an id stay as they are: nothing tells
     them apart, so none can be called the copy of another.
     """
     kept = near_duplicates(docs, doc_id, text).filter(F.col("doc_id") == F.col("component_id"))
-    ids = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(ids, F.col(doc_id) == F.col("_kept"), "left_semi")
-    return named.dropDuplicates([doc_id]).unionByName(docs.filter(F.col(doc_id).isNull()))
+    rows = packed(docs, id=doc_id, text=text)
+    named = rows.join(kept.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
+    of_id = Window.partitionBy("id").orderBy(F.xxhash64("text"))
+    one = named.withColumn("n", F.row_number().over(of_id)).filter("n = 1")
+    return one.select("_row.*").unionByName(docs.filter(F.col(doc_id).isNull()))

@@ -1,0 +1,220 @@
+"""Language, licences, lines, words and pages."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import json
+import random
+import zlib
+
+import pytest
+from compare import connect, rows_of_spark, rows_of_sql
+from conftest import MEDIUM
+from llm_data import WORDS, awkward, awkward_rows, no_docs, sentence
+
+from reelstar.llm import langid, licences, linededup, warc
+from reelstar.llm.queries import llm_oracles, llm_queries
+from reelstar.llm.words import WordHasher
+
+
+@pytest.mark.parametrize("name", sorted(llm_oracles()))
+def test_query_matches_sql(spark, name):
+    columns, rows = rows_of_spark(llm_queries()[name](spark, MEDIUM))
+    sql_columns, sql_rows = rows_of_sql(connect(MEDIUM), llm_oracles()[name])
+    assert columns == sql_columns and rows.total() > 0
+    assert not (sql_rows - rows) and not (rows - sql_rows)
+
+
+# -- words -----------------------------------------------------------------------------------
+
+
+def test_equal_words_have_equal_hashes_wherever_they_stand():
+    rng = random.Random(4)
+    texts = [sentence(rng, "de", n).encode() for n in (0, 1, 50, 700)] + [b"", b"The HOUSE, the-house"]
+    hashes, begins = WordHasher().of(texts)
+    words = [w for t in texts for w in t.lower().replace(b",", b" ").replace(b"-", b" ").split()]
+    assert len(words) == len(hashes) == begins[-1]
+    assert len({(w, h) for w, h in zip(words, hashes)}) == len(set(words)) == len(set(hashes))
+
+
+def test_words_across_segments(monkeypatch):
+    text = ("word " * 50 + "x" * 900 + " tail ").encode()
+    whole, _ = WordHasher().of([text, text])
+    monkeypatch.setattr("reelstar.llm.words._SEGMENT", 64)
+    cut, begins = WordHasher().of([text, text])
+    assert (whole == cut).all() and begins.tolist() == [0, 52, 104]
+
+
+# -- language --------------------------------------------------------------------------------
+
+
+def test_held_out_accuracy(spark):
+    found = llm_queries()["op3_language"](spark, MEDIUM).toPandas()
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").toPandas()
+    held = docs.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)
+    both = found.set_index("doc_id").join(docs.set_index("doc_id"))
+    assert (both.held_out.sort_index().values == held.values).all()
+    assert (both.lang_pred == both.lang)[both.held_out].mean() > 0.97
+    assert both.lang_rejected.mean() < 0.02
+
+
+def test_language_of_awkward_rows(spark):
+    docs = awkward(spark, clash=True)
+    model = langid.fit(docs)
+    assert model.langs == ("de", "en")
+    found = langid.identify(docs, model)
+    assert found.count() == docs.count()
+    rows = {r["doc_id"]: r for r in found.collect() if r["doc_id"] is not None}
+    for i in (200, 201, 202, 203):
+        assert (rows[i]["lang_pred"], rows[i]["score"], rows[i]["lang_rejected"]) == ("und", 0.0, True)
+    assert rows[204]["lang_pred"] == "de" and rows[204]["score"] > 0.05
+    assert all(0 <= r["score"] <= 1 for r in rows.values())
+    kept = langid.accepted(awkward(spark), model)
+    assert kept.columns == awkward(spark).columns
+
+
+def test_language_without_or_with_one_label(spark):
+    docs = awkward(spark)
+    nothing = langid.identify(docs, langid.fit(no_docs(spark)))
+    assert {r[0] for r in nothing.select("lang_pred").collect()} == {"und"}
+    one = langid.identify(docs, langid.fit(docs.filter("lang = 'en'")))
+    assert one.filter("lang_pred = 'en' AND score = 1").count() == docs.filter(r"text rlike '\\p{L}'").count()
+    assert langid.identify(no_docs(spark), langid.fit(docs)).count() == 0
+
+
+def test_a_text_between_two_languages_is_rejected(spark):
+    model = langid.fit(awkward(spark))
+    mixed = spark.createDataFrame([(1, "qqqq zzzz wwww"), (2, WORDS["de"])], "doc_id long, text string")
+    rows = {r["doc_id"]: r["lang_rejected"] for r in langid.identify(mixed, model).collect()}
+    assert rows == {1: True, 2: False}
+
+
+# -- licences --------------------------------------------------------------------------------
+
+
+def test_licence_in_another_dress(spark):
+    mit = licences.TEXTS["MIT"]
+    dressed = (
+        mit.upper().replace("LICENSE", "LICENCE").replace("\n", "\r\n  * ")
+        .replace("COPYRIGHT (C) [YEAR] [FULLNAME]", "Copyright (c) 2011 Some Body <a@b.example>")
+    )
+    rows = [
+        (1, mit), (2, dressed), (3, mit + "and more"), (4, "MIT License"), (5, None), (6, ""),
+        (7, "## " + licences.TEXTS["ISC"].replace("distribute", "distribute,")),
+        (8, "All rights reserved.\n" + licences.TEXTS["Zlib"]),
+        (9, licences.TEXTS["BSD-3-Clause"].replace("COPYRIGHT HOLDER", "COPYRIGHT OWNER")),
+    ]
+    found = licences.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    names = {r["doc_id"]: r["licence"] for r in found.collect()}
+    assert names == {1: "MIT", 2: "MIT", 3: None, 4: None, 5: None, 6: None, 7: "ISC", 8: "Zlib", 9: "BSD-3-Clause"}
+
+
+def test_licence_scan_keeps_every_row(spark):
+    docs = awkward(spark, clash=True)
+    found = licences.scan(docs)
+    assert found.count() == docs.count() and found.filter("licence IS NOT NULL").count() == 0
+    assert found.filter("text IS NULL AND digest IS NOT NULL").count() == 0
+    assert licences.scan(no_docs(spark)).count() == 0
+    known = found.select("digest", licences.F.lit("own").alias("licence"))  # repeats a digest
+    assert licences.scan(docs, known=known).filter("licence = 'own'").count() == docs.filter("text IS NOT NULL").count()
+
+
+# -- lines -----------------------------------------------------------------------------------
+
+
+def plain_line_dedup(rows):
+    """Texts and removed lines by id; ids are unique and in the order of the rows."""
+    first, covered = {}, {i: set() for i, _ in rows}
+    for i, text in rows:
+        lines = (text or "").split("\n") if text is not None else []
+        for p in range(len(lines) - 2):
+            window = tuple(lines[p : p + 3])
+            if window not in first:
+                first[window] = (i, p)
+                continue
+            j, q = first[window]
+            covered[i] |= set(range(max(p, q + 3) if i == j else p, p + 3))
+    return {
+        i: (None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in covered[i]), len(covered[i]))
+        for i, t in rows
+    }
+
+
+def test_lines_against_plain_python(spark):
+    rng = random.Random(9)
+    rows = [(i, "\n".join(rng.choices("abc", k=rng.randint(0, 12)))) for i in range(80)]
+    rows += [(100, None), (101, ""), (102, "\n\n\n\n"), (103, "\n".join(["same"] * 400))]
+    found = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    got = {r["doc_id"]: (r["text"], r["lines_removed"]) for r in found.collect()}
+    assert got == plain_line_dedup(rows)
+
+
+def test_lines_of_awkward_rows(spark):
+    docs = awkward(spark, clash=True)
+    found = linededup.dedup_lines(docs)
+    assert found.count() == docs.count()
+    assert sorted(map(str, found.select("doc_id", "text").collect())) == sorted(map(str, docs.select("doc_id", "text").collect()))
+    assert linededup.dedup_lines(no_docs(spark)).count() == 0
+    block = "one line\ntwo line\nthree line\nfour line"
+    rows = [(None, block), (5, block), (5, block), (4, "head\n" + block)]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == [
+        ("4", "head\n" + block), ("5", ""), ("5", ""), ("None", "")
+    ]
+
+
+# -- pages -----------------------------------------------------------------------------------
+
+
+def sha(data: bytes) -> str:
+    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def test_derivatives_link_back_and_carry_digests(spark):
+    records = warc.derivatives(warc.responses_of(spark.read.parquet(f"{MEDIUM}/pages.parquet"))).collect()
+    pages = {r["url"]: r["html"] for r in spark.read.parquet(f"{MEDIUM}/pages.parquet").collect()}
+    assert len(records) == 2 * len({r["refers_to"] for r in records})
+    for r in records:
+        block = bytes(r["block"])
+        assert r["block_digest"] == sha(block) and r["content_length"] == len(block)
+        assert f"WARC-Refers-To: {r['refers_to']}" in r["headers"].split("\r\n")
+        if r["record_type"] == "metadata":
+            facts = json.loads(block)
+            assert facts["source"]["headers"][0] == ["Content-Type", "text/html; charset=utf-8"]
+            assert facts["source"]["payload_digest"] == r["source_payload_digest"]
+            assert all(link["url"] in pages[r["target_uri"]] for link in facts["links"] if "&" not in link["url"])
+        else:
+            assert b"<p>" not in block and b"track(" not in block
+
+
+def test_awkward_responses(spark):
+    latin = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=latin-1\r\nX-A: 1\r\nX-A: 2\r\n\r\n<p>caf\xe9<br>b &amp; c"
+    rows = [
+        ("<urn:1>", "http://a", "d", latin), ("<urn:2>", None, None, None), ("<urn:3>", "u", "d", b""),
+        ("<urn:4>", "u", "d", b"no http <script>x"), (None, "u", "d", b"lost"),
+        ("<urn:5>", "u", "d", b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=none-such\r\n\r\nx"),
+        ("<urn:1>", "http://a", "d", latin),
+    ]
+    found = warc.derivatives(spark.createDataFrame(rows, warc.RESPONSE)).collect()
+    assert len(found) == 12
+    text = {r["refers_to"]: bytes(r["block"]).decode() for r in found if r["record_type"] == "conversion"}
+    assert text == {"<urn:1>": "café\nb & c", "<urn:2>": "", "<urn:3>": "", "<urn:4>": "no http", "<urn:5>": "x"}
+    facts = [json.loads(bytes(r["block"])) for r in found if r["record_type"] == "metadata" and r["refers_to"] == "<urn:1>"]
+    assert facts[0]["source"]["headers"][1:] == [["X-A", "1"], ["X-A", "2"]] and facts[0] == facts[1]
+    assert warc.derivatives(spark.createDataFrame([], warc.RESPONSE)).count() == 0
+
+
+def test_records_as_files(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/é", "<title>T</title><a href=/x>y</a>"), (2, None, None)], "page_id long, url string, html string")
+    warc.write_records(warc.derivatives(warc.responses_of(pages)), str(tmp_path / "out"))
+    data = "".join(r[0] + "\n" for r in spark.read.text(str(tmp_path / "out"), lineSep="\n").collect())
+    assert data.count("WARC/1.0\r\n") == 4 and "WARC-Target-URI: http://a/é\r\n" in data
+    record = data.split("WARC/1.0\r\n")[1]
+    head, _, rest = record.partition("\r\n\r\n")
+    length = int(head.split("Content-Length: ")[1])
+    assert rest.encode()[length:] == b"\r\n\r\n"
+
+
+def test_awkward_rows_have_every_case():
+    assert any(None in r for r in awkward_rows())
