@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,11 +29,16 @@ def cast_failed(field: str, dtype: str) -> str:
     return f"{field} IS NOT NULL AND {safe_cast(field, dtype)} IS NULL"
 
 
-def channel_of(name: Column) -> Column:
-    """Advertising channel named in a video title, case-blind; the first listed word found wins."""
-    title = F.lower(name)
-    hits = [F.when(F.contains(title, F.lit(word)), label) for word, label in CHANNEL_WORDS]
-    return F.coalesce(*hits, F.lit(NO_CHANNEL))
+def channel_of(name: Column, words: Sequence[tuple[str, str]] = CHANNEL_WORDS) -> Column:
+    """Advertising channel named in a video title, case-blind.
+
+    ``words`` pairs a word in lower case with its channel; the first pair whose word occurs wins.
+    """
+    found = F.filter(
+        F.array(*[F.struct(F.lit(w).alias("word"), F.lit(c).alias("channel")) for w, c in words]),
+        lambda pair: F.contains(F.lower(name), pair["word"]),
+    )
+    return F.coalesce(F.get(found, F.lit(0))["channel"], F.lit(NO_CHANNEL))
 
 
 def media_id_from_path(path: Column) -> Column:

@@ -1,21 +1,17 @@
-"""High-water marks and the page rule of an incremental pull.
+"""High-water marks of an incremental pull.
 
-Frames: *rows* hold ``media_id``, ``page`` and a time column; *marks* hold ``endpoint``,
+What has landed was fetched already, so every landed row above its mark is taken, whatever page
+it is on. Frames: *rows* hold ``media_id`` and a time column; *marks* hold ``endpoint``,
 ``media_id`` and ``high_water`` (text, one row per endpoint and video).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstar.functions import columns as C
 from reelstar.operators.joins import lookup_join
-from reelstar.schemas import MAX_PAGES, PAGE_SIZE
-
-
-class PageCapExceeded(RuntimeError):
-    pass
 
 
 def marks_of(marks: DataFrame, endpoint: str, compare: str = "parsed") -> DataFrame:
@@ -50,80 +46,16 @@ def late_rows(
     return marked.filter(~F.col("_is_new")).select(*rows.columns, F.col("_mark").alias("mark"))
 
 
-def page_plan(
-    rows: DataFrame,
-    marks: DataFrame,
-    endpoint: str,
-    ts: str,
-    compare: str = "parsed",
-    page_size: int = PAGE_SIZE,
-    max_pages: int = MAX_PAGES,
-) -> DataFrame:
-    """Which landed pages a newest-first pull would have visited and kept.
-
-    A page is visited if every page before it is there and kept at least ``page_size`` new rows;
-    it is written if it was visited and kept any. Rows are counted per page first, so the
-    window sees one row per page of a video, at most ``max_pages`` of them in a valid pull.
-
-    Output: media_id, page, n_rows, n_keep, max_ts, visited, written, over_cap.
-    """
-    pages = (
-        with_marks(rows, marks, endpoint, ts, compare)
-        .groupBy("media_id", "page")
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count_if("_is_new").alias("n_keep"),
-            F.max("_ts").alias("max_ts"),
-        )
-    )
-    in_order = Window.partitionBy("media_id").orderBy("page")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    visited = (F.row_number().over(in_order) == F.col("page")) & (
-        F.coalesce(F.min("n_keep").over(before), F.lit(page_size)) >= page_size
-    )
-    return (
-        pages.withColumn("visited", visited)
-        .withColumn("written", F.col("visited") & (F.col("n_keep") >= 1))
-        .withColumn(
-            "over_cap",
-            F.col("visited") & (F.col("page") >= max_pages) & (F.col("n_keep") >= page_size),
-        )
-    )
-
-
-def check_page_cap(plan: DataFrame) -> None:
-    """Raise if a video's pull reached the cap with a full page: its end was never seen."""
-    stuck = plan.filter("over_cap").select("media_id").limit(20).collect()
-    if stuck:
-        raise PageCapExceeded(f"page cap reached for media {[r['media_id'] for r in stuck]}")
-
-
-def consumed_rows(
-    rows: DataFrame,
-    plan: DataFrame,
-    marks: DataFrame,
-    endpoint: str,
-    ts: str,
-    compare: str = "parsed",
-) -> DataFrame:
-    """New rows of the written pages. Joined per page, so a video's rows stay spread out."""
-    written = plan.filter("written").select("media_id", "page")
-    fresh = incremental_filter(rows, marks, endpoint, ts, compare)
-    return fresh.join(written, ["media_id", "page"], "left_semi").select(*rows.columns)
-
-
 def next_marks(
-    plan: DataFrame, marks: DataFrame, endpoint: str, compare: str = "parsed"
+    marked: DataFrame, marks: DataFrame, endpoint: str, compare: str = "parsed"
 ) -> DataFrame:
-    """Marks of the endpoint after the pull: the newest time on any visited page.
+    """Marks of the endpoint after the pull: the newest time of all rows, see ``with_marks``.
 
-    Every visited row counts, also those of the page that ended the pull, and a mark never moves
-    back. A video without new times keeps its mark.
+    A mark never moves back. A video without new times keeps its mark.
     """
     seen = (
-        plan.filter("visited")
-        .groupBy("media_id")
-        .agg(F.max("max_ts").alias("_seen"))
+        marked.groupBy("media_id")
+        .agg(F.max("_ts").alias("_seen"))
         .filter(F.col("_seen").isNotNull())
     )
     joined = seen.join(marks_of(marks, endpoint, compare), "media_id", "full")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from reelstar.operators.joins import lookup_join
-from reelstar.schemas import KEYS, LOAD_ORDER, MAX_LENGTH, RULES, not_null_columns
+from reelstar.schemas import KEYS, LOAD_ORDER, MAX_LENGTH, RULES, STAR, not_null_columns
 
 # columns of every report, in order
 REPORT = ("table", "check", "column", "value", "threshold", "status")
@@ -95,26 +96,36 @@ def orphan_count(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
 
 
 def constraint_violations(df: DataFrame, table: str) -> DataFrame:
-    """Rows that break a declared NOT NULL or VARCHAR length, per constraint, in one pass."""
+    """Rows that break a declared NOT NULL, VARCHAR length or decimal range, per constraint.
+
+    One pass. A length is one of bytes. A decimal column may still be text or a double here: its
+    limit is the first number that the declared type cannot hold.
+    """
     rules = [("not_null", c, "NULL", f"{c} IS NULL") for c in not_null_columns(table)]
     rules += [
-        ("max_length", c, str(n), f"length({c}) > {n}")
+        ("max_length", c, str(n), f"octet_length({c}) > {n}")
         for c, n in MAX_LENGTH[table].items()
         if c in df.columns
     ]
+    for field in STAR[table].fields:
+        if isinstance(field.dataType, DecimalType) and field.name in df.columns:
+            limit = 10 ** (field.dataType.precision - field.dataType.scale)
+            over = f"coalesce(abs(try_cast({field.name} AS double)) >= {limit}, false)"
+            rules.append(("decimal_range", field.name, str(limit), over))
     counts = df.selectExpr(*[f"count_if({bad}) AS {rule}_{c}" for rule, c, _, bad in rules])
     lines = [
-        f"('{table}', '{rule}', '{c}', CAST({limit} AS int), CAST({rule}_{c} AS bigint))"
+        f"('{table}', '{rule}', '{c}', CAST({limit} AS bigint), CAST({rule}_{c} AS bigint))"
         for rule, c, limit, _ in rules
     ]
     return _rows(counts, lines, ("table", "constraint", "column", "limit", "violations"))
 
 
-def table_report(df: DataFrame, table: str) -> DataFrame:
+def table_report(df: DataFrame, table: str, dropped: int | None = None) -> DataFrame:
     """Every single-table rule except uniqueness: one scan, one aggregate.
 
-    Null percentages are taken over the rows that have a key and compared unrounded; the number
-    of rows dropped for a missing key is reported next to them.
+    Null percentages are taken over the rows that have a key and compared unrounded. Next to
+    them stands the number of rows dropped for a missing key: ``dropped``, which the build
+    counted before it dropped them, and those that ``df`` still holds.
     """
     key, rules = KEYS[table], RULES[table]
     has_key = f"{key} IS NOT NULL" if key in df.columns else "true"
@@ -122,9 +133,9 @@ def table_report(df: DataFrame, table: str) -> DataFrame:
     lengths = {c: n for c, n in MAX_LENGTH[table].items() if c in df.columns}
     counts = df.selectExpr(
         f"count_if({has_key}) AS n",
-        f"count_if(NOT ({has_key})) AS dropped",
+        f"count_if(NOT ({has_key})) + {dropped or 0}L AS dropped",
         *[f"count_if({has_key} AND {c} IS NULL) AS null_{c}" for c in limits],
-        *[f"count_if({has_key} AND length({c}) > {n}) AS long_{c}" for c, n in lengths.items()],
+        *[f"count_if({has_key} AND octet_length({c}) > {n}) AS long_{c}" for c, n in lengths.items()],
     )
     lines = [
         _line(table, "dropped_null_key", key, "dropped", None, "true"),
@@ -159,18 +170,21 @@ def integrity_report(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
 
 
 def quality_report(
-    tables: dict[str, DataFrame | None], known_media: DataFrame | None = None
+    tables: dict[str, DataFrame | None],
+    known_media: DataFrame | None = None,
+    dropped: dict[str, int] | None = None,
 ) -> DataFrame | None:
     """Report over the day's tables; a table that did not arrive is skipped, not failed.
 
     ``known_media`` is the dimension the fact is checked against; without it the day's own.
+    ``dropped`` has the rows that a table's build left out for a missing key.
     """
     parts = []
     for table in LOAD_ORDER:
         df = tables.get(table)
         if df is None:
             continue
-        parts.append(table_report(df, table))
+        parts.append(table_report(df, table, (dropped or {}).get(table)))
         if KEYS[table] in df.columns:
             parts.append(uniqueness_report(df, table))
     fact = tables.get("fact_media_engagement")
@@ -180,9 +194,17 @@ def quality_report(
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
-def gate(report: DataFrame | None) -> list:
-    """Collect the report (a few rows per table) and raise if any check failed."""
-    rows = [] if report is None else report.collect()
+def build_line(
+    resource: str, check: str, column: str | None, value: float, limit: float, share: float
+) -> Row:
+    """A report line of something that the build counted; it fails if ``share`` is over the limit."""
+    status = "fail" if share > limit else "ok"
+    return Row(*REPORT)(resource, check, column, float(value), float(limit), status)
+
+
+def gate(report: DataFrame | None, lines: Sequence[Row] = ()) -> list:
+    """Collect the report (a few rows per table), add ``lines``, and raise if any check failed."""
+    rows = ([] if report is None else report.collect()) + list(lines)
     failures = [r for r in rows if r["status"] == "fail"]
     if failures:
         raise QualityGateError(failures)

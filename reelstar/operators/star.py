@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from reelstar.functions import columns as C
 from reelstar.operators.joins import lookup_join
 from reelstar.operators.latest import latest_by, mode_by
-from reelstar.schemas import STAR
+from reelstar.schemas import BROKEN, CHANNEL_WORDS, STAR
 
 # target column, bronze field, type
 MEDIA_FIELDS = (
@@ -104,7 +104,11 @@ def _load_date(run_date: str) -> Column:
 
 
 def build_dim_media(
-    metadata: DataFrame, stats: DataFrame, run_date: str, tie_break: TieBreak = None
+    metadata: DataFrame,
+    stats: DataFrame,
+    run_date: str,
+    tie_break: TieBreak = None,
+    channel_words: Sequence[tuple[str, str]] = CHANNEL_WORDS,
 ) -> DataFrame:
     """One row per video: metadata, derived channel, and its statistics where there are any.
 
@@ -113,7 +117,7 @@ def build_dim_media(
     """
     media = project(metadata, MEDIA_FIELDS).filter(F.col("media_id").isNotNull())
     media = latest_by(media, ["media_id"], ["updated_at"], tie_break)
-    media = media.withColumn("channel", C.channel_of(F.col("name")))
+    media = media.withColumn("channel", C.channel_of(F.col("name"), channel_words))
     # a rerun may land a second statistics document; counters only grow, keep the highest
     counters = project(stats, STATS_FIELDS).filter(F.col("media_id").isNotNull())
     counters = latest_by(counters, ["media_id"], ["total_plays", "total_loads"], tie_break)
@@ -204,6 +208,31 @@ def cast_counters(resource: str) -> dict[str, Column]:
     }
 
 
+# what a row needs to enter its table
+ROW_KEYS = {
+    "media_metadata": ("dim_media", ("hashed_id",)),
+    "visitors": ("dim_visitor", ("visitor_key",)),
+    "events": ("fact_media_engagement", ("event_key", "media_id")),
+}
+
+
+def row_counters(raw: DataFrame, resource: str) -> list[Column]:
+    """Aggregates over a raw frame: rows, rows without a key, and broken documents.
+
+    A broken document is no row without a key; it is counted apart.
+    """
+    intact = F.col(BROKEN).isNull() if BROKEN in raw.columns else F.lit(True)
+    keys = ROW_KEYS[resource][1] if resource in ROW_KEYS else ()
+    lacking = F.lit(False)
+    for key in keys:
+        lacking = lacking | F.col(key).isNull()
+    return [
+        F.count_if(intact).alias("_rows"),
+        F.count_if(intact & lacking).alias("_no_key"),
+        F.count_if(~intact).alias("_broken"),
+    ]
+
+
 def cast_failures(raw: DataFrame, resource: str) -> DataFrame:
     """Values per field that were present but did not fit the target type, in one pass."""
     typed = [field for field in FIELDS[resource] if field[2] != "string"]

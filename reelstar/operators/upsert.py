@@ -21,10 +21,13 @@ def keyed(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def delete_matching(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not in staging; a NULL key matches nothing and stays."""
-    return target.join(keyed(staging, keys).select(*keys), list(keys), "left_anti").select(
-        *target.columns
-    )
+    """Target rows whose key is not in staging; a NULL key matches nothing and stays.
+
+    Rows without a key go round the join, which would send all of them to one task.
+    """
+    with_key = target.filter(_all_present(keys))
+    left = with_key.join(keyed(staging, keys).select(*keys), list(keys), "left_anti")
+    return left.select(*target.columns).unionByName(target.filter(~_all_present(keys)))
 
 
 def matching(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:

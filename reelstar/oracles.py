@@ -154,18 +154,23 @@ _BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT DISTINCT event_type || '/' || (props->>'$.k') AS media_id,
                CASE WHEN event_type <> 'error' THEN TIMESTAMP '2024-01-20' END AS mark
           FROM events WHERE event_type <> 'signup'"""),
+    "paged": (("first_events",), """
+        SELECT * REPLACE (CASE WHEN platform = 'view' AND cast(lon AS double) < 10 THEN NULL
+                               ELSE received_at END AS received_at),
+               received_at < TIMESTAMP '2024-01-16' AS early,
+               platform || '/' || coalesce(media_id, 'none') AS request
+          FROM first_events"""),
+    "pulled": (("paged",), """
+        SELECT 'bronze' AS place, * FROM paged WHERE early
+        UNION ALL
+        SELECT CASE WHEN m.mark IS NULL OR p.received_at > m.mark THEN 'bronze'
+                    ELSE 'quarantine' END, p.*
+          FROM (SELECT * FROM paged WHERE NOT early OR platform = 'purchase') p
+          LEFT JOIN (SELECT request, max(received_at) AS mark FROM paged WHERE early
+                      GROUP BY request) m ON m.request = p.request"""),
     "marked": (("landed", "marks"), """
         SELECT l.*, m.mark, (m.mark IS NULL OR l.received_at > m.mark) AS is_new
           FROM landed l LEFT JOIN marks m ON l.media_id = m.media_id"""),
-    "pages": (("marked",), """
-        SELECT media_id, page, count(*) AS n_rows,
-               count(*) FILTER (WHERE is_new) AS n_keep, max(received_at) AS max_ts
-          FROM marked GROUP BY media_id, page"""),
-    # a page is visited if all earlier numbers exist and kept a full page of new rows
-    "plan": (("pages",), """
-        SELECT p.*, (SELECT count(*) FROM pages q WHERE q.media_id = p.media_id
-                        AND q.page < p.page AND q.n_keep >= 2) = p.page - 1 AS visited
-          FROM pages p"""),
 }
 
 
@@ -206,6 +211,13 @@ _UPSERT_OUT = f"""
 _JOINED = "FROM facts f JOIN dim_media m ON f.media_id = m.media_id"
 
 
+_FACT_LENGTHS = (
+    ("event_key", 256), ("media_id", 64), ("visitor_key", 256), ("ip", 64), ("country", 128),
+    ("region", 128), ("city", 128), ("embed_url", 1000), ("media_name", 500), ("browser", 64),
+    ("platform", 64),
+)
+
+
 def _null_lines() -> str:
     parts = []
     for c in ("event_key", "media_id", "visitor_key", "country", "lat", "percent_viewed"):
@@ -220,6 +232,19 @@ def _null_lines() -> str:
 
 def _dq_lines() -> str:
     # table, source, key, required columns, allowed null percentages
+    lost = {
+        "dim_media": "(SELECT count(*) FROM media WHERE media_id IS NULL)",
+        "dim_visitor": "(SELECT count(*) FROM snapshots WHERE visitor_key IS NULL)",
+        "fact_media_engagement":
+            "(SELECT count(*) FROM deliveries WHERE event_key IS NULL OR media_id IS NULL)",
+    }
+    lengths = {
+        "dim_media": {"media_id": 64, "name": 500, "status": 32, "project_name": 200,
+                      "section_name": 300, "channel": 20},
+        "dim_visitor": {"visitor_key": 256, "browser": 64, "browser_version": 32, "platform": 64,
+                        "country": 128, "region": 128, "city": 128, "last_ip": 64},
+        "fact_media_engagement": dict(_FACT_LENGTHS),
+    }
     tables = (
         ("dim_media", "dim_media", "media_id", ("media_id", "name", "channel", "created_at"),
          {"media_id": 0, "name": 0, "channel": 0}),
@@ -241,9 +266,11 @@ def _dq_lines() -> str:
         )
 
     for table, source, key, required, limits in tables:
-        missing = f"count(*) FILTER (WHERE {key} IS NULL)"
         kept = f"count({key})"
-        parts.append(line(table, "dropped_null_key", key, missing, None, "TRUE") + f" FROM {source}")
+        parts.append(line(table, "dropped_null_key", key, lost[table], None, "TRUE"))
+        for c, n in lengths[table].items():
+            long = f"count(*) FILTER (WHERE strlen({c}) > {n})"
+            parts.append(line(table, "max_length", c, long, 0, f"{long} = 0") + f" FROM {source}")
         parts.append(line(table, "min_rows", None, kept, 1, f"{kept} >= 1") + f" FROM {source}")
         for c in required:
             parts.append(line(table, "required_column", c, 1, 1, "TRUE"))
@@ -269,24 +296,22 @@ def _dq_lines() -> str:
 def _constraint_lines() -> str:
     titles = (
         ("not_null", "media_id", None, "doc_id IS NULL"),
-        ("max_length", "media_id", 64, "length(cast(doc_id AS varchar)) > 64"),
-        ("max_length", "name", 500, "length(text) > 500"),
-        ("max_length", "status", 32, "length(lang) > 32"),
-        ("max_length", "section_name", 300, "length(source) > 300"),
-    )
-    lengths = (
-        ("event_key", 256), ("media_id", 64), ("visitor_key", 256), ("ip", 64), ("country", 128),
-        ("region", 128), ("city", 128), ("embed_url", 1000), ("media_name", 500), ("browser", 64),
-        ("platform", 64),
+        ("max_length", "media_id", 64, "strlen(cast(doc_id AS varchar)) > 64"),
+        ("max_length", "name", 500, "strlen(text) > 500"),
+        ("max_length", "status", 32, "strlen(lang) > 32"),
+        ("max_length", "section_name", 300, "strlen(source) > 300"),
     )
     staged = [("not_null", c, None, f"{c} IS NULL") for c in ("event_key", "media_id")]
-    staged += [("max_length", c, n, f"length({c}) > {n}") for c, n in lengths]
+    staged += [("max_length", c, n, f"strlen({c}) > {n}") for c, n in _FACT_LENGTHS]
+    staged += [
+        ("decimal_range", c, 10000, f"abs({c}) >= 10000") for c in ("lat", "lon", "percent_viewed")
+    ]
     parts = []
     for table, source, rules in (
         ("dim_media", "documents", titles), ("fact_media_engagement", "deliveries", staged)
     ):
         for rule, c, limit, bad in rules:
-            shown = "cast(NULL AS integer)" if limit is None else str(limit)
+            shown = f"cast({'NULL' if limit is None else limit} AS bigint)"
             parts.append(
                 f"SELECT '{table}' AS \"table\", '{rule}' AS \"constraint\", '{c}' AS \"column\", "
                 f"{shown} AS \"limit\", count(*) FILTER (WHERE {bad}) AS violations FROM {source}"
@@ -385,9 +410,13 @@ def all_oracles() -> dict[str, str]:
                UNION ALL SELECT 'fact_media_engagement', count(*) FROM fact""",
             "dim_media", "dim_visitor", "fact"),
         "sql_dashboard": _with(
-            f"""SELECT m.channel, cast(floor(f.percent_viewed * 10) * 10 AS integer) AS bucket_pct,
-                       count(*) AS events, count(DISTINCT f.visitor_key) AS unique_visitors
-                  {_JOINED} GROUP BY 1, 2""", "facts", "dim_media"),
+            """SELECT week, m.channel, count(DISTINCT visitor_key) AS visitors,
+                      count(*) FILTER (WHERE best >= 0.5) AS half_watched
+                 FROM (SELECT cast(weekofyear(event_date) AS integer) AS week, media_id, visitor_key,
+                              max(percent_viewed) AS best
+                         FROM facts WHERE visitor_key IS NOT NULL GROUP BY ALL) s
+                 JOIN dim_media m ON m.media_id = s.media_id
+                GROUP BY 1, 2""", "facts", "dim_media"),
         "null_key_filter": _with(
             """SELECT 'fact_media_engagement' AS "table", count(*) AS rows_read,
                       count(*) FILTER (WHERE event_key IS NOT NULL AND media_id IS NOT NULL) AS rows_kept,
@@ -397,7 +426,8 @@ def all_oracles() -> dict[str, str]:
                SELECT 'dim_visitor', count(*), count(visitor_key), count(*) - count(visitor_key)
                  FROM snapshots""", "deliveries", "snapshots"),
         "null_pct_profile": _with(_null_lines(), "deliveries"),
-        "dq_report": _with(_dq_lines(), "dim_media", "dim_visitor", "facts"),
+        "dq_report": _with(
+            _dq_lines(), "media", "snapshots", "deliveries", "dim_media", "dim_visitor", "facts"),
         "orphan_facts": _with(
             f"""SELECT event_key, media_id, {_date('event_date')} AS event_date FROM facts f
                  WHERE NOT EXISTS (SELECT 1 FROM measured m WHERE m.media_id = f.media_id)""",
@@ -421,28 +451,37 @@ def all_oracles() -> dict[str, str]:
                  WHERE event_key IS NOT NULL""", "kept", "staging"),
         "staging_load": _with(
             """SELECT m.media_id, m.channel, m.total_plays,
-                      cast(m.hours_watched AS double) AS hours_watched, e.events
+                      cast(m.hours_watched AS double) AS hours_watched, e.events, e.of_visitors
                  FROM dim_media m LEFT JOIN
-                      (SELECT media_id, count(*) AS events FROM facts GROUP BY media_id) e
-                      ON m.media_id = e.media_id""", "dim_media", "facts"),
+                      (SELECT media_id, count(*) AS events, count(p.visitor_key) AS of_visitors
+                         FROM facts f LEFT JOIN people p ON p.visitor_key = f.visitor_key
+                        GROUP BY media_id) e
+                      ON m.media_id = e.media_id""", "dim_media", "facts", "people"),
         "incremental_filter": _with(f"SELECT {landed_out} FROM marked WHERE is_new", "marked"),
         "late_rows": _with(
             f"SELECT {landed_out}, {_ts('mark')} AS mark FROM marked WHERE NOT is_new", "marked"),
-        "page_stop_rule": _with(
-            """SELECT media_id, page, n_rows, n_keep, visited, visited AND n_keep >= 1 AS written
-                 FROM plan""", "plan"),
-        "pulled_rows": _with(
-            f"""SELECT m.media_id, m.page, m.event_key, {_iso('m.received_at')} AS received_at
-                  FROM marked m JOIN plan p ON m.media_id = p.media_id AND m.page = p.page
-                 WHERE m.is_new AND p.visited AND p.n_keep >= 1""", "marked", "plan"),
+        "pull_and_publish": _with(
+            f"""SELECT place, event_key, media_id, visitor_key, {_iso('received_at')} AS received_at
+                  FROM pulled""", "pulled"),
+        "broken_documents": _with(
+            """SELECT platform = 'error' AS is_broken,
+                      CASE WHEN platform <> 'error' THEN event_key END AS event_key
+                 FROM first_events""", "first_events"),
+        "full_refresh": _with(
+            "SELECT media_id AS hashed_id, name FROM media WHERE status = 'ready'", "media"),
+        "rerun_older_day": _with(f"SELECT {_VISITOR_OUT} FROM dim_visitor", "dim_visitor"),
+        "publish_two_sources": _with(
+            f"""SELECT event_key, media_id, {_ts('received_at')} AS received_at,
+                       {_date('event_date')} AS event_date,
+                       cast(percent_viewed AS double) AS percent_viewed FROM facts""", "facts"),
         "next_watermark": _with(
             f"""SELECT 'events' AS endpoint, media_id, {_iso('high_water')} AS high_water FROM (
                   SELECT coalesce(s.media_id, m.media_id) AS media_id,
                          greatest(s.seen, m.mark) AS high_water
-                    FROM (SELECT media_id, max(max_ts) AS seen FROM plan WHERE visited
+                    FROM (SELECT media_id, max(received_at) AS seen FROM landed
                            GROUP BY media_id) s
                     FULL JOIN marks m ON s.media_id = m.media_id)
-                 WHERE high_water IS NOT NULL""", "plan", "marks"),
+                 WHERE high_water IS NOT NULL""", "landed", "marks"),
         "path_media_id": """
             SELECT regexp_extract('bronze/media_stats/' || strftime(ts, 'year=%Y/month=%m/day=%d')
                      || '/media_id=' || (props->>'$.k') || '/' || (props->>'$.k') || '.json',
@@ -457,9 +496,11 @@ def all_oracles() -> dict[str, str]:
                 WHERE media_id IN (SELECT media_id FROM media WHERE status = 'archived')""",
             "facts", "media"),
         "json_bronze_roundtrip": _with(
-            f"""SELECT event_key, media_id, visitor_key, {_ts('received_at')} AS received_at,
-                       cast(lat AS double) AS lat, cast(percent_viewed AS double) AS percent_viewed,
-                       platform, is_mobile FROM deliveries""", "deliveries"),
+            f"""SELECT event_key, media_id, visitor_key, {_ts('received_at')} AS received_at, ip,
+                       country, region, city, cast(lat AS double) AS lat,
+                       cast(lon AS double) AS lon,
+                       cast(percent_viewed AS double) AS percent_viewed, embed_url, media_name,
+                       browser, platform, is_mobile FROM deliveries""", "deliveries"),
         "silver_roundtrip": _with(f"SELECT {_VISITOR_OUT} FROM dim_visitor", "dim_visitor"),
         "landed_documents": _with(
             f"""SELECT coalesce(media_id, 'none') AS request_media_id,
@@ -470,15 +511,10 @@ def all_oracles() -> dict[str, str]:
                         UNION ALL
                         SELECT media_id, received_at - INTERVAL 1 HOUR, 1, event_key, received_at
                           FROM replays)""", "first_events", "replays"),
-        "daily_load": _with(
-            f"""SELECT event_key, media_id, visitor_key, {_date('event_date')} AS event_date,
-                       {_ts('received_at')} AS received_at, country,
-                       cast(percent_viewed AS double) AS percent_viewed, visitor_play_count,
-                       visitor_load_count FROM fact""", "fact"),
+        "daily_load": _with(f"SELECT {_FACT_OUT} FROM fact", "fact"),
         "stream_daily_trend": _with(
-            f"""SELECT {_date('cast(ts AS date)')} AS event_date, m.channel, count(*) AS events
-                  FROM events e JOIN dim_media m ON m.media_id = e.props->>'$.k'
-                 GROUP BY 1, 2""", "dim_media"),
+            f"""SELECT {_date('f.event_date')} AS event_date, m.channel, count(*) AS events
+                  {_JOINED} GROUP BY 1, 2""", "facts", "dim_media"),
         "stream_upsert": _with(
             f"""SELECT event_key, media_id, {_ts('received_at')} AS received_at,
                        {_date('event_date')} AS event_date,

@@ -5,17 +5,35 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from reelstar.operators import incremental as inc
 from reelstar.operators import quality, star
 from reelstar.operators.joins import tracked_only
-from reelstar.schemas import KEYS, LOAD_ORDER, MARKS, PAGED, PARTITION_BY, RULES, SORT_BY, STAR
+from reelstar.operators.latest import latest_by
+from reelstar.schemas import (
+    BROKEN,
+    DAYS,
+    FAILED_CAST_PCT,
+    KEYS,
+    LOAD_ORDER,
+    MARKS,
+    NEWEST_BY,
+    PAGED,
+    PARTITION_BY,
+    RAW,
+    RULES,
+    SORT_BY,
+    STAR,
+)
 from reelstar.session import stored
 from reelstar.sources import bronze, silver
 from reelstar.sources.warehouse import Load, Warehouse
 
 MARKS_TABLE = "high_water"
+DAYS_TABLE = "days_loaded"
+REFRESHED = ("media_metadata", "media_stats")
 
 
 @dataclass(frozen=True)
@@ -31,12 +49,47 @@ class Roots:
 
 @dataclass
 class Day:
-    """What a run built: silver tables with data, and values per field that did not fit a type."""
+    """What a run built, and what it counted on the way.
+
+    ``tables`` are the silver tables with data. ``rows``, ``no_key`` and ``broken`` count rows,
+    rows left out for a missing key, and unreadable documents per resource; ``failed_casts``
+    values per resource and field that did not fit a type.
+    """
 
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
+    no_key: dict[str, int] = field(default_factory=dict)
+    broken: dict[str, int] = field(default_factory=dict)
     failed_casts: dict[tuple[str, str], int] = field(default_factory=dict)
 
 
+def _quarantine(df: DataFrame, roots: Roots, name: str, run_date: str) -> None:
+    """Keep rows of a run aside; a rerun replaces what the run kept before."""
+    if roots.quarantine is not None:
+        dated = df.withColumn("run_date", F.to_date(F.lit(run_date)))
+        writer = dated.write.partitionBy("run_date").mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(f"{roots.quarantine}/{name}")
+
+
+def refresh(spark: SparkSession, roots: Roots, endpoint: str, days: Sequence[str]) -> None:
+    """Put the landed documents of a resource that is pulled whole in place of the day's."""
+    for day in days:
+        if day in bronze.days_present(spark, roots.landing, endpoint):
+            documents = bronze.read_bronze(spark, roots.landing, endpoint, [day], keep_broken=True)
+            documents = stored(spark, documents, f"landed-{endpoint}")
+            _stop_if_broken(documents, roots, endpoint, day)
+            bronze.write_bronze(documents, roots.bronze, endpoint, day, replace=True)
+
+
+def _stop_if_broken(documents: DataFrame, roots: Roots, name: str, run_date: str) -> None:
+    """Fail the gate if documents cannot be read, and keep their texts in quarantine."""
+    torn = documents.filter(F.col(BROKEN).isNotNull())
+    n = torn.count()
+    if n:
+        _quarantine(torn.select(BROKEN), roots, f"broken_{name}", run_date)
+        quality.gate(None, [quality.build_line(name, "broken_documents", None, n, 0, n)])
+
+
 def pull_pages(
     spark: SparkSession,
     roots: Roots,
@@ -44,36 +97,50 @@ def pull_pages(
     run_date: str,
     compare: str = "parsed",
     tracked: str | DataFrame | None = None,
+    days: Sequence[str] | None = None,
+    lines: bool = False,
 ) -> DataFrame:
-    """Move the new rows of the day's landed pages to bronze; returns the endpoint's next marks.
+    """Move the new rows of the days' landed pages to bronze; returns the endpoint's next marks.
 
-    ``tracked`` limits the pull to some videos, as a comma-separated setting or a frame.
+    Every landed row above its video's mark is taken, and the next mark is the newest time of
+    all landed rows. Rows that bronze holds already are passed over, so a rerun adds nothing;
+    the others, late or without a time, go to quarantine. Landing is parsed once. ``tracked``
+    limits the pull to some videos, as a comma-separated setting or a frame. A landed file holds
+    one page, or with ``lines`` one page per line.
 
-    The marks are not stored here: they are published together with the tables, so rows whose
-    load fails are pulled again.
+    The marks are not stored here: they are published together with the tables.
     """
-    ts = PAGED[endpoint]
-    landed = bronze.read_landing(spark, roots.landing, endpoint, run_date)
+    ts, days = PAGED[endpoint], list(days or [run_date])
+    landed = bronze.read_landing(
+        spark, roots.landing, endpoint, days, multiline=not lines, keep_broken=True
+    )
+    content = F.xxhash64(*RAW[endpoint].names)
+    landed = landed.withColumn("_content", content)
     if "media_id" in landed.columns:  # events repeat the id in the row
         landed = landed.withColumnRenamed("media_id", "row_media_id")
     rows = landed.withColumnRenamed("request_media_id", "media_id")
-    if tracked is not None:
-        rows = tracked_only(rows, tracked)
     marks = Warehouse(spark, roots.warehouse).read(MARKS_TABLE, MARKS)
-
-    plan = stored(
-        spark, inc.page_plan(rows, marks, endpoint, ts, compare), f"pages-{endpoint}"
+    marked = stored(
+        spark, inc.with_marks(rows, marks, endpoint, ts, compare), f"landed-{endpoint}"
     )
-    inc.check_page_cap(plan)
-    fresh = inc.consumed_rows(rows, plan, marks, endpoint, ts, compare)
-    fresh = fresh.withColumnRenamed("media_id", "request_media_id")
-    if "row_media_id" in fresh.columns:
-        fresh = fresh.withColumnRenamed("row_media_id", "media_id")
-    bronze.write_bronze(fresh, roots.bronze, endpoint, run_date, "request_media_id")
-    if roots.quarantine is not None:
-        late = inc.late_rows(rows, marks, endpoint, ts, compare)
-        late.write.mode("append").parquet(f"{roots.quarantine}/{endpoint}")
-    return inc.next_marks(plan, marks, endpoint, compare)
+    _stop_if_broken(marked, roots, endpoint, run_date)
+    if tracked is not None:
+        marked = tracked_only(marked, tracked)
+
+    known = bronze.read_bronze(spark, roots.bronze, endpoint, days)
+    known = known.select(content.alias("_content")).distinct()
+    rest = marked.join(known, "_content", "left_anti")
+    rest = rest.withColumnRenamed("media_id", "request_media_id")
+    if "row_media_id" in rest.columns:
+        rest = rest.withColumnRenamed("row_media_id", "media_id")
+    rest = stored(spark, rest, f"unseen-{endpoint}")
+    bronze.write_bronze(
+        rest.filter("_is_new"), roots.bronze, endpoint, run_date, "request_media_id"
+    )
+    late = rest.filter(~F.col("_is_new"))
+    shown = ["request_media_id", "page", "pos", *RAW[endpoint].names]
+    _quarantine(late.select(*shown, F.col("_mark").alias("mark")), roots, endpoint, run_date)
+    return inc.next_marks(marked, marks, endpoint, compare)
 
 
 def build_day(
@@ -87,19 +154,25 @@ def build_day(
 ) -> Day:
     """Build and write the silver tables of a run.
 
-    ``days`` lists the bronze days to take in, the run date alone by default; name earlier ones
-    to catch up after a failed run. The events are parsed once and kept as Parquet, because the
-    visitor dimension and the fact both read them; the fact takes the visitor counters from the
-    dimension just written. Failed casts are counted by the jobs that write the tables.
+    ``days`` lists the bronze days to take in, the run date alone by default. The events are
+    parsed once and kept as Parquet, because the visitor dimension and the fact both read them;
+    the fact takes the visitor counters from the dimension just written, or with
+    ``accumulated_visitors`` from those and the day's together, the more recently active of the
+    two. Rows, missing keys, broken documents and failed casts are counted by the jobs that
+    write the tables.
     """
     days = list(days or [run_date])
-    raw = {name: bronze.read_bronze(spark, roots.bronze, name, days) for name in star.FIELDS}
+    raw = {
+        name: bronze.read_bronze(spark, roots.bronze, name, days, keep_broken=True)
+        for name in star.FIELDS
+    }
 
     day, counting = Day(), {}
 
     def counted(resource: str, df: DataFrame) -> DataFrame:
         counting[resource] = Observation()
-        return df.observe(counting[resource], *star.cast_counters(resource).values())
+        counters = [*star.cast_counters(resource).values(), *star.row_counters(df, resource)]
+        return df.observe(counting[resource], *counters)
 
     def write(table: str, df: DataFrame) -> None:
         silver.check_columns(df, table, RULES[table]["required"])
@@ -107,27 +180,61 @@ def build_day(
         day.tables[table] = silver.read_silver(spark, roots.silver, table, run_date)
 
     if not raw["media_metadata"].isEmpty():
+        stats = raw["media_stats"]
+        if not stats.isEmpty():
+            stats = counted("media_stats", stats)
         metadata = counted("media_metadata", raw["media_metadata"])
-        write("dim_media", star.build_dim_media(metadata, raw["media_stats"], run_date))
+        write("dim_media", star.build_dim_media(metadata, stats, run_date))
 
     has_events = not raw["events"].isEmpty()
-    events = stored(spark, raw["events"], "events") if has_events else raw["events"]
+    events = raw["events"]
+    if has_events:
+        events = stored(spark, counted("events", events), "events")
     day_visitors = star.latest_visitors(raw["visitors"])
     if not raw["visitors"].isEmpty():
         visitors = counted("visitors", raw["visitors"])
         write("dim_visitor", star.build_dim_visitor(visitors, events, run_date, geo))
         day_visitors = day.tables["dim_visitor"]
     if has_events:
-        counts_from = day_visitors if accumulated_visitors is None else accumulated_visitors
-        df = star.build_fact(counted("events", events), counts_from, run_date, date_rule)
+        counts_from = day_visitors
+        if accumulated_visitors is not None:
+            both = ("visitor_key", "last_active_at", "play_count", "load_count")
+            together = accumulated_visitors.select(*both).unionByName(day_visitors.select(*both))
+            counts_from = latest_by(together, ["visitor_key"], ["last_active_at"])
+        df = star.build_fact(events, counts_from, run_date, date_rule)
         write("fact_media_engagement", df)
     for resource, counts in counting.items():
-        day.failed_casts |= {(resource, c): n for c, n in counts.get.items()}
+        found = dict(counts.get)
+        day.rows[resource] = found.pop("_rows")
+        day.no_key[resource] = found.pop("_no_key")
+        day.broken[resource] = found.pop("_broken")
+        day.failed_casts |= {(resource, c): n for c, n in found.items()}
+        if day.broken[resource]:
+            # Spark wants such rows stored before they are looked for
+            every = stored(spark, raw[resource], f"torn-{resource}")
+            torn = every.filter(F.col(BROKEN).isNotNull()).select(BROKEN)
+            _quarantine(torn, roots, f"broken_{resource}", run_date)
     return day
 
 
+def build_lines(day: Day, failed_cast_pct: float = FAILED_CAST_PCT) -> list:
+    """Report lines of what the build counted: no broken document, few failed casts."""
+    lines = [
+        quality.build_line(resource, "broken_documents", None, n, 0, n)
+        for resource, n in day.broken.items()
+    ]
+    for (resource, column), n in day.failed_casts.items():
+        share = 100 * n / max(1, day.rows[resource])
+        lines.append(
+            quality.build_line(resource, "failed_casts", column, n, failed_cast_pct, share)
+        )
+    return lines
+
+
 def load(table: str, staging: DataFrame) -> Load:
-    return Load(staging, [KEYS[table]], PARTITION_BY.get(table), SORT_BY[table])
+    return Load(
+        staging, [KEYS[table]], PARTITION_BY.get(table), SORT_BY[table], NEWEST_BY.get(table, ())
+    )
 
 
 def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -140,12 +247,14 @@ def check_and_publish(
     roots: Roots,
     day: Day,
     marks: DataFrame | None = None,
+    days: Sequence[str] = (),
 ) -> list:
     """Run every check on every table, then publish all of them in one commit.
 
     The fact may point at a video of an earlier day, so it is checked against the published
-    dimension and the day's together. Returns the quality report with the failed casts next to
-    it; a failed check raises before anything is published.
+    dimension and the day's together. ``days`` are noted as loaded by the same commit. Returns
+    the quality report and the lines of the build; a failed check raises before anything is
+    published.
     """
     tables = day.tables
     known = published(spark, roots.warehouse)["dim_media"].select("media_id")
@@ -153,17 +262,32 @@ def check_and_publish(
         known = known.unionByName(tables["dim_media"].select("media_id"))
     elif not Warehouse(spark, roots.warehouse).exists("dim_media"):
         known = None
-    report = quality.gate(quality.quality_report(tables, known))
+    dropped = {
+        table: day.no_key[resource]
+        for resource, (table, _) in star.ROW_KEYS.items()
+        if resource in day.no_key
+    }
+    report = quality.gate(quality.quality_report(tables, known, dropped), build_lines(day))
     loads = {t: load(t, tables[t]) for t in LOAD_ORDER if t in tables}
     if marks is not None:
         loads[MARKS_TABLE] = Load(marks, ["endpoint", "media_id"])
     if loads:
+        if days:
+            noted = spark.createDataFrame([(d,) for d in days], DAYS)
+            loads[DAYS_TABLE] = Load(noted, ["day"], buckets=1)
         Warehouse(spark, roots.warehouse).publish(loads)
-    casts = [
-        (resource, "failed_casts", column, float(n), None, "ok")
-        for (resource, column), n in day.failed_casts.items()
-    ]
-    return report + [Row(*quality.REPORT)(*line) for line in casts]
+    return report
+
+
+def open_days(spark: SparkSession, roots: Roots, run_date: str, pull: bool = False) -> list[str]:
+    """The run date, and earlier days that have documents but were never published."""
+    places = [(roots.bronze, name) for name in star.FIELDS]
+    if pull:
+        places += [(roots.landing, name) for name in star.FIELDS]
+    found = set().union(*(bronze.days_present(spark, root, name) for root, name in places))
+    loaded = Warehouse(spark, roots.warehouse).read(DAYS_TABLE, DAYS).collect()  # one row a day
+    open_ = {d for d in found if d < run_date} - {r["day"] for r in loaded}
+    return sorted(open_ | {run_date})
 
 
 def run(
@@ -173,13 +297,22 @@ def run(
     days: Sequence[str] | None = None,
     pull: bool = False,
     tracked: str | DataFrame | None = None,
+    compare: str = "parsed",
     **options,
 ) -> list:
-    """One daily run. ``pull`` first takes the landed pages of the paged endpoints."""
+    """One daily run, over the run date and the earlier days that no run has published.
+
+    ``days`` names the days instead. ``pull`` first takes the landed pages of the paged endpoints
+    and the landed documents of the others.
+    """
+    days = list(days) if days else open_days(spark, roots, run_date, pull)
     marks = None
     if pull:
+        for endpoint in REFRESHED:
+            refresh(spark, roots, endpoint, days)
         for endpoint in PAGED:
-            after = pull_pages(spark, roots, endpoint, run_date, tracked=tracked)
+            after = pull_pages(spark, roots, endpoint, run_date, compare, tracked, days)
             marks = after if marks is None else marks.unionByName(after)
+        days = sorted({*days, run_date})
     day = build_day(spark, roots, run_date, days, **options)
-    return check_and_publish(spark, roots, day, marks)
+    return check_and_publish(spark, roots, day, marks, days)

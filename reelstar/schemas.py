@@ -21,6 +21,7 @@ def columns(spec: str, required: tuple[str, ...] = (), **nested: StructType) ->
 
 _AGENT = columns("browser string, browser_version string, platform string, mobile string")
 
+# The fields of the raw documents, and below those of the star.
 RAW = {
     "media_metadata": columns(
         "hashed_id string, name string, duration string, created string, updated string, "
@@ -72,6 +73,10 @@ STAR = {
     ),
 }
 
+BROKEN = "_broken"  # text of a document that is no JSON of its schema
+
+DAYS = columns("day string")
+
 MARKS = columns("endpoint string, media_id string, high_water string")
 
 # Dimensions load before the fact that points at them.
@@ -91,7 +96,17 @@ SORT_BY = {
     "fact_media_engagement": ("event_date", "media_id"),
 }
 
-# Declared VARCHAR lengths.
+# A row older by these than the published one of its key does not replace it.
+NEWEST_BY = {
+    "dim_media": ("updated_at", "load_date"),
+    "dim_visitor": ("last_active_at", "load_date"),
+    "fact_media_engagement": ("received_at", "load_date"),
+}
+
+# Failed casts of a field up to this share of a resource's rows do not stop a run.
+FAILED_CAST_PCT = 50.0
+
+# Declared VARCHAR lengths, in bytes.
 MAX_LENGTH = {
     "dim_media": {
         "media_id": 64, "name": 500, "status": 32, "project_name": 200, "section_name": 300,
@@ -132,9 +147,7 @@ CHANNEL_WORDS = (("youtube", "YouTube"), ("facebook", "Facebook"))
 NO_CHANNEL = "Unknown"
 MEDIA_ID_IN_PATH = r"media_id=([^/]+)/"
 
-# Paging and the high-water sentinel.
-PAGE_SIZE = 100
-MAX_PAGES = 50_000
+# The high-water sentinel, and the time each paged endpoint is read by.
 NO_HIGH_WATER = "1970-01-01T00:00:00Z"
 PAGED = {"visitors": "created_at", "events": "received_at"}
 

@@ -5,6 +5,8 @@ there: ``*.json`` documents as an API client stores them (one object, or one arr
 possibly over several lines) and ``*.txt.gz`` with one object per line, as ``write_bronze``
 stores them. A folder per video suits a client that stores page after page; rows written by
 Spark carry the id themselves, so many videos can share a file.
+
+Folders are listed through the session's JVM, so a classic session is needed, not a Connect one.
 """
 
 from __future__ import annotations
@@ -13,10 +15,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from reelstar.functions import columns as C
-from reelstar.schemas import RAW
+from reelstar.schemas import BROKEN, RAW
 from reelstar.session import empty_frame
 
 DOCUMENTS = "*.json"
@@ -51,19 +53,46 @@ def _existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return found
 
 
+def days_present(spark: SparkSession, root: str, endpoint: str) -> set[str]:
+    """Days of an endpoint that have a folder; their number is that of the days on record."""
+
+    def below(path: str, name: str) -> list[str]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        return [f.split("=")[1] for f in found if f.startswith(f"{name}=")]
+
+    base, days = f"{root.rstrip('/')}/{endpoint}", set()
+    for year in below(base, "year"):
+        for month in below(f"{base}/year={year}", "month"):
+            for day in below(f"{base}/year={year}/month={month}", "day"):
+                days.add(f"{year}-{month}-{day}")
+    return days
+
+
 def read_bronze(
-    spark: SparkSession, root: str, endpoint: str, run_dates: Sequence[str]
+    spark: SparkSession,
+    root: str,
+    endpoint: str,
+    run_dates: Sequence[str],
+    keep_broken: bool = False,
 ) -> DataFrame:
     """All documents of an endpoint for the given days.
 
+    A document that is no JSON gives a row of NULLs. With ``keep_broken`` its text is in a column
+    ``_broken``, which is NULL for all others.
+
     A day without a folder contributes nothing; any other read error is raised. Naming the day
     folders prunes the listing to them. Partition columns are not discovered: events carry
     their own media_id, and the statistics take theirs from the file path.
     """
+    schema = _with_broken(RAW[endpoint]) if keep_broken else RAW[endpoint]
     paths = _existing(spark, [day_path(root, endpoint, d) for d in run_dates])
     if not paths:
-        return empty(spark, endpoint)
-    reader = spark.read.schema(RAW[endpoint]).option("recursiveFileLookup", True)
+        return empty_frame(spark, schema)
+    reader = spark.read.schema(schema).option("recursiveFileLookup", True)
+    if keep_broken:
+        reader = reader.option("columnNameOfCorruptRecord", BROKEN)
     documents = reader.option("multiLine", True).option("pathGlobFilter", DOCUMENTS).json(paths)
     lines = reader.option("multiLine", False).option("pathGlobFilter", LINES).json(paths)
     if endpoint == "media_stats":
@@ -74,6 +103,10 @@ def read_bronze(
     return documents.unionByName(lines)
 
 
+def _with_broken(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(BROKEN, StringType())])
+
+
 def write_bronze(
     df: DataFrame,
     root: str,
@@ -112,24 +145,37 @@ def read_landing(
     spark: SparkSession,
     root: str,
     endpoint: str,
-    run_date: str | None = None,
+    run_dates: Sequence[str] | None = None,
     multiline: bool = True,
+    keep_broken: bool = False,
 ) -> DataFrame:
     """Fetched pages of a paged endpoint, one output row per element.
 
     A landed page is ``{"media_id": .., "page": n, "rows": [..]}``: one per file, or with
-    ``multiline=False`` one per line. With ``run_date`` only that day's folder is read, laid out
-    like bronze. Output: media_id of the request as ``request_media_id``, ``page``, ``pos`` in
-    the page, and the endpoint's fields.
+    ``multiline=False`` one per line. With ``run_dates`` only the folders of those days are read,
+    laid out like bronze. Output: media_id of the request as ``request_media_id``, ``page``,
+    ``pos`` in the page, and the endpoint's fields. With ``keep_broken`` a page that is no JSON
+    gives one row that holds its text in ``_broken`` and NULLs besides.
     """
-    path = day_path(root, endpoint, run_date) if run_date else f"{root.rstrip('/')}/{endpoint}"
+    paths = [f"{root.rstrip('/')}/{endpoint}"]
+    if run_dates is not None:
+        paths = [day_path(root, endpoint, d) for d in run_dates]
+    paths = _existing(spark, paths)
     schema = StructType().add("media_id", "string").add("page", "integer")
-    schema = schema.add("rows", ArrayType(RAW[endpoint]))
-    if _existing(spark, [path]):
+    schema = _with_broken(schema.add("rows", ArrayType(RAW[endpoint])))
+    if paths:
         reader = spark.read.schema(schema).option("recursiveFileLookup", True)
-        pages = reader.option("multiLine", multiline).json(path)
+        reader = reader.option("columnNameOfCorruptRecord", BROKEN)
+        pages = reader.option("multiLine", multiline).json(paths)
     else:
         pages = empty_frame(spark, schema)
-    element = F.posexplode("rows").alias("pos", "row")
-    rows = pages.select(F.col("media_id").alias("request_media_id"), "page", element)
-    return rows.select("request_media_id", "page", "pos", "row.*")
+    if keep_broken:
+        # rows read before the place where a page breaks off are not to be trusted either
+        kept = F.when(F.col(BROKEN).isNull(), F.col("rows"))
+        element = F.posexplode_outer(kept).alias("pos", "row")
+        whole = F.col(BROKEN).isNotNull() | F.col("row").isNotNull()
+    else:
+        element, whole = F.posexplode("rows").alias("pos", "row"), F.lit(True)
+    rows = pages.select(F.col("media_id").alias("request_media_id"), "page", element, BROKEN)
+    out = rows.filter(whole).select("request_media_id", "page", "pos", "row.*", BROKEN)
+    return out if keep_broken else out.drop(BROKEN)

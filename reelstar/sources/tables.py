@@ -9,7 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelstar.operators.upsert import delete_matching, keyed
 from reelstar.schemas import KEYS, LOAD_ORDER, MAX_LENGTH, PARTITION_BY, STAR
+from reelstar.session import stored
 
 
 def _columns(table: str, staging: bool) -> str:
@@ -48,13 +50,24 @@ def fill_staging(names: dict[str, str], table: str, df: DataFrame) -> None:
 
 
 def insert_from_staging(spark: SparkSession, names: dict[str, str], table: str) -> None:
-    """Insert the keyed staging rows; by name, as a partitioned table keeps its date last.
+    """Upsert the keyed staging rows: rows of their keys are deleted first, so a second load of
+    the same rows changes nothing.
 
-    The rebalance brings a date's rows together and splits a date that is too large for a task.
+    Columns go by name, as a partitioned table keeps its date last. A catalog table of Parquet
+    files is rewritten whole; published tables, see ``warehouse``, are not.
     """
-    part = PARTITION_BY.get(table)
-    hint = f"/*+ REBALANCE({part}) */" if part else ""
-    spark.sql(
-        f"INSERT INTO {names[table]} BY NAME SELECT {hint} * FROM {names[f'stg_{table}']} "
-        f"WHERE {KEYS[table]} IS NOT NULL"
-    )
+    part, key = PARTITION_BY.get(table), [KEYS[table]]
+    staging = keyed(spark.table(names[f"stg_{table}"]), key)
+    target = spark.table(names[table])
+    kept = stored(spark, delete_matching(target, staging, key), f"kept-{table}")
+    rows = kept.unionByName(staging.select(*target.columns))
+    if part:
+        rows = rows.hint("rebalance", part)
+    rows.select(*target.columns).createOrReplaceTempView("_upserted")
+    with_static = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        spark.sql(f"INSERT OVERWRITE {names[table]} BY NAME SELECT * FROM _upserted")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", with_static)
+        spark.catalog.dropTempView("_upserted")

@@ -6,6 +6,7 @@ take what has landed, record it in the checkpoint and stop.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql.types import StructType
 from reelstar.operators.latest import latest_by
 from reelstar.schemas import RAW, columns
 from reelstar.session import stored
-from reelstar.sources.warehouse import Load, Warehouse
+from reelstar.sources.warehouse import Derived, Load, Warehouse
 
 
 def bronze_stream(
@@ -53,6 +54,12 @@ def _run(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], No
     query.awaitTermination()
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint, so it is the same after a restart."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
 def upsert_stream(
     stream: DataFrame,
     warehouse: Warehouse,
@@ -63,57 +70,58 @@ def upsert_stream(
     partition_by: str | None = None,
     sort_by: Sequence[str] = (),
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    derived: dict[str, Derived] | None = None,
 ) -> None:
     """Keep the newest row per key in a published table, batch by batch.
 
     A batch is reduced to its newest row per key, rows older than the published one are left
     out, and the rest is upserted. A deduplicating stream operator would keep the first
-    delivery instead of the newest, so the state is the table itself. The batch number goes
-    into the commit: a batch that is run again after a failure is not applied twice.
+    delivery instead of the newest, so the state is the table itself, and no row is too late.
+    The stream's id and the batch number go into the commit: a batch that is run again after a
+    failure is not applied twice, and batches of other streams are not taken for it.
     """
 
     def step(batch: DataFrame, number: int) -> None:
         rows = prepare(batch) if prepare else batch
         newest = stored(warehouse.spark, latest_by(rows, keys, order), f"{table}-batch")
         load = Load(newest, keys, partition_by, sort_by, newest_by=order)
-        warehouse.publish({table: load}, note=f"{table}#{number}")
+        stream_id = _query_id(warehouse.spark, checkpoint)
+        warehouse.publish({table: load}, note=f"{table}@{stream_id}#{number}", derived=derived)
 
     _run(stream, checkpoint, step, "append")
 
 
+TREND = columns("event_date date, media_id string, events long")
+
+
 def daily_trend_stream(
     events: DataFrame,
     warehouse: Warehouse,
-    table: str,
+    fact: str,
+    trend: str,
     checkpoint: str,
-    delay: str = "7 days",
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
-    """Events per day and channel over a stream of events with ``media_id`` and ``received_at``.
+    """Keep the fact and the events per day and video that it holds.
 
-    Tumbling one-day windows per video keep the state small and the dimension out of it; the
-    watermark drops a day's state once ``delay`` has passed. Every batch upserts the days it
-    changed.
+    The days a batch touches are counted anew from the fact, in the commit that changes it, so
+    replays count once and late events count whenever they come.
     """
-    per_media = (
-        events.withWatermark("received_at", delay)
-        .groupBy(F.window("received_at", "1 day"), "media_id")
-        .agg(F.count(F.lit(1)).alias("events"))
-        .select(F.col("window.start").cast("date").alias("event_date"), "media_id", "events")
+    recount = Derived(
+        fact,
+        lambda rows: rows.groupBy("event_date", "media_id").agg(
+            F.count(F.lit(1)).alias("events")
+        ),
     )
-
-    def step(batch: DataFrame, number: int) -> None:
-        staged = stored(warehouse.spark, batch.filter(F.col("media_id").isNotNull()), table)
-        load = Load(staged, ["event_date", "media_id"], "event_date")
-        warehouse.publish({table: load}, note=f"{table}#{number}")
-
-    _run(per_media, checkpoint, step, "update")
-
-
-TREND = columns("event_date date, media_id string, events long")
+    upsert_stream(
+        events, warehouse, fact, ["event_key"], ["received_at"], checkpoint,
+        partition_by="event_date", sort_by=("media_id",), prepare=prepare,
+        derived={trend: recount},
+    )
 
 
-def read_daily_trend(warehouse: Warehouse, table: str, dim_media: DataFrame) -> DataFrame:
-    per_media = warehouse.read(table, TREND, "event_date")
+def read_daily_trend(warehouse: Warehouse, trend: str, dim_media: DataFrame) -> DataFrame:
+    per_media = warehouse.read(trend, TREND, "event_date")
     return (
         per_media.join(dim_media.select("media_id", "channel"), "media_id")
         .groupBy("event_date", "channel")

@@ -69,3 +69,10 @@ def test_allow_list_text():
 def test_iso_keeps_microseconds(spark):
     df = spark.sql("SELECT timestamp'2024-01-02 03:04:05.678901' AS t")
     assert df.select(C.iso_timestamp(F.col("t"))).first()[0] == "2024-01-02T03:04:05.678901Z"
+
+
+def test_a_third_channel(spark):
+    names = spark.createDataFrame([("TikTok via youtube",), ("tiktok",), ("radio",), (None,)], "name string")
+    words = (("tiktok", "TikTok"), ("youtube", "YouTube"))
+    got = [r[0] for r in names.select(C.channel_of(F.col("name"), words)).collect()]
+    assert got == ["TikTok", "TikTok", "Unknown", "Unknown"]

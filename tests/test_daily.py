@@ -124,3 +124,99 @@ def test_pull_moves_marks_with_the_publish(spark, roots, bronze_root):
     assert got == {"e1": 0.5, "e2": 0.5, "e3": 0.5}
     late = spark.read.parquet(f"{roots.quarantine}/events").collect()
     assert [r["event_key"] for r in late] == ["e2"]
+    # a rerun neither takes loaded rows for late ones nor writes them again
+    daily.run(spark, roots, "2026-04-21", pull=True)
+    again = spark.read.parquet(f"{roots.quarantine}/events").collect()
+    assert [r["event_key"] for r in again] == ["e2"]
+    assert published(spark, roots).count() == 3
+
+
+def test_short_pages_and_rows_without_time_are_all_taken(spark, roots, bronze_root):
+    media(bronze_root, "2026-04-20", "m1")
+    for page in range(1, 5):
+        rows = [event(f"e{page}{i}", at=f"2026-04-20T{20 - page}:0{i}:00Z") for i in range(5)]
+        land(roots, "events", "m1", page, [*rows, {**event(f"x{page}"), "received_at": None}])
+    daily.run(spark, roots, "2026-04-20", pull=True)
+    assert published(spark, roots).count() == 24
+
+
+def test_torn_page_fails_the_run_and_is_kept(spark, roots, bronze_root):
+    media(bronze_root, "2026-04-20", "m1")
+    land(roots, "events", "m1", 1, [event("e1")])
+    folder = Path(day_path(roots.landing, "events", "2026-04-20"))
+    text = (folder / "m1-1.json").read_text()
+    (folder / "m1-2.json").write_text(text[: len(text) // 2])
+    with pytest.raises(QualityGateError, match="broken_documents"):
+        daily.run(spark, roots, "2026-04-20", pull=True)
+    torn = spark.read.parquet(f"{roots.quarantine}/broken_events").collect()
+    assert [r["_broken"] for r in torn] == [text[: len(text) // 2]]
+    # mended, the run takes both pages
+    (folder / "m1-2.json").write_text(text.replace("e1", "e2"))
+    daily.run(spark, roots, "2026-04-20", pull=True)
+    assert {r["event_key"] for r in published(spark, roots).collect()} == {"e1", "e2"}
+
+
+def test_torn_bronze_document_fails_the_gate(spark, roots, bronze_root):
+    media(bronze_root, "2026-04-20", "m1")
+    put(bronze_root, "events", "m1", [event("e1")], page=1)
+    folder = Path(day_path(roots.bronze, "events", "2026-04-20")) / "media_id=m1"
+    (folder / "page_00002.json").write_text('[{"event_key": "e2", "med')
+    with pytest.raises(QualityGateError, match="broken_documents"):
+        daily.run(spark, roots, "2026-04-20")
+    assert Warehouse(spark, roots.warehouse).version() == 0
+    assert spark.read.parquet(f"{roots.quarantine}/broken_events").count() == 1
+
+
+def test_rows_without_key_are_reported(spark, roots, bronze_root):
+    media(bronze_root, "2026-04-20", "m1")
+    put(bronze_root, "events", "m1", [event("e1"), event(None), event("e3", media_id=None)], page=1)
+    report = daily.run(spark, roots, "2026-04-20")
+    dropped = {r["table"]: r["value"] for r in report if r["check"] == "dropped_null_key"}
+    assert dropped == {"dim_media": 0.0, FACT: 2.0}
+
+
+def test_day_that_failed_is_taken_in_by_the_next_run(spark, roots, bronze_root):
+    media(bronze_root, "2026-04-20", "m1")
+    put(bronze_root, "events", "m1", [event("e1"), event("e2", media_id="unknown")], page=1)
+    with pytest.raises(QualityGateError, match="orphan_media"):
+        daily.run(spark, roots, "2026-04-20")
+    media(bronze_root, "2026-04-21", "unknown")
+    put(bronze_root, "events", "m1", [event("e3", at="2026-04-21T10:00:00Z")], page=1, day="2026-04-21")
+    daily.run(spark, roots, "2026-04-21")
+    assert {r["event_key"] for r in published(spark, roots).collect()} == {"e1", "e2", "e3"}
+    assert daily.open_days(spark, roots, "2026-04-22") == ["2026-04-22"]
+
+
+def test_older_day_does_not_win(spark, roots, bronze_root):
+    for day, count, title in (("2026-04-20", 1, "old"), ("2026-04-21", 9, "new")):
+        put(bronze_root, "media_metadata", "m1", {"hashed_id": "m1", "name": title, "created": "2026-01-01T00:00:00Z"}, day=day)
+        put(bronze_root, "visitors", "m1", [{**visitor("v1", count), "last_active_at": f"{day}T00:00:00Z"}], page=1, day=day)
+        put(bronze_root, "events", "m1", [event(f"e{count}", at=f"{day}T10:00:00Z")], page=1, day=day)
+        daily.run(spark, roots, day)
+    daily.run(spark, roots, "2026-04-20")
+    assert [r["play_count"] for r in published(spark, roots, "dim_visitor").collect()] == [9]
+    assert [r["name"] for r in published(spark, roots, "dim_media").collect()] == ["new"]
+    assert published(spark, roots).count() == 2
+
+
+def test_accumulated_counters_hold_the_days_visitors(spark, roots, bronze_root):
+    media(bronze_root, "2026-04-20", "m1")
+    put(bronze_root, "visitors", "m1", [visitor("v1", 1)], page=1)
+    daily.run(spark, roots, "2026-04-20")
+    later = {"last_active_at": "2026-04-21T00:00:00Z"}
+    put(bronze_root, "visitors", "m1", [{**visitor("v1", 5), **later}, {**visitor("v2", 3), **later}], page=1, day="2026-04-21")
+    put(bronze_root, "events", "m1", [event("e1"), event("e2", who="v2")], page=1, day="2026-04-21")
+    known = published(spark, roots, "dim_visitor")
+    daily.run(spark, roots, "2026-04-21", accumulated_visitors=known)
+    got = {r["event_key"]: r["visitor_play_count"] for r in published(spark, roots).collect()}
+    assert got == {"e1": 5, "e2": 3}
+
+
+def test_whole_resources_are_replaced(spark, roots):
+    landing = Path(roots.landing)
+    for title in ("first", "second"):
+        put(landing, "media_metadata", "m1", {"hashed_id": "m1", "name": title, "created": "2026-01-01T00:00:00Z"})
+        put(landing, "media_stats", "m1", {"play_count": 4, "hours_watched": 0.5})
+        daily.run(spark, roots, "2026-04-20", pull=True)
+    row = published(spark, roots, "dim_media").collect()
+    assert [(r["name"], r["total_plays"]) for r in row] == [("second", 4)]

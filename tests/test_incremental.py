@@ -8,33 +8,12 @@ from reelstar.operators import incremental as inc
 from reelstar.schemas import MARKS
 
 ROWS = "media_id string, page int, id int, at string"
-SIZE = 3
-
-
 def frames(spark, pages, marks):
     data = [(m, p, i, at) for (m, p), page in pages.items() for i, at in enumerate(page)]
     state = [("events", m, mark) for m, mark in marks.items()]
     return spark.createDataFrame(data, ROWS), spark.createDataFrame(state, MARKS)
 
 
-def pull(pages, media, mark):
-    """The pull of one video, page by page: (kept page -> rows kept, newest time seen)."""
-    kept, newest, page = {}, None, 1
-    while pages.get((media, page)):
-        rows = pages[media, page]
-        for at in rows:
-            if at and (newest is None or at > newest):
-                newest = at
-        new = rows if mark is None else [at for at in rows if (at or "") > mark]
-        if not new:
-            break
-        kept[page] = len(new)
-        if len(new) < SIZE:
-            break
-        page += 1
-    return kept, newest
-
-
 def random_case(seed):
     rng = random.Random(seed)
     pages, marks = {}, {}
@@ -45,7 +24,7 @@ def random_case(seed):
             day = 30 - 3 * page
             pages[media, page] = [
                 None if rng.random() < 0.08 else f"2024-01-{max(1, day - i):02d}T00:00:00.000000Z"
-                for i in range(SIZE if rng.random() < 0.85 else rng.randrange(1, SIZE))
+                for i in range(rng.randrange(1, 5))
             ]
         mark = rng.choice([None, "1970-01-01T00:00:00Z", "2024-01-15T00:00:00.000000Z", "x"])
         if mark == "x":
@@ -56,7 +35,7 @@ def random_case(seed):
 
 
 @pytest.mark.parametrize("compare", ["parsed", "text"])
-def test_plan_and_marks_agree_with_the_page_loop(spark, compare):
+def test_every_row_above_the_mark_is_taken_and_the_mark_follows(spark, compare):
     # all cases as one frame: videos of different cases get different names
     pages, marks = {}, {}
     for seed in range(40):
@@ -64,25 +43,26 @@ def test_plan_and_marks_agree_with_the_page_loop(spark, compare):
         pages |= {(f"{seed}{m}", p): rows for (m, p), rows in some_pages.items()}
         marks |= {f"{seed}{m}": mark for m, mark in some_marks.items()}
     rows, state = frames(spark, pages, marks)
-    plan = inc.page_plan(rows, state, "events", "at", compare, page_size=SIZE).cache()
-    written = {(r["media_id"], r["page"]): r["n_keep"] for r in plan.filter("written").collect()}
+    marked = inc.with_marks(rows, state, "events", "at", compare).cache()
     after = {
         r["media_id"]: r["high_water"]
-        for r in inc.next_marks(plan, state, "events", compare).collect()
+        for r in inc.next_marks(marked, state, "events", compare).collect()
     }
-    consumed = inc.consumed_rows(rows, plan, state, "events", "at", compare).count()
-    want_written, want_marks = {}, {}
+    taken = {(r["media_id"], r["page"], r["id"]) for r in marked.filter("_is_new").collect()}
+    want_taken, want_marks = set(), {}
     for media in {m for m, _ in pages} | set(marks):
         mark = marks.get(media)
         mark = None if mark == "1970-01-01T00:00:00Z" else mark
-        kept, newest = pull(pages, media, mark)
-        want_written |= {(media, page): n for page, n in kept.items()}
-        best = max(filter(None, (mark, newest)), default=None)  # a mark never moves back
+        times = [at for (m, _), page in pages.items() if m == media for at in page]
+        want_taken |= {
+            (media, p, i) for (m, p), page in pages.items() if m == media
+            for i, at in enumerate(page) if mark is None or (at or "") > mark
+        }
+        best = max(filter(None, [mark, *times]), default=None)  # a mark never moves back
         if best:
             want_marks[media] = best
-    assert written == want_written
+    assert taken == want_taken
     assert after == want_marks
-    assert consumed == sum(want_written.values())
 
 
 def test_filter_and_late_rows_split_the_input(spark):
@@ -105,14 +85,3 @@ def test_offsets_are_compared_as_instants(spark):
     rows, state = frames(spark, pages, {"a": "2024-01-03T00:00:00Z"})
     assert inc.incremental_filter(rows, state, "events", "at").count() == 1
     assert inc.incremental_filter(rows, state, "events", "at", "text").count() == 0
-
-
-def test_page_cap(spark):
-    pages = {("a", p): ["2024-01-03T00:00:00Z"] * SIZE for p in (1, 2)}
-    rows, state = frames(spark, pages, {})
-    plan = lambda cap: inc.page_plan(
-        rows, state, "events", "at", page_size=SIZE, max_pages=cap
-    )
-    inc.check_page_cap(plan(3))
-    with pytest.raises(inc.PageCapExceeded, match="'a'"):
-        inc.check_page_cap(plan(2))

@@ -67,26 +67,43 @@ def test_stream_over_written_lines(spark, dirs):
     assert stored(spark, dirs) == {"e1": 0.5}
 
 
-def test_daily_trend_grows_with_the_files(spark, tmp_path):
+def test_daily_trend_counts_each_event_once_and_no_event_is_too_late(spark, tmp_path):
     media = spark.createDataFrame([("m1", "YouTube"), ("m2", "Facebook")], "media_id string, channel string")
     warehouse = Warehouse(spark, str(tmp_path / "w"))
     source, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
-    schema = "media_id string, received_at timestamp"
+    schema = bronze.RAW["events"]
 
-    def add(*rows):
-        data = spark.createDataFrame(list(rows), "media_id string, t string")
-        data.selectExpr("media_id", "CAST(t AS timestamp) AS received_at").coalesce(1).write.mode(
+    def add(*events):
+        lines = spark.createDataFrame([(json.dumps(e),) for e in events], "value string")
+        lines.select(F.from_json("value", schema).alias("r")).select("r.*").coalesce(1).write.mode(
             "append").parquet(source)
-        events = loads.parquet_stream(spark, source, spark.createDataFrame([], schema).schema)
-        loads.daily_trend_stream(events, warehouse, "trend", checkpoint)
+        stream = loads.parquet_stream(spark, source, schema)
+        loads.daily_trend_stream(stream, warehouse, FACTS, "trend", checkpoint,
+                                 prepare=lambda batch: star.clean_events(batch))
         got = loads.read_daily_trend(warehouse, "trend", media).collect()
         return {(str(r["event_date"]), r["channel"]): r["events"] for r in got}
 
-    first = add(("m1", "2026-04-20 01:00:00"), ("m1", "2026-04-20 02:00:00"), ("m2", "2026-04-20 03:00:00"))
+    first = add(event("a", at="2026-04-20T01:00:00Z"), event("b", at="2026-04-20T02:00:00Z"),
+                event("c", "m2", "2026-04-20T03:00:00Z"))
     assert first == {("2026-04-20", "YouTube"): 2, ("2026-04-20", "Facebook"): 1}
-    # a late event within the delay still counts
-    second = add(("m1", "2026-04-21 01:00:00"), ("m1", "2026-04-19 23:00:00"), ("m2", "2026-04-20 04:00:00"))
+    # a replay on another day moves its event; an event of three weeks before still counts
+    second = add(event("b", at="2026-04-21T02:00:00Z"), event("d", at="2026-03-30T02:00:00Z"))
     assert second == {
-        ("2026-04-20", "YouTube"): 2, ("2026-04-20", "Facebook"): 2,
-        ("2026-04-21", "YouTube"): 1, ("2026-04-19", "YouTube"): 1,
+        ("2026-04-20", "YouTube"): 1, ("2026-04-20", "Facebook"): 1,
+        ("2026-04-21", "YouTube"): 1, ("2026-03-30", "YouTube"): 1,
     }
+    # the last event of a day and channel moves away
+    third = add(event("c", "m2", "2026-04-21T03:00:00Z"))
+    assert third == {
+        ("2026-04-20", "YouTube"): 1, ("2026-04-21", "Facebook"): 1,
+        ("2026-04-21", "YouTube"): 1, ("2026-03-30", "YouTube"): 1,
+    }
+
+
+def test_two_streams_into_one_table(spark, dirs, tmp_path):
+    put(tmp_path / "bronze", "events", "m1", [event("e1", share=0.1)], page=1)
+    upsert(spark, dirs)
+    other = (str(tmp_path / "second"), dirs[1], str(tmp_path / "c2"))
+    put(tmp_path / "second", "events", "m1", [event("e2", share=0.2)], page=1)
+    upsert(spark, other)
+    assert stored(spark, dirs) == {"e1": 0.1, "e2": 0.2}

@@ -4,10 +4,11 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from reelstar.operators import upsert as ups
 from reelstar.schemas import columns
-from reelstar.sources.warehouse import Load, Warehouse
+from reelstar.sources.warehouse import Derived, Load, Warehouse
 
 SCHEMA = columns("k string, day date, v integer")
 
@@ -59,9 +60,9 @@ def test_moved_row_leaves_no_twin_even_if_its_partition_empties(spark, warehouse
 
 def test_only_touched_partitions_are_rewritten(spark, warehouse):
     warehouse.publish({"t": load(spark, [("a", 1, 1), ("b", 2, 1)])})
-    before = {p: f for _, p, f, _ in warehouse._current()}
+    before = {p: f for t, p, f, _ in warehouse._current() if t == "t"}
     warehouse.publish({"t": load(spark, [("a", 1, 2)])})
-    after = {p: f for _, p, f, _ in warehouse._current()}
+    after = {p: f for t, p, f, _ in warehouse._current() if t == "t"}
     assert before["2024-01-02"] == after["2024-01-02"]
     assert before["2024-01-01"] != after["2024-01-01"]
 
@@ -116,6 +117,55 @@ def test_tables_of_a_failed_publish_stay_as_they_were(spark, warehouse):
     assert rows(warehouse.read("t", SCHEMA, "day")) == [("a", 1, 1)]
 
 
+class Interrupted(Warehouse):
+    """Runs another writer's publish just before its first commit."""
+
+    other = None
+
+    def _commit(self, lines, number):
+        other, self.other = self.other, None
+        if other:
+            other()
+        return super()._commit(lines, number)
+
+
+@pytest.mark.parametrize("table", ["t", "u"])
+def test_two_writers_at_once(spark, warehouse, table):
+    warehouse.publish({"t": load(spark, [("a", 1, 1), ("b", 1, 1)])})
+    slow = Interrupted(spark, warehouse.root)
+    slow.other = lambda: warehouse.publish({table: load(spark, [("b", 2, 5), ("c", 3, 5)])})
+    assert slow.publish({"t": load(spark, [("a", 2, 9)])}) == 3
+    both = rows(warehouse.read("t", SCHEMA, "day")) + rows(warehouse.read("u", SCHEMA, "day"))
+    want = {("a", 2, 9), ("b", 2, 5), ("c", 3, 5)} | ({("b", 1, 1)} if table == "u" else set())
+    assert set(both) == want and len(both) == len(want)
+
+
+def test_a_small_load_opens_only_its_buckets(spark, warehouse):
+    people = [(f"k{i}", 1, i) for i in range(200)]
+    warehouse.publish({"p": Load(frame(spark, people), ["k"], buckets=32)})
+    before = {(t, p): f for t, p, f, _ in warehouse._current()}
+    opened = []
+    read = warehouse._read
+    warehouse._read = lambda t, s, part, folders: opened.append((t, len(folders))) or read(t, s, part, folders)
+    warehouse.publish({"p": Load(frame(spark, [("k7", 2, 7), ("new", 2, 0)]), ["k"])})
+    after = {(t, p): f for t, p, f, _ in warehouse._current()}
+    assert sum(before[x] != after[x] for x in before) <= 2 and max(n for _, n in opened) <= 2
+    assert len(before) > 20 and warehouse.read("p", SCHEMA).count() == 201
+
+    warehouse.publish({"t": Load(frame(spark, people), ["k"], "day", buckets=32)})
+    opened.clear()
+    warehouse.publish({"t": Load(frame(spark, [("k7", 2, 7)]), ["k"], "day")})
+    assert ("t__keys", 1) in opened and all(n <= 1 for _, n in opened)
+
+
+def test_derived_partitions_follow_the_source(spark, warehouse):
+    counted = Derived("t", lambda df: df.groupBy("day").agg(F.count("k").cast("int").alias("n")))
+    for data in ([("a", 1, 1), ("b", 1, 1), ("c", 2, 1)], [("a", 3, 1), ("c", 1, 1)]):
+        warehouse.publish({"t": load(spark, data)}, derived={"n": counted})
+    got = warehouse.read("n", columns("day date, n integer"), "day").collect()
+    assert {(r["day"].day, r["n"]) for r in got} == {(1, 2), (3, 1)}
+
+
 def test_commit_that_died_midway_is_passed_over(spark, warehouse, tmp_path):
     warehouse.publish({"t": load(spark, [("a", 1, 1)])})
     (tmp_path / "w/_commits/version=0000000002/_temporary").mkdir(parents=True)
