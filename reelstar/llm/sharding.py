@@ -56,7 +56,9 @@ class _Split:
 def measured(
     docs: DataFrame, doc_id: str, text: str, dims: Sequence[str], extra: Sequence[str] = ()
 ) -> DataFrame:
-    """Size, hashes and coordinates of every document; texts are read for nothing else.
+    """Size, hashes and coordinates of every document, all at node 1, the root of the tree.
+
+    Texts are read for nothing else.
 
     Coordinates lie between 0 and 1: ``size`` on a logarithmic scale, and columns of ``dims`` by
     a hash, which puts equal values together and different ones apart. Copies of a text are
@@ -84,7 +86,9 @@ def measured(
     kept = ["doc_id", "size", "text_crc32", "_text", "_doc", *extra]
     return stored(
         docs.sparkSession,
-        rows.select(*kept, *[c.alias(f"_c{k}") for k, c in enumerate(spans)]),
+        rows.select(
+            *kept, F.lit(1).cast("long").alias("_node"), *[c.alias(f"_c{k}") for k, c in enumerate(spans)]
+        ),
         "shard-points",
     )
 
@@ -245,7 +249,7 @@ def kd_shards(
     """
     points = measured(docs, doc_id, text, dims)
     n_dims = len(dims) + 1
-    placed = points.withColumn("_node", F.lit(1).cast("long"))
+    placed = points
 
     def extents(frame: DataFrame) -> dict:
         spans = [f(f"_c{k}") for k in range(n_dims) for f in (F.min, F.max)]
