@@ -234,19 +234,31 @@ def candidates(
                 yield np.repeat(part[few], width), whose[row], where[row]
 
 
-def nearest_stretch(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
+class Pattern:
+    """An item made ready for comparison."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words.tolist()
+        self.places: dict[int, int] = {}
+        for k, w in enumerate(self.words):
+            self.places[w] = self.places.get(w, 0) | 1 << k
+
+    def may_be_within(self, edits: int, words: list[int]) -> bool:
+        """False if more of the item's words than can be edited do not occur at all."""
+        have = set(words)
+        return sum(w in have for w in self.words) >= len(self.words) - edits
+
+
+def nearest_stretch(item: Pattern, words: list[int]) -> tuple[int, int]:
     """Least edit distance between the item and any stretch of the words, and where it ends.
 
     The bit-parallel form of the dynamic programme, with a free begin.
     """
-    n = len(item)
-    places: dict[int, int] = {}
-    for k, w in enumerate(item.tolist()):
-        places[w] = places.get(w, 0) | 1 << k
+    n, places = len(item.words), item.places
     full, top = (1 << n) - 1, 1 << (n - 1)
     plus, minus, score = full, 0, n
     best, end = n, 0
-    for k, w in enumerate(words.tolist()):
+    for k, w in enumerate(words):
         equal = places.get(w, 0)
         across = (((equal & plus) + plus) ^ plus) | equal
         up = minus | (full & ~(across | plus))
@@ -280,6 +292,8 @@ def leaks_in(
     doc = np.searchsorted(begins, start, "right") - 1
     # where the item would begin; windows of one passage agree on it up to their edits
     rows = np.unique(np.stack([doc, item, (start - offset)], 1), axis=0)
+    if getattr(index, "patterns", None) is None:
+        index.patterns = [Pattern(w) for w in index.words]
     best: dict[tuple[int, int], tuple[int, int]] = {}
     covered: dict[tuple[int, int], int] = {}
     for d, i, at in rows.tolist():
@@ -289,7 +303,10 @@ def leaks_in(
         low = max(begins[d], at - edits)
         high = min(begins[d + 1], at + len(own) + 3 * edits + STRIDE)
         covered[d, i] = at + edits  # a passage that begins up to here lies within
-        distance, end = nearest_stretch(own, hashes[low:high])
+        words, pattern = hashes[low:high].tolist(), index.patterns[i]
+        if not pattern.may_be_within(edits, words):
+            continue
+        distance, end = nearest_stretch(pattern, words)
         if distance <= edits and distance < best.get((d, i), (edits + 1, 0))[0]:
             best[d, i] = distance, int(low - begins[d]) + end
     for (d, i), (distance, end) in best.items():

@@ -260,7 +260,7 @@ def test_nearest_stretch_is_exact():
     for _ in range(60):
         item = rng.integers(1, 6, rng.integers(1, 90)).astype(np.uint64)
         words = rng.integers(1, 6, rng.integers(0, 120)).astype(np.uint64)
-        assert decontaminate.nearest_stretch(item, words)[0] == plain_distance(item.tolist(), words.tolist())
+        assert decontaminate.nearest_stretch(decontaminate.Pattern(item), words.tolist())[0] == plain_distance(item.tolist(), words.tolist())
 
 
 def test_planted_leaks_are_found_and_nothing_else(spark):
@@ -335,7 +335,7 @@ def test_weights_against_plain_counts(spark):
     targets = spark.createDataFrame([(i,) for i in range(0, 60, 2)] + [(None,), (999,)], "doc_id long")
     found = importance.resample(docs, targets).collect()
     assert len(found) == docs.count()
-    hasher, buckets = WordHasher(whole=True), 1 << 14
+    hasher, buckets = WordHasher(whole=True), 1 << 16
 
     def grams(text):
         return importance.ngram_buckets(hasher, [(text or "").encode()], buckets)[0].tolist()
