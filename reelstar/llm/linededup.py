@@ -21,21 +21,22 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     Only documents that lose lines have a row.
     """
-    lines = F.split(text, "\n")
-    line = lambda i: F.get(lines, i)
+    # a column of its own: inside a function of the array the split would be made for every line
+    cut = docs.select(
+        F.col(doc_id).alias("id"),
+        F.xxhash64(text).alias("hash"),
+        F.transform(F.split(text, "\n"), lambda x: F.xxhash64(x)).alias("lines"),
+    ).filter(F.size("lines") >= WINDOW)
 
     def window(i):
-        parts = [line(i + k) for k in range(WINDOW)]
+        parts = [F.get("lines", i + k) for k in range(WINDOW)]
         return F.struct(
             i.alias("pos"), F.xxhash64(*parts).alias("h"), F.xxhash64(F.lit(5), *parts).alias("g")
         )
 
-    starts = F.sequence(F.lit(0), F.size(lines) - WINDOW)
-    rows = docs.filter(F.size(lines) >= WINDOW).select(
-        F.col(doc_id).alias("id"),
-        F.xxhash64(text).alias("hash"),
-        F.explode(F.transform(starts, window)).alias("w"),
-    )
+    starts = F.sequence(F.lit(0), F.size("lines") - WINDOW)
+    # outer, or Spark would make the windows once more to see that there are any
+    rows = cut.select("id", "hash", F.explode_outer(F.transform(starts, window)).alias("w"))
     windows = stored(docs.sparkSession, rows.select("id", "hash", "w.*"), "windows")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "hash", "pos")
     firsts = (
@@ -74,15 +75,15 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     joined = rows.withColumn("h", F.xxhash64("text")).join(
         gone, F.expr("id <=> _id AND h = _hash"), "left"
     )
-    lines = F.split("text", "\n")
-    positions = F.sequence(F.lit(0), F.size(lines) - 1)
+    joined = joined.withColumn("lines", F.split("text", "\n"))
+    positions = F.sequence(F.lit(0), F.size("lines") - 1)
     left = F.array_except(positions, F.col("_covered"))
-    rebuilt = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+    rebuilt = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
     changed = F.col("_covered").isNotNull() & F.col("text").isNotNull()
     left_text = F.when(changed, rebuilt).otherwise(F.col("text")).alias(text)
     names = [c for c in docs.columns if c.lower() not in ("n_lines", "lines_removed")]
     return joined.select(
         *[left_text if c == text else F.col(f"_row.`{c}`") for c in names],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).alias("n_lines"),
         F.coalesce(F.size(F.col("_covered")), F.lit(0)).alias("lines_removed"),
     )
