@@ -103,15 +103,14 @@ def resample(
     doc_id: str = "doc_id",
     text: str = "text",
     target_docs: int = 20_000,
-    max_buckets: int = 1 << 20,
+    buckets: int = 1 << 16,
     seed: int = 23,
 ) -> DataFrame:
     """``doc_id``, ``log_weight``, ``gumbel_key``, ``rank`` and ``keep`` of every document.
 
     ``targets`` holds the ids (``doc_id``) of good documents; the target model is counted over
     ``target_docs`` of them at most, chosen by a hash, the raw model over all documents. The
-    number of buckets follows the number of documents up to ``max_buckets``, which bounds what
-    the driver and the tasks hold. The ``keep`` share of documents with the largest keys, rounded
+    number of ``buckets`` bounds what a task sends and the driver holds. The ``keep`` share of documents with the largest keys, rounded
     up, is kept; ``rank`` counts from 0, ties go to the smaller id. The noise is a hash of seed,
     id and text, so reruns agree. NULL and empty texts have weight 1 (logarithm 0). Without
     targets all weights are 1. Rows without an id can be no target. Repeated rows are kept.
@@ -120,7 +119,6 @@ def resample(
     bounded_batches(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     n = rows.count()
-    buckets = 1 << min(max(14, math.ceil(math.log2(max(n, 1)))), max_buckets.bit_length() - 1)
     good = (
         targets.filter(F.col("doc_id").isNotNull())
         .select("doc_id")
