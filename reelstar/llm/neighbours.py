@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from reelstar.session import stored
 
 TABLES, PROJECTIONS, REACH = 2, 4, 4
+# vectors that are compared with a block of queries at a time
+_ROWS = 2048
 _erf = np.vectorize(math.erf, otypes=[float])
 
 
@@ -75,12 +77,13 @@ class Hashing:
 
 def usable(embeddings: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """``vec_id`` and ``vector`` of the rows that take part: an id, and a vector that is not NULL
-    or all zero and holds no NULL, infinity or NaN."""
+    or all zero and holds no NULL, infinity or NaN; of one id the least vector."""
     v = F.col(vector).cast("array<double>")
     rows = embeddings.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("vector"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("vector", lambda x: x != 0)
-    return rows.filter(F.col("vec_id").isNotNull() & ~bad & some)
+    rows = rows.filter(F.col("vec_id").isNotNull() & ~bad & some)
+    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
 def fit(vectors: DataFrame, k: int, recall: float, sample: int, seed: int) -> Hashing | None:
@@ -153,6 +156,19 @@ class Nearest:
         self.least[query[last]] = score[last]
 
 
+def probed(hashing: Hashing, tables: list, own: np.ndarray, queries: int) -> np.ndarray:
+    """Which query (row) visits the cell of which vector (column) in one of the tables."""
+    seen = np.zeros((queries, len(own)), bool)
+    for t, (cells, visitors) in enumerate(tables):
+        cell = hashing.cells(np.floor(hashing.places(own, t)))
+        low = np.searchsorted(cells, cell)
+        width = np.searchsorted(cells, cell, "right") - low
+        ends = np.cumsum(width)
+        row = np.arange(ends[-1]) - np.repeat(ends - width - low, width)
+        seen[visitors[row], np.repeat(np.arange(len(own)), width)] = True
+    return seen
+
+
 def _search(held, k: int, everything: bool):
     """Vectors -> the k nearest of a task's own vectors for each query of the block."""
 
@@ -175,25 +191,24 @@ def _search(held, k: int, everything: bool):
             if not len(vec_id):
                 continue
             flat = lists.filter(pa.array(fits)).flatten().to_numpy(False)
-            own_raw = flat.reshape(-1, hashing.dim)
-            own = _unit(own_raw)
-            seen = np.full((len(ids), len(own)), everything)
-            for t in range(0 if everything else TABLES):
-                cells, queries = held._tables[t]
-                cell = hashing.cells(np.floor(hashing.places(own, t)))
-                low = np.searchsorted(cells, cell)
-                width = np.searchsorted(cells, cell, "right") - low
-                ends = np.cumsum(width)
-                row = np.arange(ends[-1]) - np.repeat(ends - width - low, width)
-                seen[queries[row], np.repeat(np.arange(len(own)), width)] = True
-            # a rough cosine leaves out what cannot be among the best; the rest is exact
-            rough = unit @ own.T
-            query, at = np.nonzero(seen & (rough >= best.least[:, None] - 1e-9))
-            other = ids[query] != vec_id[at]
-            query, at = query[other], at[other]
-            for part in range(0, len(query), 1 << 16):
-                q, a = query[part : part + (1 << 16)], at[part : part + (1 << 16)]
-                best.add(q, vec_id[a], _cosine(raw[q], own_raw[a]))
+            every = flat.reshape(-1, hashing.dim)
+            for first in range(0, len(every), _ROWS):
+                own_raw, own_ids = every[first : first + _ROWS], vec_id[first : first + _ROWS]
+                own = _unit(own_raw)
+                # a rough cosine leaves out what cannot be among the best; the rest is exact
+                rough = unit @ own.T
+                if not everything:
+                    rough[~probed(hashing, held._tables, own, len(ids))] = -np.inf
+                rough[ids[:, None] == own_ids] = -np.inf
+                least = best.least
+                if len(own) > k:
+                    own_least = -np.partition(-rough, k - 1, axis=1)[:, k - 1]
+                    least = np.maximum(least, own_least)
+                hopeful = (rough >= least[:, None] - 1e-9) & (rough > -np.inf)
+                query, at = np.nonzero(hopeful)
+                for part in range(0, len(query), 1 << 16):
+                    q, a = query[part : part + (1 << 16)], at[part : part + (1 << 16)]
+                    best.add(q, own_ids[a], _cosine(raw[q], own_raw[a]))
         if len(best.query):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[best.query]), pa.array(best.vec_id), pa.array(best.score)],
@@ -238,9 +253,8 @@ def nearest(
     query's candidates are all rows of ``embeddings`` with another id. Rows without an id, and
     vectors that are NULL, zero, hold NULL or non-finite components or are of another length than
     most, take no part on either side. A query that its cells give fewer than ``k`` candidates
-    goes on to visit all cells, so it has fewer only where there are fewer. Repeated rows count
-    once; of rows that repeat an id with other vectors the nearest counts. Queries repeated count
-    once, by their least vector. An empty table gives no rows.
+    goes on to visit all cells, so it has fewer only where there are fewer. Rows that repeat an
+    id count once, by their least vector. An empty table gives no rows.
     """
     spark = embeddings.sparkSession
     vectors = stored(spark, usable(embeddings, vec_id, vector), "vectors")
@@ -249,7 +263,7 @@ def nearest(
     if hashing is None:
         return spark.createDataFrame([], schema)
     asked = usable(queries, vec_id, vector).filter(F.size("vector") == hashing.dim)
-    asked = stored(spark, asked.groupBy("vec_id").agg(F.min("vector").alias("vector")), "queries")
+    asked = stored(spark, asked, "queries")
     blocks = max(1, -(-asked.count() // block))
     found = None
     for b in range(blocks):
