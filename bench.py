@@ -2,8 +2,9 @@
 
 Reads BENCH_SF_DIR and BENCH_CPUS; prints one JSON line. Each figure is the median of three
 runs after one warm-up. ``publish_star`` publishes into an empty warehouse, ``merge_one_percent``
-merges a hundredth of the events and visitors into the full tables, and the queries that parse
-landed JSON or run a stream are timed with the writing of their input.
+merges a hundredth of the events and visitors into the full tables. The queries that parse landed
+JSON or run a stream take longer and run once, without a warm-up; their input is written in that
+time.
 """
 
 from __future__ import annotations
@@ -31,10 +32,11 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = 3
 
 
-def seconds(action) -> float:
-    action()
+def seconds(action, runs: int = RUNS) -> float:
+    if runs > 1:
+        action()
     times = []
-    for _ in range(RUNS):
+    for _ in range(runs):
         start = time.perf_counter()
         action()
         times.append(time.perf_counter() - start)
@@ -113,8 +115,6 @@ def main() -> None:
         "orphan_count": lambda: quality.orphan_count(fact, measured).collect(),
         "dq_report": lambda: quality.quality_report(star).collect(),
     }
-    for name in ("json_bronze_roundtrip", "pull_and_publish", "stream_upsert", "stream_daily_trend"):
-        timed[name] = run(name)
     result = {
         "write_silver": write_silver,
         "publish_star": publish_star,
@@ -122,6 +122,8 @@ def main() -> None:
     }
     for name, action in timed.items():
         result[name] = seconds(action)
+    for name in ("json_bronze_roundtrip", "pull_and_publish", "stream_upsert", "stream_daily_trend"):
+        result[name] = seconds(run(name), runs=1)
     spark.stop()
     print(
         json.dumps(

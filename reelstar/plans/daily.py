@@ -134,9 +134,7 @@ def pull_pages(
     if "row_media_id" in rest.columns:
         rest = rest.withColumnRenamed("row_media_id", "media_id")
     rest = stored(spark, rest, f"unseen-{endpoint}")
-    bronze.write_bronze(
-        rest.filter("_is_new"), roots.bronze, endpoint, run_date, "request_media_id"
-    )
+    bronze.write_bronze(rest.filter("_is_new"), roots.bronze, endpoint, run_date)
     late = rest.filter(~F.col("_is_new"))
     shown = ["request_media_id", "page", "pos", *RAW[endpoint].names]
     _quarantine(late.select(*shown, F.col("_mark").alias("mark")), roots, endpoint, run_date)
