@@ -13,7 +13,7 @@ a fingerprint goes to the shards that can hold its neighbours.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -293,13 +293,19 @@ def near_duplicates(
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_per_group(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    groups: Callable[[DataFrame, str, str], DataFrame] = near_duplicates,
+) -> DataFrame:
     """The documents whose id names their group, with all their columns.
 
-    Of rows that repeat that id one stays, by a hash of the text. Rows without an id stay as they are: nothing tells
-    them apart, so none can be called the copy of another.
+    ``groups`` finds ``doc_id`` and ``component_id`` of the documents. Of rows that repeat that id
+    one stays, by a hash of the text. Rows without an id stay as they are: nothing tells them
+    apart, so none can be called the copy of another.
     """
-    kept = near_duplicates(docs, doc_id, text).filter(F.col("doc_id") == F.col("component_id"))
+    kept = groups(docs, doc_id, text).filter(F.col("doc_id") == F.col("component_id"))
     rows = packed(docs, id=doc_id, text=text)
     named = rows.join(kept.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
     of_id = Window.partitionBy("id").orderBy(F.xxhash64("text"))
