@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar.llm import decontaminate, langid, mixing, nearcopies, sharding
+from reelstar.llm import decontaminate, langid, mixing, sharding, simhash
 from reelstar.session import scratch_dir
 
 SHARDS = 40
@@ -20,9 +20,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that five-word Jaccard similarity of 0.8 or more links: the one
-    with the least id."""
-    return nearcopies.one_per_group(docs)
+    """One document of each group that fingerprints of three-word shingles link at two bits or
+    fewer: the one with the least id."""
+    return simhash.one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
