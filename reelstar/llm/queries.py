@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar.llm import (
+    alignment,
+    collocations,
     decontaminate,
     importance,
     langid,
@@ -18,9 +20,19 @@ from reelstar.llm import (
     neighbours,
     sharding,
     simhash,
+    urlrules,
     warc,
 )
 
+# The rules of the URL filter
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -105,6 +117,29 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of every document by two tokenizers overlap."""
+    digest = lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+    found = alignment.align(table(spark, sf_dir, "documents"), shown=digest)
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -117,6 +152,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_neighbours": op8_neighbours,
         "op9_warc_derivatives": op9_warc_derivatives,
         "op10_simhash": op10_simhash,
+        "op11_alignment": op11_alignment,
+        "op12_collocations": op12_collocations,
+        "op13_url_filter": op13_url_filter,
     }
 
 
@@ -214,5 +252,75 @@ FROM docs d LEFT JOIN covered c ON d.doc_id = c.doc_id
 """
 
 
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+spans AS (
+  SELECT lang, w, unnest([1, 2, 3, 4]) AS m FROM cut),
+places AS (
+  SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM spans WHERE len(w) >= m),
+freq AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, m, count(*) AS f
+  FROM places GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::bigint AS n FROM freq WHERE m = 1 GROUP BY lang),
+cand AS (
+  SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM freq WHERE m >= 2 AND f >= 30),
+subs AS (
+  SELECT lang, a, w, k, unnest(range(1, m - k + 2)) AS i
+  FROM (SELECT *, unnest(range(2, m)) AS k FROM cand)),
+inner_ AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(a) AS longer
+  FROM subs GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM cand c LEFT JOIN inner_ i USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer::hugeint < 80 * a::hugeint),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+         ((2000000::hugeint * c.a) // (x.f + y.f))::bigint AS score
+  FROM cuts c
+  JOIN freq x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN freq y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+best AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+OP13_SQL = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+named AS (
+  SELECT row_number() OVER () AS row, page_id,
+         coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM cut),
+rules(rule_host, rule_path, verdict) AS (VALUES {rules}),
+fits AS (
+  SELECT row, rule_host || rule_path AS rule, verdict FROM named JOIN rules
+    ON (host = rule_host OR suffix(host, '.' || rule_host)) AND prefix(path, rule_path)),
+best AS (
+  SELECT * FROM fits QUALIFY row_number() OVER (PARTITION BY row ORDER BY length(rule) DESC) = 1)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM named LEFT JOIN best USING (row)
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op4_licence_scan": _op4_sql(), "op5_mixing": OP5_SQL, "op6_line_dedup": OP6_SQL}
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    return {
+        "op4_licence_scan": _op4_sql(),
+        "op5_mixing": OP5_SQL,
+        "op6_line_dedup": OP6_SQL,
+        "op12_collocations": OP12_SQL,
+        "op13_url_filter": OP13_SQL.replace("{rules}", rules),
+    }
