@@ -512,6 +512,10 @@ def all_oracles() -> dict[str, str]:
                         SELECT media_id, received_at - INTERVAL 1 HOUR, 1, event_key, received_at
                           FROM replays)""", "first_events", "replays"),
         "daily_load": _with(f"SELECT {_FACT_OUT} FROM fact", "fact"),
+        "late_files": _with(
+            f"SELECT event_key, media_id, visitor_key, {_ts('received_at')} AS received_at, "
+            f"{_date('event_date')} AS event_date FROM facts", "facts"
+        ),
         "stream_daily_trend": _with(
             f"""SELECT {_date('f.event_date')} AS event_date, m.channel, count(*) AS events
                   {_JOINED} GROUP BY 1, 2""", "facts", "dim_media"),

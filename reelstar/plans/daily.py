@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,9 @@ from reelstar.operators.joins import tracked_only
 from reelstar.operators.latest import latest_by
 from reelstar.schemas import (
     BROKEN,
-    DAYS,
     FAILED_CAST_PCT,
+    FAILED_CAST_PCT_OF,
+    FILES,
     KEYS,
     LOAD_ORDER,
     MARKS,
@@ -32,7 +34,7 @@ from reelstar.sources import bronze, silver
 from reelstar.sources.warehouse import Load, Warehouse
 
 MARKS_TABLE = "high_water"
-DAYS_TABLE = "days_loaded"
+FILES_TABLE = "files_taken"
 REFRESHED = ("media_metadata", "media_stats")
 
 
@@ -74,11 +76,10 @@ def _quarantine(df: DataFrame, roots: Roots, name: str, run_date: str) -> None:
 def refresh(spark: SparkSession, roots: Roots, endpoint: str, days: Sequence[str]) -> None:
     """Put the landed documents of a resource that is pulled whole in place of the day's."""
     for day in days:
-        if day in bronze.days_present(spark, roots.landing, endpoint):
-            documents = bronze.read_bronze(spark, roots.landing, endpoint, [day], keep_broken=True)
-            documents = stored(spark, documents, f"landed-{endpoint}")
-            _stop_if_broken(documents, roots, endpoint, day)
-            bronze.write_bronze(documents, roots.bronze, endpoint, day, replace=True)
+        documents = bronze.read_bronze(spark, roots.landing, endpoint, [day], keep_broken=True)
+        documents = stored(spark, documents, f"landed-{endpoint}")
+        _stop_if_broken(documents, roots, endpoint, day)
+        bronze.write_bronze(documents, roots.bronze, endpoint, day, replace=True)
 
 
 def _stop_if_broken(documents: DataFrame, roots: Roots, name: str, run_date: str) -> None:
@@ -159,7 +160,7 @@ def build_day(
     two. Rows, missing keys, broken documents and failed casts are counted by the jobs that
     write the tables.
     """
-    days = list(days or [run_date])
+    days = [run_date] if days is None else list(days)
     raw = {
         name: bronze.read_bronze(spark, roots.bronze, name, days, keep_broken=True)
         for name in star.FIELDS
@@ -215,17 +216,23 @@ def build_day(
     return day
 
 
-def build_lines(day: Day, failed_cast_pct: float = FAILED_CAST_PCT) -> list:
-    """Report lines of what the build counted: no broken document, few failed casts."""
+def build_lines(
+    day: Day,
+    failed_cast_pct: float = FAILED_CAST_PCT,
+    of_field: dict[tuple[str, str], float] = FAILED_CAST_PCT_OF,
+) -> list:
+    """Report lines of what the build counted: no broken document, few failed casts.
+
+    ``of_field`` has the limits of fields that need one of their own.
+    """
     lines = [
         quality.build_line(resource, "broken_documents", None, n, 0, n)
         for resource, n in day.broken.items()
     ]
     for (resource, column), n in day.failed_casts.items():
         share = 100 * n / max(1, day.rows[resource])
-        lines.append(
-            quality.build_line(resource, "failed_casts", column, n, failed_cast_pct, share)
-        )
+        limit = of_field.get((resource, column), failed_cast_pct)
+        lines.append(quality.build_line(resource, "failed_casts", column, n, limit, share))
     return lines
 
 
@@ -245,14 +252,14 @@ def check_and_publish(
     roots: Roots,
     day: Day,
     marks: DataFrame | None = None,
-    days: Sequence[str] = (),
+    taken: DataFrame | None = None,
 ) -> list:
     """Run every check on every table, then publish all of them in one commit.
 
     The fact may point at a video of an earlier day, so it is checked against the published
-    dimension and the day's together. ``days`` are noted as loaded by the same commit. Returns
-    the quality report and the lines of the build; a failed check raises before anything is
-    published.
+    dimension and the day's together. ``taken`` lists the files of the run; the commit that
+    publishes its rows notes them. Returns the quality report and the lines of the build; a failed
+    check raises before anything is published.
     """
     tables = day.tables
     known = published(spark, roots.warehouse)["dim_media"].select("media_id")
@@ -269,23 +276,50 @@ def check_and_publish(
     loads = {t: load(t, tables[t]) for t in LOAD_ORDER if t in tables}
     if marks is not None:
         loads[MARKS_TABLE] = Load(marks, ["endpoint", "media_id"])
+    if taken is not None:
+        loads[FILES_TABLE] = Load(taken, ["endpoint", "path"])
     if loads:
-        if days:
-            noted = spark.createDataFrame([(d,) for d in days], DAYS)
-            loads[DAYS_TABLE] = Load(noted, ["day"], buckets=1)
         Warehouse(spark, roots.warehouse).publish(loads)
     return report
 
 
+def untaken(
+    spark: SparkSession,
+    roots: Roots,
+    run_date: str,
+    landing: bool = False,
+    days: Sequence[str] | None = None,
+) -> DataFrame:
+    """Files up to the run date that no published run has taken, or all files of named days.
+
+    A file counts as new again when it was written anew. Landed files are noted under
+    ``landing/`` and their endpoint, as bronze has files of the same names.
+    """
+    root = roots.landing if landing else roots.bronze
+    listed = [bronze.files(spark, root, name) for name in star.FIELDS]
+    every = reduce(DataFrame.unionByName, listed)
+    if landing:
+        every = every.withColumn("endpoint", F.concat(F.lit("landing/"), "endpoint"))
+    if days is not None:
+        return stored(spark, every.filter(F.col("day").isin(list(days))), "files")
+    known = Warehouse(spark, roots.warehouse).read(FILES_TABLE, FILES)
+    new = every.filter(F.col("day") <= run_date).join(known, FILES.names[:3], "left_anti")
+    return stored(spark, new.select(*FILES.names), "files")
+
+
+def _days_of(files: DataFrame) -> dict[str, list[str]]:
+    """Days with files, per endpoint: one row a day on the driver."""
+    found: dict[str, list[str]] = {}
+    for row in files.select("endpoint", "day").distinct().orderBy("day").collect():
+        found.setdefault(row["endpoint"], []).append(row["day"])
+    return found
+
+
 def open_days(spark: SparkSession, roots: Roots, run_date: str, pull: bool = False) -> list[str]:
-    """The run date, and earlier days that have documents but were never published."""
-    places = [(roots.bronze, name) for name in star.FIELDS]
-    if pull:
-        places += [(roots.landing, name) for name in star.FIELDS]
-    found = set().union(*(bronze.days_present(spark, root, name) for root, name in places))
-    loaded = Warehouse(spark, roots.warehouse).read(DAYS_TABLE, DAYS).collect()  # one row a day
-    open_ = {d for d in found if d < run_date} - {r["day"] for r in loaded}
-    return sorted(open_ | {run_date})
+    """The run date, and earlier days that have documents which were never published."""
+    files = [untaken(spark, roots, run_date, landing) for landing in ((False, True) if pull else (False,))]
+    found = set().union(*(days for f in files for days in _days_of(f).values()))
+    return sorted(found | {run_date})
 
 
 def run(
@@ -298,19 +332,38 @@ def run(
     compare: str = "parsed",
     **options,
 ) -> list:
-    """One daily run, over the run date and the earlier days that no run has published.
-
-    ``days`` names the days instead. ``pull`` first takes the landed pages of the paged endpoints
-    and the landed documents of the others.
+    """One daily run, over every day up to the run date that has files no run has taken.
+
+    So a file that comes late, into the folder of a day published long ago, is taken in by the
+    next run. Such a day is read whole, as a visitor's place comes from all events of the day; the
+    upsert leaves rows that are published already as they are. Files are noted by the commit that
+    publishes their rows: a run that fails takes them again, and one without new files reads none.
+    ``days`` names the days instead, to be read whatever was taken; ``options`` of the build do so
+    for the run date. ``pull`` first takes the landed pages of the paged endpoints and the landed
+    documents of the others, of the days with new ones.
     """
-    days = list(days) if days else open_days(spark, roots, run_date, pull)
-    marks = None
+    named = None if days is None else sorted(set(days))
+    taken, marks = [], None
     if pull:
+        landed = untaken(spark, roots, run_date, landing=True, days=named)
+        landed_days = _days_of(landed)
         for endpoint in REFRESHED:
-            refresh(spark, roots, endpoint, days)
+            refresh(spark, roots, endpoint, landed_days.get(f"landing/{endpoint}", ()))
         for endpoint in PAGED:
-            after = pull_pages(spark, roots, endpoint, run_date, compare, tracked, days)
-            marks = after if marks is None else marks.unionByName(after)
-        days = sorted({*days, run_date})
-    day = build_day(spark, roots, run_date, days, **options)
-    return check_and_publish(spark, roots, day, marks, days)
+            of = landed_days.get(f"landing/{endpoint}")
+            if of:
+                after = pull_pages(spark, roots, endpoint, run_date, compare, tracked, of)
+                marks = after if marks is None else marks.unionByName(after)
+        if landed_days:
+            taken.append(landed)
+            named = None if named is None else sorted({*named, run_date})
+    files = untaken(spark, roots, run_date, days=named)
+    if options and named is None:
+        files = files.unionByName(untaken(spark, roots, run_date, days=[run_date])).distinct()
+        files = stored(spark, files, "files")
+    of_days = sorted(set().union(*_days_of(files).values()))
+    if of_days:
+        taken.append(files)
+    day = build_day(spark, roots, run_date, of_days, **options) if of_days else Day()
+    noted = reduce(DataFrame.unionByName, taken) if taken else None
+    return check_and_publish(spark, roots, day, marks, noted)

@@ -75,7 +75,11 @@ STAR = {
 
 BROKEN = "_broken"  # text of a document that is no JSON of its schema
 
-DAYS = columns("day string")
+# documents that a run has taken in
+FILES = columns("endpoint string, path string, modified timestamp, day string")
+
+# micro-batches that a gated stream has published
+BATCHES = columns("stream string, batch long, rows long, no_key long, broken long")
 
 MARKS = columns("endpoint string, media_id string, high_water string")
 
@@ -103,8 +107,10 @@ NEWEST_BY = {
     "fact_media_engagement": ("received_at", "load_date"),
 }
 
-# Failed casts of a field up to this share of a resource's rows do not stop a run.
-FAILED_CAST_PCT = 50.0
+# Failed casts of a field up to this share of a resource's rows do not stop a run; places are
+# often spelt out where there should be a coordinate.
+FAILED_CAST_PCT = 5.0
+FAILED_CAST_PCT_OF = {("events", "lat"): 50.0, ("events", "lon"): 50.0}
 
 # Declared VARCHAR lengths, in bytes.
 MAX_LENGTH = {

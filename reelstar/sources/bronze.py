@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from reelstar.functions import columns as C
-from reelstar.schemas import BROKEN, RAW
+from reelstar.schemas import BROKEN, FILES, RAW
 from reelstar.session import empty_frame
 
 DOCUMENTS = "*.json"
 LINES = "*.txt.gz"
+_DAY_FOLDER = r"/year=(\d{4})/month=(\d{2})/day=(\d{2})/"
 
 
 def day_path(root: str, endpoint: str, run_date: str) -> str:
@@ -53,21 +54,28 @@ def _existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return found
 
 
-def days_present(spark: SparkSession, root: str, endpoint: str) -> set[str]:
-    """Days of an endpoint that have a folder; their number is that of the days on record."""
+def files(spark: SparkSession, root: str, endpoint: str) -> DataFrame:
+    """Files of an endpoint: ``endpoint``, ``path``, ``modified`` and the ``day`` of their folder.
 
-    def below(path: str, name: str) -> list[str]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        found = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
-        return [f.split("=")[1] for f in found if f.startswith(f"{name}=")]
-
-    base, days = f"{root.rstrip('/')}/{endpoint}", set()
-    for year in below(base, "year"):
-        for month in below(f"{base}/year={year}", "month"):
-            for day in below(f"{base}/year={year}/month={month}", "day"):
-                days.add(f"{year}-{month}-{day}")
-    return days
+    Spark lists the tree and looks at no content. Files outside the folder of a day are left out.
+    """
+    base = f"{root.rstrip('/')}/{endpoint}"
+    if not _existing(spark, [base]):
+        return empty_frame(spark, FILES)
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", f"{{{DOCUMENTS},{LINES}}}")
+        .load(base)
+    )
+    path = F.col("_metadata.file_path")
+    parts = [F.regexp_extract(path, _DAY_FOLDER, k) for k in (1, 2, 3)]
+    return listing.select(
+        F.lit(endpoint).alias("endpoint"),
+        path.alias("path"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.concat_ws("-", *parts).alias("day"),
+    ).filter("day <> '--'")
 
 
 def read_bronze(

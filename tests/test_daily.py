@@ -220,3 +220,61 @@ def test_whole_resources_are_replaced(spark, roots):
         daily.run(spark, roots, "2026-04-20", pull=True)
     row = published(spark, roots, "dim_media").collect()
     assert [(r["name"], r["total_plays"]) for r in row] == [("second", 4)]
+
+
+def test_file_that_comes_late_is_taken_in(spark, roots, bronze_root):
+    media(bronze_root, "2026-04-20", "m1")
+    put(bronze_root, "events", "m1", [event("e1")], page=1)
+    daily.run(spark, roots, "2026-04-20")
+    # a page of the day before arrives after that day's run, next to a day without events
+    put(bronze_root, "events", "m1", [event("e2"), event("e3", at="2026-04-19T10:00:00Z")], page=2)
+    media(bronze_root, "2026-04-21", "m1")
+    assert daily.open_days(spark, roots, "2026-04-21") == ["2026-04-20", "2026-04-21"]
+    daily.run(spark, roots, "2026-04-21")
+    assert {r["event_key"] for r in published(spark, roots).collect()} == {"e1", "e2", "e3"}
+
+
+def test_second_run_reads_no_file(spark, roots, bronze_root, monkeypatch):
+    media(bronze_root, "2026-04-20", "m1")
+    put(bronze_root, "events", "m1", [event("e1")], page=1)
+    daily.run(spark, roots, "2026-04-20")
+    version = Warehouse(spark, roots.warehouse).version()
+
+    def unread(*args, **options):
+        raise AssertionError("a document was read")
+
+    monkeypatch.setattr(daily.bronze, "read_bronze", unread)
+    assert daily.run(spark, roots, "2026-04-20") == []
+    assert daily.run(spark, roots, "2026-04-22", pull=True) == []
+    assert Warehouse(spark, roots.warehouse).version() == version
+
+
+def test_rewritten_file_is_taken_again_and_later_days_wait(spark, roots, bronze_root):
+    media(bronze_root, "2026-04-20", "m1")
+    put(bronze_root, "events", "m1", [event("e1", share=0.1)], page=1)
+    put(bronze_root, "events", "m1", [event("e9", at="2026-04-22T10:00:00Z")], page=1, day="2026-04-22")
+    daily.run(spark, roots, "2026-04-20")
+    put(bronze_root, "events", "m1", [event("e1", share=0.7), event("e2 %20", media_id="m1")], page=1)
+    daily.run(spark, roots, "2026-04-21")
+    got = {r["event_key"]: float(r["percent_viewed"]) for r in published(spark, roots).collect()}
+    assert got == {"e1": 0.7, "e2 %20": 0.5}
+    daily.run(spark, roots, "2026-04-22")
+    assert published(spark, roots).count() == 3
+
+
+def test_landed_page_that_comes_late_is_pulled(spark, roots, bronze_root):
+    media(bronze_root, "2026-04-20", "m1")
+    land(roots, "events", "m1", 1, [event("e1")])
+    daily.run(spark, roots, "2026-04-20", pull=True)
+    land(roots, "events", "m1", 2, [event("e2", at="2026-04-20T12:00:00Z")])
+    daily.run(spark, roots, "2026-04-21", pull=True)
+    assert {r["event_key"] for r in published(spark, roots).collect()} == {"e1", "e2"}
+
+
+def test_odd_names_of_folders(spark, roots, bronze_root):
+    for name in ("m 1", "m%201", "m=é"):
+        put(bronze_root, "events", name, [event(f"e {name}")], page=1)
+    media(bronze_root, "2026-04-20", "m1")
+    daily.run(spark, roots, "2026-04-20")
+    assert published(spark, roots).count() == 3
+    assert daily.untaken(spark, roots, "2026-04-21").count() == 0
