@@ -512,6 +512,15 @@ def all_oracles() -> dict[str, str]:
                         SELECT media_id, received_at - INTERVAL 1 HOUR, 1, event_key, received_at
                           FROM replays)""", "first_events", "replays"),
         "daily_load": _with(f"SELECT {_FACT_OUT} FROM fact", "fact"),
+        "gated_stream": _with("""
+            SELECT 'published' AS place, event_key FROM first_events
+             WHERE platform <> 'error' AND event_key IS NOT NULL AND media_id IS NOT NULL
+            UNION ALL SELECT 'broken', event_key FROM first_events WHERE platform = 'error'
+            UNION ALL SELECT 'rows', cast(count(*) AS varchar) FROM first_events WHERE platform <> 'error'
+            UNION ALL SELECT 'no_key', cast(count(*) AS varchar) FROM first_events
+             WHERE platform <> 'error' AND (event_key IS NULL OR media_id IS NULL)
+            UNION ALL SELECT 'broken', cast(count(*) AS varchar) FROM first_events
+             WHERE platform = 'error'""", "first_events"),
         "late_files": _with(
             f"SELECT event_key, media_id, visitor_key, {_ts('received_at')} AS received_at, "
             f"{_date('event_date')} AS event_date FROM facts", "facts"

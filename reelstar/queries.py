@@ -8,7 +8,7 @@ statistics or visitor counters leave those sources out of their plan.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from reelstar.operators import upsert as ups
 from reelstar.operators.joins import tracked_only
 from reelstar.operators.latest import latest_by
 from reelstar.plans import daily, reports
-from reelstar.schemas import RAW, STAR
+from reelstar.schemas import BATCHES, RAW, STAR
 from reelstar.session import apply_settings, scratch_dir, stored
 from reelstar.sources import bronze, samples, silver, tables
 from reelstar.sources.warehouse import Load, Warehouse
@@ -561,6 +561,38 @@ def stream_upsert(spark, sf):
     )
 
 
+def gated_stream(spark, sf):
+    """Two batches of event documents, those of one kind cut short: what is published, what is
+    kept aside, and what the log of batches counts."""
+    root, quarantine = scratch_dir(spark, "bronze"), scratch_dir(spark, "quarantine")
+    warehouse, checkpoint = Warehouse(spark, scratch_dir(spark, "gated")), scratch_dir(spark, "checkpoint")
+    events = samples.first_deliveries(spark, sf)
+    line = F.to_json(F.struct(*RAW["events"].names))
+    torn = F.when(F.col("_kind") == "error", F.expr("left(line, length(line) - 3)"))
+    lines = events.select("_kind", line.alias("line")).select(F.coalesce(torn, "line").alias("value"))
+    early = lines.filter(F.col("value").contains('"region":"AFRICA"'))
+    late = lines.filter(~F.col("value").contains('"region":"AFRICA"'))
+    for day, part in (("2024-01-31", early), (DAY, late)):
+        part.write.option("compression", "gzip").text(bronze.day_path(root, "events", day))
+        loads.gated_upsert_stream(
+            loads.bronze_stream(spark, root, "events", lines=True, keep_broken=True), warehouse,
+            "events", ["event_key"], ["received_at"], checkpoint, quarantine,
+            prepare=lambda batch: star.clean_events(batch), partition_by="event_date",
+            known_media=dim_media(spark, sf, stats=False),
+        )
+    schema = star.clean_events(bronze.empty(spark, "events")).schema
+    taken = warehouse.read(FACT, schema, "event_date").select(F.lit("published").alias("place"), "event_key")
+    kept = spark.read.option("recursiveFileLookup", True).parquet(f"{quarantine}/broken_events")
+    key = F.nullif(F.regexp_extract("_broken", '"event_key":"([^"]*)"', 1), F.lit(""))
+    log = warehouse.read(loads.BATCHES_TABLE, BATCHES)
+    counted = [
+        log.agg(F.sum(c).cast("string").alias("event_key")).select(F.lit(c).alias("place"), "event_key")
+        for c in ("rows", "no_key", "broken")
+    ]
+    parts = [taken, kept.select(F.lit("broken").alias("place"), key.alias("event_key")), *counted]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     built: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "channel_derivation": channel_derivation,
@@ -616,6 +648,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "late_files": late_files,
         "stream_daily_trend": stream_daily_trend,
         "stream_upsert": stream_upsert,
+        "gated_stream": gated_stream,
     }
 
     def wrapped(query, spark, sf_dir):

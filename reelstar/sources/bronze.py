@@ -94,7 +94,7 @@ def read_bronze(
     folders prunes the listing to them. Partition columns are not discovered: events carry
     their own media_id, and the statistics take theirs from the file path.
     """
-    schema = _with_broken(RAW[endpoint]) if keep_broken else RAW[endpoint]
+    schema = with_broken(RAW[endpoint]) if keep_broken else RAW[endpoint]
     paths = _existing(spark, [day_path(root, endpoint, d) for d in run_dates])
     if not paths:
         return empty_frame(spark, schema)
@@ -111,7 +111,8 @@ def read_bronze(
     return documents.unionByName(lines)
 
 
-def _with_broken(schema: StructType) -> StructType:
+def with_broken(schema: StructType) -> StructType:
+    """The schema with a column for the text of documents that do not fit it."""
     return StructType([*schema.fields, StructField(BROKEN, StringType())])
 
 
@@ -170,7 +171,7 @@ def read_landing(
         paths = [day_path(root, endpoint, d) for d in run_dates]
     paths = _existing(spark, paths)
     schema = StructType().add("media_id", "string").add("page", "integer")
-    schema = _with_broken(schema.add("rows", ArrayType(RAW[endpoint])))
+    schema = with_broken(schema.add("rows", ArrayType(RAW[endpoint])))
     if paths:
         reader = spark.read.schema(schema).option("recursiveFileLookup", True)
         reader = reader.option("columnNameOfCorruptRecord", BROKEN)

@@ -9,22 +9,41 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from reelstar.operators import quality, star
 from reelstar.operators.latest import latest_by
-from reelstar.schemas import RAW, columns
+from reelstar.schemas import (
+    BATCHES,
+    BROKEN,
+    FAILED_CAST_PCT,
+    FAILED_CAST_PCT_OF,
+    RAW,
+    columns,
+)
 from reelstar.session import stored
+from reelstar.sources import bronze
 from reelstar.sources.warehouse import Derived, Load, Warehouse
 
 
 def bronze_stream(
-    spark: SparkSession, root: str, endpoint: str, lines: bool = False, max_files: int | None = None
+    spark: SparkSession,
+    root: str,
+    endpoint: str,
+    lines: bool = False,
+    max_files: int | None = None,
+    keep_broken: bool = False,
 ) -> DataFrame:
-    """New bronze documents of an endpoint; ``lines`` for the files ``write_bronze`` stores."""
+    """New bronze documents of an endpoint; ``lines`` for the files ``write_bronze`` stores.
+
+    With ``keep_broken`` the text of a document that is no JSON is in a column ``_broken``.
+    """
+    schema = bronze.with_broken(RAW[endpoint]) if keep_broken else RAW[endpoint]
     reader = (
-        spark.readStream.schema(RAW[endpoint])
+        spark.readStream.schema(schema)
+        .option("columnNameOfCorruptRecord", BROKEN)
         .option("recursiveFileLookup", True)
         .option("multiLine", not lines)
         .option("pathGlobFilter", "*.txt.gz" if lines else "*.json")
@@ -91,6 +110,79 @@ def upsert_stream(
     _run(stream, checkpoint, step, "append")
 
 
+BATCHES_TABLE = "stream_batches"
+
+
+def gated_upsert_stream(
+    stream: DataFrame,
+    warehouse: Warehouse,
+    resource: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    checkpoint: str,
+    quarantine: str,
+    prepare: Callable[[DataFrame], DataFrame],
+    partition_by: str | None = None,
+    sort_by: Sequence[str] = (),
+    known_media: DataFrame | None = None,
+    failed_cast_pct: float = FAILED_CAST_PCT,
+    max_broken_pct: float = 100.0,
+) -> None:
+    """As ``upsert_stream``, into the resource's own table, with a quality gate before every commit.
+
+    ``stream`` keeps broken documents. Those of a batch go to ``broken_<resource>`` in quarantine
+    and are counted; beyond ``max_broken_pct`` per cent of the batch they fail it. The rest passes
+    the checks of the daily run: null percentages, lengths, unique keys, failed casts and, with
+    ``known_media``, orphans. A batch that fails publishes nothing: its documents go to
+    ``failed_<resource>``, and the stream stops with the report. Started anew, it takes the same
+    files again, so once they are mended, or a limit is raised, it goes on from there. A document
+    that was broken in a published batch is to land again under another name, as a stream
+    takes a path once.
+
+    The counts of a batch are published with its rows, in ``stream_batches``. Quarantine folders
+    bear the stream's id and the batch's number, so a batch that is run again writes them anew.
+    """
+    spark, table = warehouse.spark, star.ROW_KEYS[resource][0]
+
+    def step(batch: DataFrame, number: int) -> None:
+        stream_id = _query_id(spark, checkpoint)
+
+        def aside(rows: DataFrame, kind: str) -> None:
+            path = f"{quarantine.rstrip('/')}/{kind}_{resource}/stream={stream_id}/batch={number}"
+            rows.write.mode("overwrite").parquet(path)
+
+        seen = Observation()
+        counters = [*star.cast_counters(resource).values(), *star.row_counters(batch, resource)]
+        raw = stored(spark, batch.observe(seen, *counters), f"{resource}-batch")
+        counts = dict(seen.get)
+        rows, no_key, broken = (counts.pop(c) for c in ("_rows", "_no_key", "_broken"))
+        if broken:
+            aside(raw.filter(F.col(BROKEN).isNotNull()).select(BROKEN), "broken")
+        intact = raw.filter(F.col(BROKEN).isNull()).drop(BROKEN)
+        newest = stored(spark, latest_by(prepare(intact), keys, order), f"{table}-batch")
+        share = 100 * broken / max(1, rows + broken)
+        lines = [quality.build_line(resource, "broken_documents", None, broken, max_broken_pct, share)]
+        for column, n in counts.items():
+            limit = FAILED_CAST_PCT_OF.get((resource, column), failed_cast_pct)
+            failed = 100 * n / max(1, rows)
+            lines.append(quality.build_line(resource, "failed_casts", column, n, limit, failed))
+        report = None
+        if rows:  # a batch of broken documents only has no rows to check
+            report = quality.quality_report({table: newest}, known_media, {table: no_key})
+        try:
+            quality.gate(report, lines)
+        except quality.QualityGateError:
+            aside(intact, "failed")
+            raise
+        log = spark.createDataFrame([(stream_id, number, rows, no_key, broken)], BATCHES)
+        loads = {BATCHES_TABLE: Load(log, ["stream", "batch"], buckets=1)}
+        if rows:
+            loads[table] = Load(newest, keys, partition_by, sort_by, newest_by=order)
+        warehouse.publish(loads, note=f"{table}@{stream_id}#{number}")
+
+    _run(stream, checkpoint, step, "append")
+
+
 TREND = columns("event_date date, media_id string, events long")
 
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from reelstar.operators import star
@@ -107,3 +108,60 @@ def test_two_streams_into_one_table(spark, dirs, tmp_path):
     put(tmp_path / "second", "events", "m1", [event("e2", share=0.2)], page=1)
     upsert(spark, other)
     assert stored(spark, dirs) == {"e1": 0.1, "e2": 0.2}
+
+
+def gated(spark, tmp_path, **options):
+    loads.gated_upsert_stream(
+        loads.bronze_stream(spark, str(tmp_path / "bronze"), "events", keep_broken=True, max_files=1),
+        Warehouse(spark, str(tmp_path / "w")), "events", ["event_key"], ["received_at"], str(tmp_path / "c"),
+        str(tmp_path / "q"), prepare=lambda batch: star.clean_events(batch), partition_by="event_date",
+        known_media=spark.createDataFrame([("m1",)], "media_id string"), **options,
+    )
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    schema = star.clean_events(bronze.empty(spark, "events")).schema
+    table = warehouse.read("fact_media_engagement", schema, "event_date")
+    log = warehouse.read(loads.BATCHES_TABLE, loads.BATCHES).orderBy("batch").collect()
+    return {r["event_key"] for r in table.collect()}, [(r["rows"], r["no_key"], r["broken"]) for r in log]
+
+
+def test_torn_document_of_a_stream_is_kept_and_counted(spark, tmp_path):
+    root = tmp_path / "bronze"
+    put(root, "events", "m1", [event("e1"), event(None)], page=1)
+    torn = root / bronze.document_key("events", "m1", "2026-04-20", 2)
+    torn.write_text('[{"event_key": "e2", "med')
+    assert gated(spark, tmp_path) in (({"e1"}, [(2, 1, 0), (0, 0, 1)]), ({"e1"}, [(0, 0, 1), (2, 1, 0)]))
+    kept = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "q" / "broken_events"))
+    assert [r["_broken"] for r in kept.collect()] == ['[{"event_key": "e2", "med']
+    # the pulled page comes once more, whole; a stream takes a path once
+    put(root, "events", "m1", [event("e2")], page=3)
+    assert gated(spark, tmp_path)[0] == {"e1", "e2"}
+
+
+def test_bad_batch_publishes_nothing_and_the_stream_goes_on_when_mended(spark, tmp_path):
+    root = tmp_path / "bronze"
+    put(root, "events", "m1", [event("e1")], page=1)
+    gated(spark, tmp_path)
+    put(root, "events", "m1", [event("e2"), event("e3", media_id="unknown")], page=2)
+    for _ in range(2):  # stays so until it is mended
+        with pytest.raises(StreamingQueryException, match="orphan_media"):
+            gated(spark, tmp_path)
+    schema = star.clean_events(bronze.empty(spark, "events")).schema
+    table = Warehouse(spark, str(tmp_path / "w")).read("fact_media_engagement", schema, "event_date")
+    assert [r["event_key"] for r in table.collect()] == ["e1"]
+    kept = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "q" / "failed_events"))
+    assert {r["event_key"] for r in kept.collect()} == {"e2", "e3"}
+    put(root, "events", "m1", [event("e2"), event("e3")], page=2)
+    assert gated(spark, tmp_path)[0] == {"e1", "e2", "e3"}
+
+
+def test_stream_limits(spark, tmp_path):
+    root = tmp_path / "bronze"
+    (root / bronze.document_key("events", "m1", "2026-04-20", 1)).parent.mkdir(parents=True)
+    (root / bronze.document_key("events", "m1", "2026-04-20", 1)).write_text("[{")
+    with pytest.raises(StreamingQueryException, match="broken_documents"):
+        gated(spark, tmp_path, max_broken_pct=10.0)
+    assert gated(spark, tmp_path) == (set(), [(0, 0, 1)])
+    put(root, "events", "m1", [{**event("e1"), "percent_viewed": "half"}], page=2)
+    with pytest.raises(StreamingQueryException, match="failed_casts"):
+        gated(spark, tmp_path)
+    assert gated(spark, tmp_path, failed_cast_pct=100.0)[0] == {"e1"}
