@@ -512,6 +512,54 @@ def all_oracles() -> dict[str, str]:
                         SELECT media_id, received_at - INTERVAL 1 HOUR, 1, event_key, received_at
                           FROM replays)""", "first_events", "replays"),
         "daily_load": _with(f"SELECT {_FACT_OUT} FROM fact", "fact"),
+        "distinct_visitors": _with("""
+            SELECT channel, count(DISTINCT visitor_key) AS unique_visitors
+              FROM facts f JOIN dim_media m ON f.media_id = m.media_id
+             WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY channel
+            UNION ALL SELECT 'all days', count(DISTINCT visitor_key) FROM facts""", "facts", "dim_media"),
+        "bucketed_joins": _with("""
+            SELECT 'visitor' AS side, event_key AS key, cast(visitor_play_count AS bigint) AS n FROM fact
+            UNION ALL SELECT 'channel', channel, count(*)
+              FROM fact f JOIN dim_media m ON f.media_id = m.media_id GROUP BY channel""",
+            "fact", "dim_media"),
+        "schema_drift": """
+            SELECT 'events' AS resource, * FROM (VALUES
+              ('city', 'gone', 'STRING', CAST(NULL AS varchar), 0),
+              ('embed_url', 'gone', 'STRING', NULL, 0),
+              ('device', 'new', NULL, 'OBJECT', (SELECT count(*) FROM events)),
+              ('percent_viewed', 'type', 'STRING', 'NUMBER', (SELECT count(value) FROM events)))
+              AS t(field, change, old_kinds, new_kinds, documents)""",
+        "snapshot_changes": _with("""
+            SELECT media_id, CASE WHEN project_name = 'Brand#1' THEN 'new'
+                                  WHEN section_name = 'SMALL' THEN 'gone'
+                                  WHEN status = 'archived' THEN 'changed' ELSE 'same' END AS change
+              FROM media WHERE project_name <> 'Brand#1' OR section_name <> 'SMALL'""", "media"),
+        "evolving_parts": """
+            SELECT event_id, cast(props->>'$.k' AS bigint) AS k,
+                   CASE WHEN event_id % 3 < 2 THEN event_type END AS event_type,
+                   CASE WHEN event_id % 3 > 0 THEN user_id END AS user_id FROM events""",
+        "sql_geo_range": _with(f"""
+            SELECT country, count(*) AS events, count(DISTINCT visitor_key) AS unique_visitors,
+                   {_avg_pct('percent_viewed', 2)} AS avg_view_pct
+              FROM facts WHERE country IS NOT NULL AND event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
+             GROUP BY country ORDER BY events DESC, country LIMIT 7""", "facts"),
+        "sql_depth_range": _with(f"""
+            SELECT channel, cast(floor(percent_viewed * 10) * 10 AS integer) AS bucket_pct,
+                   count(*) AS events {_JOINED} WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' GROUP BY ALL""", "facts", "dim_media"),
+        "sql_channels": _with(
+            "SELECT channel, count(*) AS videos FROM dim_media GROUP BY channel", "dim_media"
+        ),
+        "stats_by_path": """
+            SELECT p_brand || ' ' || p_size AS media_id, count(*) AS plays
+              FROM part GROUP BY p_brand, p_size""",
+        "tracked_setting": _with(
+            "SELECT event_key, media_id FROM facts WHERE media_id IN ('1', '7', '42', '99', 'none')",
+            "facts",
+        ),
+        "empty_builds": _with("""
+            SELECT s.status, nullif(count(m.media_id), 0) AS written
+              FROM (VALUES ('ready'), ('archived'), ('deleted')) AS s(status)
+              LEFT JOIN media m ON m.status = s.status GROUP BY s.status""", "media"),
         "gated_stream": _with("""
             SELECT 'published' AS place, event_key FROM first_events
              WHERE platform <> 'error' AND event_key IS NOT NULL AND media_id IS NOT NULL

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar.operators import incremental as inc
-from reelstar.operators import quality, star
+from reelstar.operators import drift, quality, snapshots, star, visitors
 from reelstar.operators.joins import tracked_only
 from reelstar.operators.latest import latest_by
 from reelstar.schemas import (
@@ -31,10 +31,12 @@ from reelstar.schemas import (
 )
 from reelstar.session import stored
 from reelstar.sources import bronze, silver
-from reelstar.sources.warehouse import Load, Warehouse
+from reelstar.sources.warehouse import Derived, Load, Warehouse
 
 MARKS_TABLE = "high_water"
 FILES_TABLE = "files_taken"
+NUMBERS_TABLE = "visitor_numbers"
+VISITOR_DAYS_TABLE = "visitor_days"
 REFRESHED = ("media_metadata", "media_stats")
 
 
@@ -247,21 +249,67 @@ def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {t: warehouse.read(t, STAR[t], PARTITION_BY.get(t)) for t in LOAD_ORDER}
 
 
+def _changes(spark: SparkSession, roots: Roots, media: DataFrame, run_date: str) -> tuple[DataFrame, list]:
+    """The videos of a whole pull that differ from the published ones, and report lines that
+    count them. Videos that are published but not pulled any more are kept, and listed in
+    quarantine."""
+    old = published(spark, roots.warehouse)["dim_media"]
+    found = snapshots.compare(old, media, KEYS["dim_media"], leave_out=("load_date",))
+    found = stored(spark, found, "changes")
+    counts = {r["change"]: r["count"] for r in found.groupBy("change").count().collect()}
+    if counts.get(snapshots.GONE):
+        gone = found.filter(F.col("change") == snapshots.GONE).select(KEYS["dim_media"])
+        _quarantine(gone, roots, "gone_dim_media", run_date)
+    lines = [
+        quality.build_line("dim_media", f"{kind}_videos", None, counts.get(kind, 0), 0, 0)
+        for kind in (snapshots.NEW, snapshots.CHANGED, snapshots.GONE)
+    ]
+    return stored(spark, snapshots.to_publish(media, found, KEYS["dim_media"]), "changed"), lines
+
+
+def published_visitors(spark: SparkSession, root: str) -> DataFrame:
+    """Bitmaps of visitors per day and video, of runs that counted visitors."""
+    return Warehouse(spark, root).read(VISITOR_DAYS_TABLE, visitors.VISITOR_DAYS, "event_date")
+
+
+def count_visitors_of(
+    spark: SparkSession, warehouse: Warehouse, facts: DataFrame, fact: str
+) -> tuple[dict[str, Load], dict[str, Derived]]:
+    """What publishes the visitors of a load's days with it: numbers for new visitors, and the
+    rule that makes the bitmaps of every touched day anew. One writer at a time may give out numbers.
+    """
+    known = warehouse.read(NUMBERS_TABLE, visitors.NUMBERS)
+    new = stored(spark, visitors.new_numbers(facts, known), "visitor-numbers")
+    numbers = known.unionByName(new)
+    rule = Derived(fact, lambda rows: visitors.visitor_days(rows, numbers))
+    return {NUMBERS_TABLE: Load(new, ["visitor_key"])}, {VISITOR_DAYS_TABLE: rule}
+
+
+def field_kinds(spark: SparkSession, roots: Roots, days: Sequence[str]) -> DataFrame:
+    """Fields of the raw documents of some days, and their kinds; see ``operators.drift``."""
+    parts = [bronze.read_variants(spark, roots.bronze, name, days) for name in star.FIELDS]
+    return drift.field_kinds(reduce(DataFrame.unionByName, parts))
+
+
 def check_and_publish(
     spark: SparkSession,
     roots: Roots,
     day: Day,
+    run_date: str,
     marks: DataFrame | None = None,
     taken: DataFrame | None = None,
+    lines: Sequence = (),
+    count_visitors: bool = False,
 ) -> list:
     """Run every check on every table, then publish all of them in one commit.
 
     The fact may point at a video of an earlier day, so it is checked against the published
     dimension and the day's together. ``taken`` lists the files of the run; the commit that
-    publishes its rows notes them. Returns the quality report and the lines of the build; a failed
-    check raises before anything is published.
+    publishes its rows notes them. Of the videos, pulled whole every time, only new and changed ones
+    are published. ``lines`` are further lines of the report. Returns the quality report and the
+    lines of the build; a failed check raises before anything is published.
     """
-    tables = day.tables
+    tables = dict(day.tables)
     known = published(spark, roots.warehouse)["dim_media"].select("media_id")
     if "dim_media" in tables:
         known = known.unionByName(tables["dim_media"].select("media_id"))
@@ -272,14 +320,24 @@ def check_and_publish(
         for resource, (table, _) in star.ROW_KEYS.items()
         if resource in day.no_key
     }
-    report = quality.gate(quality.quality_report(tables, known, dropped), build_lines(day))
+    checks = quality.quality_report(tables, known, dropped)
+    derived: dict[str, Derived] = {}
+    if "dim_media" in tables:
+        tables["dim_media"], changed = _changes(spark, roots, tables["dim_media"], run_date)
+        lines = [*lines, *changed]
+    report = quality.gate(checks, [*build_lines(day), *lines])
     loads = {t: load(t, tables[t]) for t in LOAD_ORDER if t in tables}
+    warehouse = Warehouse(spark, roots.warehouse)
+    if count_visitors and "fact_media_engagement" in loads:
+        facts = loads["fact_media_engagement"].staging
+        more, derived = count_visitors_of(spark, warehouse, facts, "fact_media_engagement")
+        loads |= more
     if marks is not None:
         loads[MARKS_TABLE] = Load(marks, ["endpoint", "media_id"])
     if taken is not None:
         loads[FILES_TABLE] = Load(taken, ["endpoint", "path"])
     if loads:
-        Warehouse(spark, roots.warehouse).publish(loads)
+        warehouse.publish(loads, derived=derived)
     return report
 
 
@@ -330,6 +388,8 @@ def run(
     pull: bool = False,
     tracked: str | DataFrame | None = None,
     compare: str = "parsed",
+    check_fields: bool = False,
+    count_visitors: bool = False,
     **options,
 ) -> list:
     """One daily run, over every day up to the run date that has files no run has taken.
@@ -340,7 +400,9 @@ def run(
     publishes their rows: a run that fails takes them again, and one without new files reads none.
     ``days`` names the days instead, to be read whatever was taken; ``options`` of the build do so
     for the run date. ``pull`` first takes the landed pages of the paged endpoints and the landed
-    documents of the others, of the days with new ones.
+    documents of the others, of the days with new ones. ``check_fields`` reads the documents'
+    fields besides and fails if a day has none with a required one; ``count_visitors`` keeps up
+    the bitmaps of visitors per day and video.
     """
     named = None if days is None else sorted(set(days))
     taken, marks = [], None
@@ -365,5 +427,9 @@ def run(
     if of_days:
         taken.append(files)
     day = build_day(spark, roots, run_date, of_days, **options) if of_days else Day()
+    lines = []
+    if check_fields and of_days:
+        kinds = stored(spark, field_kinds(spark, roots, of_days), "field-kinds")
+        lines = [line for d in of_days for line in drift.required_lines(kinds, d)]
     noted = reduce(DataFrame.unionByName, taken) if taken else None
-    return check_and_publish(spark, roots, day, marks, noted)
+    return check_and_publish(spark, roots, day, run_date, marks, noted, lines, count_visitors)

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar.functions import columns as C
 from reelstar.operators.joins import lookup_join
+from reelstar.operators.visitors import distinct_visitors
+from reelstar.schemas import CHANNEL_WORDS, NO_CHANNEL
 
 
 def engagement_daily(fact: DataFrame, dim_media: DataFrame) -> DataFrame:
@@ -126,3 +128,74 @@ def register_views(star: dict[str, DataFrame]) -> None:
     fact, media = star["fact_media_engagement"], star["dim_media"]
     engagement_daily(fact, media).createOrReplaceTempView("v_engagement_daily")
     top_countries(fact, media).createOrReplaceTempView("v_top_countries")
+
+
+def visitors_between(
+    visitor_days: DataFrame, dim_media: DataFrame, first: str, last: str
+) -> DataFrame:
+    """Distinct visitors per channel from one day to another, from bitmaps instead of facts."""
+    of_range = visitor_days.filter(F.col("event_date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last))))
+    # blocks of a video are merged before the join
+    per_media = of_range.groupBy("media_id", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+    placed = per_media.join(dim_media.select("media_id", "channel"), "media_id")
+    return distinct_visitors(placed, ["channel"])
+
+
+# Each reads the views of ``register_views``; a date range reaches the scan of the fact.
+_BETWEEN = "f.event_date BETWEEN first_day AND last_day"
+_TABLE_FUNCTIONS = {
+    "geo_top(first_day DATE, last_day DATE, k INT)": (
+        "country STRING, events BIGINT, unique_visitors BIGINT, avg_view_pct DOUBLE",
+        f"""SELECT country, events, unique_visitors, avg_view_pct FROM (
+              SELECT *, row_number() OVER (ORDER BY events DESC, country) AS place FROM (
+                SELECT country, count(*) AS events, count(DISTINCT visitor_key) AS unique_visitors,
+                       round(avg(percent_viewed) * 100, 2) AS avg_view_pct
+                FROM fact_media_engagement f
+                WHERE {_BETWEEN} AND country IS NOT NULL GROUP BY country)) WHERE place <= k""",
+    ),
+    "channel_comparison_between(first_day DATE, last_day DATE)": (
+        "channel STRING, events BIGINT, unique_visitors BIGINT, avg_view_pct DOUBLE",
+        f"""SELECT m.channel, count(*), count(DISTINCT f.visitor_key),
+                   round(avg(f.percent_viewed) * 100, 2)
+            FROM fact_media_engagement f JOIN dim_media m ON f.media_id = m.media_id
+            WHERE {_BETWEEN} GROUP BY m.channel""",
+    ),
+    "daily_trend_between(first_day DATE, last_day DATE)": (
+        "event_date DATE, channel STRING, events BIGINT",
+        f"""SELECT f.event_date, m.channel, count(*)
+            FROM fact_media_engagement f JOIN dim_media m ON f.media_id = m.media_id
+            WHERE {_BETWEEN} GROUP BY f.event_date, m.channel""",
+    ),
+    "depth_between(first_day DATE, last_day DATE)": (
+        "channel STRING, bucket_pct INT, events BIGINT",
+        f"""SELECT m.channel, depth_bucket(f.percent_viewed), count(*)
+            FROM fact_media_engagement f JOIN dim_media m ON f.media_id = m.media_id
+            WHERE {_BETWEEN} GROUP BY ALL""",
+    ),
+    "countries_between(first_day DATE, last_day DATE)": (
+        "channel STRING, country STRING, events BIGINT, unique_visitors BIGINT",
+        f"""SELECT m.channel, f.country, count(*), count(DISTINCT f.visitor_key)
+            FROM fact_media_engagement f JOIN dim_media m ON f.media_id = m.media_id
+            WHERE {_BETWEEN} AND f.country IS NOT NULL GROUP BY m.channel, f.country""",
+    ),
+}
+
+
+def register_functions(spark: SparkSession) -> None:
+    """SQL functions of the session: ``derive_channel(title)``, ``depth_bucket(share)``, and the
+    dashboard's reports as table functions of a date range; register the views first."""
+    cases = " ".join(
+        f"WHEN contains(lower(title), '{word}') THEN '{channel}'" for word, channel in CHANNEL_WORDS
+    )
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION derive_channel(title STRING) RETURNS STRING "
+        f"RETURN CASE {cases} ELSE '{NO_CHANNEL}' END"
+    )
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION depth_bucket(share DECIMAL(10,6)) RETURNS INT "
+        "RETURN CAST(floor(share * 10) * 10 AS INT)"
+    )
+    for head, (columns, body) in _TABLE_FUNCTIONS.items():
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {head} RETURNS TABLE({columns}) RETURN {body}"
+        )

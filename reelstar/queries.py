@@ -7,6 +7,7 @@ statistics or visitor counters leave those sources out of their plan.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -16,7 +17,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 
 from reelstar.functions import columns as C
 from reelstar.operators import incremental as inc
-from reelstar.operators import quality, star
+from reelstar.operators import drift, quality, snapshots, star, visitors
 from reelstar.operators import upsert as ups
 from reelstar.operators.joins import tracked_only
 from reelstar.operators.latest import latest_by
@@ -561,6 +562,128 @@ def stream_upsert(spark, sf):
     )
 
 
+def distinct_visitors(spark, sf):
+    """Visitors per channel of eleven days, and of all days, from bitmaps that two loads kept up."""
+    warehouse = Warehouse(spark, scratch_dir(spark, "visitors"))
+    for deliveries in (samples.first_deliveries(spark, sf), samples.replays(spark, sf)):
+        staged = stored(spark, star.clean_events(deliveries, tie_break=()), "staged")
+        more, derived = daily.count_visitors_of(spark, warehouse, staged, "facts")
+        facts_load = Load(staged, ["event_key"], "event_date", newest_by=("received_at",))
+        warehouse.publish({"facts": facts_load, **more}, derived=derived)
+    days = daily.published_visitors(spark, warehouse.root)
+    in_range = reports.visitors_between(days, dim_media(spark, sf, stats=False), "2024-01-10", "2024-01-20")
+    every = visitors.distinct_visitors(days).select(F.lit("all days").alias("channel"), "unique_visitors")
+    return in_range.unionByName(every)
+
+
+def bucketed_joins(spark, sf):
+    """Declared tables: staged facts meet their visitors, published ones their videos."""
+    names = tables.declare(spark, scratch_dir(spark, "declared"))
+    loaded = {
+        "dim_media": dim_media(spark, sf, stats=False),
+        "dim_visitor": dim_visitor(spark, sf),
+        FACT: fact(spark, sf),
+    }
+    for table, df in loaded.items():
+        tables.fill_staging(names, table, df)
+        tables.insert_from_staging(spark, names, table)
+    counted, placed = tables.joins(spark, names)
+    of_visitors = counted.select(
+        F.lit("visitor").alias("side"), F.col("event_key").alias("key"), F.col("play_count").cast("long").alias("n")
+    )
+    of_channels = placed.groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
+    return of_visitors.unionByName(of_channels.select(F.lit("channel").alias("side"), F.col("channel").alias("key"), "n"))
+
+
+def drifting(spark, sf):
+    """Two days of event documents as raw text; on the second a field is gone, one is new, and
+    shares are numbers."""
+    root = scratch_dir(spark, "drift")
+    events = samples.first_deliveries(spark, sf)
+    early = events.select(*[c for c in RAW["events"].names if c != "user_agent_details"])
+    late = early.withColumn("percent_viewed", F.col("percent_viewed").cast("double")).drop("city", "embed_url")
+    late = late.withColumn("device", F.struct(F.col("region").alias("seen_in")))
+    for day, part in (("2024-01-31", early), (DAY, late)):
+        part.select(F.to_json(F.struct("*")).alias("value")).write.option("compression", "gzip").text(
+            bronze.day_path(root, "events", day)
+        )
+    documents = bronze.read_variants(spark, root, "events", ["2024-01-31", DAY])
+    return drift.drift(drift.field_kinds(documents), "2024-01-31", DAY)
+
+
+def snapshot_changes(spark, sf):
+    """Videos pulled whole twice: what is new, changed, gone or the same."""
+    old = dim_media(spark, sf, stats=False).filter("project_name <> 'Brand#1'")
+    new = dim_media(spark, sf, stats=False).filter("section_name <> 'SMALL'")
+    new = new.withColumn("status", F.expr("IF(status = 'archived', 'deleted', status)"))
+    new = new.withColumn("load_date", F.date_add("load_date", 1))
+    return snapshots.compare(old, new, "media_id", leave_out=("load_date",))
+
+
+def evolving_parts(spark, sf):
+    """Three days of events as parts whose columns change: one comes, one goes, one widens."""
+    root = scratch_dir(spark, "parts")
+    rows = samples.table(spark, sf, "events").select(
+        F.col("event_id"), F.col("user_id"), F.col("event_type"),
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+    )
+    day = F.pmod("event_id", F.lit(3))
+    shapes = {
+        "day1": rows.filter(day == 0).select("event_id", "k", "event_type"),
+        "day2": rows.filter(day == 1).select("event_id", F.col("k").cast("long").alias("k"), "event_type", "user_id"),
+        "day3": rows.filter(day == 2).select("user_id", F.col("k").cast("long").alias("k"), "event_id"),
+    }
+    for name, part in shapes.items():
+        part.write.parquet(f"{root}/{name}")
+    return silver.read_parts(spark, [f"{root}/{name}" for name in shapes])
+
+
+def with_functions(spark, sf, text, **args):
+    """SQL over the views and functions of a session."""
+    reports.register_views({"dim_media": dim_media(spark, sf, stats=False), FACT: facts(spark, sf)})
+    reports.register_functions(spark)
+    return spark.sql(text, args=args)
+
+
+SQL_RANGE = {"first": dt.date(2024, 1, 10), "last": dt.date(2024, 1, 20)}
+
+
+def stats_by_path(spark, sf):
+    """Statistics documents that name no video: their ids come from their paths."""
+    root = scratch_dir(spark, "by-path")
+    sizes = samples.table(spark, sf, "part").groupBy("p_brand", "p_size").agg(F.count(F.lit(1)).alias("n"))
+    counted = sizes.select(
+        F.concat_ws(" ", "p_brand", F.col("p_size").cast("string")).alias("video"),
+        F.lit(None).cast("string").alias("media_id"),
+        F.col("n").cast("string").alias("play_count"),
+        *[F.lit(None).cast("string").alias(c) for c in RAW["media_stats"].names[2:]],
+    )
+    bronze.write_bronze(counted, root, "media_stats", DAY, "video")
+    back = bronze.read_bronze(spark, root, "media_stats", [DAY])
+    return back.select("media_id", F.col("play_count").cast("long").alias("plays"))
+
+
+def tracked_setting(spark, sf):
+    """Facts of the videos that a setting lists."""
+    kept = facts(spark, sf).select("event_key", "media_id")
+    return tracked_only(kept, " 1, 7,,42 , 99,none ")
+
+
+def empty_builds(spark, sf):
+    """Tables of the days that a build may write: one that gives no row is refused."""
+    root, rows = scratch_dir(spark, "empty"), []
+    built = dim_media(spark, sf, stats=False)
+    for status in ("ready", "archived", "deleted"):
+        part = built.filter(F.col("status") == status).withColumn("load_date", F.to_date(F.lit(DAY)))
+        try:
+            silver.write_silver(part, f"{root}/{status}", "dim_media")
+            n = silver.read_silver(spark, f"{root}/{status}", "dim_media", DAY).count()
+        except silver.EmptyTable:
+            n = None
+        rows.append((status, n))
+    return spark.createDataFrame(rows, "status string, written long")
+
+
 def gated_stream(spark, sf):
     """Two batches of event documents, those of one kind cut short: what is published, what is
     kept aside, and what the log of batches counts."""
@@ -649,6 +772,24 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_daily_trend": stream_daily_trend,
         "stream_upsert": stream_upsert,
         "gated_stream": gated_stream,
+        "distinct_visitors": distinct_visitors,
+        "bucketed_joins": bucketed_joins,
+        "schema_drift": drifting,
+        "snapshot_changes": snapshot_changes,
+        "evolving_parts": evolving_parts,
+        "sql_geo_range": partial(
+            with_functions, text="SELECT * FROM geo_top(:first, :last, :k)", k=7, **SQL_RANGE
+        ),
+        "sql_depth_range": partial(
+            with_functions, text="SELECT * FROM depth_between(:first, :last)", **SQL_RANGE
+        ),
+        "sql_channels": partial(
+            with_functions,
+            text="SELECT derive_channel(name) AS channel, count(*) AS videos FROM dim_media GROUP BY 1",
+        ),
+        "stats_by_path": stats_by_path,
+        "tracked_setting": tracked_setting,
+        "empty_builds": empty_builds,
     }
 
     def wrapped(query, spark, sf_dir):

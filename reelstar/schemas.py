@@ -112,6 +112,22 @@ NEWEST_BY = {
 FAILED_CAST_PCT = 5.0
 FAILED_CAST_PCT_OF = {("events", "lat"): 50.0, ("events", "lon"): 50.0}
 
+# Fields that some document of a resource must have on every day.
+REQUIRED_FIELDS = {
+    "media_metadata": ("hashed_id", "name", "created"),
+    "visitors": ("visitor_key", "user_agent_details"),
+    "events": ("event_key", "media_id", "visitor_key", "received_at", "percent_viewed"),
+}
+
+# Declared tables lie in buckets of the columns that they are joined by; a staged fact meets the
+# visitors, a published one the videos.
+BUCKET_BY = {
+    "dim_media": "media_id",
+    "dim_visitor": "visitor_key",
+    "fact_media_engagement": "media_id",
+    "stg_fact_media_engagement": "visitor_key",
+}
+
 # Declared VARCHAR lengths, in bytes.
 MAX_LENGTH = {
     "dim_media": {

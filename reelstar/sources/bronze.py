@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -104,13 +104,45 @@ def read_bronze(
     documents = reader.option("multiLine", True).option("pathGlobFilter", DOCUMENTS).json(paths)
     lines = reader.option("multiLine", False).option("pathGlobFilter", LINES).json(paths)
     if endpoint == "media_stats":
-        from_path = F.nullif(C.media_id_from_path(F.col("_metadata.file_path")), F.lit(""))
-        media_id = F.coalesce("media_id", from_path)
-        documents = documents.withColumn("media_id", media_id)
-        lines = lines.withColumn("media_id", media_id)
+        # a path is shown percent-encoded; in folders that Spark wrote, names are encoded besides
+        once = _decoded(C.media_id_from_path(F.col("_metadata.file_path")))
+        documents, lines = (
+            df.withColumn("media_id", F.coalesce("media_id", F.nullif(name, F.lit(""))))
+            for df, name in ((documents, once), (lines, _decoded(once)))
+        )
     return documents.unionByName(lines)
 
 
+def read_variants(
+    spark: SparkSession, root: str, endpoint: str, run_dates: Sequence[str]
+) -> DataFrame:
+    """Documents of the given days as VARIANT: ``resource``, ``day`` and ``doc``.
+
+    An array, as a page is, gives its elements. Text that is no JSON gives no row; the typed scan
+    counts it.
+    """
+    paths = _existing(spark, [day_path(root, endpoint, d) for d in run_dates])
+    if not paths:
+        none = spark.range(0)
+        return none.select(*[F.lit("").alias(c) for c in ("resource", "day")], F.parse_json(F.lit("{}")).alias("doc"))
+    reader = spark.read.option("recursiveFileLookup", True)
+    documents = reader.option("pathGlobFilter", DOCUMENTS).text(paths, wholetext=True)
+    lines = reader.option("pathGlobFilter", LINES).text(paths)
+    path = F.col("_metadata.file_path")
+    day = F.concat_ws("-", *[F.regexp_extract(path, _DAY_FOLDER, k) for k in (1, 2, 3)])
+    texts = documents.select(day.alias("day"), "value").unionByName(lines.select(day.alias("day"), "value"))
+    parsed = texts.select("day", F.try_parse_json("value").alias("v")).filter("v IS NOT NULL")
+    is_page = F.schema_of_variant("v").startswith("ARRAY")
+    page = F.when(is_page, F.expr("CAST(v AS array<variant>)")).otherwise(F.array("v"))
+    rows = parsed.select(F.lit(endpoint).alias("resource"), "day", F.explode(page).alias("doc"))
+    return rows.filter(F.schema_of_variant("doc").startswith("OBJECT"))
+
+
+def _decoded(name: Column) -> Column:
+    """Percent-decoded text, or as it is where that makes no sense; a plus is a plus."""
+    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+
+
 def with_broken(schema: StructType) -> StructType:
     """The schema with a column for the text of documents that do not fit it."""
     return StructType([*schema.fields, StructField(BROKEN, StringType())])

@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StructField,
+    StructType,
+)
 
 from reelstar.schemas import STAR
 
+# each type holds all values of those before it in its row
+_WIDER = ((ByteType, ShortType, IntegerType, LongType), (FloatType, DoubleType))
+
 
 class MissingColumns(ValueError):
     pass
@@ -17,6 +34,10 @@ class EmptyTable(ValueError):
     pass
 
 
+class Narrowed(TypeError):
+    """A later part has a type that cannot hold what an earlier one may."""
+
+
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
@@ -64,3 +85,39 @@ def read_silver(
         df = df.filter(F.col("load_date") == F.to_date(F.lit(run_date)))
     df = df.select(*STAR[table].names)
     return None if df.isEmpty() else df
+
+
+def widened(old: DataType, new: DataType, column: str) -> DataType:
+    """The type of a later part if it holds all values of the earlier one's."""
+    if old == new:
+        return new
+    if isinstance(old, DecimalType) and isinstance(new, DecimalType):
+        if new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale:
+            return new
+    for row in _WIDER:
+        if type(old) in row and type(new) in row and row.index(type(old)) < row.index(type(new)):
+            return new
+    raise Narrowed(f"{column}: {old.simpleString()} became {new.simpleString()}")
+
+
+def evolved_schema(schemas: Sequence[StructType]) -> StructType:
+    """One schema for parts written one after another: columns in the order they first came,
+    each in its widest type. A column that is gone stays, and reads as NULL in later parts."""
+    found: dict[str, DataType] = {}
+    for schema in schemas:
+        for field in schema.fields:
+            old = found.get(field.name, field.dataType)
+            found[field.name] = widened(old, field.dataType, field.name)
+    return StructType([StructField(name, dtype) for name, dtype in found.items()])
+
+
+def read_parts(spark: SparkSession, parts: Sequence[str]) -> DataFrame:
+    """Parts of a table, oldest first, whose columns may have changed on the way.
+
+    A part's schema is that of its files; part names are days or folders, a short list. All parts
+    are one scan under the evolved schema: a column that a part lacks reads as NULL, and Parquet
+    widens a narrower type while reading. A type that became narrower fails the read before it
+    begins.
+    """
+    schema = evolved_schema([spark.read.parquet(part).schema for part in parts])
+    return spark.read.schema(schema).parquet(*parts)

@@ -1,6 +1,9 @@
 """Declared tables: the star and its staging twins in the session catalog.
 
-The declaration carries the VARCHAR lengths, so Spark itself refuses a value that is too long.
+The declaration carries the VARCHAR lengths, so Spark itself refuses a value that is too long, and
+the layout: tables lie in sorted buckets of the column they are joined by, so that a fact is not
+shuffled to meet its videos, nor a staged one to meet its visitors. A bucket is one task of such a
+join, and a hot key lies in one bucket: where that is too much, read the published tables instead.
 """
 
 from __future__ import annotations
@@ -10,9 +13,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from reelstar.operators.upsert import delete_matching, keyed
-from reelstar.schemas import KEYS, LOAD_ORDER, MAX_LENGTH, PARTITION_BY, STAR
+from reelstar.schemas import BUCKET_BY, KEYS, LOAD_ORDER, MAX_LENGTH, PARTITION_BY, STAR
 from reelstar.session import stored
 
+BUCKETS = 16
+
 
 def _columns(table: str, staging: bool) -> str:
     parts = []
@@ -24,8 +29,14 @@ def _columns(table: str, staging: bool) -> str:
     return ", ".join(parts)
 
 
-def declare(spark: SparkSession, root: str, prefix: str | None = None) -> dict[str, str]:
-    """Create the six tables under ``root`` if they do not exist.
+def _bucket_column(name: str) -> str:
+    return BUCKET_BY.get(name) or BUCKET_BY[name.removeprefix("stg_")]
+
+
+def declare(
+    spark: SparkSession, root: str, prefix: str | None = None, buckets: int = BUCKETS
+) -> dict[str, str]:
+    """Create the six tables under ``root`` if they do not exist, in so many buckets each.
 
     Returns the catalog name of every table and, under ``stg_`` + name, of its staging twin.
     """
@@ -38,31 +49,41 @@ def declare(spark: SparkSession, root: str, prefix: str | None = None) -> dict[s
             spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({_columns(table, staging)}) "
                 f"USING parquet {f'PARTITIONED BY ({part})' if part else ''} "
+                f"CLUSTERED BY ({_bucket_column(name)}) SORTED BY ({_bucket_column(name)}) "
+                f"INTO {buckets} BUCKETS "
                 f"LOCATION '{root}/{name}'"
             )
             names[name] = f"{prefix}{name}"
     return names
 
 
-def fill_staging(names: dict[str, str], table: str, df: DataFrame) -> None:
+def _dealt(df: DataFrame, name: str, buckets: int) -> DataFrame:
+    """Rows dealt as the buckets of a table are, so that a task writes one bucket's files."""
+    return df.repartition(buckets, _bucket_column(name))
+
+
+def fill_staging(
+    names: dict[str, str], table: str, df: DataFrame, buckets: int = BUCKETS
+) -> None:
     """Empty the staging table and load it by column position."""
-    df.select(*STAR[table].names).write.insertInto(names[f"stg_{table}"], overwrite=True)
+    rows = _dealt(df.select(*STAR[table].names), f"stg_{table}", buckets)
+    rows.write.insertInto(names[f"stg_{table}"], overwrite=True)
 
 
-def insert_from_staging(spark: SparkSession, names: dict[str, str], table: str) -> None:
+def insert_from_staging(
+    spark: SparkSession, names: dict[str, str], table: str, buckets: int = BUCKETS
+) -> None:
     """Upsert the keyed staging rows: rows of their keys are deleted first, so a second load of
     the same rows changes nothing.
 
     Columns go by name, as a partitioned table keeps its date last. A catalog table of Parquet
     files is rewritten whole; published tables, see ``warehouse``, are not.
     """
-    part, key = PARTITION_BY.get(table), [KEYS[table]]
+    key = [KEYS[table]]
     staging = keyed(spark.table(names[f"stg_{table}"]), key)
     target = spark.table(names[table])
     kept = stored(spark, delete_matching(target, staging, key), f"kept-{table}")
-    rows = kept.unionByName(staging.select(*target.columns))
-    if part:
-        rows = rows.hint("rebalance", part)
+    rows = _dealt(kept.unionByName(staging.select(*target.columns)), table, buckets)
     rows.select(*target.columns).createOrReplaceTempView("_upserted")
     with_static = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
@@ -71,3 +92,13 @@ def insert_from_staging(spark: SparkSession, names: dict[str, str], table: str)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", with_static)
         spark.catalog.dropTempView("_upserted")
+
+
+def joins(spark: SparkSession, names: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """The two joins that the layout serves: staged facts with the counters of their visitors, and
+    published facts with the channel of their videos. Neither shuffles the facts."""
+    staged, facts = spark.table(names["stg_fact_media_engagement"]), spark.table(names["fact_media_engagement"])
+    people = spark.table(names["dim_visitor"]).select("visitor_key", "play_count", "load_count")
+    media = spark.table(names["dim_media"]).select("media_id", "channel")
+    counted = staged.drop("visitor_play_count", "visitor_load_count").join(people, "visitor_key", "left")
+    return counted, facts.join(media, "media_id")

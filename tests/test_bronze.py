@@ -175,3 +175,9 @@ def test_folder_per_video_layout(spark, tmp_path):
     folders = sorted(p.name for p in tmp_path.glob("media_stats/*/*/*/*") if p.is_dir())
     assert folders == ["media_id=m1", "media_id=m2"]
     assert scan(spark, tmp_path, "media_stats").count() == 2
+
+
+def test_ids_from_odd_paths(spark, tmp_path):
+    for name in ("m 1", "a+b", "x#y", "é", "50%"):
+        put(tmp_path, "media_stats", name, {"play_count": 1})
+    assert {r["media_id"] for r in scan(spark, tmp_path, "media_stats").collect()} == {"m 1", "a+b", "x#y", "é", "50%"}
