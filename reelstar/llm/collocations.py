@@ -46,87 +46,124 @@ _FORM = bytes.maketrans(
 _END = b"."
 
 
+class Node:
+    """A branch of a trie: a subtree for each word that has many phrases here, and one container
+    that the other words share."""
+
+    def __init__(self, shared: Counter, limit: int) -> None:
+        self.words = np.zeros(0, np.uint64)  # ascending; the packed words down to this one
+        self.below: list[Counter | Node] = []
+        self.shared, self.limit = shared, limit
+
+
 class HatTrie:
-    """Counts of phrases, each packed as ``depth`` word ids of ``bits`` bits in one number."""
+    """Counts of phrases, each packed as ``depth`` word ids of ``bits`` bits in one number.
+
+    A container that is beyond ``burst`` phrases bursts: words with a sixteenth of that or more
+    get a container of their own, and one that outgrows its bound bursts in turn at the next
+    word. A shared container of rare words only may double before it is looked through again.
+    """
 
     def __init__(self, depth: int, bits: int, burst: int = BURST) -> None:
         self.depth, self.bits, self.burst = depth, bits, burst
-        self.root: Counter | dict = Counter()
+        self.root = Node(Counter(), burst)
         self.size = 0
 
     def add(self, keys: np.ndarray) -> None:
         if len(keys):
-            self.root = self._add(self.root, np.sort(keys), 0)
+            self._add(self.root, keys, 0)
 
-    def _parts(self, keys: np.ndarray, level: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Sorted keys that share the words before a level, parted by the word there."""
-        word = keys >> np.uint64(self.bits * (self.depth - 1 - level))
-        cuts = np.flatnonzero(word[1:] != word[:-1]) + 1
-        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
-            yield int(word[low]), keys[low:high]
+    def _word(self, keys: np.ndarray, level: int) -> np.ndarray:
+        return keys >> np.uint64(self.bits * (self.depth - 1 - level))
 
-    def _add(self, node: Counter | dict, keys: np.ndarray, level: int) -> Counter | dict:
+    def _add(self, node: Counter | Node, keys: np.ndarray, level: int) -> Counter | Node:
         if isinstance(node, Counter):
-            before = len(node)
-            node.update(keys.tolist())
-            self.size += len(node) - before
+            self._count(node, keys)
             if len(node) <= self.burst or level == self.depth - 1:
                 return node
-            held, counts = _sorted(node)
-            node, at = {}, 0
-            for word, part in self._parts(held, level):
-                node[word] = Counter(dict(zip(part.tolist(), counts[at : at + len(part)].tolist())))
-                at += len(part)
+            node = Node(node, self.burst)
+            self._burst(node, level)
             return node
-        for word, part in self._parts(keys, level):
-            below = node.get(word)
-            node[word] = self._add(Counter() if below is None else below, part, level + 1)
+        if len(node.words):
+            word = self._word(keys, level)
+            at = np.minimum(np.searchsorted(node.words, word), len(node.words) - 1)
+            own = node.words[at] == word
+            order = np.argsort(at[own], kind="stable")
+            below, numbers = keys[own][order], at[own][order]
+            cuts = np.flatnonzero(numbers[1:] != numbers[:-1]) + 1
+            for part, n in zip(np.split(below, cuts), numbers[np.append(0, cuts)] if len(below) else ()):
+                node.below[n] = self._add(node.below[n], part, level + 1)
+            keys = keys[~own]
+        self._count(node.shared, keys)
+        if len(node.shared) > node.limit:
+            self._burst(node, level)
         return node
 
+    def _count(self, container: Counter, keys: np.ndarray) -> None:
+        before = len(container)
+        container.update(keys.tolist())
+        self.size += len(container) - before
+
+    def _burst(self, node: Node, level: int) -> None:
+        keys, counts = _sorted([_arrays(node.shared)])
+        word = self._word(keys, level)
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        many = np.diff(np.append(first, len(keys))) >= max(2, self.burst // 16)
+        new = []
+        for low, high in zip(first[many], np.append(first[1:], len(keys))[many]):
+            new.append(Counter(dict(zip(keys[low:high].tolist(), counts[low:high].tolist()))))
+        rare = ~np.isin(word, word[first[many]])
+        node.shared = Counter(dict(zip(keys[rare].tolist(), counts[rare].tolist())))
+        words = np.concatenate([node.words, word[first[many]]])
+        below, order = node.below + new, np.argsort(words)
+        node.words, node.below = words[order], [below[k] for k in order]
+        node.limit = max(self.burst, 2 * len(node.shared))
+
     def spill(self, keep: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Take out whole subtrees, the largest first, until ``keep`` phrases or fewer are left."""
-        if isinstance(self.root, Counter):
-            subtrees, self.root = [self.root], Counter()
-        else:
-            sizes = {word: _size(below) for word, below in self.root.items()}
-            subtrees, left = [], self.size
-            for word in sorted(sizes, key=sizes.get, reverse=True):
-                if left <= keep:
-                    break
-                left -= sizes[word]
-                subtrees.append(self.root.pop(word))
-            if not self.root:
-                self.root = Counter()
-        runs = Counter()
-        for tree in subtrees:  # small subtrees share a run
-            _gather(tree, runs)
-            if len(runs) > self.burst:
-                self.size -= len(runs)
-                yield _sorted(runs)
-                runs = Counter()
-        if runs:
-            self.size -= len(runs)
-            yield _sorted(runs)
-
-
-def _sorted(counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.fromiter(counts.keys(), np.uint64, len(counts))
-    values = np.fromiter(counts.values(), np.int64, len(counts))
+        root, left, taken, parts, size = self.root, self.size, set(), [], 0
+        trees = [root.shared, *root.below]
+        sizes = [_size(t) for t in trees]
+        for k in sorted(range(len(trees)), key=lambda k: -sizes[k]):
+            if left <= keep or not sizes[k]:
+                break
+            left -= sizes[k]
+            size += sizes[k]
+            taken.add(k)
+            parts += _gather(trees[k])
+            if size > self.burst:  # small subtrees share a run
+                yield _sorted(parts)
+                parts, size = [], 0
+        if parts:
+            yield _sorted(parts)
+        self.root = Node(Counter() if 0 in taken else root.shared, root.limit)
+        stay = [k for k in range(len(root.below)) if k + 1 not in taken]
+        self.root.words, self.root.below = root.words[stay], [root.below[k] for k in stay]
+        self.size = left
+
+
+def _arrays(counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+    n = len(counts)
+    return np.fromiter(counts.keys(), np.uint64, n), np.fromiter(counts.values(), np.int64, n)
+
+
+def _sorted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(keys)
-    return keys[order], values[order]
+    return keys[order], counts[order]
 
 
-def _size(node: Counter | dict) -> int:
-    return len(node) if isinstance(node, Counter) else sum(map(_size, node.values()))
+def _size(node: Counter | Node) -> int:
+    if isinstance(node, Counter):
+        return len(node)
+    return len(node.shared) + sum(map(_size, node.below))
 
 
-def _gather(node: Counter | dict, into: Counter) -> None:
-    """All phrases of a subtree; phrases of different subtrees differ."""
+def _gather(node: Counter | Node) -> list[tuple[np.ndarray, np.ndarray]]:
+    """All phrases of a subtree, by container; they differ."""
     if isinstance(node, Counter):
-        dict.update(into, node)
-    else:
-        for below in node.values():
-            _gather(below, into)
+        return [_arrays(node)]
+    return [_arrays(node.shared), *(part for below in node.below for part in _gather(below))]
 
 
 def pair_bits(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
@@ -153,6 +190,7 @@ class Language:
         self.ids[_END] = 0
         self.hashes = np.zeros(1, np.uint64)
         self.words: list[bytes] = [b""]
+        self.single = np.zeros(1, np.int64)  # counts of single words
         self.short: np.ndarray = np.zeros(1, np.int64)  # ids of 16 bits, of words that may count
         self.long: list[int] = [0]
 
@@ -186,12 +224,11 @@ class Language:
         self.n_words += int(np.count_nonzero(ids[done:]))
         real = ids != 0
         if pairs is None:
-            starts = self._starts(real, done, (1, 2))
-            for length, found in starts.items():
-                keys = ids[found] << 32
-                if length == 2:
-                    keys |= ids[found + 1]
-                self.trie.add(keys.astype(np.uint64))
+            self.single.resize(len(self.words))
+            self.single += np.bincount(ids[done:], minlength=len(self.words))
+            begins = np.flatnonzero(real[:-1] & real[1:])
+            begins = begins[begins + 2 > done]
+            self.trie.add((ids[begins] << 32 | ids[begins + 1]).astype(np.uint64))
             return
         if len(self.words) > len(self.hashes):
             new = [xxhash.xxh64_intdigest(w, self.seed) for w in self.words[len(self.hashes) :]]
@@ -211,13 +248,6 @@ class Language:
             for low in range(0, len(begins), _STARTS):
                 yield from self._add_long(ids, begins[low : low + _STARTS], length)
 
-    @staticmethod
-    def _starts(real: np.ndarray, done: int, lengths: Sequence[int]) -> dict[int, np.ndarray]:
-        """Where phrases of one and of two words begin that are not all before ``done``."""
-        found = {1: real, 2: real[:-1] & real[1:]}
-        begins = {n: np.flatnonzero(found[n]) for n in lengths}
-        return {n: b[b + n > done] for n, b in begins.items()}
-
     def _add_long(self, ids: np.ndarray, begins: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
         """Count phrases of three or four words, by word ids of 16 bits."""
         words = ids[begins[:, None] + np.arange(length)]
@@ -247,18 +277,24 @@ class Language:
                 (keys >> np.uint64(self.bits * (self.depth - 1 - k))) & mask for k in range(self.depth)
             ]
             for length in self.lengths:
+                if length == 1:
+                    continue  # counted beside the trie
                 own = columns[length - 1] != 0
                 if length < self.depth:
                     own &= columns[length] == 0
                 if not own.any():
                     continue
                 parts = [words.take(pa.array(c[own].astype(np.int64))) for c in columns[:length]]
-                phrases = parts[0] if length == 1 else pc.binary_join_element_wise(*parts, " ")
-                yield self.batch(phrases, pa.array(counts[own]))
+                yield self.batch(pc.binary_join_element_wise(*parts, " "), pa.array(counts[own]))
 
     def empty(self) -> Iterator[pa.RecordBatch]:
         """Send all phrases and begin anew with no words."""
         yield from self.runs(0)
+        self.single[0] = 0  # ends of pieces are no words
+        seen = np.flatnonzero(self.single)
+        if len(seen):
+            words = pa.array([self.words[k] for k in seen], pa.binary()).cast(pa.string())
+            yield self.batch(words, pa.array(self.single[seen]))
         self._forget()
 
     def batch(self, phrases: pa.Array, counts: pa.Array) -> pa.RecordBatch:
@@ -288,7 +324,7 @@ def _counting(lengths: Sequence[int], held=None):
                         else:
                             yield from s.runs(s.trie.size // 4)
         for s in seen.values():
-            yield from s.runs(0)
+            yield from s.empty()
             if pairs is None and s.n_words:
                 yield s.batch(pa.array([""]), pa.array([s.n_words]))
 
