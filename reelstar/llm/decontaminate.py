@@ -10,7 +10,9 @@ target recall is reached. What agrees on a band is then compared with the item e
 
 Windows are as long as the items, up to a factor of one and a half: items are put in classes by
 length. A document's windows begin at every fourth word and an item's at every word, so that
-some window of a passage meets one of the item's wherever it stands.
+some window of a passage meets one of the item's wherever it stands. Windows that hold too few
+pairs of neighbouring words of any item, for all the edits allowed, are passed over before they
+are embedded. Items too short for edits are looked up whole, by a hash of their words.
 
 The benchmark is cut into blocks of bounded size. All documents are read once for each block,
 and only the block's index is broadcast.
@@ -38,6 +40,8 @@ _BANDS = 6
 _SAMPLES = 4
 _FILTER_BITS = 18
 _CHUNK = 1 << 14
+_PAIR_BITS = 23
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -102,6 +106,12 @@ class Index:
     walks: list[Walk]
     # for each walk and slot: ascending hashes, and the item and offset of each
     tables: list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]
+    # for each class of windows: size, and pairs of item words that a window has at least
+    least: list[tuple[int, int]]
+    # bit map of the hashes of the items' pairs of neighbouring words
+    pairs: np.ndarray
+    # items too short for edits: for each number of words, ascending hashes and the item of each
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
 
 def _windows(words: list[np.ndarray], sizes: list[int]) -> tuple[np.ndarray, ...]:
@@ -172,23 +182,60 @@ def repeats_needed(
     return need
 
 
+def neighbour_pairs(words: np.ndarray) -> np.ndarray:
+    """Place in the bit map of every word and the next."""
+    return (mixed(words[:-1] * _FACTOR + words[1:]) >> np.uint64(64 - _PAIR_BITS)).view(np.int64)
+
+
+def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
+    """A hash of every run of so many words."""
+    total = np.zeros(max(0, len(words) - length + 1), np.uint64)
+    for k in range(length):
+        total = total * _FACTOR + words[k : k + len(total)]
+    return mixed(total)
+
+
+def least_pairs(size: int, words: int, edits: int) -> int:
+    """Pairs of the item's neighbouring words in a window of a passage within the edits.
+
+    An edit makes two pairs at most that are not the item's. Windows are taken up to the end of
+    a passage that edits have made shorter, and may reach beyond it.
+    """
+    beyond = max(0, size + STRIDE - 1 - (words - edits))
+    return size - 1 - 2 * edits - beyond
+
+
 def build_index(
     items: list[tuple[object, str]], max_edit: float, min_words: int, recall: float
 ) -> Index | None:
-    """Index of a block of items, or nothing if none of them is long enough."""
-    hasher = WordHasher()
+    """Index of a block of items, or nothing if none of them has a word."""
+    hasher = WordHasher(characters=True)
     kept = [(i, hasher.of([t.encode()])[0]) for i, t in items]
-    kept = [(i, w) for i, w in kept if len(w) >= min_words]
+    kept = [(i, w) for i, w in kept if len(w)]
     if not kept:
         return None
     ids, words = [i for i, _ in kept], [w for _, w in kept]
     edits = [int(max_edit * len(w) + 1e-9) for w in words]
-    need = repeats_needed(words, edits, recall)
+    short = {}
+    for length in {len(w) for w in words if len(w) < min_words}:
+        own = [k for k, w in enumerate(words) if len(w) == length]
+        hashes = np.concatenate([run_hashes(words[k], length) for k in own])
+        order = np.argsort(hashes)
+        short[length] = hashes[order], np.array(own)[order]
+    long = [k for k, w in enumerate(words) if len(w) >= min_words]
+    need = repeats_needed([words[k] for k in long], [edits[k] for k in long], recall) if long else {}
+    pairs = np.zeros(1 << _PAIR_BITS, np.bool_)
+    for k in long:
+        pairs[neighbour_pairs(words[k])] = True
+    least = [
+        (size, min(least_pairs(size, len(words[k]), edits[k]) for k in long if window_class(len(words[k])) == size))
+        for size in sorted(need)
+    ]
     walks, tables = [], []
-    for r in range(max(need.values())):
+    for r in range(max(need.values(), default=0)):
         sizes = [size for size in sorted(need) if need[size] > r]
         walk = make_walk(r, sizes)
-        own = [k for k, w in enumerate(words) if window_class(len(w)) in sizes]
+        own = [k for k in long if window_class(len(words[k])) in sizes]
         tokens, item, offset, place, kind = _windows([words[k] for k in own], sizes)
         sums = embed(tokens, place, walk)
         slots = []
@@ -199,7 +246,18 @@ def build_index(
             slots.append((hashes[order], whose[order], where[order]))
         walks.append(walk)
         tables.append(slots)
-    return Index(ids, words, edits, walks, tables)
+    return Index(ids, words, edits, walks, tables, least, np.packbits(pairs), short)
+
+
+def hopeful(tokens: np.ndarray, starts: np.ndarray, index: Index) -> np.ndarray:
+    """The starts whose window, of one of the classes, holds the pairs that it needs."""
+    own = neighbour_pairs(tokens)
+    known = (index.pairs[own >> 3] >> (7 - (own & 7)).astype(np.uint8)) & 1
+    sums = np.concatenate([[0], np.cumsum(known, dtype=np.int32)])
+    keep = np.zeros(len(starts), np.bool_)
+    for size, least in index.least:
+        keep |= sums[np.minimum(starts + size - 1, len(own))] - sums[starts] >= least
+    return starts[keep]
 
 
 def candidates(
@@ -273,16 +331,39 @@ def nearest_stretch(item: Pattern, words: list[int]) -> tuple[int, int]:
     return best, end
 
 
+def short_leaks(
+    hashes: np.ndarray, begins: np.ndarray, index: Index
+) -> Iterator[tuple[int, int, int, int, int]]:
+    """Leaks of the items that are looked up whole: the first of each text and item."""
+    for length, (known, whose) in index.short.items():
+        runs = run_hashes(hashes, length)
+        low, high = np.searchsorted(known, runs), np.searchsorted(known, runs, "right")
+        at = np.flatnonzero(high > low)
+        text = np.searchsorted(begins, at, "right") - 1
+        inside = at + length <= begins[text + 1]
+        seen = set()
+        for place, d in zip(at[inside].tolist(), text[inside].tolist()):
+            for i in whose[low[place] : high[place]].tolist():
+                same = np.array_equal(index.words[i], hashes[place : place + length])
+                if same and (d, i) not in seen:
+                    seen.add((d, i))
+                    yield d, i, 0, place - int(begins[d]) + length, length
+
+
 def leaks_in(
     texts: list[bytes], index: Index, hasher: WordHasher
 ) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, item, edits, last word of the passage, words of the item) of every leak."""
     hashes, begins = hasher.of(texts)
+    yield from short_leaks(hashes, begins, index)
+    if not index.walks:
+        return
     reach = max(w.steps for w in index.walks) + 2
     tokens = np.concatenate([hashes, np.zeros(reach, np.uint64)])
     starts = np.concatenate(
         [np.arange(a, b, STRIDE) for a, b in zip(begins[:-1], begins[1:])] or [begins[:0]]
     )
+    starts = hopeful(tokens, starts, index)
     if not len(starts):
         return
     found = list(candidates(tokens, starts, index))
@@ -329,11 +410,12 @@ def contaminated(
 
     A leak is a document and an item of which some stretch of the document's words is within
     ``max_edit`` times the item's words in edit distance over words; words are runs of letters
-    and digits, ASCII letters in any case. Every leak reported is exact; one with all its allowed
-    edits is found with probability ``recall``, one without edits always. ``last_word`` is the
-    number of words up to its end. Each pair is reported once for each row of the document;
-    repeated rows of an item once. Items under ``min_words`` words could stand in any text and
-    are not searched. NULL or empty texts contain nothing and are nothing to search for; an empty
+    and digits, ASCII letters in any case, and single characters of scripts written without blanks.
+    Every leak reported is exact; one with all its allowed edits is found with probability
+    ``recall``, one without edits always. ``last_word`` is the number of words up to its end. Each
+    pair is reported once for each row of the document; repeated rows of an item once. Items
+    under ``min_words`` words allow no edits; an item of one common word is held by many texts,
+    so leave such items out of the benchmark if that is not meant. NULL or empty texts contain nothing and are nothing to search for; an empty
     table on either side gives no rows. Ids may be NULL.
     """
     spark = docs.sparkSession
@@ -372,15 +454,15 @@ def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[object, str]]]:
 
 def _plain(index: Index) -> tuple:
     walks = [(w.factor, w.steps, w.samples, w.slots) for w in index.walks]
-    return index.ids, index.words, index.edits, walks, index.tables
+    return index.ids, index.words, index.edits, walks, index.tables, index.least, index.pairs, index.short
 
 
 def _search(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if getattr(held, "_index", None) is None:
-            ids, words, edits, walks, tables = held.value
-            held._index = Index(ids, words, edits, [Walk(*w) for w in walks], tables)
-        index, hasher = held._index, WordHasher()
+            ids, words, edits, walks, *rest = held.value
+            held._index = Index(ids, words, edits, [Walk(*w) for w in walks], *rest)
+        index, hasher = held._index, WordHasher(characters=True)
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             at, n = 0, len(texts)

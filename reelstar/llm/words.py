@@ -33,14 +33,40 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
+# Scripts written without blanks, by code point: Thai and Lao, Burmese, Khmer,
+# Chinese and Japanese with their marks, compatibility and full-width forms, rarer Chinese.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF),
+    (0xFF00, 0xFFEF), (0x20000, 0x3FFFF),
+)
+
+
+def _unspaced(data: np.ndarray) -> np.ndarray:
+    """Where characters of such scripts begin, and where they end, in UTF-8."""
+    found = []
+    for width, lead, top in ((3, 0xE0, 0xF0), (4, 0xF0, 0xF8)):
+        at = np.flatnonzero((data >= lead) & (data < top))
+        at = at[at + width <= len(data)]
+        point = data[at].astype(np.int64) & (0x0F if width == 3 else 0x07)
+        for k in range(1, width):
+            point = point << 6 | data[at + k].astype(np.int64) & 0x3F
+        own = np.zeros(len(at), np.bool_)
+        for low, high in UNSPACED:
+            own |= (point >= low) & (point <= high)
+        found += [at[own], at[own] + width]
+    return np.concatenate(found)
+
+
 class WordHasher:
     """Hashes words; keeps the tables for it, so make one for many texts.
 
     Words are runs of letters and digits in any ASCII case, or with ``whole`` runs of anything
-    but white space, as they are written.
+    but white space, as they are written. With ``characters`` every character of a script that is
+    written without blanks is a word of its own.
     """
 
-    def __init__(self, whole: bool = False) -> None:
+    def __init__(self, whole: bool = False, characters: bool = False) -> None:
+        self.characters = characters
         self.powers = _powers(2 * _SEGMENT)
         self.is_word = _IS_WHOLE if whole else _IS_WORD
         self.code = _EXACT if whole else _FOLDED
@@ -49,8 +75,16 @@ class WordHasher:
         """Hashes and first bytes of the words of a piece that begins and ends between words."""
         flags = np.zeros(len(data) + 2, np.int8)
         flags[1:-1] = self.is_word[data]
-        edges = np.flatnonzero(flags[1:] != flags[:-1])
-        starts, ends = edges[::2], edges[1::2]
+        if self.characters and (data >= 0xE0).any():
+            # a word begins, or the one before it ends, at each of these bytes too
+            cut = np.zeros(len(data) + 1, np.bool_)
+            cut[_unspaced(data)] = True
+            inside, before = flags[1:] == 1, flags[:-1] == 1
+            starts = np.flatnonzero(inside & (~before | cut))
+            ends = np.flatnonzero(before & (~inside | cut))
+        else:
+            edges = np.flatnonzero(flags[1:] != flags[:-1])
+            starts, ends = edges[::2], edges[1::2]
         power, inverse = self.powers
         if len(power) < len(data):
             power, inverse = _powers(len(data))
