@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import string
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,17 +23,19 @@ RULES: list[tuple[str, str]] = [
     # a line that states a copyright: the word and a mark, a year or a blank to be filled in
     (_LINE + r"(copyright[ \t]*(\(c\)|©|[0-9]{4}|<|\[|\{)|\(c\)[ \t]*[0-9]{4}|©)[^\n]*", ""),
     (_LINE + r"all rights reserved[^\p{L}\p{N}\n]*(\n|$)", "\n"),
-    # what is no letter or digit parts words
-    (r"[^\p{L}\p{N}]+", " "),
+    # what is no letter or digit parts words; two blanks, so that each word has its own on both
+    # sides and a rule can take neighbouring words in one pass
+    (r"[^\p{L}\p{N}]+", "  "),
     # equivalent spellings
     (r" (sub)?licence(s|d|e|es|ed|or|ors)? ", " ${1}license${2} "),
     (r"([a-z]{2}[lnrtgmdc])is(e|ed|es|er|ers|ing|ation|ations|able) ", "${1}iz${2} "),
     (r"([a-z]{3})our(s|ed|able|ing)? ", "${1}or${2} "),
     (r" (cent|met|fib)re(s)? ", " ${1}er${2} "),
     (r" (acknowledg|judg)ement(s)? ", " ${1}ment${2} "),
-    (r" copyright owner(s)? ", " copyright holder${1} "),
+    (r" copyright  owner(s)? ", " copyright  holder${1} "),
     (r" whilst ", " while "),
     (r" https ", " http "),
+    (r"  +", " "),
 ]
 
 
@@ -48,12 +51,31 @@ def canonical(text: Column) -> Column:
     return F.trim(replaced)
 
 
+def _forms(name: str, text: str) -> set[str]:
+    """A licence as it is published, without its title, under its other titles, and up to the
+    end of its terms, without the advice on how to apply them."""
+    text = text.strip("\n")
+    title, _, body = text.partition("\n\n")
+    found = {text}
+    if body and len(title) < 200:
+        # the title's own paragraph may hold a copyright line, which does not count anyway
+        found |= {body, *(f"{other}\n\n{body}" for other in TITLES.get(name, ()))}
+    for end in ("END OF TERMS AND CONDITIONS", "POSSIBILITY OF SUCH DAMAGES"):
+        found |= {f[: f.index(end) + len(end)] for f in found if end in f}
+    return found
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """Names and forms of the known licences: those in ``TEXTS`` and in the package's folder."""
+    texts = dict(TEXTS)
+    for file in sorted(FOLDER.glob("*.txt")):
+        texts[file.stem] = file.read_text()
+    return [(name, form) for name, text in texts.items() for form in sorted(_forms(name, text))]
+
+
 def known_licences(spark) -> DataFrame:
-    """``licence`` and ``digest`` of the known texts; their number is that of ``TEXTS``."""
-    values = F.array(
-        *[F.struct(F.lit(k).alias("licence"), F.lit(t).alias("text")) for k, t in TEXTS.items()]
-    )
-    rows = spark.range(1).select(F.inline(values))
+    """``licence`` and ``digest`` of the known texts, a few for each licence."""
+    rows = spark.createDataFrame(known_texts(), "licence string, text string")
     return rows.select("licence", F.md5(canonical(F.col("text"))).alias("digest"))
 
 
@@ -69,12 +91,22 @@ def scan(docs: DataFrame, text: str = "text", known: DataFrame | None = None) ->
     table = table.groupBy("digest").agg(F.min("licence").alias("licence"))
     marked = without(docs, "digest", "licence").withColumn("digest", F.md5(canonical(F.col(text))))
     if known is None:
-        table = F.broadcast(table)  # as many rows as TEXTS
+        table = F.broadcast(table)  # as many rows as known_texts
     joined = marked.join(table, "digest", "left")
     return joined.select(*[c for c in marked.columns if c != "digest"], "digest", "licence")
 
 
-# The texts of common licences, as their authors publish them.
+# texts of longer licences, as their authors publish them
+FOLDER = Path(__file__).parent / "licence_texts"
+# Other titles that licences go by.
+TITLES: dict[str, tuple[str, ...]] = {
+    "MIT": ("The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"),
+    "BSD-2-Clause": ("The BSD 2-Clause License", "Simplified BSD License", "BSD License"),
+    "BSD-3-Clause": ("The BSD 3-Clause License", "New BSD License", "Modified BSD License", "BSD License"),
+    "ISC": ("The ISC License", "ISC License (ISC)"),
+    "Zlib": ("The zlib License", "zlib/libpng License"),
+}
+# The texts of short licences, as their authors publish them.
 _WARRANTY_MIT = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
 IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
 FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE

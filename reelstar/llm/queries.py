@@ -214,7 +214,7 @@ def _op4_sql() -> str:
         pattern = pattern.replace("'", "''")
         form = f"regexp_replace({form}, '{pattern}', {new}, 'g')"
     texts = ", ".join(
-        "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licences.TEXTS.items()
+        "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licences.known_texts()
     )
     return f"""
 WITH known AS (
