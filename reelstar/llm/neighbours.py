@@ -5,9 +5,10 @@ into slots of equal width. Besides its own cell a query visits cells nearby, in
 the estimated chance that a neighbour lies there, until the chances add up to what the target
 recall asks of each table. What the tables turn up is merged and ranked by exact cosine.
 
-The queries are a stated set. They are taken in blocks of bounded size; a block is broadcast,
-and every task searches its own vectors for it, so vectors are never moved and a hot cell is
-shared by all tasks.
+The queries are a stated set. They are taken in blocks of bounded size; a block's probes are
+broadcast, and every task looks the cells of its own vectors up in them and compares those
+vectors with the queries that visit their cell, and no others. So vectors are never moved and a
+hot cell is shared by all tasks.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,9 @@ from pyspark.sql import functions as F
 from reelstar.session import stored
 
 TABLES, PROJECTIONS, REACH = 2, 4, 4
-# vectors that are compared with a block of queries at a time
-_ROWS = 2048
+# vectors that are compared with a block of queries at a time, and candidates held before they
+# are weighed
+_ROWS, _HELD = 4096, 1 << 20
 _erf = np.vectorize(math.erf, otypes=[float])
 
 
@@ -137,9 +140,35 @@ class Nearest:
 
     def __init__(self, queries: int, k: int) -> None:
         self.k, self.least = k, np.full(queries, -np.inf)
+        self.held, self.waiting = 0, []
         self.query = np.zeros(0, np.int64)
         self.vec_id, self.score = self.query.copy(), np.zeros(0)
 
+    def hold(self, query: np.ndarray, at: np.ndarray, rough: np.ndarray) -> None:
+        """Candidates of the vectors at hand, with their rough cosine."""
+        self.waiting.append((query, at, rough))
+        self.held += len(query)
+
+    def weigh(self, raw: np.ndarray, own_raw: np.ndarray, own_ids: np.ndarray) -> None:
+        """Take in the held candidates that are not beaten by others, by exact cosine."""
+        if not self.held:
+            self.waiting = []
+            return
+        query, at, rough = (np.concatenate(x) for x in zip(*self.waiting))
+        self.held, self.waiting = 0, []
+        # tables find a pair twice; a pair stays if fewer than k others are surely before it
+        order = np.lexsort([at, query])
+        order = order[np.append(True, (np.diff(query[order]) != 0) | (np.diff(at[order]) != 0))]
+        query, at, rough = query[order], at[order], rough[order]
+        by_score = np.lexsort([-rough, query])
+        first = np.searchsorted(query[by_score], query[by_score])
+        kth = np.minimum(first + self.k - 1, len(by_score) - 1)
+        bound = np.where(query[by_score][kth] == query[by_score], rough[by_score][kth], -np.inf)
+        stay = by_score[rough[by_score] >= bound - 1e-9]
+        for part in range(0, len(stay), 1 << 16):
+            q, a = query[stay[part : part + (1 << 16)]], at[stay[part : part + (1 << 16)]]
+            self.add(q, own_ids[a], _cosine(raw[q], own_raw[a]))
+
     def add(self, query: np.ndarray, vec_id: np.ndarray, score: np.ndarray) -> None:
         query = np.concatenate([self.query, query])
         vec_id = np.concatenate([self.vec_id, vec_id])
@@ -156,17 +185,19 @@ class Nearest:
         self.least[query[last]] = score[last]
 
 
-def probed(hashing: Hashing, tables: list, own: np.ndarray, queries: int) -> np.ndarray:
-    """Which query (row) visits the cell of which vector (column) in one of the tables."""
-    seen = np.zeros((queries, len(own)), bool)
-    for t, (cells, visitors) in enumerate(tables):
-        cell = hashing.cells(np.floor(hashing.places(own, t)))
-        low = np.searchsorted(cells, cell)
-        width = np.searchsorted(cells, cell, "right") - low
-        ends = np.cumsum(width)
-        row = np.arange(ends[-1]) - np.repeat(ends - width - low, width)
-        seen[visitors[row], np.repeat(np.arange(len(own)), width)] = True
-    return seen
+def met(
+    cells: np.ndarray, visitors: np.ndarray, own: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Queries that visit a cell and the vectors that lie there, cell by cell.
+
+    ``cells``: the visited cells, ascending, next to their ``visitors``; ``own``: the vectors' cells.
+    """
+    order = np.argsort(own, kind="stable")
+    here, first = np.unique(own[order], return_index=True)
+    low, high = np.searchsorted(cells, here), np.searchsorted(cells, here, "right")
+    ends = np.append(first[1:], len(own))
+    for k in np.flatnonzero(high > low).tolist():
+        yield visitors[low[k] : high[k]], order[first[k] : ends[k]]
 
 
 def _search(held, k: int, everything: bool):
@@ -195,20 +226,26 @@ def _search(held, k: int, everything: bool):
             for first in range(0, len(every), _ROWS):
                 own_raw, own_ids = every[first : first + _ROWS], vec_id[first : first + _ROWS]
                 own = _unit(own_raw)
-                # a rough cosine leaves out what cannot be among the best; the rest is exact
-                rough = unit @ own.T
-                if not everything:
-                    rough[~probed(hashing, held._tables, own, len(ids))] = -np.inf
-                rough[ids[:, None] == own_ids] = -np.inf
-                least = best.least
-                if len(own) > k:
-                    own_least = -np.partition(-rough, k - 1, axis=1)[:, k - 1]
-                    least = np.maximum(least, own_least)
-                hopeful = (rough >= least[:, None] - 1e-9) & (rough > -np.inf)
-                query, at = np.nonzero(hopeful)
-                for part in range(0, len(query), 1 << 16):
-                    q, a = query[part : part + (1 << 16)], at[part : part + (1 << 16)]
-                    best.add(q, own_ids[a], _cosine(raw[q], own_raw[a]))
+                if everything:
+                    meetings = [(np.arange(len(ids)), np.arange(len(own)))]
+                else:
+                    meetings = chain.from_iterable(
+                        met(*held._tables[t], hashing.cells(np.floor(hashing.places(own, t))))
+                        for t in range(TABLES)
+                    )
+                for asking, there in meetings:
+                    # a rough cosine leaves out what cannot be among the best; the rest is exact
+                    rough = unit[asking] @ own[there].T
+                    rough[ids[asking][:, None] == own_ids[there]] = -np.inf
+                    least = best.least[asking]
+                    if len(there) > k:
+                        least = np.maximum(least, -np.partition(-rough, k - 1, axis=1)[:, k - 1])
+                    hopeful = (rough >= least[:, None] - 1e-9) & (rough > -np.inf)
+                    query, at = np.nonzero(hopeful)
+                    best.hold(asking[query], there[at], rough[query, at])
+                    if best.held > _HELD:
+                        best.weigh(raw, own_raw, own_ids)
+                best.weigh(raw, own_raw, own_ids)
         if len(best.query):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[best.query]), pa.array(best.vec_id), pa.array(best.score)],
