@@ -29,22 +29,24 @@ RECORD = (
     "headers string, block binary"
 )
 
+# the rest of a tag: a > in a quoted value does not end it, unless the quote is never closed
+_REST = r"(?:(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*>)"
 # what has no text of its own, up to its end or that of the page
 _HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b{_REST}.*?(?:</\1\s*>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
 _BREAKS = re.compile(
-    r"<\s*/?\s*(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|title|head|"
-    r"body|blockquote|pre|hr|dt|dd|main|aside|form|option)\b[^>]*>",
+    rf"<\s*/?\s*(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|title|head|"
+    rf"body|blockquote|pre|hr|dt|dd|main|aside|form|option)\b{_REST}",
     re.IGNORECASE,
 )
-_TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
+_TAG = re.compile(rf"<[!/?a-zA-Z]{_REST}")
 _BLANKS = re.compile(r"[^\S\n]+")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.IGNORECASE | re.DOTALL)
-_LINK = re.compile(
-    r"<(a|link|img|script|iframe|area)\b[^>]*?\s(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))",
-    re.IGNORECASE,
+_TITLE = re.compile(rf"<title\b{_REST}(.*?)</title\s*>", re.IGNORECASE | re.DOTALL)
+_LINKING = re.compile(rf"<(a|link|img|script|iframe|area)\b({_REST})", re.IGNORECASE)
+_ATTRIBUTE = re.compile(
+    r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.DOTALL
 )
 _CHARSET = re.compile(r"charset=[\"']?([\w.:-]+)", re.IGNORECASE)
 
@@ -65,6 +67,16 @@ def page_text(markup: str) -> str:
     return "\n".join(line for line in (x.strip() for x in text.split("\n")) if line)
 
 
+def page_links(markup: str) -> list[dict[str, str]]:
+    """Every ``href`` and ``src`` of the tags that link to something, in their order."""
+    return [
+        {"tag": tag[1].lower(), "attr": found[1].lower(), "url": html.unescape(found[2] or found[3] or found[4] or "")}
+        for tag in _LINKING.finditer(markup)
+        for found in _ATTRIBUTE.finditer(tag[2])
+        if found[1].lower() in ("href", "src") and found[0] != found[1]
+    ]
+
+
 def http_parts(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     """Status line, headers in their order, and payload of a response block.
 
@@ -88,10 +100,6 @@ def derive(record_id: str, target: str | None, date: str | None, block: bytes) -
         markup = payload.decode("utf-8", "replace")
     source_digest = digest(payload)
     title = _TITLE.search(markup)
-    links = [
-        {"tag": m[1].lower(), "attr": m[2].lower(), "url": html.unescape(m[3] or m[4] or m[5] or "")}
-        for m in _LINK.finditer(markup)
-    ]
     facts = {
         "source": {
             "record_id": record_id,
@@ -102,7 +110,7 @@ def derive(record_id: str, target: str | None, date: str | None, block: bytes) -
             "headers": [list(h) for h in headers],
         },
         "title": html.unescape(title[1]).strip() if title else None,
-        "links": links,
+        "links": page_links(markup),
     }
     made = [
         ("metadata", "application/json", json.dumps(facts, ensure_ascii=False).encode()),
