@@ -6,8 +6,12 @@ import base64
 import hashlib
 import json
 import random
+import re
 import zlib
+from html.parser import HTMLParser
 
+import duckdb
+import numpy as np
 import pytest
 from compare import connect, rows_of_spark, rows_of_sql
 from conftest import MEDIUM
@@ -110,6 +114,32 @@ def test_licence_in_another_dress(spark):
     assert names == {1: "MIT", 2: "MIT", 3: None, 4: None, 5: None, 6: None, 7: "ISC", 8: "Zlib", 9: "BSD-3-Clause"}
 
 
+def test_whole_texts_of_longer_licences(spark, tmp_path):
+    folder = {f.stem: f.read_text() for f in licences.FOLDER.glob("*.txt")}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= set(folder)
+    mit = licences.TEXTS["MIT"]
+    body = mit.split("\n\n", 1)[1]
+    rows = [(name, text, name) for name, text in folder.items()]
+    rows += [(f"{name}, shouted", text.upper().replace("LICENSE", "LICENCE").replace("\n", "\r\n"), name) for name, text in folder.items()]
+    rows += [
+        ("no title", body, "MIT"), ("other title", f"The MIT License (MIT)\n\n{body}", "MIT"),
+        ("terms", folder["GPL-3.0"].split("How to Apply")[0], "GPL-3.0"),
+        ("twice", "licence licence licences", None), ("half", folder["MPL-2.0"][:9000], None), ("more", folder["Apache-2.0"] + " x", None),
+    ]
+    docs = spark.createDataFrame([(k, t) for k, (_, t, _) in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: (r["digest"], r["licence"]) for r in licences.scan(docs).collect()}
+    wrong = [(n, found[k][1]) for k, (n, _, want) in enumerate(rows) if found[k][1] != want]
+    assert not wrong
+    plain = spark.range(1).select(licences.canonical(licences.F.lit("Licence licence, LICENCES")))
+    assert plain.first()[0] == "license license licenses"
+    # the SQL twin finds the same, on rows that do match
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    sql = {r[0]: (r[1], r[2]) for r in con.execute(llm_oracles()["op4_licence_scan"]).fetchall()}
+    assert sql == found
+
+
 def test_licence_scan_keeps_every_row(spark):
     docs = awkward(spark, clash=True)
     found = licences.scan(docs)
@@ -218,3 +248,134 @@ def test_records_as_files(spark, tmp_path):
 
 def test_awkward_rows_have_every_case():
     assert any(None in r for r in awkward_rows())
+
+
+# -- decontamination: short items, scripts without blanks ------------------------------------
+
+
+def test_characters_of_scripts_without_blanks():
+    hasher = WordHasher(characters=True)
+    texts = ["日本語a1 b", "a日", "ภาษา x", "x🙂y 한국어 말", "日", ""]
+    hashes, begins = hasher.of([t.encode() for t in texts])
+    assert np.diff(begins).tolist() == [5, 2, 5, 3, 1, 0]  # 日 本 語 a1 b; a 日; four and x; two; one
+    assert hashes[0] == hashes[6] == hashes[begins[4]]
+    plain = "some words, and Some more"
+    assert (hasher.of([plain.encode()])[0] == WordHasher().of([plain.encode()])[0]).all()
+
+
+def test_short_items_and_unspaced_items_are_found(spark):
+    from reelstar.llm import decontaminate
+
+    items = [(1, "One two three four five six seven"), (2, "東京は日本の首都であり世界最大の都市です"), (3, "Zygote!"), (4, " ,;"),
+             (5, "one two"), (6, "one two"), (7, "これは短い")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = [
+        (10, "x one, two three FOUR five six seven y one two"), (11, "one two three four five six"),
+        (12, "昔々、東京は日本の首都であり世界最大の都市です。それだけ"), (13, "東京は日本の都であり世界最大の都市です"), (14, "a zygote"),
+        (15, "zygotes one  three two"), (16, ""), (17, None), (18, "one"), (19, "two"), (20, "はいこれは短い文"), (21, "これ は短い"),
+    ]
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    got = {(r["doc_id"], r["item_id"], r["edits"], r["last_word"]) for r in found}
+    exact = {(10, 1, 0, 8), (10, 5, 0, 3), (10, 6, 0, 3), (11, 5, 0, 2), (11, 6, 0, 2), (14, 3, 0, 2), (20, 7, 0, 7), (21, 7, 0, 5)}
+    assert exact <= got
+    assert {(d, i) for d, i, *_ in got - exact} == {(12, 2), (13, 2)}
+    assert {e for d, i, e, _ in got - exact} == {0, 1} and len(got) == len(found)
+
+
+def test_windows_passed_over_hold_no_leak():
+    """Every window of an edited copy that may be searched has the pairs that its class needs."""
+    from reelstar.llm import decontaminate as de
+
+    rng = np.random.default_rng(6)
+    items = [(k, " ".join(f"w{x}" for x in rng.integers(0, 10**9, n))) for k, n in enumerate(range(8, 70))]
+    index = de.build_index(items, 0.2, 8, 0.9)
+    for words, edits in zip(index.words, index.edits):
+        size = de.window_class(len(words))
+        for _ in range(20):
+            copy = de.edited(words, edits, rng)
+            tokens = np.concatenate([rng.integers(1, 1 << 62, 60).astype(np.uint64), copy, rng.integers(1, 1 << 62, 120).astype(np.uint64)])
+            starts = np.arange(60, 60 + max(len(copy) - size, de.STRIDE - 1) + 1)
+            assert len(de.hopeful(tokens, starts, index)) == len(starts)
+    far = rng.integers(1, 1 << 62, 5000).astype(np.uint64)
+    many = [k for k in index.least if k[1] > 2]
+    index.least = many
+    assert many and len(de.hopeful(far, np.arange(4000), index)) < 40
+
+
+# -- pages -----------------------------------------------------------------------------------
+
+
+class Reader(HTMLParser):
+    """Links and words of a page by another parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.links, self.words, self.hidden = [], [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style", "template", "noscript")
+        if tag in ("a", "link", "img", "script", "iframe", "area"):
+            self.links += [(tag, k, v or "") for k, v in attrs if k in ("href", "src") and v is not None]
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in ("script", "style", "template", "noscript") and self.hidden > 0
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.words.append(data)
+
+
+def test_pages_against_another_parser(spark):
+    pages = [r["html"] for r in spark.read.parquet(f"{MEDIUM}/pages.parquet").select("html").collect() if r["html"]]
+    pages += [
+        '<p title="a>b">hello</p><a class="x" href="/1?a=1&amp;b=2" src=\'y\'>go</a> <img alt="<b>" src=z.png>',
+        "<div data-x='1>2'>one<br>two</div><!-- <a href=no> --><a name=k>three</a>",
+    ]
+    for page in pages:
+        reader = Reader()
+        reader.feed(page)
+        reader.close()
+        visible = re.sub(r"<!--.*?-->", "", page, flags=re.DOTALL)
+        assert [tuple(x.values()) for x in warc.page_links(visible)] == reader.links
+        assert warc.page_text(page).split() == " ".join(" ".join(reader.words).split()).split() or (
+            "".join(warc.page_text(page).split()) == "".join("".join(reader.words).split()))
+    assert warc.page_text('<p title="never closed>text</p> more') == "text\nmore"
+
+
+def test_source_headers_are_kept(spark):
+    blocks = [
+        b"HTTP/1.1 404 Not Found\r\nServer: x\r\nX-Two: 1\r\nX-Two: 2\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>\xe9</p>",
+        b"HTTP/2 200\r\nContent-Type:text/html\r\n\r\n" + b"<p>long</p>" * 50_000, b"no http", b"",
+    ]
+    rows = [(f"<urn:{k}>", None, "2024-01-01T00:00:00Z", b) for k, b in enumerate(blocks)]
+    records = warc.derivatives(spark.createDataFrame(rows, warc.RESPONSE)).collect()
+    of = {(r["refers_to"], r["record_type"]): r for r in records}
+    facts = json.loads(bytes(of["<urn:0>", "metadata"]["block"]))["source"]
+    assert facts["status"] == "HTTP/1.1 404 Not Found"
+    assert facts["headers"] == [["Server", "x"], ["X-Two", "1"], ["X-Two", "2"], ["Content-Type", "text/html; charset=latin-1"]]
+    assert bytes(of["<urn:0>", "conversion"]["block"]).decode() == "é"
+    assert len(bytes(of["<urn:1>", "conversion"]["block"]).split()) == 50_000 and len(records) == 8
+
+
+def test_hot_window_is_split(spark):
+    """Two thirds of the documents hold one window: its join partition is split."""
+    rows = [(k, "\n".join(["a", "b", "c"] if k % 3 else [f"x{k}", f"y{k}", f"z{k}"])) for k in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    tiny = {
+        "skewJoin.skewedPartitionThresholdInBytes": "4k", "skewJoin.skewedPartitionFactor": "2",
+        "advisoryPartitionSizeInBytes": "4k", "coalescePartitions.minPartitionSize": "1k",
+        "autoBroadcastJoinThreshold": "-1",
+    }
+    before = {f"spark.sql.adaptive.{k}": spark.conf.get(f"spark.sql.adaptive.{k}", None) for k in tiny}
+    for k, v in tiny.items():
+        spark.conf.set(f"spark.sql.adaptive.{k}", v)
+    try:
+        found = linededup.repeated_lines(docs)
+        assert found.count() == 5999
+        found.write.format("noop").mode("overwrite").save()
+        rows_of = found.collect()
+        text = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in text and len(rows_of) == 5999
