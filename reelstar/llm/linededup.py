@@ -45,9 +45,12 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .filter("n > 1")
         .drop("n")
     )
-    # few windows repeat, but one of them may hold a third of all rows: both sides get a shuffle
-    # of their own, so that Spark can split it
-    later = windows.join(firsts.hint("merge"), ["h", "g"]).filter(place > F.col("first"))
+    # few windows repeat, but one of them may hold a third of all rows: by a hash besides, neither
+    # side can reuse the aggregate's partitioning, so Spark can split a hot window
+    spread = F.xxhash64("h", "g").alias("_spread")
+    firsts = firsts.select("*", spread).hint("merge")
+    both = windows.select("*", spread).join(firsts, ["h", "g", "_spread"])
+    later = both.filter(place > F.col("first"))
     same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("hash") == F.col("first.hash"))
     clear = F.when(same, F.greatest("pos", F.col("first.pos") + WINDOW)).otherwise(F.col("pos"))
     covered = later.filter(clear < F.col("pos") + WINDOW).select(
