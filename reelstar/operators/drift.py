@@ -6,7 +6,7 @@ know. So the fields themselves are taken from the documents, and compared by res
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from reelstar.operators.quality import build_line
@@ -38,17 +38,20 @@ def drift(kinds: DataFrame, old_day: str, new_day: str) -> DataFrame:
     A JSON null is of any type. A resource that is missing on one of the days is not compared.
     """
 
-    def of(day: str, name: str) -> DataFrame:
-        present = kinds.filter(F.col("day") == day)
-        known = F.collect_set(F.when(F.col("kind") != "VOID", F.col("kind")))
-        return present.groupBy("resource", "field").agg(
-            F.array_join(F.array_sort(known), "|").alias(f"{name}_kinds"),
-            F.sum("documents").alias(f"{name}_documents"),
-        )
+    def of(day: str, name: str) -> list[Column]:
+        there = F.col("day") == day
+        known = F.collect_set(F.when(there & (F.col("kind") != "VOID"), F.col("kind")))
+        documents = F.sum(F.when(there, F.col("documents")))
+        kinds_there = F.when(documents.isNotNull(), F.array_join(F.array_sort(known), "|"))
+        return [kinds_there.alias(f"{name}_kinds"), documents.alias(f"{name}_documents")]
 
-    resources = [kinds.filter(F.col("day") == d).select("resource").distinct() for d in (old_day, new_day)]
-    both = resources[0].join(resources[1], "resource")
-    joined = of(old_day, "old").join(of(new_day, "new"), ["resource", "field"], "full").join(both, "resource")
+    fields = kinds.filter(F.col("day").isin(old_day, new_day)).groupBy("resource", "field")
+    joined = fields.agg(*of(old_day, "old"), *of(new_day, "new"))
+    # a resource has few fields; both days must have some of them
+    resource = Window.partitionBy("resource")
+    for name in ("old", "new"):
+        joined = joined.withColumn(f"{name}_any", F.max(f"{name}_documents").over(resource))
+    joined = joined.filter("old_any IS NOT NULL AND new_any IS NOT NULL")
     empty = (F.col("old_kinds") == "") | (F.col("new_kinds") == "")
     change = (
         F.when(F.col("old_documents").isNull(), NEW)
