@@ -7,16 +7,17 @@ target bytes, and a shard's documents are alike in source, language and length.
 
 Medians are found by counting. The range of a node's widest dimension is cut into bins, the
 bytes of each bin are summed over the cluster, and the bin in which the median lies is cut anew
-until the split is exact enough. All nodes of a level share the jobs. The driver sees sums of
-bins, a bounded number, and never a document.
+until the split is exact enough. All nodes of a level share the jobs. The driver sees that bin
+of each node, a few numbers for a shard, and never a document.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from reelstar.session import stored
@@ -30,6 +31,8 @@ _TOLERANCE = 0.002
 _WHOLE_GROUP = 0.01
 _MAX, _MIN = (1 << 63) - 1, -(1 << 63)
 _SLOT_ROWS = 200_000
+# the documents' nodes are written after so many levels, so no job descends more than that
+_STORE_LEVELS = 3
 # the dimensions of a split, in order: a coordinate, then the text, then the document
 _TEXT, _DOC = -1, -2
 
@@ -79,8 +82,11 @@ def measured(
     if tags:
         same = ["_text", "size"]
         least = [F.min(f"_d{k}").alias(f"_m{k}") for k in range(len(dims))]
-        groups = rows.groupBy(*same).agg(*least)
-        rows = rows.join(groups.hint("merge"), same)
+        # by a hash besides, neither side can reuse the aggregate's partitioning, so Spark can
+        # split a text that very many documents share
+        spread = F.xxhash64(*same).alias("_spread")
+        groups = rows.groupBy(*same).agg(*least).select("*", spread)
+        rows = rows.select("*", spread).join(groups.hint("merge"), [*same, "_spread"])
     unit = [F.shiftrightunsigned(f"_m{k}", 11) / float(1 << 53) for k in range(len(dims))]
     spans = [*unit, F.log2(F.col("size")) / 63.0]
     kept = ["doc_id", "size", "text_crc32", "_text", "_doc", *extra]
@@ -93,18 +99,12 @@ def measured(
     )
 
 
-def _inline(df: DataFrame, rows: list[tuple], columns: str) -> DataFrame:
+def _inline(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
     """A small table of the tree as part of the plan; it has a row for each shard at most."""
-
-    def shown(v) -> str:
-        if v is None:
-            return "CAST(NULL AS double)"
-        if isinstance(v, float):
-            return f"{v!r}D"
-        return "(-9223372036854775807L - 1)" if v == _MIN else f"{v}L"
-
-    values = ", ".join("(" + ", ".join(map(shown, r)) + ")" for r in rows)
-    return df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
+    names = [column.split()[0] for column in schema.split(", ")]
+    text = json.dumps([dict(zip(names, r)) for r in rows])
+    table = F.from_json(F.lit(text), f"array<struct<{schema}>>")
+    return df.sparkSession.range(1).select(F.inline(table))
 
 
 def _coordinate(n_dims: int, dim: str):
@@ -121,7 +121,7 @@ def _descend(points: DataFrame, splits: list[_Split], n_dims: int) -> DataFrame:
     rules = _inline(
         points,
         [(s.node, s.dim, s.at, s.text, s.doc) for s in splits],
-        "_node, _dim, _at, _at_text, _at_doc",
+        "_node long, _dim int, _at double, _at_text long, _at_doc long",
     )
     joined = points.join(F.broadcast(rules), "_node", "left")
     v = _coordinate(n_dims, "_dim")
@@ -137,13 +137,17 @@ def _descend(points: DataFrame, splits: list[_Split], n_dims: int) -> DataFrame:
     return joined.withColumn("_node", node).select(*points.columns)
 
 
-def _histogram(points: DataFrame, open_: list[_Split], n_dims: int, bins: int) -> dict:
-    """Bytes, least and greatest value of each bin of the searched range of each open node."""
+def _median_bins(points: DataFrame, open_: list[_Split], n_dims: int, bins: int) -> dict:
+    """The bin of the searched range of each open node in which its median lies.
+
+    A row has the bin's bytes, its least and greatest value, the bytes in the bins ``before`` it
+    and the greatest value there (NULL in the first).
+    """
     ranges = _inline(
         points,
         [
             (
-                s.node, s.dim, s.phase,
+                s.node, s.dim, s.phase, s.goal - s.before,
                 None if s.phase >= 0 else s.at,
                 s.text,
                 float(s.low) if s.phase >= 0 else 0.0,
@@ -153,7 +157,8 @@ def _histogram(points: DataFrame, open_: list[_Split], n_dims: int, bins: int) -
             )
             for s in open_
         ],
-        "_node, _dim, _phase, _at, _at_text, _low, _high, _lo, _hi",
+        "_node long, _dim int, _phase int, _goal double, _at double, _at_text long, "
+        "_low double, _high double, _lo long, _hi long",
     )
     rows = points.join(F.broadcast(ranges), "_node")
     v = _coordinate(n_dims, "_dim")
@@ -172,7 +177,7 @@ def _histogram(points: DataFrame, open_: list[_Split], n_dims: int, bins: int) -
     place = F.when(high > low, (at - low) / (high - low) * bins).otherwise(0.0)
     sums = (
         rows.filter(here)
-        .groupBy("_node", F.least(F.floor(place), F.lit(bins - 1)).alias("_bin"))
+        .groupBy("_node", "_goal", F.least(F.floor(place), F.lit(bins - 1)).alias("_bin"))
         .agg(
             F.sum("size").alias("bytes"),
             F.min(v).alias("low"),
@@ -180,42 +185,46 @@ def _histogram(points: DataFrame, open_: list[_Split], n_dims: int, bins: int) -
             F.min(key).alias("lo"),
             F.max(key).alias("hi"),
         )
-        .collect()
     )
-    found: dict[int, list] = {}
-    for row in sorted(sums, key=lambda r: (r["_node"], r["_bin"])):
-        found.setdefault(row["_node"], []).append(row)
-    return found
+    in_node = Window.partitionBy("_node").orderBy("_bin")
+    along = sums.select(
+        "*",
+        (F.sum("bytes").over(in_node) - F.col("bytes")).alias("before"),
+        F.lag("high").over(in_node).alias("high_before"),
+        F.lag("hi").over(in_node).alias("hi_before"),
+        F.row_number().over(in_node).alias("_k"),
+        F.lead("_bin").over(in_node).isNull().alias("_last"),
+    )
+    reached = F.col("_last") | (F.col("before") + F.col("bytes") >= F.col("_goal"))
+    first = (F.col("_k") == 1) | (F.col("before") < F.col("_goal"))
+    return {row["_node"]: row for row in along.filter(reached & first).collect()}
 
 
-def _narrow(s: _Split, bins: list, shard_bytes: float) -> None:
-    """Settle a split at an edge of its bins, or look closer into the bin of its median."""
+def _narrow(s: _Split, found: Row, shard_bytes: float) -> None:
+    """Settle a split at an edge of its median's bin, or look closer into that bin."""
     number = s.phase < 0
-    ends = [(r["lo"], r["hi"]) if number else (r["low"], r["high"]) for r in bins]
-    total, k = s.before, 0
-    while k < len(bins) - 1 and total + bins[k]["bytes"] < s.goal:
-        total += bins[k]["bytes"]
-        k += 1
-    under, over = s.goal - total, total + bins[k]["bytes"] - s.goal
-    low, high = ends[k]
-    one_text = s.phase == _TEXT and low == high and bins[k]["bytes"] <= _WHOLE_GROUP * shard_bytes
+    low, high = (found["lo"], found["hi"]) if number else (found["low"], found["high"])
+    edge_before = found["hi_before"] if number else found["high_before"]
+    total = s.before + found["before"]
+    under, over = s.goal - total, total + found["bytes"] - s.goal
+    one_text = s.phase == _TEXT and low == high and found["bytes"] <= _WHOLE_GROUP * shard_bytes
     stuck = s.phase == _DOC and low == high
     if min(under, over) <= _TOLERANCE * shard_bytes or one_text or stuck:
         s.done = True
         # the last value on the left; with nothing on the left, a value before all of the range
         if over < under:
             edge = high
-        elif k:
-            edge = ends[k - 1][1]
+        elif edge_before is not None:
+            edge = edge_before
         else:
             edge = s.low if not number else int(s.low) - 1 if s.low > _MIN else _MIN
         if s.phase >= 0:
             s.at = edge
-            if over >= under and k == 0:
+            if over >= under and edge_before is None:
                 s.text = s.doc = _MIN
         elif s.phase == _TEXT:
             s.text = edge
-            if over >= under and k == 0:
+            if over >= under and edge_before is None:
                 s.doc = _MIN
         else:
             s.doc = edge
@@ -262,7 +271,7 @@ def kd_shards(
         shards = max(1, -(-total // target_bytes)) if target_bytes else 1
     shard_bytes = total / shards
     widths = [high - low for low, high in whole]
-    waiting, leaves = {1: (shards, 0)}, {}
+    waiting, leaves, level = {1: (shards, 0)}, {}, 0
     while waiting:
         splits = []
         for node, (n, first) in waiting.items():
@@ -283,9 +292,9 @@ def kd_shards(
         open_ = splits
         while open_:
             bins = max(_FEWEST, _BINS // len(open_))
-            sums = _histogram(placed, open_, n_dims, bins)
+            found = _median_bins(placed, open_, n_dims, bins)
             for s in open_:
-                _narrow(s, sums[s.node], shard_bytes)
+                _narrow(s, found[s.node], shard_bytes)
             open_ = [s for s in open_ if not s.done]
         placed = _descend(placed, splits, n_dims)
         waiting = {}
@@ -293,11 +302,13 @@ def kd_shards(
             half = s.shards // 2
             waiting[2 * s.node] = (half, s.first)
             waiting[2 * s.node + 1] = (s.shards - half, s.first + half)
-        known = extents(placed) if any(n > 1 for n, _ in waiting.values()) else {}
-    numbers = _inline(points, [(n, k) for n, k in leaves.items()], "_node, shard")
-    sharded = placed.join(F.broadcast(numbers), "_node").withColumn(
-        "shard", F.col("shard").cast("int")
-    )
+        level += 1
+        more = any(n > 1 for n, _ in waiting.values())
+        if more and level % _STORE_LEVELS == 0:
+            placed = stored(docs.sparkSession, placed, "shard-nodes")
+        known = extents(placed) if more else {}
+    numbers = _inline(points, list(leaves.items()), "_node long, shard int")
+    sharded = placed.join(F.broadcast(numbers), "_node")
     return _slotted(sharded).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
