@@ -39,12 +39,23 @@ def _digest(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.sum(mixed)).first())
 
 
+def _with_least(links: DataFrame, least: DataFrame, key: str, how: str) -> DataFrame:
+    """Links with the least neighbour ``m`` of their node ``key``.
+
+    A node in a group of very many may have a third of all links: by a hash besides, neither side
+    can reuse the aggregate's partitioning, so Spark can split the join of that node.
+    """
+    right = least.withColumnRenamed("a", key).withColumn("_spread", F.xxhash64(key))
+    left = links.withColumn("_spread", F.xxhash64(key))
+    return left.join(right, [key, "_spread"], how)
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Link each node's larger neighbours to the least of the node and its neighbours."""
     # links run from the larger node a to the smaller b, so a node's smaller neighbours are the
     # b of its rows as a, and its larger neighbours the a of its rows as b
     least = links.groupBy("a").agg(F.min("b").alias("m"))
-    up = links.join(least.withColumnRenamed("a", "b"), "b", "left")
+    up = _with_least(links, least, "b", "left")
     own = up.select("a", F.coalesce("m", "b").alias("b"))
     return own.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -52,7 +63,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the least of them."""
     least = links.groupBy("a").agg(F.min("b").alias("m"))
-    joined = links.join(least, "a")
+    joined = _with_least(links, least, "a", "inner")
     return (
         joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
         .unionByName(least.select("a", F.col("m").alias("b")))
