@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
-from conftest import MEDIUM
+import zstandard
+from conftest import MEDIUM, SMALL
 from llm_data import awkward, awkward_rows, no_docs, sentence
 from pyspark.sql import functions as F
 
-from reelstar.llm import decontaminate, importance, mixing, neighbours, sharding, simhash
+from reelstar.llm import decontaminate, importance, langid, mixing, neighbours, sharding, simhash
 from reelstar.llm.components import connected_components
 from reelstar.llm.queries import llm_queries
 from reelstar.llm.words import WordHasher
@@ -65,6 +67,65 @@ def test_each_shard_is_a_box_of_the_first_split(spark):
     assert found.groupby("shard").doc_id.apply(lambda ids: len(set(ids % 2))).tolist() == [1, 1]
 
 
+def plain_tree(rows, shards):
+    """Shard of every row (id, size, coordinates, text hash, row hash) by the method, sorted out
+    in one list: a node's rows in the order of its widest dimension, text and row are cut at the
+    goal."""
+    whole = [max(c) - min(c) for c in zip(*(r[2] for r in rows))]
+    shard_of = {}
+
+    def split(own, n, first):
+        if n == 1 or not own:
+            shard_of.update((r[0], first) for r in own)
+            return
+        spread = [(max(c) - min(c)) / w if w > 0 else 0.0 for c, w in zip(zip(*(r[2] for r in own)), whole)]
+        dim = spread.index(max(spread))
+        own = sorted(own, key=lambda r: (r[2][dim], r[3], r[4]))
+        goal, left, k = sum(r[1] for r in own) * (n // 2) / n, 0, 0
+        while k < len(own) and left + own[k][1] / 2 <= goal:
+            left, k = left + own[k][1], k + 1
+        split(own[:k], n // 2, first)
+        split(own[k:], n - n // 2, first + n // 2)
+
+    split(rows, shards, 0)
+    return shard_of
+
+
+@pytest.mark.parametrize("shards", [1, 2, 8])
+def test_shards_against_a_plain_tree(spark, shards):
+    """Rows of one size, so that every goal is a whole number of them and no split may miss it."""
+    docs = spark.range(2048).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lpad(F.col("id").cast("string"), 6, "0"), F.lit("x" * 100)).alias("text"),
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 5)).alias("source"),
+        F.when(F.col("id") % 4 > 0, F.concat(F.lit("l"), F.col("id") % 7)).alias("lang"),
+    )
+    hashes = docs.select(
+        "doc_id", F.xxhash64("source"), F.xxhash64("lang"), F.xxhash64("text"),
+        F.xxhash64(F.lit(3), "doc_id", "text"),
+    ).collect()
+    unit = lambda h: (h % (1 << 64) >> 11) / float(1 << 53)
+    rows = [(i, 122, (unit(s), unit(lang), 0.0), t, d) for i, s, lang, t, d in hashes]
+    found = {r["doc_id"]: r["shard"] for r in sharding.kd_shards(docs, shards=shards).collect()}
+    assert found == plain_tree(rows, shards)
+
+
+def test_tables_of_the_tree_keep_their_numbers(spark):
+    rows = [(1, None, 0.1 + 0.2, -(1 << 63)), (2, 5, 1 / 3, (1 << 63) - 1)]
+    found = sharding._inline(spark.range(1), rows, "a long, b int, c double, d long")
+    assert [tuple(r) for r in found.collect()] == rows
+
+
+def test_many_nodes_are_split_together(spark):
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"),
+        F.concat(F.lit("s"), F.col("id") % 9).alias("source"), F.lit("en").alias("lang"),
+    )
+    found = shard_frame(sharding.kd_shards(docs, shards=600))
+    sizes = found.groupby("shard")["size"].sum()
+    assert len(sizes) == 600 and sizes.max() - sizes.min() <= 2 * found["size"].max()
+
+
 def test_shards_of_awkward_rows(spark):
     docs = awkward(spark, clash=True)
     found = shard_frame(sharding.kd_shards(docs, shards=7))
@@ -242,6 +303,39 @@ def test_components_of_a_long_chain(spark):
     assert {roots[n] for n in names} == {min(names)} and roots[20_001] == 20_000
 
 
+@pytest.mark.parametrize("step", ["_large_star", "_small_star"])
+def test_links_of_a_star_centre_are_split(spark, tmp_path, step):
+    """Two thirds of the links lie at one node: the join that meets it is split."""
+    from reelstar.llm import components
+
+    rows = [(k + 30_000, 7 if k % 3 else k) for k in range(9000)]
+    if step == "_small_star":
+        rows = [(50_000 if k % 3 else 40_000 + k, k) for k in range(9000)]
+    spark.createDataFrame(rows, "a long, b long").repartition(8).write.parquet(str(tmp_path / "links"))
+    tiny = {
+        "skewJoin.skewedPartitionThresholdInBytes": "4k", "skewJoin.skewedPartitionFactor": "2",
+        "advisoryPartitionSizeInBytes": "4k", "coalescePartitions.minPartitionSize": "1k",
+        "autoBroadcastJoinThreshold": "-1",
+    }
+    before = {f"spark.sql.{x}": spark.conf.get(f"spark.sql.{x}", None) for x in [*(f"adaptive.{k}" for k in tiny), "autoBroadcastJoinThreshold"]}
+    for k, v in tiny.items():
+        spark.conf.set(f"spark.sql.adaptive.{k}", v)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        linked = getattr(components, step)(spark.read.parquet(str(tmp_path / "links")))
+        found = {tuple(r) for r in linked.collect()}
+        text = linked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in text
+    if step == "_large_star":
+        assert found == set(rows)
+    else:
+        hot = {(k, 1) for k in range(2, 9000) if k % 3} | {(50_000, 1)}
+        assert found == hot | {(a, b) for a, b in rows if a != 50_000}
+
+
 # -- decontamination -------------------------------------------------------------------------
 
 
@@ -363,6 +457,30 @@ def test_weights_against_plain_counts(spark):
     assert importance.resample(no_docs(spark), targets).count() == 0
 
 
+def test_order_and_keep_against_sorting(spark):
+    """Keys of largest weight times noise first; ties go to the smaller id, no id last."""
+    docs = awkward(spark)
+    targets = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "doc_id long")
+    found = importance.resample(docs, targets, keep=0.4, seed=5).collect()
+    noise = {
+        (i, t): -math.log(-math.log(((h % (1 << 64) >> 11) + 0.5) / float(1 << 53)))
+        for i, t, h in docs.select("doc_id", "text", F.xxhash64(F.lit(5), "doc_id", "text")).collect()
+    }
+    by_id = defaultdict(set)
+    for (i, _), v in noise.items():
+        by_id[i].add(round(v, 9))
+    for r in found:
+        assert round(r["gumbel_key"] - r["log_weight"], 9) in by_id[r["doc_id"]]
+    order = sorted(found, key=lambda r: (-r["gumbel_key"], r["doc_id"] is None, r["doc_id"] or 0))
+    ids = [r["doc_id"] for r in sorted(found, key=lambda r: r["rank"])]
+    assert ids == [r["doc_id"] for r in order]
+    assert sorted(r["rank"] for r in found) == list(range(docs.count()))
+    assert {r["rank"] for r in found if r["keep"]} == set(range(math.ceil(0.4 * docs.count())))
+    # without targets the weights are 1 and the order is that of the noise alone
+    none = importance.resample(docs, targets.limit(0), seed=5).collect()
+    assert all(r["log_weight"] == 0 for r in none)
+
+
 # -- neighbours ------------------------------------------------------------------------------
 
 
@@ -444,3 +562,108 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
         else:
             assert docs.count() == before
     assert pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
+def plain_languages(model, text):
+    """Sizes of a text by each language, smallest first, coded anew."""
+    letters = re.sub(rb"[^a-z\x80-\xff]", b" ", text.encode().lower())
+    params = zstandard.ZstdCompressionParameters(
+        strategy=zstandard.STRATEGY_LAZY, window_log=18, hash_log=14, chain_log=15,
+        search_log=3, min_match=4, write_content_size=0,
+    )
+    found = []
+    for name, sample in zip(model.langs, model.samples):
+        words = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        coder = zstandard.ZstdCompressor(compression_params=params, dict_data=words)
+        lead = sample[:256] + b" "
+        alone = len(coder.compress(lead))
+        parts = [letters[i : i + 4096] for i in range(0, len(letters), 4096)]
+        found.append((max(1, sum(len(coder.compress(lead + p)) - alone for p in parts)), name))
+    return sorted(found)
+
+
+def test_language_is_that_of_the_smallest_code(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").unionByName(awkward(spark), allowMissingColumns=True)
+    model = langid.fit(docs)
+    seen = set()
+    for r in langid.identify(docs, model).collect():
+        text = r["text"]
+        if text is None or not any(c.isalpha() for c in text):
+            assert (r["lang_pred"], r["score"], r["lang_rejected"]) == ("und", 0.0, True)
+            continue
+        (least, name), (second, _) = plain_languages(model, text)[:2]
+        assert r["lang_pred"] == name and r["score"] == pytest.approx(1 - least / second)
+        assert r["lang_rejected"] == (1 - least / second < 0.002)
+        seen.add(name)
+    assert len(seen) >= 2
+
+
+def test_pipeline_rows_against_plain_versions(spark, tmp_path):
+    """What every stage keeps of the given documents, with planted copies and passages."""
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(12)
+    given = spark.read.parquet(f"{SMALL}/documents.parquet")
+    texts = [r["text"] for r in given.select("text").collect() if r["text"] and 30 < len(r["text"].split()) < 400]
+    items = [(k, " ".join(rng.choices([f"word{j}" for j in range(300)], k=20 + 5 * k))) for k in range(6)]
+    rows = [(9000 + k, t, "en", "planted", len(t)) for k, t in enumerate(rng.sample(texts, 8))]
+    leaks = {}
+    for k, item in items:
+        text = " ".join(rng.choice(texts).split()[:60] + item.split() + rng.choice(texts).split()[:60])
+        rows.append((9100 + k, text, "en", "planted", len(text)))
+        leaks[9100 + k] = text
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    planted = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    types = {f.name: f.dataType for f in given.schema}
+    planted = planted.select(*[F.col(c).cast(types[c]) for c in names])
+    given.select(*names).unionByName(planted).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in pipeline.STAGES:
+        before = docs.collect()
+        path = str(tmp_path / name)
+        stage(spark, docs, str(tmp_path)).write.parquet(path)
+        model = langid.fit(docs) if name == "language" else None
+        docs = spark.read.parquet(path)
+        after = docs.collect()
+        ids = Counter(r["doc_id"] for r in after)
+        if name == "language":
+            def clear(text):
+                if text is None or not any(c.isalpha() for c in text):
+                    return False
+                (least, _), (second, _) = plain_languages(model, text)[:2]
+                return 1 - least / second >= 0.002
+
+            assert ids == Counter(r["doc_id"] for r in before if clear(r["text"]))
+        if name == "near_duplicates":
+            before = sorted(before, key=lambda r: r["doc_id"])
+            first = plain_components([plain_fingerprint(r["text"]) for r in before], 2)
+            assert ids == Counter({before[k]["doc_id"]: 1 for k in set(first)})
+            assert len(after) < len(before)
+        if name == "decontamination":
+            hasher = WordHasher()
+            needles = [hasher.of([t.encode()])[0].tolist() for _, t in items]
+
+            def leaks_item(text):
+                words = hasher.of([(text or "").encode()])[0].tolist()
+                return any(plain_distance(n, words) <= len(n) // 5 for n in needles)
+
+            # only the planted texts hold words of the items; the rest is looked at in part
+            assert ids == Counter(r["doc_id"] for r in before if r["doc_id"] not in leaks)
+            assert all(leaks_item(t) for t in leaks.values())
+            assert not any(leaks_item(r["text"]) for r in after[:20])
+        if name == "mixture":
+            sizes, taken, largest = Counter(), Counter(), Counter()
+            size_of = {r["doc_id"]: len((r["text"] or "").encode().split()) for r in before}
+            for r in before:
+                sizes[r["source"]] += size_of[r["doc_id"]]
+                largest[r["source"]] = max(largest[r["source"]], size_of[r["doc_id"]])
+            for r in after:
+                taken[r["source"]] += size_of[r["doc_id"]]
+            assert max(ids.values()) <= 2
+            for source, target in plain_targets(sizes).items():
+                assert abs(taken[source] - target) <= largest[source] / 2 + 1e-6
+        if name == "shards":
+            assert ids == Counter(r["doc_id"] for r in before)
+            for k in range(40):
+                assert sorted(r["slot"] for r in after if r["shard"] == k) == list(range(sum(r["shard"] == k for r in after)))
