@@ -37,6 +37,31 @@ def matching(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> Data
     )
 
 
+def touched_parts(
+    target: DataFrame, staging: DataFrame, keys: Sequence[str], part: str
+) -> DataFrame:
+    """Values of the partition column that an upsert changes, with ``n_rows`` that are why.
+
+    They are those of the staged rows and of the target's older versions of them, as a row may
+    move. Of the target only keys and the partition column are read.
+    """
+    staged = keyed(staging, keys)
+    held = target.select(*dict.fromkeys((*keys, part)))
+    changed = matching(held, staged, keys).select(part).unionByName(staged.select(part))
+    return changed.groupBy(part).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def in_parts(target: DataFrame, touched: DataFrame, part: str) -> DataFrame:
+    """Target rows of the touched partitions; a NULL of the partition column matches nothing.
+
+    Spark prunes the partitions when the query runs: no value passes the driver, and there may
+    be as many as there are. It does so only below the broadcast threshold, and only where it
+    sees a filter on the other side.
+    """
+    values = touched.filter(F.col("n_rows") > 0).select(part)
+    return target.join(values, part, "left_semi").select(*target.columns)
+
+
 def not_older(
     staging: DataFrame, held: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:

@@ -11,8 +11,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelstar.operators.upsert import delete_matching, keyed
+from reelstar.operators.upsert import delete_matching, in_parts, keyed, touched_parts
 from reelstar.schemas import BUCKET_BY, KEYS, LOAD_ORDER, MAX_LENGTH, PARTITION_BY, STAR
 from reelstar.session import stored
 
@@ -76,22 +77,39 @@ def insert_from_staging(
     """Upsert the keyed staging rows: rows of their keys are deleted first, so a second load of
     the same rows changes nothing.
 
-    Columns go by name, as a partitioned table keeps its date last. A catalog table of Parquet
-    files is rewritten whole; published tables, see ``warehouse``, are not.
+    Columns go by name, as a partitioned table keeps its date last. A table without a date is
+    rewritten whole. Of a partitioned one, the dates of the staged rows and of their older versions
+    are, with the rows that have no date; other dates are neither read, but for the keys, nor
+    written. A date that loses all its rows is dropped.
     """
-    key = [KEYS[table]]
+    key, part = [KEYS[table]], PARTITION_BY.get(table)
     staging = keyed(spark.table(names[f"stg_{table}"]), key)
     target = spark.table(names[table])
-    kept = stored(spark, delete_matching(target, staging, key), f"kept-{table}")
-    rows = _dealt(kept.unionByName(staging.select(*target.columns)), table, buckets)
-    rows.select(*target.columns).createOrReplaceTempView("_upserted")
-    with_static = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    old = target
+    if part:
+        found = touched_parts(target, staging, key, part)
+        touched = stored(spark, found, f"touched-{table}")
+        undated = target.filter(F.col(part).isNull())
+        old = in_parts(target, touched, part).unionByName(undated)
+    kept = stored(spark, delete_matching(old, staging, key), f"kept-{table}")
+    rows = kept.unionByName(staging.select(*target.columns))
+    emptied = []
+    if part:
+        # found before the write, as staging and kept rows are all there will be
+        left = rows.select(part).distinct()
+        emptied = touched.join(left, touched[part].eqNullSafe(left[part]), "left_anti").collect()
+    _dealt(rows, table, buckets).select(*target.columns).createOrReplaceTempView("_upserted")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    mode = "dynamic" if part else "static"
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
     try:
         spark.sql(f"INSERT OVERWRITE {names[table]} BY NAME SELECT * FROM _upserted")
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", with_static)
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
         spark.catalog.dropTempView("_upserted")
+    for row in emptied:
+        value = "NULL" if row[part] is None else f"'{row[part]}'"
+        spark.sql(f"ALTER TABLE {names[table]} DROP IF EXISTS PARTITION ({part}={value})")
 
 
 def joins(spark: SparkSession, names: dict[str, str]) -> tuple[DataFrame, DataFrame]:

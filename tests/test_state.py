@@ -14,7 +14,8 @@ from test_daily import event, media, published, visitor
 from test_plans import no_broadcast, plan, settings
 
 from reelstar import queries as q
-from reelstar.operators import drift, snapshots, visitors
+from reelstar import session
+from reelstar.operators import drift, snapshots, upsert, visitors
 from reelstar.operators.quality import QualityGateError
 from reelstar.plans import daily, reports
 from reelstar.sources import bronze, silver, tables
@@ -202,6 +203,57 @@ def test_declared_tables_are_joined_without_shuffling_facts(spark, tmp_path):
     assert 0 < len(files) <= 4  # a file for each bucket
 
 
+def dated_facts(spark, rows):
+    """Facts of (event, date), with NULLs besides."""
+    fields = q.fact(spark, SMALL).schema
+    frame = spark.createDataFrame(rows, "event_key string, day string")
+    values = {"event_key": "event_key", "event_date": "day", "media_id": "'m1'", "visitor_key": "'v1'"}
+    return frame.selectExpr(*[f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields])
+
+
+def test_a_declared_load_rewrites_only_its_dates(spark, tmp_path):
+    names = tables.declare(spark, str(tmp_path), buckets=2)
+
+    def load(rows):
+        tables.fill_staging(names, FACT, dated_facts(spark, rows), buckets=2)
+        tables.insert_from_staging(spark, names, FACT, buckets=2)
+        return sorted((r[0], str(r[1])) for r in spark.table(names[FACT]).select("event_key", "event_date").collect())
+
+    files = lambda day: {f.name for f in (tmp_path / FACT / f"event_date={day}").glob("*.parquet")}
+    days = [f"2024-01-0{d}" for d in range(1, 6)]
+    first = [(f"e{d}{k}", day) for d, day in enumerate(days) for k in range(3)] + [("alone", "2024-02-01"), ("undated", None), (None, days[0])]
+    have = load(first)
+    assert have == sorted((k, str(d)) for k, d in first if k)
+    before = {day: files(day) for day in days}
+    # one row moves from the third day to the second, one leaves its day empty, one is new
+    have = load([("e20", days[1]), ("alone", days[1]), ("new", "2024-03-01")])
+    want = {k: str(d) for k, d in first if k} | {"e20": days[1], "alone": days[1], "new": "2024-03-01"}
+    assert have == sorted(want.items())
+    after = {day: files(day) for day in days}
+    assert {day for day in days if before[day] != after[day]} == {days[1], days[2]}
+    assert load([("e20", days[1]), ("alone", days[1]), ("new", "2024-03-01")]) == have
+    assert load([]) == have
+    want["undated"] = days[4]
+    assert load([("undated", days[4])]) == sorted(want.items())
+
+
+def test_touched_dates_are_pruned_when_run(spark, tmp_path):
+    names = tables.declare(spark, str(tmp_path), buckets=2)
+    rows = [(f"e{k}", f"2024-01-{1 + k % 20:02d}") for k in range(200)]
+    tables.fill_staging(names, FACT, dated_facts(spark, rows), buckets=2)
+    tables.insert_from_staging(spark, names, FACT, buckets=2)
+    target, staged = spark.table(names[FACT]), dated_facts(spark, rows[:1])
+    touched = session.stored(spark, upsert.touched_parts(target, staged, ["event_key"], "event_date"), "touched")
+    old = upsert.in_parts(target, touched, "event_date")
+    assert old.count() == 10
+    old.collect()
+    text = plan(old)
+    assert "dynamicpruningexpression" in text.split("PartitionFilters: ")[1][:200]
+    scanned = upsert.touched_parts(target, staged, ["event_key"], "event_date")
+    read = plan(scanned).split("ReadSchema: ")[1:]
+    assert all("media_id" not in part[:100] for part in read if "event_key" in part[:100])
+
+
 # -- SQL functions ---------------------------------------------------------------------------
 
 
