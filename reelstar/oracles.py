@@ -457,6 +457,11 @@ def all_oracles() -> dict[str, str]:
                          FROM facts f LEFT JOIN people p ON p.visitor_key = f.visitor_key
                         GROUP BY media_id) e
                       ON m.media_id = e.media_id""", "dim_media", "facts", "people"),
+        "declared_replays": _with(
+            f"""SELECT event_key, media_id, visitor_key,
+                      {_date("""CASE WHEN event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-19'
+                                THEN cast(event_date + INTERVAL 1 DAY AS date) ELSE event_date END""")}
+                      AS event_date FROM facts""", "facts"),
         "incremental_filter": _with(f"SELECT {landed_out} FROM marked WHERE is_new", "marked"),
         "late_rows": _with(
             f"SELECT {landed_out}, {_ts('mark')} AS mark FROM marked WHERE NOT is_new", "marked"),
