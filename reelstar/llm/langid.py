@@ -31,6 +31,8 @@ _BLOCK = 4096
 # zstandard stores a short text as it is where compression gains a few bytes only, and then all
 # languages would tie.
 _LEAD = 256
+# Parts of a language's rows, by hash, among which its sample is sought
+_PARTS = 64
 
 
 @dataclass(frozen=True)
@@ -76,7 +78,8 @@ def fit(
     The bound: the ``max_langs`` languages with the most rows, ``docs_per_lang`` different texts
     of each, chosen by a seeded hash of the text over all labelled rows, and the first
     ``chars_per_doc`` characters of each. Rows without text, letters or label teach nothing.
-    Copies of a text count once.
+    Copies of a text count once. A language is cut into ``_PARTS`` parts by that hash, which give
+    their least hashes first, so a language with most of the rows is no task of its own.
     """
     rows = labelled.filter(
         F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(text).rlike(r"\p{L}")
@@ -86,15 +89,17 @@ def fit(
         F.xxhash64(F.lit(seed), F.col(text)).alias("h"),
     )
     langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs)
-    in_lang = Window.partitionBy("lang").orderBy("h")
-    chosen = (
+    least = (
         rows.select("lang", "h")
         .distinct()
-        .withColumn("n", F.row_number().over(in_lang))
-        .filter(F.col("n") <= docs_per_lang)
         .join(F.broadcast(langs.select("lang")), "lang")
-        .select("lang", "h")
+        .withColumn("part", F.pmod("h", F.lit(_PARTS)))
     )
+    # of a part, then of the language: the second sees _PARTS x docs_per_lang rows at most
+    for keys in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("h")
+        least = least.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= docs_per_lang)
+    chosen = least.select("lang", "h")
     # chosen has max_langs x docs_per_lang rows at most
     found = (
         rows.join(F.broadcast(chosen), ["lang", "h"])

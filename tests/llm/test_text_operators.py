@@ -16,6 +16,7 @@ import pytest
 from compare import connect, rows_of_spark, rows_of_sql
 from conftest import MEDIUM
 from llm_data import WORDS, awkward, awkward_rows, no_docs, sentence
+from pyspark.sql import functions as F
 
 from reelstar.llm import langid, licences, linededup, warc
 from reelstar.llm.queries import llm_oracles, llm_queries
@@ -78,6 +79,20 @@ def test_language_of_awkward_rows(spark):
     assert kept.columns == awkward(spark).columns
 
 
+def test_sample_is_that_of_the_least_hashes(spark):
+    """Of each language the texts of the least hashes over all rows, copies once."""
+    docs = awkward(spark)
+    rows = docs.filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
+    hashed = rows.select("lang", "text", F.xxhash64(F.lit(11), "text").alias("h")).collect()
+    model = langid.fit(docs, docs_per_lang=7, chars_per_doc=40)
+    assert model.langs == ("de", "en")
+    for lang, sample in zip(model.langs, model.samples):
+        least = sorted({(r["h"], r["text"]) for r in hashed if r["lang"] == lang})[:7]
+        plain = "\n".join(t[:40] for _, t in least)
+        fold = lambda t: re.sub(rb"[^a-z\x80-\xff]", b" ", t.encode().lower())
+        assert sample.replace(b"\n", b" ") == fold(plain)
+
+
 def test_language_without_or_with_one_label(spark):
     docs = awkward(spark)
     nothing = langid.identify(docs, langid.fit(no_docs(spark)))
