@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from reelstar.session import stored
 
@@ -29,6 +30,12 @@ TABLES, PROJECTIONS, REACH = 2, 4, 4
 # vectors that are compared with a block of queries at a time, and candidates held before they
 # are weighed
 _ROWS, _HELD = 4096, 1 << 20
+# what a task finds: the query's id, mark and copies, the same of a vector less the query itself
+FOUND = StructType(
+    [StructField(c, LongType()) for c in ("query_id", "query_mark", "query_copies")]
+    + [StructField(c, LongType()) for c in ("vec_id", "mark", "times")]
+    + [StructField("score", DoubleType())]
+)
 _erf = np.vectorize(math.erf, otypes=[float])
 
 
@@ -79,14 +86,16 @@ class Hashing:
 
 
 def usable(embeddings: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """``vec_id`` and ``vector`` of the rows that take part: an id, and a vector that is not NULL
-    or all zero and holds no NULL, infinity or NaN; of one id the least vector."""
+    """``vec_id``, ``vector``, ``copies`` and ``mark`` of the rows that take part: an id, and a
+    vector that is not NULL or all zero and holds no NULL, infinity or NaN. Rows that agree in both
+    become one with their number as ``copies``; ``mark`` tells vectors of one id apart."""
     v = F.col(vector).cast("array<double>")
     rows = embeddings.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("vector"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("vector", lambda x: x != 0)
     rows = rows.filter(F.col("vec_id").isNotNull() & ~bad & some)
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    counted = rows.groupBy("vec_id", "vector").agg(F.count(F.lit(1)).alias("copies"))
+    return counted.withColumn("mark", F.xxhash64("vector"))
 
 
 def fit(vectors: DataFrame, k: int, recall: float, sample: int, seed: int) -> Hashing | None:
@@ -96,7 +105,9 @@ def fit(vectors: DataFrame, k: int, recall: float, sample: int, seed: int) -> Ha
     the sample have their k-th neighbour within it; in all vectors it can only be nearer.
     """
     rows = (
-        vectors.orderBy(F.xxhash64(F.lit(seed), F.col("vec_id")), "vec_id").limit(sample).collect()
+        vectors.orderBy(F.xxhash64(F.lit(seed), F.col("vec_id")), "vec_id", "mark")
+        .limit(sample)
+        .collect()
     )
     if not rows:
         return None
@@ -135,22 +146,37 @@ def _cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     )
 
 
+@dataclass(frozen=True)
+class Block:
+    """Queries that are searched together: their vectors, and id, mark and copies of each."""
+
+    raw: np.ndarray
+    rows: np.ndarray  # queries x 3
+
+    def is_own(self, query: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """Whether vectors found (id, mark, ...) are the queries' own."""
+        return (self.rows[query, :2] == found[:, :2]).all(axis=1)
+
+
 class Nearest:
-    """The k best candidates of each query so far."""
+    """The k best candidates of each query so far: id, mark and number of rows, and cosine."""
 
     def __init__(self, queries: int, k: int) -> None:
         self.k, self.least = k, np.full(queries, -np.inf)
         self.held, self.waiting = 0, []
         self.query = np.zeros(0, np.int64)
-        self.vec_id, self.score = self.query.copy(), np.zeros(0)
+        self.found, self.score = np.zeros((0, 3), np.int64), np.zeros(0)
 
     def hold(self, query: np.ndarray, at: np.ndarray, rough: np.ndarray) -> None:
         """Candidates of the vectors at hand, with their rough cosine."""
         self.waiting.append((query, at, rough))
         self.held += len(query)
 
-    def weigh(self, raw: np.ndarray, own_raw: np.ndarray, own_ids: np.ndarray) -> None:
-        """Take in the held candidates that are not beaten by others, by exact cosine."""
+    def weigh(self, block: Block, own_raw: np.ndarray, own: np.ndarray) -> None:
+        """Take in the held candidates that are not beaten by others, by exact cosine.
+
+        ``own``: id, mark and copies of the vectors at hand. A query is no candidate of itself.
+        """
         if not self.held:
             self.waiting = []
             return
@@ -167,20 +193,22 @@ class Nearest:
         stay = by_score[rough[by_score] >= bound - 1e-9]
         for part in range(0, len(stay), 1 << 16):
             q, a = query[stay[part : part + (1 << 16)]], at[stay[part : part + (1 << 16)]]
-            self.add(q, own_ids[a], _cosine(raw[q], own_raw[a]))
+            found = own[a]
+            found[:, 2] -= block.is_own(q, found)
+            self.add(q, found, _cosine(block.raw[q], own_raw[a]))
 
-    def add(self, query: np.ndarray, vec_id: np.ndarray, score: np.ndarray) -> None:
+    def add(self, query: np.ndarray, found: np.ndarray, score: np.ndarray) -> None:
         query = np.concatenate([self.query, query])
-        vec_id = np.concatenate([self.vec_id, vec_id])
+        found = np.concatenate([self.found, found])
         score = np.concatenate([self.score, score])
-        order = np.lexsort([vec_id, -score, query])
-        query, vec_id, score = query[order], vec_id[order], score[order]
-        fresh = np.ones(len(query), bool)  # a repeated row of one id and vector counts once
-        fresh[1:] = (query[1:] != query[:-1]) | (vec_id[1:] != vec_id[:-1])
-        query, vec_id, score = query[fresh], vec_id[fresh], score[fresh]
+        order = np.lexsort([found[:, 1], found[:, 0], -score, query])
+        query, found, score = query[order], found[order], score[order]
+        fresh = np.ones(len(query), bool)  # both tables may find a pair
+        fresh[1:] = (query[1:] != query[:-1]) | (found[1:] != found[:-1]).any(axis=1)
+        query, found, score = query[fresh], found[fresh], score[fresh]
         first = np.searchsorted(query, query)
         kept = np.arange(len(query)) - first < self.k
-        self.query, self.vec_id, self.score = query[kept], vec_id[kept], score[kept]
+        self.query, self.found, self.score = query[kept], found[kept], score[kept]
         last = np.arange(len(query)) - first == self.k - 1
         self.least[query[last]] = score[last]
 
@@ -204,8 +232,8 @@ def _search(held, k: int, everything: bool):
     """Vectors -> the k nearest of a task's own vectors for each query of the block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, raw, fields = held.value
-        hashing = Hashing(*fields)
+        raw, rows, fields = held.value
+        block, hashing = Block(raw, rows), Hashing(*fields)
         unit = _unit(raw)
         if getattr(held, "_tables", None) is None and not everything:
             tables = []
@@ -214,20 +242,20 @@ def _search(held, k: int, everything: bool):
                 order = np.argsort(cells, kind="stable")
                 tables.append((cells[order], queries[order]))
             held._tables = tables
-        best = Nearest(len(ids), k)
+        best = Nearest(len(rows), k)
         for batch in batches:
             lists = batch.column(1)
             fits = pa.compute.list_value_length(lists).to_numpy(False) == hashing.dim
-            vec_id = batch.column(0).to_numpy(False)[fits]
-            if not len(vec_id):
+            named = np.stack([batch.column(c).to_numpy(False)[fits] for c in (0, 3, 2)], axis=1)
+            if not len(named):
                 continue
             flat = lists.filter(pa.array(fits)).flatten().to_numpy(False)
             every = flat.reshape(-1, hashing.dim)
             for first in range(0, len(every), _ROWS):
-                own_raw, own_ids = every[first : first + _ROWS], vec_id[first : first + _ROWS]
+                own_raw, own_rows = every[first : first + _ROWS], named[first : first + _ROWS]
                 own = _unit(own_raw)
                 if everything:
-                    meetings = [(np.arange(len(ids)), np.arange(len(own)))]
+                    meetings = [(np.arange(len(rows)), np.arange(len(own)))]
                 else:
                     meetings = chain.from_iterable(
                         met(*held._tables[t], hashing.cells(np.floor(hashing.places(own, t))))
@@ -236,7 +264,10 @@ def _search(held, k: int, everything: bool):
                 for asking, there in meetings:
                     # a rough cosine leaves out what cannot be among the best; the rest is exact
                     rough = unit[asking] @ own[there].T
-                    rough[ids[asking][:, None] == own_ids[there]] = -np.inf
+                    query, at = np.nonzero(rows[asking, :1] == own_rows[there, 0])
+                    itself = block.is_own(asking[query], own_rows[there[at]])
+                    itself &= own_rows[there[at], 2] == 1  # of more rows the others are candidates
+                    rough[query[itself], at[itself]] = -np.inf
                     least = best.least[asking]
                     if len(there) > k:
                         least = np.maximum(least, -np.partition(-rough, k - 1, axis=1)[:, k - 1])
@@ -244,31 +275,36 @@ def _search(held, k: int, everything: bool):
                     query, at = np.nonzero(hopeful)
                     best.hold(asking[query], there[at], rough[query, at])
                     if best.held > _HELD:
-                        best.weigh(raw, own_raw, own_ids)
-                best.weigh(raw, own_raw, own_ids)
+                        best.weigh(block, own_raw, own_rows)
+                best.weigh(block, own_raw, own_rows)
         if len(best.query):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[best.query]), pa.array(best.vec_id), pa.array(best.score)],
-                ["query_id", "vec_id", "score"],
-            )
+            columns = [*rows[best.query].T, *best.found.T, best.score]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], FOUND.names)
 
     return run
 
 
 def _merge(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    """Ranks from 1 to ``k``; a vector of several rows takes as many ranks."""
+    order = Window.partitionBy("query_id", "query_mark").orderBy(F.desc("score"), "vec_id", "mark")
+    first = found.distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k)
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    first = first.withColumn("before", F.coalesce(F.sum("times").over(earlier), F.lit(0)))
+    last = F.least(F.col("before") + F.col("times"), F.lit(k))
+    ranks = F.explode(F.sequence((F.col("before") + 1).cast("int"), last.cast("int")))
+    return first.filter(F.col("before") < k).select(
+        "query_id", "query_mark", "query_copies", ranks.alias("rank"), "vec_id", "score"
+    )
 
 
 def _block_search(
-    vectors: DataFrame, ids: list[int], raw: np.ndarray, hashing: Hashing, k: int, everything: bool
+    vectors: DataFrame, block: Block, hashing: Hashing, k: int, everything: bool
 ) -> DataFrame:
     spark = vectors.sparkSession
     fields = tuple(getattr(hashing, name) for name in hashing.__dataclass_fields__)
-    held = spark.sparkContext.broadcast((np.array(ids, np.int64), raw, fields))
-    rows = vectors.mapInArrow(
-        _search(held, k, everything), "query_id long, vec_id long, score double"
+    held = spark.sparkContext.broadcast((block.raw, block.rows, fields))
+    rows = vectors.select("vec_id", "vector", "copies", "mark").mapInArrow(
+        _search(held, k, everything), FOUND
     )
     return stored(spark, _merge(rows, k), "neighbours")
 
@@ -287,11 +323,12 @@ def nearest(
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` nearest found.
 
     Nearest is largest cosine of the original vectors, ties to the smaller id, rank from 1. A
-    query's candidates are all rows of ``embeddings`` with another id. Rows without an id, and
+    query's candidates are all rows of ``embeddings`` but its own. Rows without an id, and
     vectors that are NULL, zero, hold NULL or non-finite components or are of another length than
     most, take no part on either side. A query that its cells give fewer than ``k`` candidates
-    goes on to visit all cells, so it has fewer only where there are fewer. Rows that repeat an
-    id count once, by their least vector. An empty table gives no rows.
+    goes on to visit all cells, so it has fewer only where there are fewer. Rows may repeat an id:
+    each is a query or a candidate of its own, and only the query's own row, one of those equal to
+    it, is no candidate. An empty table gives no rows.
     """
     spark = embeddings.sparkSession
     vectors = stored(spark, usable(embeddings, vec_id, vector), "vectors")
@@ -304,20 +341,24 @@ def nearest(
     blocks = max(1, -(-asked.count() // block))
     found = None
     for b in range(blocks):
-        rows = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).collect()
+        turn = F.pmod(F.xxhash64("vec_id", "mark"), F.lit(blocks)) == b
+        rows = asked.filter(turn).collect()
         if not rows:
             continue
-        ids = [r["vec_id"] for r in rows]
-        raw = np.array([r["vector"] for r in rows], float)
-        part = _block_search(vectors, ids, raw, hashing, k, False)
-        counts = {r[0]: r[1] for r in part.groupBy("query_id").count().collect()}
-        few = [n for n, i in enumerate(ids) if counts.get(i, 0) < k]
+        own = Block(
+            np.array([r["vector"] for r in rows], float),
+            np.array([(r["vec_id"], r["mark"], r["copies"]) for r in rows], np.int64),
+        )
+        part = _block_search(vectors, own, hashing, k, False)
+        counts = {r[:2]: r[2] for r in part.groupBy("query_id", "query_mark").count().collect()}
+        few = [n for n, r in enumerate(rows) if counts.get((r["vec_id"], r["mark"]), 0) < k]
         if few:
-            rest = [ids[n] for n in few]
-            full = _block_search(vectors, rest, raw[few], hashing, k, True)
-            again = full.select("query_id").distinct()
-            part = part.join(again, "query_id", "left_anti").unionByName(full)
+            rest = Block(own.raw[few], own.rows[few])
+            full = _block_search(vectors, rest, hashing, k, True)
+            again = full.select("query_id", "query_mark").distinct()
+            part = part.join(again, ["query_id", "query_mark"], "left_anti").unionByName(full)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], schema)
-    return found.withColumn("rank", F.col("rank").cast("int"))
+    for_each = F.explode(F.array_repeat(F.lit(0), F.col("query_copies").cast("int")))
+    return found.select("query_id", "rank", "vec_id", "score", for_each.alias("_")).drop("_")

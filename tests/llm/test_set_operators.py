@@ -527,7 +527,9 @@ def test_awkward_vectors(spark):
     for r in found.orderBy("query_id", "rank").collect():
         got[r["query_id"]].append(r["vec_id"])
     assert set(got) == {0, 2, 4, 6, 20, 22, 24, 26, 28, 30, 46}
-    assert got[30] == [20, 21, 22, 23, 24] and got[20] == [21, 22, 23, 24, 25]
+    # 20 stands twice: both rows are queries, and each is a candidate of the other
+    assert got[30] == [20, 20, 21, 22, 23]
+    assert got[20] == [20, 20, 21, 21, 22, 22, 23, 23, 24, 24]
     few = neighbours.nearest(frame.filter("vec_id < 4"), frame.filter("vec_id = 0"))
     assert few.count() == 3
     none = spark.createDataFrame([], frame.schema)
@@ -535,6 +537,26 @@ def test_awkward_vectors(spark):
     assert neighbours.nearest(frame, none).count() == 0
 
 
+def test_rows_that_repeat_an_id(spark):
+    """Every row is a query or a candidate of its own, whatever its id."""
+    rng = np.random.default_rng(3)
+    rows = [(i % 40, rng.standard_normal(6).tolist()) for i in range(160)]
+    rows += [(7, [2 * x for x in rows[7][1]])] + [rows[8]] * 9 + [rows[10]] * 2
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    clash = frame.selectExpr("*", *[f"'x' AS {c}" for c in ("query_id", "rank", "score", "mark", "copies", "vector")])
+    found = neighbours.nearest(clash, clash.filter("vec_id % 2 = 0"), recall=0.999999)
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = Counter()
+    for q, (i, _) in enumerate(rows):
+        if i % 2 == 0:
+            near = sorted((-round(float(x[q] @ x[c]), 9), rows[c][0]) for c in range(len(rows)) if c != q)[:5]
+            want.update((i, n + 1, other, -score) for n, (score, other) in enumerate(near))
+    got = Counter((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in found.collect())
+    assert got == want
+    assert found.dtypes == [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "double")]
+
+
 # -- pipeline --------------------------------------------------------------------------------
 
 
