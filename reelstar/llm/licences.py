@@ -14,7 +14,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelstar.llm.common import without
+from reelstar.llm.common import packed, unpacked, without
+from reelstar.operators.joins import lookup_join
 
 _LINE = r"\n[^\p{L}\p{N}\n(]*"
 # Rules in the order they apply, to text in ASCII lower case that begins with a line break. They
@@ -90,9 +91,10 @@ def scan(docs: DataFrame, text: str = "text", known: DataFrame | None = None) ->
     table = known_licences(docs.sparkSession) if known is None else known
     table = table.groupBy("digest").agg(F.min("licence").alias("licence"))
     marked = without(docs, "digest", "licence").withColumn("digest", F.md5(canonical(F.col(text))))
-    if known is None:
-        table = F.broadcast(table)  # as many rows as known_texts
-    joined = marked.join(table, "digest", "left")
+    if known is not None:  # of any size: a hot digest, or none, can be split
+        joined = lookup_join(packed(marked, digest="digest"), table, "digest")
+        return joined.select(*unpacked(joined, "digest"), "digest", "licence")
+    joined = marked.join(F.broadcast(table), "digest", "left")  # as many rows as known_texts
     return joined.select(*[c for c in marked.columns if c != "digest"], "digest", "licence")
 
 

@@ -481,6 +481,23 @@ def test_order_and_keep_against_sorting(spark):
     assert all(r["log_weight"] == 0 for r in none)
 
 
+def test_repeated_rows_tie_and_clashing_columns_do_not_matter(spark):
+    """Equal rows have equal keys and stand one after another; every row has a rank of its own."""
+    rows = [(k % 7, f"some words {k % 7}") for k in range(70)] + [(None, "x"), (None, "x"), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    clash = docs.selectExpr("*", *[f"'x' AS {c}" for c in ("is_target", "_good", "rank", "keep", "gumbel_key", "log_weight")])
+    targets = spark.createDataFrame([(1, 1), (1, 0), (2, 1)], "doc_id long, keep int")
+    found = importance.resample(clash, targets, keep=0.5)
+    ranks = defaultdict(list)
+    for r in found.collect():
+        ranks[r["doc_id"], r["gumbel_key"]].append(r["rank"])
+    assert len(ranks) == 9 and sorted(x for own in ranks.values() for x in own) == list(range(73))
+    assert all(max(own) - min(own) == len(own) - 1 for own in ranks.values())
+    assert found.filter("keep").count() == 37
+    plain = importance.resample(docs, targets, keep=0.5)
+    assert Counter(map(repr, found.collect())) == Counter(map(repr, plain.collect()))
+
+
 # -- neighbours ------------------------------------------------------------------------------
 
 

@@ -18,7 +18,7 @@ from conftest import MEDIUM
 from llm_data import WORDS, awkward, awkward_rows, no_docs, sentence
 from pyspark.sql import functions as F
 
-from reelstar.llm import langid, licences, linededup, warc
+from reelstar.llm import langid, licences, linededup, mixing, warc
 from reelstar.llm.queries import llm_oracles, llm_queries
 from reelstar.llm.words import WordHasher
 
@@ -372,25 +372,69 @@ def test_source_headers_are_kept(spark):
     assert len(bytes(of["<urn:1>", "conversion"]["block"]).split()) == 50_000 and len(records) == 8
 
 
-def test_hot_window_is_split(spark):
-    """Two thirds of the documents hold one window: its join partition is split."""
-    rows = [(k, "\n".join(["a", "b", "c"] if k % 3 else [f"x{k}", f"y{k}", f"z{k}"])) for k in range(9000)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+@pytest.fixture
+def tiny_partitions(spark):
+    """Settings under which a few kilobytes of one key are a skewed partition."""
     tiny = {
         "skewJoin.skewedPartitionThresholdInBytes": "4k", "skewJoin.skewedPartitionFactor": "2",
         "advisoryPartitionSizeInBytes": "4k", "coalescePartitions.minPartitionSize": "1k",
         "autoBroadcastJoinThreshold": "-1",
-    }
-    before = {f"spark.sql.adaptive.{k}": spark.conf.get(f"spark.sql.adaptive.{k}", None) for k in tiny}
+    }
+    tiny = {f"spark.sql.adaptive.{k}": v for k, v in tiny.items()}
+    tiny["spark.sql.autoBroadcastJoinThreshold"] = "-1"
+    before = {k: spark.conf.get(k, None) for k in tiny}
     for k, v in tiny.items():
-        spark.conf.set(f"spark.sql.adaptive.{k}", v)
-    try:
-        found = linededup.repeated_lines(docs)
-        assert found.count() == 5999
-        found.write.format("noop").mode("overwrite").save()
-        rows_of = found.collect()
-        text = found._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert "SortMergeJoin(skew=true)" in text and len(rows_of) == 5999
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def plan_of_run(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_window_is_split(spark, tiny_partitions):
+    """Two thirds of the documents hold one window: its join partition is split."""
+    rows = [(k, "\n".join(["a", "b", "c"] if k % 3 else [f"x{k}", f"y{k}", f"z{k}"])) for k in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = linededup.repeated_lines(docs)
+    assert "SortMergeJoin(skew=true)" in plan_of_run(found) and found.count() == 5999
+
+
+def test_hot_digest_is_split(spark, tiny_partitions):
+    """Most documents are one known text, or none."""
+    rows = [(k, f"text {k}" if k % 30 == 4 else None if k % 3 == 1 else "one text") for k in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    one = spark.range(1).select(licences.canonical(F.lit("one text"))).first()[0]
+    digests = [(n, hashlib.md5(t.encode()).hexdigest()) for n, t in (("b", one), ("a", one), ("c", "text 4"), ("d", ""))]
+    known = spark.createDataFrame(digests + [("e", None)], "licence string, digest string")
+    found = licences.scan(docs, known=known)
+    assert "SortMergeJoin(skew=true)" in plan_of_run(found)
+    names = {r["licence"]: r["n"] for r in found.groupBy("licence").agg(F.count("*").alias("n")).collect()}
+    assert names == {"a": 6000, "c": 1, None: 2999}  # the first of two names
+
+
+def test_hot_source_of_very_many_is_split(spark, tiny_partitions, monkeypatch):
+    """Beyond the sources that are broadcast, documents meet them in a join that can be split."""
+    rows = [(k, "w " * (k % 9), f"s{k}" if k % 30 == 4 else "hot") for k in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(8)
+    plain = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()}
+    monkeypatch.setattr(mixing, "_FEW_SOURCES", 0)
+    found = mixing.mix(docs)
+    assert "SortMergeJoin(skew=true)" in plan_of_run(found)
+    assert {r["doc_id"]: r["taken"] for r in found.collect()} == plain
+
+
+def test_pages_with_clashing_columns(spark):
+    """Other columns of pages do not get in the way, and a page may be very long."""
+    rows = [(1, "http://a/", "<p>one</p>"), (2, None, None), (2, None, None), (None, None, "<p>x" * 300_000), (4, "u", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    clash = pages.selectExpr("*", *[f"'x' AS {c}" for c in ("headers", "block", "record_id", "target_uri", "date", "refers_to")])
+    found = warc.derivatives(warc.responses_of(clash)).collect()
+    assert len(found) == 10
+    plain = warc.derivatives(warc.responses_of(pages)).collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, plain))
+    longest = max((bytes(r["block"]) for r in found if r["record_type"] == "conversion"), key=len)
+    assert longest.split() == [b"x"] * 300_000
