@@ -120,16 +120,25 @@ def constraint_violations(df: DataFrame, table: str) -> DataFrame:
     return _rows(counts, lines, ("table", "constraint", "column", "limit", "violations"))
 
 
-def table_report(df: DataFrame, table: str, dropped: int | None = None) -> DataFrame:
+def table_report(
+    df: DataFrame,
+    table: str,
+    dropped: int | None = None,
+    max_null_pct: dict[tuple[str, str], float] | None = None,
+) -> DataFrame:
     """Every single-table rule except uniqueness: one scan, one aggregate.
 
     Null percentages are taken over the rows that have a key and compared unrounded. Next to
     them stands the number of rows dropped for a missing key: ``dropped``, which the build
-    counted before it dropped them, and those that ``df`` still holds.
+    counted before it dropped them, and those that ``df`` still holds. ``max_null_pct`` has limits
+    of a feed per table and column, in place of those of the rules.
     """
     key, rules = KEYS[table], RULES[table]
     has_key = f"{key} IS NOT NULL" if key in df.columns else "true"
-    limits = {c: pct for c, pct in rules["max_null_pct"].items() if c in df.columns}
+    of_feed = max_null_pct or {}
+    limits = {
+        c: of_feed.get((table, c), pct) for c, pct in rules["max_null_pct"].items() if c in df.columns
+    }
     lengths = {c: n for c, n in MAX_LENGTH[table].items() if c in df.columns}
     counts = df.selectExpr(
         f"count_if({has_key}) AS n",
@@ -173,18 +182,20 @@ def quality_report(
     tables: dict[str, DataFrame | None],
     known_media: DataFrame | None = None,
     dropped: dict[str, int] | None = None,
+    max_null_pct: dict[tuple[str, str], float] | None = None,
 ) -> DataFrame | None:
     """Report over the day's tables; a table that did not arrive is skipped, not failed.
 
     ``known_media`` is the dimension the fact is checked against; without it the day's own.
-    ``dropped`` has the rows that a table's build left out for a missing key.
+    ``dropped`` has the rows that a table's build left out for a missing key, ``max_null_pct``
+    limits of a feed in place of those of the rules.
     """
     parts = []
     for table in LOAD_ORDER:
         df = tables.get(table)
         if df is None:
             continue
-        parts.append(table_report(df, table, (dropped or {}).get(table)))
+        parts.append(table_report(df, table, (dropped or {}).get(table), max_null_pct))
         if KEYS[table] in df.columns:
             parts.append(uniqueness_report(df, table))
     fact = tables.get("fact_media_engagement")

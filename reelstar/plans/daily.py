@@ -300,13 +300,15 @@ def check_and_publish(
     taken: DataFrame | None = None,
     lines: Sequence = (),
     count_visitors: bool = False,
+    max_null_pct: dict[tuple[str, str], float] | None = None,
 ) -> list:
     """Run every check on every table, then publish all of them in one commit.
 
     The fact may point at a video of an earlier day, so it is checked against the published
     dimension and the day's together. ``taken`` lists the files of the run; the commit that
     publishes its rows notes them. Of the videos, pulled whole every time, only new and changed ones
-    are published. ``lines`` are further lines of the report. Returns the quality report and the
+    are published. ``lines`` are further lines of the report, ``max_null_pct`` limits of
+    the feed per table and column, in place of those of the rules. Returns the quality report and the
     lines of the build; a failed check raises before anything is published.
     """
     tables = dict(day.tables)
@@ -320,7 +322,7 @@ def check_and_publish(
         for resource, (table, _) in star.ROW_KEYS.items()
         if resource in day.no_key
     }
-    checks = quality.quality_report(tables, known, dropped)
+    checks = quality.quality_report(tables, known, dropped, max_null_pct)
     derived: dict[str, Derived] = {}
     if "dim_media" in tables:
         tables["dim_media"], changed = _changes(spark, roots, tables["dim_media"], run_date)
@@ -390,6 +392,7 @@ def run(
     compare: str = "parsed",
     check_fields: bool = False,
     count_visitors: bool = False,
+    max_null_pct: dict[tuple[str, str], float] | None = None,
     **options,
 ) -> list:
     """One daily run, over every day up to the run date that has files no run has taken.
@@ -402,7 +405,8 @@ def run(
     for the run date. ``pull`` first takes the landed pages of the paged endpoints and the landed
     documents of the others, of the days with new ones. ``check_fields`` reads the documents'
     fields besides and fails if a day has none with a required one; ``count_visitors`` keeps up
-    the bitmaps of visitors per day and video.
+    the bitmaps of visitors per day and video. ``max_null_pct`` has limits of a feed that leaves
+    a column out more often than the rules allow, per table and column.
     """
     named = None if days is None else sorted(set(days))
     taken, marks = [], None
@@ -432,4 +436,4 @@ def run(
         kinds = stored(spark, field_kinds(spark, roots, of_days), "field-kinds")
         lines = [line for d in of_days for line in drift.required_lines(kinds, d)]
     noted = reduce(DataFrame.unionByName, taken) if taken else None
-    return check_and_publish(spark, roots, day, run_date, marks, noted, lines, count_visitors)
+    return check_and_publish(spark, roots, day, run_date, marks, noted, lines, count_visitors, max_null_pct)

@@ -6,10 +6,14 @@ import json
 from pathlib import Path
 
 import pytest
+from compare import connect, rows_of_spark, rows_of_sql
+from conftest import SMALL
 from test_bronze import put
 
 from reelstar.operators.quality import QualityGateError
+from reelstar.oracles import all_oracles
 from reelstar.plans import daily
+from reelstar.queries import all_queries
 from reelstar.schemas import MARKS
 from reelstar.sources.bronze import day_path
 from reelstar.sources.warehouse import Warehouse
@@ -278,3 +282,24 @@ def test_odd_names_of_folders(spark, roots, bronze_root):
     daily.run(spark, roots, "2026-04-20")
     assert published(spark, roots).count() == 3
     assert daily.untaken(spark, roots, "2026-04-21").count() == 0
+
+
+def test_a_feed_may_have_a_limit_of_its_own(spark, roots, bronze_root):
+    # one of four visitors has no browser: over the rule's 20 %, within a limit of 30 %
+    media(bronze_root, "2026-04-20", "m1")
+    people = [visitor(f"v{i}") for i in range(4)]
+    people[0]["user_agent_details"] = {"platform": "mac"}
+    put(bronze_root, "visitors", "m1", people, page=1)
+    with pytest.raises(QualityGateError, match="dim_visitor.browser null_pct=25.0"):
+        daily.run(spark, roots, "2026-04-20")
+    with pytest.raises(QualityGateError, match="dim_visitor.browser null_pct=25.0"):
+        daily.run(spark, roots, "2026-04-20", max_null_pct={("dim_visitor", "browser"): 24.0})
+    report = daily.run(spark, roots, "2026-04-20", max_null_pct={("dim_visitor", "browser"): 30.0})
+    shown = {(r["column"], r["threshold"]) for r in report if (r["table"], r["check"]) == ("dim_visitor", "null_pct")}
+    assert shown == {("visitor_key", 0.0), ("browser", 30.0), ("platform", 20.0)}
+    assert published(spark, roots, "dim_visitor").count() == 4
+
+
+def test_daily_load_where_over_a_fifth_of_the_visitors_name_no_browser(spark):
+    columns, rows = rows_of_spark(all_queries()["daily_load"](spark, SMALL))
+    assert (columns, rows) == rows_of_sql(connect(SMALL), all_oracles()["daily_load"])
