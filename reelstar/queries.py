@@ -30,6 +30,8 @@ from reelstar.streaming import loads
 
 DAY = samples.RUN_DATE
 FACT = "fact_media_engagement"
+# a gzip file is read by one task
+LINES_PER_FILE = 100_000
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -708,7 +710,8 @@ def gated_stream(spark, sf):
     early = lines.filter(F.col("value").contains('"region":"AFRICA"'))
     late = lines.filter(~F.col("value").contains('"region":"AFRICA"'))
     for day, part in (("2024-01-31", early), (DAY, late)):
-        part.write.option("compression", "gzip").text(bronze.day_path(root, "events", day))
+        writer = part.write.option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE)
+        writer.text(bronze.day_path(root, "events", day))
         loads.gated_upsert_stream(
             loads.bronze_stream(spark, root, "events", lines=True, keep_broken=True), warehouse,
             "events", ["event_key"], ["received_at"], checkpoint, quarantine,

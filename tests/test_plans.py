@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 from contextlib import contextmanager
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import SMALL
@@ -280,3 +281,14 @@ def test_events_are_read_by_their_own_tasks_and_not_broadcast(spark):
         assert sorted(joins) == [
             ("c_nationkey", "BuildRight"), ("n_regionkey", "BuildRight"), ("user_id", "BuildRight")
         ]
+
+
+def test_landed_lines_are_cut_into_files_for_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(q, "LINES_PER_FILE", 100, raising=False)
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("bronze-*"))
+    rows = q.gated_stream(spark, SMALL).groupBy("place").count()
+    counts = {r["place"]: r["count"] for r in rows.collect()}
+    (root,) = set(shared.glob("bronze-*")) - before
+    lines = counts["published"] + counts["broken"]
+    assert len([*root.rglob("*.txt.gz")]) >= lines / 100 > 5
