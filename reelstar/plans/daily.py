@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reelstar.operators import incremental as inc
 from reelstar.operators import drift, quality, snapshots, star, visitors
-from reelstar.operators.joins import tracked_only
+from reelstar.operators.joins import shuffled_if_many, tracked_only
 from reelstar.operators.latest import latest_by
 from reelstar.schemas import (
     BROKEN,
@@ -264,6 +264,8 @@ def _changes(spark: SparkSession, roots: Roots, media: DataFrame, run_date: str)
         quality.build_line("dim_media", f"{kind}_videos", None, counts.get(kind, 0), 0, 0)
         for kind in (snapshots.NEW, snapshots.CHANGED, snapshots.GONE)
     ]
+    differing = sum(counts.get(kind, 0) for kind in (snapshots.NEW, snapshots.CHANGED))
+    found = shuffled_if_many(found, differing)
     return stored(spark, snapshots.to_publish(media, found, KEYS["dim_media"]), "changed"), lines
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from reelstar.operators.joins import shuffled_if_many
 from reelstar.operators.upsert import delete_matching, keyed, matching, not_older
 from reelstar.session import empty_frame, stored
 
@@ -212,12 +213,15 @@ class Warehouse:
         # the published versions of the staged keys: where they are and how new
         held = self._bucket_rows(index, staging.select(*columns), load.keys, lines)
         touched: set[str | None] = set()
+        sided = staging  # as a side of the joins below
         if held is not None:
-            replaced = stored(self.spark, matching(held, staging, load.keys), f"{table}-replaced")
+            sided = shuffled_if_many(staging)
+            replaced = stored(self.spark, matching(held, sided, load.keys), f"{table}-replaced")
             if load.newest_by:
-                newer = not_older(staging, replaced, load.keys, load.newest_by)
+                newer = not_older(sided, replaced, load.keys, load.newest_by)
                 staging = stored(self.spark, newer, f"{table}-newer")
-                replaced = matching(replaced, staging, load.keys)
+                sided = shuffled_if_many(staging)
+                replaced = matching(replaced, sided, load.keys)
             # partitions to rewrite: those of the new rows, and those that hold an older
             # version of one of them, as a replay may move a row to another partition
             touched = self._values(staging.select(part).unionByName(replaced.select(part)), part)
@@ -225,7 +229,7 @@ class Warehouse:
         old = {p: f for p, f in folders.items() if p in touched}
         if old:
             kept = self._read(table, schema, part, old)
-            rows = delete_matching(kept, staging, load.keys).unionByName(staging)
+            rows = delete_matching(kept, sided, load.keys).unionByName(staging)
         written = self._write(table, rows, part, load.sort_by)
         current = {p: f for p, f in folders.items() if p not in touched} | written
         lines = [x for x in lines if x[0] != table]
@@ -260,12 +264,14 @@ class Warehouse:
         held = self._bucket_rows(table, staging, load.keys, lines)
         rows = staging
         if held is not None:
+            sided = shuffled_if_many(staging)
             if load.newest_by:
                 versions = held.select(*dict.fromkeys((*load.keys, *load.newest_by)))
-                replaced = matching(versions, staging, load.keys)
-                newer = not_older(staging, replaced, load.keys, load.newest_by)
+                replaced = matching(versions, sided, load.keys)
+                newer = not_older(sided, replaced, load.keys, load.newest_by)
                 staging = stored(self.spark, newer, f"{table}-newer")
-            rows = delete_matching(held, staging, load.keys).unionByName(staging)
+                sided = shuffled_if_many(staging)
+            rows = delete_matching(held, sided, load.keys).unionByName(staging)
         buckets = self._buckets(table, lines) or load.buckets
         rows = self._in_buckets(rows, load.keys, buckets)
         current = self._folders(table, lines) | self._write(table, rows, _BUCKET, load.sort_by)

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from reelstar import queries as q
 from reelstar.operators import incremental as inc
-from reelstar.operators import star
+from reelstar.operators import quality, star
 from reelstar.operators.latest import latest_by
 from reelstar.plans import daily, reports
-from reelstar.sources import samples, silver
+from reelstar.schemas import STAR
+from reelstar.sources import samples, silver, warehouse
 from reelstar.sources.warehouse import Warehouse
 
 
@@ -292,3 +293,62 @@ def test_landed_lines_are_cut_into_files_for_several_tasks(spark, monkeypatch):
     (root,) = set(shared.glob("bronze-*")) - before
     lines = counts["published"] + counts["broken"]
     assert len([*root.rglob("*.txt.gz")]) >= lines / 100 > 5
+
+
+def many(spark, table, n, name="a"):
+    """Rows of a table as a load finds them: many short keys in small files."""
+    key = daily.KEYS[table]
+    made = {key: F.col("id").cast("string"), "media_id": F.col("id").cast("string"),
+            "event_date": F.lit("2024-01-05"), "load_date": F.lit("2024-02-01"), "name": F.lit(name),
+            "received_at": F.lit("2024-01-05 00:00:00"), "updated_at": F.lit("2024-01-05 00:00:00")}
+    fields = STAR[table].fields
+    rows = spark.range(n).select(
+        *[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+    )
+    return daily.stored(spark, rows, "many")
+
+
+@pytest.fixture()
+def stored_plans(monkeypatch):
+    """Plans of what the warehouse and the daily run write, by label or table."""
+    found = defaultdict(list)
+
+    def stored(spark, df, label, write=daily.stored):
+        found[label].append(plan(df))
+        return write(spark, df, label)
+
+    def _write(self, table, rows, *rest, write=Warehouse._write):
+        found[table].append(plan(rows))
+        return write(self, table, rows, *rest)
+
+    monkeypatch.setattr(daily, "stored", stored)
+    monkeypatch.setattr(warehouse, "stored", stored)
+    monkeypatch.setattr(Warehouse, "_write", _write)
+    return found
+
+
+@pytest.mark.parametrize("table", ["dim_media", q.FACT])
+def test_only_a_load_of_few_rows_is_broadcast(spark, tmp_path, stored_plans, table):
+    """The keys of a large load would be gathered on the driver, though their files are small."""
+    to = Warehouse(spark, str(tmp_path))
+    to.publish({table: daily.load(table, many(spark, table, 300_000))})
+    for n, kind in ((300_000, "SortMergeJoin"), (100, "BroadcastHashJoin")):
+        stored_plans.clear()
+        to.publish({table: daily.load(table, many(spark, table, n, "b"))})
+        joins = [x for plans in stored_plans.values() for p in plans for x in re.findall(r"\w+Join", p)]
+        assert len(joins) > 2 and set(joins) == {kind}, stored_plans
+    rows = to.read(table, STAR[table], daily.PARTITION_BY.get(table))
+    assert rows.count() == rows.select(daily.KEYS[table]).distinct().count() == 300_000
+
+
+def test_many_new_videos_are_not_broadcast(spark, tmp_path, stored_plans):
+    roots = daily.Roots(*(str(tmp_path / x) for x in ("landing", "bronze", "silver", "warehouse")))
+    for n, kind in ((300_000, "SortMergeJoin"), (100, "BroadcastHashJoin")):
+        changed, _ = daily._changes(spark, roots, many(spark, "dim_media", n), q.DAY)
+        assert changed.count() == n
+        assert re.findall(r"\w+Join", stored_plans["changed"].pop()) == [kind]
+
+
+def test_orphans_are_counted_without_a_broadcast_of_the_videos(spark, published):
+    text = plan(quality.orphan_count(published[q.FACT], published["dim_media"]))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
